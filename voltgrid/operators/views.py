@@ -19,30 +19,13 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, DateType, DecimalType, IntegerType, ShortType
 
 from voltgrid.functions.columns import (dow_sunday0, dsum, hour_floor, is_weekend_monday0,
                                         mean, weekday_monday0)
+from voltgrid.functions.output import finish
 from voltgrid.sources.tables import Tables
 
 
-def finish(df: DataFrame) -> DataFrame:
-    """Output typing contract: decimals leave as double, small ints as bigint,
-    calendar dates as midnight TIMESTAMP_NTZ (zone-free, identical in every
-    engine that reads the result)."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, DateType):
-            out.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
-        elif isinstance(f.dataType, DecimalType):
-            out.append(F.col(f.name).cast("double").alias(f.name))
-        elif isinstance(f.dataType, (IntegerType, ShortType, ByteType)):
-            out.append(F.col(f.name).cast("bigint").alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
-
-
 def _zero(*names):
     return {n: 0 for n in names}
 

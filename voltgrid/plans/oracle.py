@@ -217,3 +217,112 @@ ORACLE: dict[str, str] = {
     "v12_station_overview_filled": q(V12_BODY, ("v01", V01_BODY)),
     "v13_usage_patterns_weekday": q(V13_BODY),
 }
+
+# ============================================================ patterns P01–P09
+
+_U_OK = "FROM usage_data WHERE station_id IS NOT NULL AND session_start IS NOT NULL"
+
+P01_BODY = f"""
+SELECT station_id, hour, session_count FROM (
+  SELECT station_id, CAST(EXTRACT(HOUR FROM session_start) AS BIGINT) AS hour, COUNT(*) AS session_count
+  {_U_OK} GROUP BY 1, 2) h
+WHERE session_count >= 1.5 * (SELECT AVG(h2.session_count) FROM (
+        SELECT station_id, EXTRACT(HOUR FROM session_start) AS hour, COUNT(*) AS session_count
+        {_U_OK} GROUP BY 1, 2) h2 WHERE h2.station_id = h.station_id)"""
+
+P01N_H = """SELECT CAST(EXTRACT(HOUR FROM session_start) AS BIGINT) AS hour, COUNT(*) AS session_count
+           FROM usage_data WHERE session_start IS NOT NULL GROUP BY 1"""
+P01N_BODY = "SELECT hour, session_count FROM h WHERE session_count >= 1.5 * (SELECT AVG(session_count) FROM h)"
+
+_WK = "COALESCE(isodow(session_start) >= 6, FALSE)"
+P02_BODY = f"""
+SELECT station_id,
+       COUNT(*) FILTER (WHERE NOT {_WK}) AS weekday_sessions,
+       COUNT(*) FILTER (WHERE {_WK}) AS weekend_sessions,
+       COALESCE(CAST(SUM(CASE WHEN NOT {_WK} THEN energy_consumed_kwh END) AS DOUBLE), 0) AS weekday_energy_kwh,
+       COALESCE(CAST(SUM(CASE WHEN {_WK} THEN energy_consumed_kwh END) AS DOUBLE), 0) AS weekend_energy_kwh,
+       CASE WHEN COUNT(*) FILTER (WHERE {_WK}) > COUNT(*) FILTER (WHERE NOT {_WK})
+            THEN 'weekend_heavy' ELSE 'weekday_heavy' END AS pattern
+FROM usage_data WHERE station_id IS NOT NULL GROUP BY station_id"""
+
+_DAILY_Z = f"""
+  SELECT station_id, date, session_count,
+         CASE WHEN sd > 0 THEN (session_count - mu) / sd END AS z
+  FROM (SELECT station_id, date, session_count,
+               AVG(session_count) OVER (PARTITION BY station_id) AS mu,
+               STDDEV_SAMP(session_count) OVER (PARTITION BY station_id) AS sd
+        FROM (SELECT station_id, CAST(session_start AS DATE) AS date, COUNT(*) AS session_count
+              {_U_OK} GROUP BY 1, 2))"""
+
+P03_BODY = f"""SELECT station_id, CAST(date AS TIMESTAMP) AS date, session_count, round(z, 6) AS z_score
+FROM ({_DAILY_Z}) WHERE z > 2"""
+P04_BODY = f"""SELECT station_id, CAST(date AS TIMESTAMP) AS date, session_count, round(z, 6) AS z_score
+FROM ({_DAILY_Z}) WHERE z < -1.5"""
+
+P05_BODY = f"""
+SELECT station_id, {M('duration_minutes')} AS avg_duration_minutes,
+       round(median(CAST(duration_minutes AS DOUBLE)), 6) AS median_duration_minutes,
+       CAST(MIN(duration_minutes) AS DOUBLE) AS min_duration_minutes,
+       CAST(MAX(duration_minutes) AS DOUBLE) AS max_duration_minutes,
+       round(stddev_samp(CAST(duration_minutes AS DOUBLE)), 6) AS std_duration_minutes,
+       CASE WHEN COUNT(duration_minutes) > 0
+            THEN printf('Average session duration: %.1f minutes', round({M('duration_minutes')}, 1))
+            ELSE 'No valid duration data' END AS description
+FROM usage_data WHERE station_id IS NOT NULL GROUP BY station_id"""
+
+P05N_BODY = P05_BODY.replace("SELECT station_id, ", "SELECT ", 1).replace(
+    "WHERE station_id IS NOT NULL GROUP BY station_id", "")
+
+P06_BODY = f"""
+SELECT station_id,
+       CASE WHEN month(session_start) IN (12, 1, 2) THEN 'Winter'
+            WHEN month(session_start) IN (3, 4, 5) THEN 'Spring'
+            WHEN month(session_start) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season,
+       COUNT(id) AS session_count, COALESCE({D('energy_consumed_kwh')}, 0) AS total_energy_kwh
+{_U_OK} GROUP BY 1, 2"""
+
+
+def _p09(level: str) -> str:
+    return f"""
+SELECT '{level}' AS location_type, s.{level} AS location, COUNT(u.id) AS session_count,
+       COALESCE({D('u.energy_consumed_kwh')}, 0) AS total_energy_kwh
+FROM usage_data u LEFT JOIN charging_stations s ON u.station_id = s.id
+WHERE s.{level} IS NOT NULL GROUP BY s.{level}"""
+
+
+_PEAK_TEXT = f"""
+  SELECT g.station_id, 'Peak usage occurs during hours: [' ||
+         COALESCE(string_agg(CAST(p.hour AS VARCHAR), ', ' ORDER BY p.hour), '') || ']' AS description
+  FROM (SELECT DISTINCT station_id FROM usage_data WHERE station_id IS NOT NULL) g
+  LEFT JOIN ({P01_BODY}) p ON g.station_id = p.station_id GROUP BY g.station_id"""
+
+P07_BODY = f"""
+SELECT station_id, 'peak_hours' AS pattern_type, description, 0.85 AS confidence FROM ({_PEAK_TEXT})
+UNION ALL
+SELECT station_id, 'day_of_week', 'Weekday vs Weekend pattern: ' ||
+       printf('{{''weekday_sessions'': %d, ''weekend_sessions'': %d, ''weekday_energy_kwh'': %s, ''weekend_energy_kwh'': %s, ''pattern'': ''%s''}}',
+              weekday_sessions, weekend_sessions, CAST(weekday_energy_kwh AS VARCHAR),
+              CAST(weekend_energy_kwh AS VARCHAR), pattern), 0.80
+FROM ({P02_BODY})
+UNION ALL
+SELECT station_id, 'usage_spikes', printf('Detected %d usage spikes', COUNT(*)), 0.75
+FROM ({P03_BODY}) GROUP BY station_id
+UNION ALL
+SELECT station_id, 'low_usage_periods', printf('Identified %d low usage periods', COUNT(*)), 0.70
+FROM ({P04_BODY}) GROUP BY station_id
+UNION ALL
+SELECT station_id, 'session_duration', description, 0.75 FROM ({P05_BODY})"""
+
+ORACLE.update({
+    "p01_peak_hours": q(P01_BODY),
+    "p01_peak_hours_network": q(P01N_BODY, ("h", P01N_H)),
+    "p02_weekday_weekend": q(P02_BODY),
+    "p03_usage_spikes": q(P03_BODY),
+    "p04_low_usage_periods": q(P04_BODY),
+    "p05_session_duration_stats": q(P05_BODY),
+    "p05_session_duration_stats_network": q(P05N_BODY),
+    "p06_seasonal_trends": q(P06_BODY),
+    "p07_usage_pattern_summary": q(P07_BODY),
+    "p09_location_patterns_state": q(_p09("state")),
+    "p09_location_patterns_city": q(_p09("city")),
+})

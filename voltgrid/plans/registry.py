@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltgrid.operators import views
+from voltgrid.operators import patterns, views
+from voltgrid.functions.output import finish
 from voltgrid.sources.testdata import test_tables
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -16,9 +17,28 @@ AS_OF = dt.datetime(2024, 2, 1)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _u(op, **kw) -> Query:
+    """Operator over the usage table alone."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(op(test_tables(spark, sf_dir).usage, **kw))
+    run.__name__ = getattr(op, "__name__", "query")
+    run.__doc__ = op.__doc__
+    return run
+
+
+def _us(op, **kw) -> Query:
+    """Operator over (usage, stations)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = test_tables(spark, sf_dir)
+        return finish(op(t.usage, t.stations, **kw))
+    run.__name__ = getattr(op, "__name__", "query")
+    run.__doc__ = op.__doc__
+    return run
+
+
 def _t(op, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return op(test_tables(spark, sf_dir), **kw)
+        return finish(op(test_tables(spark, sf_dir), **kw))
     run.__name__ = getattr(op, "__name__", "query")
     run.__doc__ = op.__doc__
     return run
@@ -37,4 +57,15 @@ QUERIES: dict[str, Query] = {
     "v11_station_statistics": _t(views.station_statistics),
     "v12_station_overview_filled": _t(views.station_overview_filled),
     "v13_usage_patterns_weekday": _t(views.usage_patterns_weekday),
+    "p01_peak_hours": _u(patterns.peak_hours, by=["station_id"]),
+    "p01_peak_hours_network": _u(patterns.peak_hours, by=[]),
+    "p02_weekday_weekend": _u(patterns.weekday_weekend, by=["station_id"]),
+    "p03_usage_spikes": _u(patterns.usage_spikes, by=["station_id"]),
+    "p04_low_usage_periods": _u(patterns.low_usage_periods, by=["station_id"]),
+    "p05_session_duration_stats": _u(patterns.session_duration_stats, by=["station_id"]),
+    "p05_session_duration_stats_network": _u(patterns.session_duration_stats, by=[]),
+    "p06_seasonal_trends": _u(patterns.seasonal_trends, by=["station_id"]),
+    "p07_usage_pattern_summary": _u(patterns.usage_pattern_summary, by=["station_id"], with_details=False),
+    "p09_location_patterns_state": _us(patterns.location_patterns, level="state"),
+    "p09_location_patterns_city": _us(patterns.location_patterns, level="city"),
 }
