@@ -326,3 +326,116 @@ ORACLE.update({
     "p09_location_patterns_state": q(_p09("state")),
     "p09_location_patterns_city": q(_p09("city")),
 })
+
+# ========================================================= correlations R01–R08
+
+HU = f"""SELECT station_id, date_trunc('hour', session_start) AS hour, COUNT(id) AS session_count,
+          CAST(SUM(energy_consumed_kwh) AS DOUBLE) AS total_energy
+   {_U_OK} GROUP BY 1, 2"""
+
+_WJ = """FROM weather_data w JOIN hu h ON w.station_id = h.station_id
+                                    AND date_trunc('hour', w."timestamp") = h.hour"""
+_TJ = """FROM traffic_data t JOIN hu h ON t.station_id = h.station_id
+                                    AND date_trunc('hour', t."timestamp") = h.hour"""
+_CJ = """FROM weather_data w
+JOIN traffic_data t ON w.station_id = t.station_id
+                   AND date_trunc('hour', w."timestamp") = date_trunc('hour', t."timestamp")
+JOIN hu h ON w.station_id = h.station_id AND date_trunc('hour', w."timestamp") = h.hour"""
+
+
+def _r02(by: str) -> str:
+    sel, grp = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    return f"""SELECT {sel}{CORR('w.temperature_celsius', 'h.session_count')} AS temperature_vs_sessions,
+       {CORR('w.precipitation_mm', 'h.session_count')} AS precipitation_vs_sessions,
+       COUNT(*) AS data_points {_WJ}{grp}"""
+
+
+def _r04(by: str) -> str:
+    sel, grp = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    return f"""SELECT {sel}{CORR('t.traffic_density', 'h.session_count')} AS traffic_density_vs_sessions,
+       {CORR('t.average_speed_kmh', 'h.session_count')} AS average_speed_vs_sessions,
+       COUNT(*) AS data_points {_TJ}{grp}"""
+
+
+def _r06(by: str) -> str:
+    sel, grp = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    return f"""SELECT {sel}{CORR('w.temperature_celsius', 'h.session_count')} AS temperature,
+       {CORR('w.precipitation_mm', 'h.session_count')} AS precipitation,
+       {CORR('t.traffic_density', 'h.session_count')} AS traffic_density,
+       {CORR('t.average_speed_kmh', 'h.session_count')} AS average_speed,
+       COUNT(*) AS data_points {_CJ}{grp}"""
+
+
+def _impact_sql(j: str, col: str, by: str) -> str:
+    part = f"PARTITION BY {by} " if by else ""
+    sel = f"{by}, " if by else ""
+    return f"""SELECT * FROM (
+  SELECT {sel}{col}, mean_sessions,
+         ROW_NUMBER() OVER ({part}ORDER BY mean_sessions DESC, {col}) AS rank
+  FROM (SELECT {sel.replace(by, 'h.' + by) if by else ''}{col}, round(AVG(h.session_count), 6) AS mean_sessions
+        {j} WHERE {col} IS NOT NULL GROUP BY {sel.replace(by, 'h.' + by) if by else ''}{col}))
+WHERE rank <= 3"""
+
+
+def _sent(label: str, c: str, src: str, section: str) -> str:
+    return (f"SELECT '{section}' AS section, printf('{label} shows %s correlation (%.2f) with session count', "
+            f"CASE WHEN {c} > 0 THEN 'positive' ELSE 'negative' END, {c}) AS insight FROM {src} "
+            f"WHERE abs({c}) > 0.3")
+
+
+def _top(src: str, col: str, section: str, prefix: str) -> str:
+    return (f"SELECT '{section}', '{prefix}{{' || string_agg(printf('''%s'': %s', {col}, "
+            f"CAST(mean_sessions AS VARCHAR)), ', ' ORDER BY rank) || '}}' FROM {src} HAVING COUNT(*) > 0")
+
+
+_STRONG = " || ', ' || ".join([])
+R07_BODY = "\nUNION ALL\n".join([
+    _sent("Temperature", "temperature_vs_sessions", "wr", "weather_correlation"),
+    _sent("Precipitation", "precipitation_vs_sessions", "wr", "weather_correlation"),
+    _top("ci", "weather_condition", "weather_correlation", "Weather conditions with highest usage: "),
+    _sent("Traffic density", "traffic_density_vs_sessions", "tr", "traffic_correlation"),
+    _top("gi", "congestion_level", "traffic_correlation", "Congestion levels with highest usage: "),
+    """SELECT 'combined_correlation', 'Strong correlations found: {' || concat_ws(', ',
+         CASE WHEN abs(temperature) > 0.5 THEN '''temperature'': ' || CAST(temperature AS VARCHAR) END,
+         CASE WHEN abs(precipitation) > 0.5 THEN '''precipitation'': ' || CAST(precipitation AS VARCHAR) END,
+         CASE WHEN abs(traffic_density) > 0.5 THEN '''traffic_density'': ' || CAST(traffic_density AS VARCHAR) END,
+         CASE WHEN abs(average_speed) > 0.5 THEN '''average_speed'': ' || CAST(average_speed AS VARCHAR) END)
+       || '}' FROM cr
+       WHERE abs(temperature) > 0.5 OR abs(precipitation) > 0.5 OR abs(traffic_density) > 0.5
+          OR abs(average_speed) > 0.5""",
+])
+
+
+def _long(src: str, section: str, metrics: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{section}' AS section, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {src}" for m in metrics)
+
+
+R08_BODY = "\nUNION ALL\n".join([
+    _long("wr", "weather_correlation", ["temperature_vs_sessions", "precipitation_vs_sessions", "data_points"]),
+    _long("tr", "traffic_correlation", ["traffic_density_vs_sessions", "average_speed_vs_sessions", "data_points"]),
+    _long("cr", "combined_correlation", ["temperature", "precipitation", "traffic_density", "average_speed",
+                                         "data_points"]),
+    "SELECT 'summary', 'weather_data_points', CAST(data_points AS DOUBLE) FROM wr",
+    "SELECT 'summary', 'traffic_data_points', CAST(data_points AS DOUBLE) FROM tr",
+    "SELECT 'summary', 'combined_data_points', CAST(data_points AS DOUBLE) FROM cr",
+])
+
+_CORR_CTES = (("hu", HU), ("wr", _r02("")), ("tr", _r04("")), ("cr", _r06("")),
+              ("ci", _impact_sql(_WJ, "weather_condition", "")),
+              ("gi", _impact_sql(_TJ, "congestion_level", "")))
+
+ORACLE.update({
+    "r01_hourly_usage": q("SELECT * FROM hu", ("hu", HU)),
+    "r02_weather_usage_correlation": q(_r02(""), ("hu", HU)),
+    "r02_weather_usage_correlation_by_station": q(_r02("h.station_id"), ("hu", HU)),
+    "r03_condition_impact": q(_impact_sql(_WJ, "weather_condition", ""), ("hu", HU)),
+    "r03_condition_impact_by_station": q(_impact_sql(_WJ, "weather_condition", "station_id"), ("hu", HU)),
+    "r04_traffic_usage_correlation": q(_r04(""), ("hu", HU)),
+    "r04_traffic_usage_correlation_by_station": q(_r04("h.station_id"), ("hu", HU)),
+    "r05_congestion_impact": q(_impact_sql(_TJ, "congestion_level", ""), ("hu", HU)),
+    "r06_combined_correlation": q(_r06(""), ("hu", HU)),
+    "r06_combined_correlation_by_station": q(_r06("h.station_id"), ("hu", HU)),
+    "r07_correlation_insights": q(R07_BODY, *_CORR_CTES),
+    "r08_correlation_report": q(R08_BODY, *_CORR_CTES),
+})

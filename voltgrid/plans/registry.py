@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltgrid.operators import correlations as corr
 from voltgrid.operators import patterns, views
 from voltgrid.functions.output import finish
 from voltgrid.sources.testdata import test_tables
@@ -36,6 +37,16 @@ def _us(op, **kw) -> Query:
     return run
 
 
+def _wtu(op, *sides: str, **kw) -> Query:
+    """Operator over named canonical tables, e.g. ('weather', 'usage')."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = test_tables(spark, sf_dir)
+        return finish(op(*[getattr(t, s) for s in sides], **kw))
+    run.__name__ = getattr(op, "__name__", "query")
+    run.__doc__ = op.__doc__
+    return run
+
+
 def _t(op, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return finish(op(test_tables(spark, sf_dir), **kw))
@@ -68,4 +79,19 @@ QUERIES: dict[str, Query] = {
     "p07_usage_pattern_summary": _u(patterns.usage_pattern_summary, by=["station_id"], with_details=False),
     "p09_location_patterns_state": _us(patterns.location_patterns, level="state"),
     "p09_location_patterns_city": _us(patterns.location_patterns, level="city"),
+    "r01_hourly_usage": _wtu(corr.hourly_usage, "usage"),
+    "r02_weather_usage_correlation": _wtu(corr.weather_usage_correlation, "weather", "usage"),
+    "r02_weather_usage_correlation_by_station": _wtu(corr.weather_usage_correlation, "weather", "usage",
+                                                     by=["station_id"]),
+    "r03_condition_impact": _wtu(corr.condition_impact, "weather", "usage"),
+    "r03_condition_impact_by_station": _wtu(corr.condition_impact, "weather", "usage", by=["station_id"]),
+    "r04_traffic_usage_correlation": _wtu(corr.traffic_usage_correlation, "traffic", "usage"),
+    "r04_traffic_usage_correlation_by_station": _wtu(corr.traffic_usage_correlation, "traffic", "usage",
+                                                     by=["station_id"]),
+    "r05_congestion_impact": _wtu(corr.congestion_impact, "traffic", "usage"),
+    "r06_combined_correlation": _wtu(corr.combined_correlation, "weather", "traffic", "usage"),
+    "r06_combined_correlation_by_station": _wtu(corr.combined_correlation, "weather", "traffic", "usage",
+                                                by=["station_id"]),
+    "r07_correlation_insights": _wtu(corr.correlation_insights, "weather", "traffic", "usage"),
+    "r08_correlation_report": _wtu(corr.correlation_report, "weather", "traffic", "usage"),
 }
