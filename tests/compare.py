@@ -28,8 +28,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None or v is pd.NaT:
+    if v is None or v is pd.NaT or v is pd.NA:
         return None
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, int):
+        v = float(v)
     if isinstance(v, float):
         if math.isnan(v):
             return None

@@ -439,3 +439,176 @@ ORACLE.update({
     "r07_correlation_insights": q(R07_BODY, *_CORR_CTES),
     "r08_correlation_report": q(R08_BODY, *_CORR_CTES),
 })
+
+# ============================================================ insights B01–B18
+
+def HALF(num: str, den: str, places: int) -> str:
+    """Half-up decimal text of num/den from integer arithmetic."""
+    scale = 10 ** places
+    qv = f"CAST(floor((2 * ({num}) * {scale} + ({den})) / (2 * ({den}))) AS BIGINT)"
+    return f"(CAST({qv} // {scale} AS VARCHAR) || '.' || lpad(CAST({qv} % {scale} AS VARCHAR), {places}, '0'))"
+
+
+ST = ("st", """SELECT station_id, COUNT(*) AS sessions, COALESCE(SUM(cost), 0) AS revenue
+               FROM usage_data WHERE station_id IS NOT NULL GROUP BY station_id""")
+PP = ("pp", """SELECT station_id, COUNT(*) AS points FROM charging_points
+               WHERE station_id IS NOT NULL GROUP BY station_id""")
+
+B01_BODY = """
+SELECT s.n AS total_stations, p.n AS total_charging_points, u.n AS total_sessions,
+       COALESCE(round(CAST(p.n AS DOUBLE) / NULLIF(s.n, 0), 6), 0) AS avg_points_per_station
+FROM (SELECT COUNT(*) AS n FROM charging_stations) s, (SELECT COUNT(*) AS n FROM charging_points) p,
+     (SELECT COUNT(*) AS n FROM usage_data) u"""
+
+
+def _b02(dim: str) -> str:
+    return f"SELECT {dim}, COUNT(*) AS station_count FROM charging_stations WHERE {dim} IS NOT NULL GROUP BY {dim}"
+
+
+B03_BODY = f"""
+SELECT COUNT(*) AS total_sessions, COALESCE({D('energy_consumed_kwh')}, 0) AS total_energy_kwh,
+       round(COALESCE({D('energy_consumed_kwh')}, 0) / CAST(COUNT(*) AS DOUBLE), 6) AS avg_energy_per_session_kwh,
+       {M('duration_minutes')} AS avg_duration_minutes, COALESCE({D('cost')}, 0) AS total_revenue,
+       round(COALESCE({D('cost')}, 0) / CAST(COUNT(*) AS DOUBLE), 6) AS avg_cost_per_session,
+       COUNT(DISTINCT station_id) AS active_stations,
+       COALESCE(round(CAST(COUNT(DISTINCT station_id) AS DOUBLE) * 100.0
+                      / CAST(NULLIF((SELECT COUNT(*) FROM charging_stations), 0) AS DOUBLE), 6), 0)
+           AS utilization_rate_percent
+FROM usage_data HAVING COUNT(*) > 0"""
+
+
+def _low_list(value: str, type_: str, text: str) -> str:
+    return f"""
+SELECT '{type_}' AS type, 'medium' AS priority, printf('{text}', COUNT(*)) AS recommendation,
+       COUNT(*) AS n_stations,
+       CAST(to_json(list_slice(list(station_id ORDER BY station_id), 1, 10)) AS VARCHAR) AS affected_stations
+FROM st WHERE CAST({value} AS DOUBLE) < (SELECT quantile_cont(CAST({value} AS DOUBLE), 0.25) FROM st)
+HAVING COUNT(*) > 0"""
+
+
+B04_BODY = _low_list("sessions", "underutilized_stations", "%d stations have low usage. Consider marketing or relocation.")
+B06_BODY = _low_list("revenue", "pricing_optimization", "%d stations have low revenue. Review pricing strategy.")
+
+B05_BODY = """
+SELECT 'capacity_expansion' AS type, 'high' AS priority,
+       printf('Station %s has high demand but only %d charging points. Consider expansion.',
+              hi.station_id, COALESCE(pp.points, 0)) AS recommendation,
+       hi.station_id, COALESCE(pp.points, 0) AS points
+FROM (SELECT station_id FROM st WHERE sessions > (SELECT quantile_cont(sessions, 0.75) FROM st)
+      ORDER BY station_id LIMIT 5) hi
+LEFT JOIN pp ON hi.station_id = pp.station_id
+WHERE COALESCE(pp.points, 0) < 4 AND (SELECT COUNT(*) FROM charging_points) > 0"""
+
+B07_BODY = """
+SELECT state, station_count FROM (SELECT state, COUNT(*) AS station_count FROM charging_stations
+                                  WHERE state IS NOT NULL GROUP BY state) g
+WHERE station_count < (SELECT quantile_cont(station_count, 0.25) FROM (
+        SELECT COUNT(*) AS station_count FROM charging_stations WHERE state IS NOT NULL GROUP BY state))"""
+
+B08_BODY = f"""
+SELECT type, priority, recommendation, CAST(NULL AS VARCHAR) AS station_id, affected_stations AS affected
+FROM ({B04_BODY})
+UNION ALL
+SELECT type, priority, recommendation, station_id, CAST(NULL AS VARCHAR) FROM ({B05_BODY})
+UNION ALL
+SELECT type, priority, recommendation, NULL, affected_stations FROM ({B06_BODY})
+UNION ALL
+SELECT 'geographic_expansion', 'low',
+       'Consider expanding to states with low coverage: [' || string_agg('''' || state || '''', ', ' ORDER BY state) || ']',
+       NULL, CAST(to_json(list(state ORDER BY state)) AS VARCHAR)
+FROM ({B07_BODY}) HAVING COUNT(*) > 0
+UNION ALL
+SELECT 'data_collection', 'high', 'Collect more usage data to generate insights', NULL, NULL
+WHERE (SELECT COUNT(*) FROM usage_data) = 0"""
+
+B09_BODY = f"""SELECT COALESCE({D('cost')}, 0) AS total_revenue, {M('cost')} AS avg_revenue_per_session
+FROM usage_data HAVING COUNT(*) > 0"""
+
+B10_BODY = f"""
+SELECT station_id, revenue, rank FROM (
+  SELECT station_id, COALESCE({D('cost')}, 0) AS revenue,
+         ROW_NUMBER() OVER (ORDER BY COALESCE(SUM(cost), 0) DESC, station_id) AS rank
+  FROM usage_data WHERE station_id IS NOT NULL GROUP BY station_id) WHERE rank <= 10"""
+
+DAILY = ("daily", f"""SELECT CAST(session_start AS DATE) AS date, COALESCE({D('cost')}, 0) AS revenue
+           FROM usage_data WHERE session_start IS NOT NULL GROUP BY 1""")
+B11D_BODY = "SELECT CAST(date AS TIMESTAMP) AS date, revenue FROM daily"
+B11T_BODY = """
+SELECT COUNT(*) AS days, arg_min(revenue, date) AS first_revenue, arg_max(revenue, date) AS last_revenue,
+       CASE WHEN COUNT(*) > 1 AND arg_max(revenue, date) > arg_min(revenue, date) THEN 'increasing'
+            ELSE 'stable' END AS trend
+FROM daily HAVING COUNT(*) > 0"""
+
+B12_BODY = f"""
+SELECT COUNT(*) AS total_charging_points,
+       (SELECT round(AVG(points), 6) FROM pp) AS avg_points_per_station,
+       COALESCE({D('power_kw')}, 0) AS total_power_capacity_kw, {M('power_kw')} AS avg_power_per_point_kw
+FROM charging_points HAVING COUNT(*) > 0"""
+
+B13_BODY = """
+SELECT pp.station_id, COALESCE(st.sessions, 0) AS sessions, pp.points,
+       round(COALESCE(st.sessions, 0) / pp.points, 6) AS utilization_ratio
+FROM pp LEFT JOIN st ON pp.station_id = st.station_id"""
+
+B15_BODY = f"""
+SELECT station_id, COUNT(*) AS total_sessions, COALESCE({D('energy_consumed_kwh')}, 0) AS total_energy_kwh,
+       {M('duration_minutes')} AS avg_duration_minutes, COALESCE({D('cost')}, 0) AS total_revenue
+FROM usage_data WHERE station_id IS NOT NULL GROUP BY station_id"""
+
+B16_BODY = f"""
+SELECT station_id, COUNT(*) AS total_points, COALESCE({D('power_kw')}, 0) AS total_power_kw,
+       {M('power_kw')} AS avg_power_kw
+FROM charging_points WHERE station_id IS NOT NULL GROUP BY station_id"""
+
+B17_S = ("s17", """
+SELECT cs.id AS station_id, COALESCE(u.sessions, 0) AS sessions, pp.points, u.cost_sum, u.cost_n
+FROM charging_stations cs
+LEFT JOIN (SELECT station_id, COUNT(*) AS sessions, SUM(cost) AS cost_sum, COUNT(cost) AS cost_n
+           FROM usage_data GROUP BY station_id) u ON cs.id = u.station_id
+LEFT JOIN pp ON cs.id = pp.station_id""")
+
+B17_BODY = f"""
+SELECT station_id, 'data_collection' AS type, 'high' AS priority,
+       'Collect more usage data to generate insights' AS recommendation FROM s17 WHERE sessions = 0
+UNION ALL
+SELECT station_id, 'capacity', 'high',
+       'High utilization (' || {HALF('sessions', 'points', 1)} || ' sessions/point). Consider adding more charging points.'
+FROM s17 WHERE sessions > 0 AND points > 0 AND sessions > 50 * points
+UNION ALL
+SELECT station_id, 'pricing', 'medium',
+       'Low average revenue per session ($' || {HALF('CAST(cost_sum * 100 AS BIGINT)', 'cost_n * 100', 2)}
+       || '). Review pricing strategy.'
+FROM s17 WHERE sessions > 0 AND cost_n > 0 AND cost_sum < 10 * cost_n"""
+
+B18_BODY = f"""
+SELECT s.id AS station_id, s.name, s.city, s.state, s.operator,
+       COALESCE(us.total_sessions, 0) AS total_sessions, us.total_energy_kwh, us.avg_duration_minutes,
+       us.total_revenue, COALESCE(cap.total_points, 0) AS total_points, cap.total_power_kw, cap.avg_power_kw, r.recommendation_types
+FROM charging_stations s
+LEFT JOIN ({B15_BODY}) us ON s.id = us.station_id
+LEFT JOIN ({B16_BODY}) cap ON s.id = cap.station_id
+LEFT JOIN (SELECT station_id, string_agg(type, ',' ORDER BY type) AS recommendation_types
+           FROM ({B17_BODY}) GROUP BY station_id) r ON s.id = r.station_id"""
+
+ORACLE.update({
+    "b01_network_overview": q(B01_BODY),
+    "b02_stations_by_state": q(_b02("state")),
+    "b02_stations_by_city": q(_b02("city")),
+    "b02_stations_by_operator": q(_b02("operator")),
+    "b03_performance_metrics": q(B03_BODY),
+    "b04_underutilized_stations": q(B04_BODY, ST),
+    "b05_capacity_expansion": q(B05_BODY, ST, PP),
+    "b06_pricing_optimization": q(B06_BODY, ST),
+    "b07_geographic_gaps": q(B07_BODY),
+    "b08_network_recommendations": q(B08_BODY, ST, PP),
+    "b09_revenue_summary": q(B09_BODY),
+    "b10_top_revenue_stations": q(B10_BODY),
+    "b11_daily_revenue": q(B11D_BODY, DAILY),
+    "b11_revenue_trend": q(B11T_BODY, DAILY),
+    "b12_capacity_summary": q(B12_BODY, PP),
+    "b13_station_utilization": q(B13_BODY, ST, PP),
+    "b15_station_usage_stats": q(B15_BODY),
+    "b16_station_capacity": q(B16_BODY),
+    "b17_station_recommendations": q(B17_BODY, PP, B17_S),
+    "b18_station_insights": q(B18_BODY, PP, B17_S),
+})

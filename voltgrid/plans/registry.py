@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voltgrid.operators import correlations as corr
+from voltgrid.operators import insights as bi
 from voltgrid.operators import patterns, views
 from voltgrid.functions.output import finish
 from voltgrid.sources.testdata import test_tables
@@ -94,4 +95,24 @@ QUERIES: dict[str, Query] = {
                                                 by=["station_id"]),
     "r07_correlation_insights": _wtu(corr.correlation_insights, "weather", "traffic", "usage"),
     "r08_correlation_report": _wtu(corr.correlation_report, "weather", "traffic", "usage"),
+    "b01_network_overview": _wtu(bi.network_overview, "stations", "usage", "points"),
+    "b02_stations_by_state": _wtu(bi.stations_by, "stations", dim="state"),
+    "b02_stations_by_city": _wtu(bi.stations_by, "stations", dim="city"),
+    "b02_stations_by_operator": _wtu(bi.stations_by, "stations", dim="operator"),
+    "b03_performance_metrics": _wtu(bi.performance_metrics, "stations", "usage"),
+    "b04_underutilized_stations": _wtu(bi.underutilized_stations, "usage"),
+    "b05_capacity_expansion": _wtu(bi.capacity_expansion, "usage", "points"),
+    "b06_pricing_optimization": _wtu(bi.pricing_optimization, "usage"),
+    "b07_geographic_gaps": _wtu(bi.geographic_gaps, "stations"),
+    "b08_network_recommendations": _wtu(bi.network_recommendations, "stations", "usage", "points"),
+    "b09_revenue_summary": _wtu(bi.revenue_summary, "usage"),
+    "b10_top_revenue_stations": _wtu(bi.top_revenue_stations, "usage"),
+    "b11_daily_revenue": _wtu(bi.daily_revenue, "usage"),
+    "b11_revenue_trend": _wtu(bi.revenue_trend, "usage"),
+    "b12_capacity_summary": _wtu(bi.capacity_summary, "points"),
+    "b13_station_utilization": _wtu(bi.station_utilization, "points", "usage"),
+    "b15_station_usage_stats": _wtu(bi.station_usage_stats, "usage"),
+    "b16_station_capacity": _wtu(bi.station_capacity, "points"),
+    "b17_station_recommendations": _wtu(bi.station_recommendations, "stations", "usage", "points"),
+    "b18_station_insights": _wtu(bi.station_insights, "stations", "usage", "points"),
 }
