@@ -612,3 +612,212 @@ ORACLE.update({
     "b17_station_recommendations": q(B17_BODY, PP, B17_S),
     "b18_station_insights": q(B18_BODY, PP, B17_S),
 })
+
+# ============================================ cleaning, sinks, derived, features
+
+def _truthy(c: str, text: bool = True) -> str:
+    return f"({c} IS NOT NULL AND {c} <> '')" if text else f"({c} IS NOT NULL AND CAST({c} AS DOUBLE) <> 0)"
+
+
+def _txt(c: str, n: int, default: str = "") -> str:
+    return f"COALESCE(substring(trim({c}), 1, {n}), '{default}')"
+
+
+def _rng(c: str, lo, hi) -> str:
+    return f"CASE WHEN TRY_CAST({c} AS DOUBLE) BETWEEN {lo} AND {hi} THEN CAST({c} AS DOUBLE) END"
+
+
+C01_BODY = f"""
+SELECT trim(CAST(id AS VARCHAR)) AS id, {_txt('name', 500)} AS name,
+       CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+       {_txt('address', 1000)} AS address, {_txt('city', 255)} AS city, {_txt('state', 255)} AS state,
+       {_txt('country', 255)} AS country, {_txt('operator', 255)} AS operator, {_txt('network', 255)} AS network,
+       {_txt('status', 50, 'Unknown')} AS status, {_txt('access_type', 100)} AS access_type,
+       {_txt('pricing_info', 1000)} AS pricing_info, {_txt('amenities', 1000)} AS amenities,
+       {AS_OF} AS created_at, {AS_OF} AS updated_at
+FROM charging_stations
+WHERE {_truthy('id')} AND {_truthy('latitude', False)} AND {_truthy('longitude', False)}
+  AND CAST(latitude AS DOUBLE) BETWEEN -90 AND 90 AND CAST(longitude AS DOUBLE) BETWEEN -180 AND 180"""
+
+C02_BODY = f"""
+SELECT id, trim(station_id) AS station_id, "timestamp",
+       {_rng('temperature_celsius', -50, 60)} AS temperature_celsius,
+       {_rng('precipitation_mm', 0, 1000)} AS precipitation_mm,
+       {_txt('weather_condition', 100)} AS weather_condition, {AS_OF} AS created_at
+FROM weather_data WHERE "timestamp" IS NOT NULL AND {_truthy('station_id')}"""
+
+C03_BODY = f"""
+SELECT id, trim(station_id) AS station_id, "timestamp",
+       {_rng('traffic_density', 0, 1000)} AS traffic_density,
+       {_rng('average_speed_kmh', 0, 200)} AS average_speed_kmh,
+       {_txt('congestion_level', 50, 'unknown')} AS congestion_level,
+       {_txt('road_type', 100, 'highway')} AS road_type, {AS_OF} AS created_at
+FROM traffic_data WHERE "timestamp" IS NOT NULL AND {_truthy('station_id')}"""
+
+C05_BODY = "SELECT id, name FROM charging_stations ORDER BY id LIMIT 50"
+
+C06_BODY = f"""
+SELECT 'weather' AS dataset, r.n AS raw_records, c.n AS clean_records, r.n - c.n AS rejected_records,
+       printf('Cleaned %d out of %d weather records', c.n, r.n) AS message
+FROM (SELECT COUNT(*) AS n FROM weather_data) r, (SELECT COUNT(*) AS n FROM ({C02_BODY})) c"""
+
+K01_BODY = """
+SELECT id, station_id, session_start, CAST(energy_consumed_kwh AS DOUBLE) AS energy_consumed_kwh,
+       CAST(duration_minutes AS BIGINT) AS duration_minutes, CAST(cost AS DOUBLE) AS cost, user_type
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY station_id ORDER BY session_start DESC, id DESC) AS rn
+      FROM usage_data) WHERE rn = 1"""
+
+K12P_BODY = """
+SELECT p.id, p.station_id, p.connector_type, CAST(p.power_kw AS DOUBLE) AS power_kw FROM charging_points p
+WHERE NOT EXISTS (SELECT 1 FROM charging_stations s WHERE s.id = p.station_id)"""
+
+K12U_BODY = """
+SELECT u.id, u.station_id, u.session_start FROM usage_data u
+WHERE NOT EXISTS (SELECT 1 FROM charging_stations s WHERE s.id = u.station_id)"""
+
+ENERGY = ("energy", f"""
+SELECT c.station_id, c.date, COALESCE(SUM(c.e), 0) AS total_energy_kwh,
+       COALESCE(SUM(CASE WHEN pk.hour IS NOT NULL THEN c.e END), 0) AS peak_hour_energy,
+       COALESCE(SUM(c.e), 0) - COALESCE(SUM(CASE WHEN pk.hour IS NOT NULL THEN c.e END), 0) AS off_peak_energy,
+       SUM(c.n) AS session_count,
+       CAST(round(CAST(SUM(c.d) AS DOUBLE) / SUM(c.dn)) AS BIGINT) AS avg_session_duration
+FROM (SELECT station_id, CAST(session_start AS DATE) AS date, EXTRACT(HOUR FROM session_start) AS hour,
+             SUM(energy_consumed_kwh) AS e, COUNT(*) AS n, SUM(duration_minutes) AS d,
+             COUNT(duration_minutes) AS dn
+      {_U_OK} GROUP BY 1, 2, 3) c
+LEFT JOIN ({P01_BODY}) pk ON c.station_id = pk.station_id AND c.hour = pk.hour
+GROUP BY c.station_id, c.date""")
+
+D01_BODY = """
+SELECT station_id, CAST(date AS TIMESTAMP) AS date, CAST(total_energy_kwh AS DOUBLE) AS total_energy_kwh,
+       CAST(peak_hour_energy AS DOUBLE) AS peak_hour_energy, CAST(off_peak_energy AS DOUBLE) AS off_peak_energy,
+       session_count, avg_session_duration
+FROM energy"""
+
+V05_BODY = """
+SELECT ec.station_id, cs.name AS station_name, cs.city, cs.state, CAST(ec.date AS TIMESTAMP) AS date,
+       CAST(EXTRACT(DOW FROM ec.date) AS BIGINT) AS day_of_week, EXTRACT(DOW FROM ec.date) IN (0, 6) AS is_weekend,
+       CAST(ec.total_energy_kwh AS DOUBLE) AS total_energy_kwh, CAST(ec.peak_hour_energy AS DOUBLE) AS peak_hour_energy,
+       CAST(ec.off_peak_energy AS DOUBLE) AS off_peak_energy, ec.session_count, ec.avg_session_duration,
+       round(CAST(ec.total_energy_kwh AS DOUBLE) / CAST(NULLIF(ec.session_count, 0) AS DOUBLE), 6) AS energy_per_session
+FROM energy ec JOIN charging_stations cs ON ec.station_id = cs.id"""
+
+D02_BODY = """
+SELECT data_source AS service, CASE WHEN data_source = '1-URGENT' THEN 'month' ELSE 'day' END AS period,
+       CASE WHEN data_source = '1-URGENT' THEN date_trunc('month', started_at)
+            ELSE date_trunc('day', started_at) END AS period_start,
+       COUNT(*) AS calls, CAST(1000 AS BIGINT) AS quota_limit, 1000 - COUNT(*) AS remaining,
+       COUNT(*) < 1000 AS can_use
+FROM data_collection_log WHERE data_source IS NOT NULL AND started_at IS NOT NULL GROUP BY 1, 2, 3"""
+
+D04_BODY = """
+SELECT data_source, COUNT(*) AS runs, COUNT(*) FILTER (WHERE status = 'success') AS successful_runs,
+       round(COUNT(*) FILTER (WHERE status = 'success') / COUNT(*), 6) AS success_rate,
+       COALESCE(SUM(records_collected), 0) AS records_collected, MAX(started_at) AS last_run
+FROM data_collection_log GROUP BY data_source"""
+
+_HAV = ("2 * 6371.0 * asin(least(sqrt(pow(sin((radians(CAST(latitude AS DOUBLE)) - radians(0.0)) / 2), 2) + "
+        "cos(radians(0.0)) * cos(radians(CAST(latitude AS DOUBLE))) * "
+        "pow(sin((radians(CAST(longitude AS DOUBLE)) - radians(0.0)) / 2), 2)), 1.0))")
+D05_BODY = f"""
+SELECT id, name, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+       round({_HAV}, 6) AS distance_km
+FROM charging_stations WHERE round({_HAV}, 6) <= 5000"""
+
+_W_SIDE = """SELECT station_id, COUNT(*) AS w_rows,
+       COUNT(*) FILTER (WHERE COALESCE(regexp_matches(weather_condition, '(?i)storm|rain|snow'), FALSE)) AS w_srs,
+       bool_or(COALESCE(regexp_matches(weather_condition, '(?i)storm|thunder'), FALSE)) AS w_storm,
+       SUM(CAST(temperature_celsius AS DOUBLE)) AS w_temp_sum, COUNT(temperature_celsius) AS w_temp_n,
+       SUM(temperature_celsius) AS w_temp_exact
+FROM weather_data GROUP BY station_id"""
+_T_SIDE = """SELECT station_id, COUNT(*) AS t_rows, SUM(CAST(traffic_density AS DOUBLE)) AS t_dsum,
+       COUNT(traffic_density) AS t_dn, bool_or(COALESCE(congestion_level = 'severe', FALSE)) AS t_sev,
+       bool_or(COALESCE(congestion_level = 'moderate', FALSE)) AS t_mod
+FROM traffic_data GROUP BY station_id"""
+_WAIT = """CASE WHEN COALESCE(t.t_rows, 0) = 0 THEN 0.0 WHEN t.t_sev THEN 45.0 WHEN t.t_mod THEN 20.0 ELSE 5.0 END"""
+_CAL = f"""{AS_OF} AS date, CAST(0 AS BIGINT) AS hour_of_day, CAST(3 AS BIGINT) AS day_of_week,
+       FALSE AS is_weekend, FALSE AS is_holiday"""
+
+F01_BODY = f"""
+SELECT s.id AS station_id, {_CAL},
+       CAST(CAST(CASE WHEN COALESCE(w.w_rows, 0) > 0 THEN w.w_srs * 30.0 ELSE 0 END AS DECIMAL(8,2)) AS DOUBLE)
+           AS avg_downtime_minutes,
+       CAST(CAST(CASE WHEN COALESCE(w.w_rows, 0) > 0 AND COALESCE(t.t_rows, 0) > 0
+                      THEN (w.w_temp_sum / w.w_temp_n) / greatest(t.t_dsum / t.t_dn, 1.0) ELSE 0 END
+                 AS DECIMAL(10,3)) AS DOUBLE) AS energy_consumption_per_traffic,
+       COALESCE(w.w_storm, FALSE) AS usage_spike_during_storm,
+       CAST(COALESCE(w.w_rows, 0) AS BIGINT) AS peak_usage_hours,
+       CAST(CAST({_WAIT} AS DECIMAL(8,2)) AS DOUBLE) AS avg_wait_time_minutes,
+       CAST(COALESCE(w.w_rows, 0) AS BIGINT) AS total_sessions,
+       CAST(CAST(COALESCE(w.w_temp_exact * 0.1, 0) AS DECIMAL(10,3)) AS DOUBLE) AS total_energy_kwh,
+       {AS_OF} AS created_at
+FROM charging_stations s
+LEFT JOIN ({_W_SIDE}) w ON s.id = w.station_id
+LEFT JOIN ({_T_SIDE}) t ON s.id = t.station_id
+WHERE s.id IS NOT NULL AND s.id <> ''"""
+
+F02_BODY = f"""
+SELECT s.id AS station_id, {_CAL},
+       CAST(CAST(CASE WHEN COALESCE(w.w_rows, 0) > 0 THEN w.w_srs * 30.0 ELSE 0 END AS DECIMAL(8,2)) AS DOUBLE)
+           AS avg_downtime_minutes,
+       CAST(CAST(CASE WHEN COALESCE(t.t_rows, 0) > 0
+                      THEN COALESCE(tot.e_avg / greatest(t.t_dsum / t.t_dn, 1.0), 0) ELSE 0 END
+                 AS DECIMAL(10,3)) AS DOUBLE) AS energy_consumption_per_traffic,
+       COALESCE(st.mean_storm > st.mean_hour, FALSE) AS usage_spike_during_storm,
+       CAST(COALESCE(bh.h, 0) AS BIGINT) AS peak_usage_hours,
+       CAST(CAST({_WAIT} AS DECIMAL(8,2)) AS DOUBLE) AS avg_wait_time_minutes,
+       CAST(COALESCE(tot.n, 0) AS BIGINT) AS total_sessions,
+       CAST(COALESCE(tot.e, 0) AS DOUBLE) AS total_energy_kwh,
+       {AS_OF} AS created_at
+FROM charging_stations s
+LEFT JOIN (SELECT station_id, COUNT(*) AS n, SUM(energy_consumed_kwh) AS e,
+                  AVG(CAST(energy_consumed_kwh AS DOUBLE)) AS e_avg
+           {_U_OK} GROUP BY station_id) tot ON s.id = tot.station_id
+LEFT JOIN (SELECT station_id, h FROM (
+             SELECT station_id, h, ROW_NUMBER() OVER (PARTITION BY station_id ORDER BY n DESC, h) AS rn
+             FROM (SELECT station_id, EXTRACT(HOUR FROM session_start) AS h, COUNT(*) AS n
+                   {_U_OK} GROUP BY 1, 2)) WHERE rn = 1) bh ON s.id = bh.station_id
+LEFT JOIN (SELECT c.station_id, AVG(c.n) AS mean_hour,
+                  AVG(CASE WHEN sh.station_id IS NOT NULL THEN c.n END) AS mean_storm
+           FROM (SELECT station_id, date_trunc('hour', session_start) AS hour, COUNT(*) AS n
+                 {_U_OK} GROUP BY 1, 2) c
+           LEFT JOIN (SELECT DISTINCT station_id, date_trunc('hour', "timestamp") AS hour FROM weather_data
+                      WHERE regexp_matches(weather_condition, '(?i)storm|thunder')) sh
+                  ON c.station_id = sh.station_id AND c.hour = sh.hour
+           GROUP BY c.station_id) st ON s.id = st.station_id
+LEFT JOIN ({_W_SIDE}) w ON s.id = w.station_id
+LEFT JOIN ({_T_SIDE}) t ON s.id = t.station_id
+WHERE s.id IS NOT NULL"""
+
+_FEATS = ["avg_downtime_minutes", "energy_consumption_per_traffic", "avg_wait_time_minutes", "total_sessions",
+          "total_energy_kwh"]
+_ZS = ", ".join(f"abs(CASE WHEN st.s{i} > 0 THEN (x.x{i} - st.m{i}) / st.s{i} ELSE 0 END)" for i in range(5))
+A02_CTES = (
+    ("x", f"""SELECT station_id, {", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS x{i}" for i, c in enumerate(_FEATS))}
+           FROM ({F02_BODY})"""),
+    ("st", f"""SELECT {", ".join(f"AVG(x{i}) AS m{i}, STDDEV_SAMP(x{i}) AS s{i}" for i in range(5))} FROM x"""),
+    ("z", f"SELECT x.station_id, greatest({_ZS}) AS score FROM x, st"))
+A02_BODY = f"""
+SELECT station_id, 'usage_pattern' AS anomaly_type, CAST(CAST(score AS DECIMAL(5,3)) AS DOUBLE) AS severity_score,
+       {AS_OF} AS detected_at, printf('Unusual usage pattern detected with score: %.3f', score) AS description,
+       FALSE AS is_resolved, {AS_OF} AS created_at
+FROM z WHERE score > 2"""
+
+ORACLE.update({
+    "c01_clean_stations": q(C01_BODY),
+    "c02_clean_weather": q(C02_BODY),
+    "c03_clean_traffic": q(C03_BODY),
+    "c05_limit_stations": q(C05_BODY),
+    "c06_reject_report": q(C06_BODY),
+    "k01_latest_session_per_station": q(K01_BODY),
+    "k12_orphan_points": q(K12P_BODY),
+    "k12_orphan_sessions": q(K12U_BODY),
+    "d01_energy_consumption": q(D01_BODY, ENERGY),
+    "v05_energy_trends": q(V05_BODY, ENERGY),
+    "d02_quota_usage": q(D02_BODY),
+    "d04_collection_success_rate": q(D04_BODY),
+    "d05_stations_within": q(D05_BODY),
+    "f01_engineer_features": q(F01_BODY),
+    "f02_usage_features": q(F02_BODY),
+    "a02_zscore_anomalies": q(A02_BODY, *A02_CTES),
+})

@@ -9,9 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voltgrid.operators import correlations as corr
+from voltgrid.operators import anomalies, cleaning, derived, features
 from voltgrid.operators import insights as bi
 from voltgrid.operators import patterns, views
 from voltgrid.functions.output import finish
+from voltgrid.sinks.tables import latest_by_key, orphans
 from voltgrid.sources.testdata import test_tables
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -48,6 +50,15 @@ def _wtu(op, *sides: str, **kw) -> Query:
     return run
 
 
+def _q(build) -> Query:
+    """Query from a function of the canonical tables."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(build(test_tables(spark, sf_dir)))
+    run.__name__ = getattr(build, "__name__", "query")
+    run.__doc__ = build.__doc__
+    return run
+
+
 def _t(op, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return finish(op(test_tables(spark, sf_dir), **kw))
@@ -115,4 +126,32 @@ QUERIES: dict[str, Query] = {
     "b16_station_capacity": _wtu(bi.station_capacity, "points"),
     "b17_station_recommendations": _wtu(bi.station_recommendations, "stations", "usage", "points"),
     "b18_station_insights": _wtu(bi.station_insights, "stations", "usage", "points"),
+    "c01_clean_stations": _q(lambda t: cleaning.clean_stations(t.stations, AS_OF)),
+    "c02_clean_weather": _q(lambda t: cleaning.clean_weather(t.weather, AS_OF).select(
+        "id", "station_id", "timestamp", "temperature_celsius", "precipitation_mm", "weather_condition",
+        "created_at")),
+    "c03_clean_traffic": _q(lambda t: cleaning.clean_traffic(t.traffic, AS_OF).select(
+        "id", "station_id", "timestamp", "traffic_density", "average_speed_kmh", "congestion_level",
+        "road_type", "created_at")),
+    "c05_limit_stations": _q(lambda t: cleaning.limit_stations(t.stations, 50).select("id", "name")),
+    "c06_reject_report": _q(lambda t: cleaning.reject_report(
+        t.weather, cleaning.clean_weather(t.weather, AS_OF), "weather")),
+    "k01_latest_session_per_station": _q(lambda t: latest_by_key(
+        t.usage, ["station_id"], ["session_start", "id"]).select(
+        "id", "station_id", "session_start", "energy_consumed_kwh", "duration_minutes", "cost", "user_type")),
+    "k12_orphan_points": _q(lambda t: orphans(t.points, t.stations).select(
+        "id", "station_id", "connector_type", "power_kw")),
+    "k12_orphan_sessions": _q(lambda t: orphans(t.usage, t.stations).select("id", "station_id", "session_start")),
+    "d01_energy_consumption": _q(lambda t: derived.energy_consumption_daily(t.usage).drop("id", "created_at")),
+    "v05_energy_trends": _t(views.energy_trends),
+    "d02_quota_usage": _q(lambda t: derived.quota_usage(t.log, {"1-URGENT": ("month", 1000)})),
+    "d04_collection_success_rate": _q(lambda t: derived.collection_success_rate(t.log)),
+    "d05_stations_within": _q(lambda t: derived.stations_within(t.stations, 0.0, 0.0, 5000.0).select(
+        "id", "name", "latitude", "longitude", "distance_km")),
+    "f01_engineer_features": _q(lambda t: features.engineer_features(
+        t.stations, t.weather, t.traffic, AS_OF).drop("id")),
+    "f02_usage_features": _q(lambda t: features.usage_features(
+        t.stations, t.usage, t.weather, t.traffic, AS_OF).drop("id")),
+    "a02_zscore_anomalies": _q(lambda t: anomalies.zscore_anomalies(
+        features.usage_features(t.stations, t.usage, t.weather, t.traffic, AS_OF), AS_OF).drop("id", "resolved_at")),
 }
