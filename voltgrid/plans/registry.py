@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voltgrid.operators import correlations as corr
 from voltgrid.operators import anomalies, cleaning, derived, features
+from voltgrid.operators import isolation_forest
 from voltgrid.operators import insights as bi
 from voltgrid.operators import patterns, views
 from voltgrid.functions.output import finish
@@ -154,4 +155,8 @@ QUERIES: dict[str, Query] = {
         t.stations, t.usage, t.weather, t.traffic, AS_OF).drop("id")),
     "a02_zscore_anomalies": _q(lambda t: anomalies.zscore_anomalies(
         features.usage_features(t.stations, t.usage, t.weather, t.traffic, AS_OF), AS_OF).drop("id", "resolved_at")),
+    # isolation forest: no SQL oracle (randomised model) — rows-only check here,
+    # invariants in tests/test_isolation_forest.py
+    "a01_isolation_forest_anomalies": _q(lambda t: isolation_forest.detect_anomalies(
+        features.usage_features(t.stations, t.usage, t.weather, t.traffic, AS_OF), AS_OF).drop("id", "resolved_at")),
 }
