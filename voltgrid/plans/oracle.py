@@ -821,3 +821,56 @@ ORACLE.update({
     "f02_usage_features": q(F02_BODY),
     "a02_zscore_anomalies": q(A02_BODY, *A02_CTES),
 })
+
+# ============================================== landing-zone documents S01–S09
+
+S01_BODY = """
+SELECT id, COALESCE(name, '') AS name, COALESCE(CAST(latitude AS DOUBLE), 0) AS latitude,
+       COALESCE(CAST(longitude AS DOUBLE), 0) AS longitude, COALESCE(address, '') AS address,
+       COALESCE(city, '') AS city, COALESCE(state, '') AS state, COALESCE(country, '') AS country,
+       COALESCE(operator, '') AS operator, '' AS network, 'Unknown' AS status, '' AS access_type,
+       '' AS pricing_info,
+       concat_ws(', ', CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'Access Key Required' END,
+                       CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'Membership Required' END,
+                       CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 'Pay at Location' END) AS amenities
+FROM charging_stations"""
+
+S02_BODY = """
+SELECT id || '_' || CAST(length(connector_type) AS VARCHAR) AS id, station_id, connector_type,
+       COALESCE(CAST(power_kw AS DOUBLE), 0) AS power_kw, 0.0 AS voltage, 0.0 AS amperage, 'Unknown' AS status
+FROM charging_points"""
+
+S05_BODY = """
+SELECT station_id, date_trunc('second', "timestamp") AS "timestamp",
+       COALESCE(CAST(temperature_celsius AS DOUBLE), 0) AS temperature_celsius, 0.0 AS humidity_percent,
+       0.0 AS pressure_hpa, 0.0 AS wind_speed_ms, 0.0 AS wind_direction_degrees,
+       COALESCE(NULLIF(CAST(precipitation_mm AS DOUBLE), 0), 0) AS precipitation_mm,
+       COALESCE(weather_condition, '') AS weather_condition, '' AS weather_description,
+       CAST(NULL AS DOUBLE) AS visibility_km, 0.0 AS uv_index, 0.0 AS cloudiness_percent
+FROM weather_data"""
+
+_SP, _JF = "CAST(average_speed_kmh AS DOUBLE)", "CAST(traffic_density AS DOUBLE)"
+S09_ITEMS = ("items", f"""
+SELECT station_id, "timestamp", {_SP} AS sp1, {_JF} AS jf1, {_SP} + 25 AS sp2, {_JF} / 2 AS jf2,
+       COALESCE({_SP} > 0 AND {_JF} > 0, FALSE) AS v1, COALESCE({_SP} + 25 > 0 AND {_JF} / 2 > 0, FALSE) AS v2
+FROM traffic_data""")
+S09_BODY = """
+SELECT station_id, "timestamp", traffic_density, average_speed_kmh,
+       CASE WHEN sev > n * 0.5 THEN 'severe' WHEN modr > n * 0.3 THEN 'moderate' ELSE 'light' END
+           AS congestion_level,
+       'highway' AS road_type, 0.0 AS distance_to_station_km, CAST(0 AS BIGINT) AS incident_count
+FROM (SELECT station_id, "timestamp", CAST(v1 AS INTEGER) + CAST(v2 AS INTEGER) AS n,
+             (CASE WHEN v1 THEN jf1 ELSE 0 END + CASE WHEN v2 THEN jf2 ELSE 0 END)
+                 / (CAST(v1 AS INTEGER) + CAST(v2 AS INTEGER)) AS traffic_density,
+             (CASE WHEN v1 THEN sp1 ELSE 0 END + CASE WHEN v2 THEN sp2 ELSE 0 END)
+                 / (CAST(v1 AS INTEGER) + CAST(v2 AS INTEGER)) AS average_speed_kmh,
+             CAST(v1 AND sp1 < 20 AS INTEGER) + CAST(v2 AND sp2 < 20 AS INTEGER) AS sev,
+             CAST(v1 AND sp1 >= 20 AND sp1 < 40 AS INTEGER) + CAST(v2 AND sp2 >= 20 AND sp2 < 40 AS INTEGER) AS modr
+      FROM items WHERE v1 OR v2)"""
+
+ORACLE.update({
+    "s01_parse_station_documents": q(S01_BODY),
+    "s02_explode_point_documents": q(S02_BODY),
+    "s05_parse_weather_documents": q(S05_BODY),
+    "s09_parse_traffic_flow_documents": q(S09_BODY, S09_ITEMS),
+})

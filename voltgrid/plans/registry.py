@@ -15,6 +15,8 @@ from voltgrid.operators import insights as bi
 from voltgrid.operators import patterns, views
 from voltgrid.functions.output import finish
 from voltgrid.sinks.tables import latest_by_key, orphans
+from voltgrid.sources import documents as docs
+from voltgrid.sources import ingest
 from voltgrid.sources.testdata import test_tables
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -159,4 +161,13 @@ QUERIES: dict[str, Query] = {
     # invariants in tests/test_isolation_forest.py
     "a01_isolation_forest_anomalies": _q(lambda t: isolation_forest.detect_anomalies(
         features.usage_features(t.stations, t.usage, t.weather, t.traffic, AS_OF), AS_OF).drop("id", "resolved_at")),
+    "s01_parse_station_documents": _q(lambda t: ingest.parse_stations(
+        docs.parse_documents(docs.station_documents(t.stations), ingest.STATION_DOC))),
+    "s02_explode_point_documents": _q(lambda t: ingest.explode_charging_points(
+        docs.parse_documents(docs.point_documents(t.points), ingest.STATION_DOC)).drop("last_updated")),
+    "s05_parse_weather_documents": _q(lambda t: ingest.parse_weather(
+        docs.parse_documents(docs.weather_documents(t.weather), ingest.WEATHER_DOC))),
+    "s09_parse_traffic_flow_documents": _q(lambda t: ingest.parse_traffic_flow(
+        docs.parse_documents(docs.traffic_flow_documents(t.traffic), ingest.TRAFFIC_FLOW_DOC))
+        .drop("latitude", "longitude")),
 }
