@@ -6,6 +6,9 @@ precision so money and energy sum exactly.
 
 from __future__ import annotations
 
+import functools
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -62,19 +65,27 @@ DDL = {
 TABLES = tuple(DDL)
 
 
+@functools.lru_cache(maxsize=None)
+def _schema_json(name: str) -> str:
+    return _parse_datatype_string(DDL[name]).json()
+
+
 def schema(name: str) -> StructType:
-    return _parse_datatype_string(DDL[name])
+    """Parsed once per process (parsing goes through the JVM)."""
+    return StructType.fromJson(json.loads(_schema_json(name)))
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Project ``df`` onto the canonical schema of ``name``: existing columns
     are cast (``try_cast``: unparsable → NULL), missing optional columns become
     typed NULLs, extra columns are dropped. Pure projection, no shuffle."""
-    cols = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in schema(name).fields:
-        if f.name in cols:
-            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        else:
+        if f.name not in have:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif have[f.name] == f.dataType:
+            out.append(F.col(f.name))
+        else:
+            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
     return df.select(*out)

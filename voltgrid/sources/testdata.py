@@ -39,7 +39,20 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+_CACHE: dict[tuple[str, str], Tables] = {}
+
+
 def test_tables(spark: SparkSession, root: str) -> Tables:
+    """Adapter tables for ``root``. The lazy frames are immutable, so one
+    session reuses them across queries (saves plan construction and file
+    listing; nothing is cached in memory)."""
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _CACHE:
+        _CACHE[key] = _build_tables(spark, root)
+    return _CACHE[key]
+
+
+def _build_tables(spark: SparkSession, root: str) -> Tables:
     events = _read(spark, root, "events")
     sid = (F.col("user_id") % STATION_MODULUS).cast("string")
     k = _k()
