@@ -44,10 +44,14 @@ def _col_or_null(df: DataFrame, c: str, typ: str = "string"):
 
 def clean_stations(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
     """Keep stations with a truthy id, latitude and longitude inside
-    [-90, 90] × [-180, 180]; trim and cut the text fields; stamp ``as_of``."""
-    lat, lon = F.col("latitude").try_cast("double"), F.col("longitude").try_cast("double")
-    keep = (_truthy(df, "id") & _truthy(df, "latitude") & _truthy(df, "longitude")
-            & lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0))
+    [-90, 90] × [-180, 180]; trim and cut the text fields; stamp ``as_of``.
+    Coordinates are judged at their stored precision (decimal(10,8) /
+    decimal(11,8)), so a value that would be stored as 0 counts as missing
+    and cleaning stays idempotent."""
+    lat = F.col("latitude").try_cast("double").try_cast("decimal(10,8)")
+    lon = F.col("longitude").try_cast("double").try_cast("decimal(11,8)")
+    keep = (_truthy(df, "id") & lat.isNotNull() & (lat != 0) & lon.isNotNull() & (lon != 0)
+            & lat.between(-90, 90) & lon.between(-180, 180))
     now = F.lit(as_of).cast("timestamp_ntz")
     out = df.where(keep).select(
         F.trim(F.col("id").cast("string")).alias("id"),

@@ -17,7 +17,7 @@ from voltgrid.functions.output import finish
 from voltgrid.sinks.tables import latest_by_key, orphans
 from voltgrid.sources import documents as docs
 from voltgrid.sources import ingest
-from voltgrid.sources.testdata import test_tables
+from voltgrid.sources.testdata import adapter_tables
 
 AS_OF = dt.datetime(2024, 2, 1)
 
@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _u(op, **kw) -> Query:
     """Operator over the usage table alone."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finish(op(test_tables(spark, sf_dir).usage, **kw))
+        return finish(op(adapter_tables(spark, sf_dir).usage, **kw))
     run.__name__ = getattr(op, "__name__", "query")
     run.__doc__ = op.__doc__
     return run
@@ -36,7 +36,7 @@ def _u(op, **kw) -> Query:
 def _us(op, **kw) -> Query:
     """Operator over (usage, stations)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        t = test_tables(spark, sf_dir)
+        t = adapter_tables(spark, sf_dir)
         return finish(op(t.usage, t.stations, **kw))
     run.__name__ = getattr(op, "__name__", "query")
     run.__doc__ = op.__doc__
@@ -46,7 +46,7 @@ def _us(op, **kw) -> Query:
 def _wtu(op, *sides: str, **kw) -> Query:
     """Operator over named canonical tables, e.g. ('weather', 'usage')."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        t = test_tables(spark, sf_dir)
+        t = adapter_tables(spark, sf_dir)
         return finish(op(*[getattr(t, s) for s in sides], **kw))
     run.__name__ = getattr(op, "__name__", "query")
     run.__doc__ = op.__doc__
@@ -56,7 +56,7 @@ def _wtu(op, *sides: str, **kw) -> Query:
 def _q(build) -> Query:
     """Query from a function of the canonical tables."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finish(build(test_tables(spark, sf_dir)))
+        return finish(build(adapter_tables(spark, sf_dir)))
     run.__name__ = getattr(build, "__name__", "query")
     run.__doc__ = build.__doc__
     return run
@@ -64,7 +64,7 @@ def _q(build) -> Query:
 
 def _t(op, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finish(op(test_tables(spark, sf_dir), **kw))
+        return finish(op(adapter_tables(spark, sf_dir), **kw))
     run.__name__ = getattr(op, "__name__", "query")
     run.__doc__ = op.__doc__
     return run

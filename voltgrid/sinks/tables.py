@@ -147,6 +147,8 @@ def collection_log_row(spark: SparkSession, source: str, collection_type: str, r
 
 # ------------------------------------------------------------------ K11
 
+CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"   # ISO text with microseconds
+
 
 def export_csv(df: DataFrame, directory: str, name: str) -> bool:
     """Header, minimal quoting with ``"`` escaped by doubling, NULL as an
@@ -154,11 +156,19 @@ def export_csv(df: DataFrame, directory: str, name: str) -> bool:
     returns False. Executors write part files (no ``coalesce(1)``)."""
     if df.isEmpty():
         return False
-    out = df.select(*[F.to_json(F.col(f.name)).alias(f.name)
-                      if f.dataType.typeName() in ("array", "map", "struct") else F.col(f.name)
-                      for f in df.schema.fields])
+
+    def render(f):
+        c = F.col(f.name)
+        if f.dataType.typeName() in ("array", "map", "struct"):
+            return F.to_json(c).alias(f.name)
+        if f.dataType.typeName() == "boolean":       # Python text form, as the exports carry
+            return F.when(c, F.lit("True")).when(~c, F.lit("False")).alias(f.name)
+        return c
+    out = df.select(*[render(f) for f in df.schema.fields])
     (out.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"')
-        .option("emptyValue", "").option("nullValue", "").csv(f"{directory}/{name}"))
+        .option("emptyValue", "").option("nullValue", "")
+        .option("timestampNTZFormat", CSV_TIMESTAMP).option("timestampFormat", CSV_TIMESTAMP)
+        .csv(f"{directory}/{name}"))
     return True
 
 

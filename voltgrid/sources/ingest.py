@@ -56,6 +56,11 @@ INCIDENT_DOC = (
     f"{CORRUPT} string")
 
 
+def _opt(df: DataFrame, name: str, typ: str) -> Column:
+    """An optional landing field: the column, or a typed NULL when absent."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(typ)
+
+
 def read_json(spark: SparkSession, path: str, ddl: str, multi_line: bool = False) -> DataFrame:
     """Schema-on-read JSON scan; malformed documents land in ``_corrupt_record``."""
     return (spark.read.schema(ddl).option("mode", "PERMISSIVE")
@@ -68,8 +73,12 @@ def valid(docs: DataFrame) -> DataFrame:
 
 
 def corrupt_count(docs: DataFrame) -> DataFrame:
-    return docs.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_records"),
-                    F.count(F.lit(1)).alias("records"))
+    """Broken and total documents in one pass. (Spark refuses a query over
+    raw JSON that references only the corrupt-record column, so the
+    predicate also names a parsed column; it does not change the result.)"""
+    other = F.col([c for c in docs.columns if c != CORRUPT][0])
+    broken = F.col(CORRUPT).isNotNull() & (other.isNull() | other.isNotNull())
+    return docs.agg(F.count_if(broken).alias("corrupt_records"), F.count(F.lit(1)).alias("records"))
 
 
 # ---------------------------------------------------------------- S01–S04 stations
@@ -171,7 +180,8 @@ def _weather_fields(doc: Column | None = None) -> list[Column]:
 
 def parse_weather(docs: DataFrame) -> DataFrame:
     """Current-weather documents of either shape (``main`` nested or flat)."""
-    return valid(docs).select("station_id", *_weather_fields())
+    v = valid(docs)
+    return v.select(_opt(v, "station_id", "string").alias("station_id"), *_weather_fields())
 
 
 def read_weather_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -220,9 +230,11 @@ def parse_traffic_flow(docs: DataFrame, as_of: _dt.datetime | None = None) -> Da
     jsum = F.aggregate("_ok", F.lit(0.0), lambda acc, x: acc + x.getField("JF"))
     severe = F.size(F.filter("_ok", lambda x: x.getField("SP") < 20))
     moderate = F.size(F.filter("_ok", lambda x: (x.getField("SP") >= 20) & (x.getField("SP") < 40)))
-    ts = F.col("observed_at") if as_of is None else F.coalesce(F.col("observed_at"), F.lit(as_of).cast("timestamp_ntz"))
+    obs = _opt(d, "observed_at", "timestamp_ntz")
+    ts = obs if as_of is None else F.coalesce(obs, F.lit(as_of).cast("timestamp_ntz"))
     return d.where((n > 0) & ~F.col("_broken")).select(
-        "station_id", ts.alias("timestamp"), "latitude", "longitude",
+        _opt(d, "station_id", "string").alias("station_id"), ts.alias("timestamp"),
+        _opt(d, "latitude", "double").alias("latitude"), _opt(d, "longitude", "double").alias("longitude"),
         (jsum / n).alias("traffic_density"), (ssum / n).alias("average_speed_kmh"),
         F.when(severe > n * 0.5, F.lit("severe")).when(moderate > n * 0.3, F.lit("moderate"))
         .otherwise(F.lit("light")).alias("congestion_level"),
@@ -237,9 +249,12 @@ def read_traffic_flow_json(spark: SparkSession, path: str, as_of=None, multi_lin
 def parse_incidents(docs: DataFrame, as_of: _dt.datetime | None = None) -> DataFrame:
     """One row per incident — type, first description value,
     criticality, origin (JSON text)."""
-    ts = F.col("observed_at") if as_of is None else F.coalesce(F.col("observed_at"), F.lit(as_of).cast("timestamp_ntz"))
-    d = valid(docs).select("station_id", ts.alias("timestamp"), "latitude", "longitude",
-                           F.explode(F.coalesce(F.col("TRAFFIC_ITEMS.TRAFFIC_ITEM"), F.array())).alias("i"))
+    v = valid(docs)
+    obs = _opt(v, "observed_at", "timestamp_ntz")
+    ts = obs if as_of is None else F.coalesce(obs, F.lit(as_of).cast("timestamp_ntz"))
+    d = v.select(_opt(v, "station_id", "string").alias("station_id"), ts.alias("timestamp"),
+                 _opt(v, "latitude", "double").alias("latitude"), _opt(v, "longitude", "double").alias("longitude"),
+                 F.explode(F.coalesce(F.col("TRAFFIC_ITEMS.TRAFFIC_ITEM"), F.array())).alias("i"))
     i = F.col("i")
     return d.select(
         "station_id", "timestamp", "latitude", "longitude",

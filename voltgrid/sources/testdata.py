@@ -1,7 +1,7 @@
 """Adapter views: the canonical charging tables derived from the driver's
 TPC-H-like test tables (FIXTURES.md §4).
 
-The same definitions exist twice — as Spark DataFrame code (``test_tables``)
+The same definitions exist twice — as Spark DataFrame code (``adapter_tables``)
 and as DuckDB SQL common-table expressions (``ADAPTER_SQL``) used by the
 oracle queries — so both engines read identical inputs. All derivations are
 row-local projections/filters (no shuffle) except the station dimension,
@@ -42,7 +42,7 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
 _CACHE: dict[tuple[str, str], Tables] = {}
 
 
-def test_tables(spark: SparkSession, root: str) -> Tables:
+def adapter_tables(spark: SparkSession, root: str) -> Tables:
     """Adapter tables for ``root``. The lazy frames are immutable, so one
     session reuses them across queries (saves plan construction and file
     listing; nothing is cached in memory)."""
