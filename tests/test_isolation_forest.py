@@ -48,3 +48,12 @@ def test_tree_samples_bounded(planted):
     s = IF.tree_samples(planted, n_trees=10, max_samples=32)
     counts = s.groupBy("tree").count().collect()
     assert len(counts) == 10 and all(r["count"] == 32 for r in counts)
+
+
+def test_presample_equals_bruteforce_topk(planted):
+    from pyspark.sql import functions as F
+    k = 20                                 # n = 400 > 2k: the hash-threshold path runs
+    got = [r.station_id for r in IF.presample(planted, k).collect()]
+    want = [r.station_id for r in planted.orderBy(F.xxhash64("station_id", F.lit(IF.SEED)), "station_id")
+            .limit(k).collect()]
+    assert sorted(got) == sorted(want) and len(got) == k

@@ -3,8 +3,8 @@
 
 fit
   1. bounded pre-sample: the ``n_trees × max_samples`` rows with the smallest
-     ``xxhash64(station_id, seed)`` (a top-k, TakeOrderedAndProject — never a
-     full sort);
+     ``xxhash64(station_id, seed)`` — a hash-threshold filter (sized from the
+     row count) then a top-k over the few survivors, never a full sort;
   2. each pre-sampled row is expanded to every tree id (``explode(sequence)``)
      and each tree keeps its ``min(max_samples, n)`` rows with the smallest
      ``xxhash64(station_id, tree, seed)`` — a window per tree over at most
@@ -148,10 +148,31 @@ def forest_scores(m: dict, X: np.ndarray) -> np.ndarray:
     return np.power(2.0, -path_lengths(m, X) / float(c_factor([m["psi"]])[0] or 1.0))
 
 
+def _unit_hash(*cols) -> F.Column:
+    """xxhash64 mapped to [0, 1)."""
+    return (F.xxhash64(*cols).cast("double") + 9.223372036854775808e18) / 1.8446744073709551616e19
+
+
+def presample(X: DataFrame, k: int, seed: int = SEED) -> DataFrame:
+    """The k rows with the smallest ``xxhash64(station_id, seed)``, exactly.
+    A threshold on the (uniform) hash keeps ≈ k + 10·√k rows first, so the
+    final top-k merges a small set instead of k rows from every input
+    partition; if the threshold kept fewer than k rows (vanishingly rare) the
+    unfiltered top-k is used."""
+    n = X.count()
+    h = _unit_hash("station_id", F.lit(seed))
+    if n > 2 * k:
+        p = min(1.0, (k + 10 * math.sqrt(k) + 100) / n)
+        cand = X.where(h < p)
+        if cand.count() >= k:
+            X = cand
+    return X.orderBy(F.xxhash64("station_id", F.lit(seed)), "station_id").limit(k)
+
+
 def tree_samples(X: DataFrame, n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES,
                  seed: int = SEED) -> DataFrame:
     """Per-tree training samples (steps 1–2 of the module docstring)."""
-    pool = X.orderBy(F.xxhash64("station_id", F.lit(seed)), "station_id").limit(n_trees * max_samples)
+    pool = presample(X, n_trees * max_samples, seed)
     ex = pool.withColumn("tree", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_trees - 1).cast("bigint"))))
     w = Window.partitionBy("tree").orderBy(F.xxhash64("station_id", "tree", F.lit(seed)), "station_id")
     return ex.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_samples).drop("_r")

@@ -123,11 +123,16 @@ def seasonal_trends(usage: DataFrame, by=()) -> DataFrame:
 def location_patterns(usage: DataFrame, stations: DataFrame, level: str = "state") -> DataFrame:
     """Sessions and energy per state (or city); sessions of unknown
     stations and NULL locations are dropped."""
+    # reduce sessions per station first (map-side partial aggregation), so the
+    # join with the station dimension handles one row per station, not every
+    # session of a hot station
+    per_station = usage.groupBy("station_id").agg(F.count("id").alias("n"),
+                                                  F.sum("energy_consumed_kwh").alias("e"))
     s = stations.select(F.col("id").alias("station_id"), F.col(level).alias("location"))
-    j = usage.join(s, "station_id", "left").where(F.col("location").isNotNull())
+    j = per_station.join(s, "station_id").where(F.col("location").isNotNull())
     return j.groupBy("location").agg(
-        F.count("id").alias("session_count"),
-        F.coalesce(dsum("energy_consumed_kwh"), F.lit(0.0)).alias("total_energy_kwh"),
+        F.sum("n").alias("session_count"),
+        F.coalesce(F.sum("e").cast("double"), F.lit(0.0)).alias("total_energy_kwh"),
     ).select(F.lit(level).alias("location_type"), "location", "session_count", "total_energy_kwh")
 
 
