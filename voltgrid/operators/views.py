@@ -195,7 +195,10 @@ def _observation_correlation(obs: DataFrame, t: Tables, measures: list[str], pre
     s = _stations(t, "id", "name")
     o = obs.select("station_id", "timestamp", *measures, hour_floor("timestamp").alias("hour"))
     j = o.join(s, "station_id").join(hourly, ["station_id", "hour"], "left")
-    g = j.groupBy("station_id", "station_name", "timestamp", *measures).agg(
+    # ``hour`` is a function of ``timestamp``, so adding it to the keys leaves
+    # the groups unchanged — but lets the aggregate reuse the join's
+    # (station_id, hour) hash partitioning instead of shuffling again
+    g = j.groupBy("station_id", "hour", "station_name", "timestamp", *measures).agg(
         F.coalesce(F.sum("u_n"), F.lit(0)).alias(f"sessions_during_{prefix}"),
         F.sum("u_energy").cast("double").alias(f"energy_during_{prefix}"),
         F.round(F.try_divide(F.sum("u_minutes").cast("double"), F.sum("u_minutes_n").cast("double")), 6)
