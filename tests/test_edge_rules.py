@@ -141,3 +141,14 @@ def test_null_group_key_dropped_for_pandas_operators(spark):
     t = _tables(spark, usage=[(1, None, T0, 1.0, 1, 1.0), (2, "1", T0, 1.0, 1, 1.0)])
     assert [r.station_id for r in patterns.seasonal_trends(t.usage, ["station_id"]).collect()] == ["1"]
     assert correlations.hourly_usage(t.usage).count() == 1
+
+
+def test_bbox_and_radius(spark):
+    from voltgrid.operators import derived
+    st = spark.createDataFrame([("a", 45.0, 10.0), ("b", 46.0, 11.0), ("c", 60.0, 10.0), ("d", 0.0, 0.0)],
+                               "id string, latitude double, longitude double")
+    assert sorted(r.id for r in derived.points_in_bbox(st, 45.0, 10.0, 150.0).collect()) == ["a", "b"]
+    assert sorted(r.id for r in derived.stations_within(st, 45.0, 10.0, 150.0).collect()) == ["a", "b"]
+    assert sorted(r.id for r in derived.stations_within(st, 45.0, 10.0, 100.0).collect()) == ["a"]
+    # equator: the service's longitude delta is undefined → no box
+    assert derived.points_in_bbox(st, 0.0, 0.0, 10.0).count() == 0

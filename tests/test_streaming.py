@@ -83,3 +83,18 @@ def test_checkpoint_location_uses_session_setting(spark):
     loc = jobs.checkpoint_location(spark, "q")
     assert loc.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert os.path.basename(loc) == "q"
+
+
+def test_t07_scores_a_stream_like_batch(spark, scratch):
+    from voltgrid.operators import isolation_forest as IF
+    from voltgrid.operators.features import usage_features
+    t = adapter_tables(spark, SF001)
+    feats = usage_features(t.stations, t.usage, t.weather, t.traffic, AS_OF)
+    src = scratch + "/features"
+    feats.write.parquet(src)
+    model = IF.fit(spark.read.parquet(src), n_trees=10)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    jobs.run_available_now(jobs.score_stream(stream, model), "t07_scores", "memory", checkpoint=scratch + "/ck7")
+    got = sorted((r.station_id, round(r.score, 12)) for r in spark.table("t07_scores").collect())
+    want = sorted((r.station_id, round(r.score, 12)) for r in IF.score(model, spark.read.parquet(src)).collect())
+    assert got == want

@@ -17,12 +17,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Append the columns of ``one_row`` — an ungrouped aggregate, hence at
+    most one row by construction — to every row of ``df`` (J09). This is a
+    broadcast nested-loop join against a single row: it emits exactly
+    ``df``'s rows, never pairs."""
+    return df.crossJoin(F.broadcast(one_row))
+
+
 def with_group_stats(df: DataFrame, by: list[str], **aggs: Column) -> DataFrame:
     if by:
         w = Window.partitionBy(*by)
         return df.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
-    one_row = df.agg(*[a.alias(n) for n, a in aggs.items()])
-    return df.crossJoin(F.broadcast(one_row))
+    return attach_one_row(df, df.agg(*[a.alias(n) for n, a in aggs.items()]))
 
 
 def group_stats(df: DataFrame, by: list[str], **aggs: Column) -> DataFrame:

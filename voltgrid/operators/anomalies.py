@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltgrid.functions.groupstats import attach_one_row
 from voltgrid.schemas import conform
 
 # The five model features (nulls count as 0) and the z rule.
@@ -50,7 +51,7 @@ def zscore_anomalies(features: DataFrame, as_of: _dt.datetime, k: float = Z_LIMI
     x = feature_matrix(features)
     stats = x.agg(*[a for c in MODEL_FEATURES
                     for a in (F.avg(c).alias(f"{c}__m"), F.stddev_samp(c).alias(f"{c}__s"))])
-    j = x.crossJoin(F.broadcast(stats))
+    j = attach_one_row(x, stats)
     zs = [F.abs(F.when(F.col(f"{c}__s") > 0, (F.col(c) - F.col(f"{c}__m")) / F.col(f"{c}__s"))
                 .otherwise(F.lit(0.0))) for c in MODEL_FEATURES]
     scored = j.select("station_id", reduce(lambda a, b: F.greatest(a, b), zs).alias("score"))

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType
 
 from voltgrid.functions.columns import clean_numeric, clean_text
 from voltgrid.schemas import conform
+from voltgrid.functions.groupstats import attach_one_row
 
 # Fixed values of the cleaning rules: text lengths and numeric ranges.
 STATION_TEXT = {"name": 500, "address": 1000, "city": 255, "state": 255, "country": 255, "operator": 255,
@@ -100,7 +101,7 @@ def reject_report(raw: DataFrame, clean: DataFrame, what: str) -> DataFrame:
     """C06: "cleaned n out of m" as one row."""
     r = raw.agg(F.count(F.lit(1)).alias("raw_records"))
     c = clean.agg(F.count(F.lit(1)).alias("clean_records"))
-    return r.crossJoin(c).select(
+    return attach_one_row(r, c).select(
         F.lit(what).alias("dataset"), "raw_records", "clean_records",
         (F.col("raw_records") - F.col("clean_records")).alias("rejected_records"),
         F.format_string(f"Cleaned %d out of %d {what} records", "clean_records", "raw_records").alias("message"))

@@ -201,27 +201,27 @@ def correlation_insights(weather: DataFrame, traffic: DataFrame, usage: DataFram
 
 def correlation_report(weather: DataFrame, traffic: DataFrame, usage: DataFrame, by=()) -> DataFrame:
     """R02 + R04 + R06 and the three point counts in long form
-    (section, metric, value). Spark reuses the hourly-usage exchange across
-    the three sections of the plan."""
+    (section, metric, value). Each section is aggregated once; its summary
+    row comes out of the same aggregate (one ``explode`` per section), and
+    Spark reuses the hourly-usage exchange across the three sections."""
     by = list(by)
-    def longform(df, section, metrics):
-        return df.select(*by, F.lit(section).alias("section"), F.explode(F.array(*[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics
-        ])).alias("kv")).select(*by, "section", "kv.metric", "kv.value")
+
+    def longform(df, section, metrics, summary):
+        items = [F.struct(F.lit(section).alias("section"), F.lit(m).alias("metric"),
+                          F.col(m).cast("double").alias("value")) for m in metrics]
+        items.append(F.struct(F.lit("summary").alias("section"), F.lit(summary).alias("metric"),
+                              F.col("data_points").cast("double").alias("value")))
+        return df.select(*by, F.explode(F.array(*items)).alias("kv")).select(*by, "kv.section", "kv.metric",
+                                                                             "kv.value")
     wr = weather_usage_correlation(weather, usage, by)
     tr = traffic_usage_correlation(traffic, usage, by)
     cr = combined_correlation(weather, traffic, usage, by)
     parts = [
-        longform(wr, "weather_correlation", ["temperature_vs_sessions", "precipitation_vs_sessions", "data_points"]),
+        longform(wr, "weather_correlation", ["temperature_vs_sessions", "precipitation_vs_sessions", "data_points"],
+                 "weather_data_points"),
         longform(tr, "traffic_correlation", ["traffic_density_vs_sessions", "average_speed_vs_sessions",
-                                             "data_points"]),
-        longform(cr, "combined_correlation", ["temperature", "precipitation", "traffic_density",
-                                              "average_speed", "data_points"]),
-        longform(wr.select(*by, F.col("data_points").alias("weather_data_points")), "summary",
-                 ["weather_data_points"]),
-        longform(tr.select(*by, F.col("data_points").alias("traffic_data_points")), "summary",
-                 ["traffic_data_points"]),
-        longform(cr.select(*by, F.col("data_points").alias("combined_data_points")), "summary",
-                 ["combined_data_points"]),
+                                             "data_points"], "traffic_data_points"),
+        longform(cr, "combined_correlation", ["temperature", "precipitation", "traffic_density", "average_speed",
+                                              "data_points"], "combined_data_points"),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import dsum, mean
+from voltgrid.functions.groupstats import attach_one_row
 
 # Fixed values of the recommendation rules.
 LOW_QUANTILE = 0.25
@@ -43,7 +44,7 @@ def half_up_text(num: Column, den: Column, places: int) -> Column:
 
 
 def _nonempty(df: DataFrame) -> DataFrame:
-    """A one-row frame when ``df`` has rows, else empty (for crossJoin guards)."""
+    """A one-row frame when ``df`` has rows, else empty (a guard to attach)."""
     return df.agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 0)
 
 
@@ -65,7 +66,7 @@ def network_overview(stations: DataFrame, usage: DataFrame, points: DataFrame) -
     s = stations.agg(F.count(F.lit(1)).alias("total_stations"))
     p = points.agg(F.count(F.lit(1)).alias("total_charging_points"))
     u = usage.agg(F.count(F.lit(1)).alias("total_sessions"))
-    return s.crossJoin(p).crossJoin(u).select(
+    return attach_one_row(attach_one_row(s, p), u).select(
         "total_stations", "total_charging_points", "total_sessions",
         F.coalesce(F.round(F.try_divide(F.col("total_charging_points").cast("double"),
                                         F.col("total_stations").cast("double")), 6), F.lit(0.0))
@@ -91,7 +92,7 @@ def performance_metrics(stations: DataFrame, usage: DataFrame) -> DataFrame:
         F.count_distinct("station_id").alias("active_stations"))
     s = stations.agg(F.count(F.lit(1)).alias("n_stations"))
     per = lambda a, b: F.round(F.try_divide(F.col(a), F.col(b).cast("double")), 6)
-    return u.where(F.col("total_sessions") > 0).crossJoin(s).select(
+    return attach_one_row(u.where(F.col("total_sessions") > 0), s).select(
         "total_sessions", "total_energy_kwh",
         per("total_energy_kwh", "total_sessions").alias("avg_energy_per_session_kwh"),
         "avg_duration_minutes", "total_revenue",
@@ -105,7 +106,7 @@ def performance_metrics(stations: DataFrame, usage: DataFrame) -> DataFrame:
 
 def _below_quantile(per_station: DataFrame, value: str, q: float) -> DataFrame:
     thr = per_station.agg(F.percentile(F.col(value).cast("double"), q).alias("threshold"))
-    return per_station.crossJoin(F.broadcast(thr)).where(F.col(value).cast("double") < F.col("threshold"))
+    return attach_one_row(per_station, thr).where(F.col(value).cast("double") < F.col("threshold"))
 
 
 def _first_ids(df: DataFrame, n: int) -> DataFrame:
@@ -113,7 +114,7 @@ def _first_ids(df: DataFrame, n: int) -> DataFrame:
     cnt = df.agg(F.count(F.lit(1)).alias("n_stations"))
     first = df.select("station_id").orderBy("station_id").limit(n) \
         .agg(F.array_sort(F.collect_list("station_id")).alias("affected_stations"))
-    return cnt.where(F.col("n_stations") > 0).crossJoin(first)
+    return attach_one_row(cnt.where(F.col("n_stations") > 0), first)
 
 
 def underutilized_stations(usage: DataFrame) -> DataFrame:
@@ -131,11 +132,11 @@ def capacity_expansion(usage: DataFrame, points: DataFrame) -> DataFrame:
     known at all."""
     st = _sessions_by_station(usage)
     thr = st.agg(F.percentile(F.col("sessions").cast("double"), HIGH_QUANTILE).alias("threshold"))
-    high = st.crossJoin(F.broadcast(thr)).where(F.col("sessions") > F.col("threshold"))
+    high = attach_one_row(st, thr).where(F.col("sessions") > F.col("threshold"))
     first = high.select("station_id").orderBy("station_id").limit(FIRST_HIGH)
     j = first.join(_points_by_station(points), "station_id", "left") \
         .withColumn("points", F.coalesce("points", F.lit(0)))
-    return j.where(F.col("points") < MIN_POINTS).crossJoin(F.broadcast(_nonempty(points))).select(
+    return attach_one_row(j.where(F.col("points") < MIN_POINTS), _nonempty(points)).select(
         F.lit("capacity_expansion").alias("type"), F.lit("high").alias("priority"),
         F.format_string("Station %s has high demand but only %d charging points. Consider expansion.",
                         "station_id", "points").alias("recommendation"),
@@ -156,7 +157,7 @@ def geographic_gaps(stations: DataFrame) -> DataFrame:
     per_state = stations.where(F.col("state").isNotNull()).groupBy("state").agg(
         F.count(F.lit(1)).alias("station_count"))
     thr = per_state.agg(F.percentile(F.col("station_count").cast("double"), LOW_QUANTILE).alias("threshold"))
-    return per_state.crossJoin(F.broadcast(thr)).where(F.col("station_count") < F.col("threshold")) \
+    return attach_one_row(per_state, thr).where(F.col("station_count") < F.col("threshold")) \
         .select("state", "station_count")
 
 
@@ -235,7 +236,7 @@ def capacity_summary(points: DataFrame) -> DataFrame:
                    F.coalesce(dsum("power_kw"), F.lit(0.0)).alias("total_power_capacity_kw"),
                    mean("power_kw").alias("avg_power_per_point_kw"))
     b = per.agg(F.round(F.avg("points"), 6).alias("avg_points_per_station"))
-    return a.where(F.col("total_charging_points") > 0).crossJoin(b).select(
+    return attach_one_row(a.where(F.col("total_charging_points") > 0), b).select(
         "total_charging_points", "avg_points_per_station", "total_power_capacity_kw", "avg_power_per_point_kw")
 
 

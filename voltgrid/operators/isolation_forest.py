@@ -40,6 +40,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark import cloudpickle
 
 from voltgrid.operators.anomalies import MODEL_FEATURES, anomaly_rows, feature_matrix
+from voltgrid.functions.groupstats import attach_one_row
 
 # Functions of this module run inside Python workers (applyInPandas /
 # mapInPandas); ship them by value so executors need no installed package.
@@ -230,7 +231,7 @@ def detect_anomalies(features: DataFrame, as_of: _dt.datetime, contamination: fl
     model = model or fit(features, n_trees, max_samples, seed)
     s = score(model, features).withColumn("neg", -F.col("score"))
     offset = s.agg(F.percentile("neg", contamination).alias("offset"))
-    d = s.crossJoin(F.broadcast(offset)).withColumn("decision", F.col("neg") - F.col("offset"))
+    d = attach_one_row(s, offset).withColumn("decision", F.col("neg") - F.col("offset"))
     return anomaly_rows(d.where(F.col("decision") < 0), "decision", as_of)
 
 
@@ -239,5 +240,5 @@ def decision_values(features: DataFrame, model: IsolationForestModel,
     """station_id, score, decision for every row (for inspection/tests)."""
     s = score(model, features).withColumn("neg", -F.col("score"))
     offset = s.agg(F.percentile("neg", contamination).alias("offset"))
-    return s.crossJoin(F.broadcast(offset)).select(
+    return attach_one_row(s, offset).select(
         "station_id", "score", (F.col("neg") - F.col("offset")).alias("decision"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import dsum, mean, season_of_month
-from voltgrid.functions.groupstats import group_stats, with_group_stats
+from voltgrid.functions.groupstats import attach_one_row, group_stats, with_group_stats
 
 # Fixed values of the pattern rules.
 PEAK_FACTOR = 1.5          # hour is a peak when its count >= 1.5 x mean hourly count
@@ -192,7 +192,7 @@ def usage_pattern_summary(usage: DataFrame, by=("station_id",), with_details: bo
         # network-wide aggregates always return one row; keep them only when
         # there is usage at all (a one-row flag, broadcast)
         flag = usage.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0)
-        out = out.crossJoin(F.broadcast(flag)).drop("_n")
+        out = attach_one_row(out, flag).drop("_n")
     conf = None
     for k, v in CONFIDENCE.items():
         conf = F.when(F.col("pattern_type") == k, F.lit(v)) if conf is None else \

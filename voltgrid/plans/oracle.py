@@ -874,3 +874,20 @@ ORACLE.update({
     "s05_parse_weather_documents": q(S05_BODY),
     "s09_parse_traffic_flow_documents": q(S09_BODY, S09_ITEMS),
 })
+
+S08_BODY = """
+SELECT w.id, w.station_id, w."timestamp", CAST(w.temperature_celsius AS DOUBLE) AS temperature_celsius
+FROM weather_data w JOIN charging_stations s ON w.station_id = s.id
+WHERE COALESCE(CAST(s.latitude AS DOUBLE), 0) <> 0 AND COALESCE(CAST(s.longitude AS DOUBLE), 0) <> 0"""
+
+S13_BODY = """
+SELECT id, name, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude
+FROM charging_stations
+WHERE CAST(latitude AS DOUBLE) BETWEEN 45.0 - 2000.0 / 111.0 AND 45.0 + 2000.0 / 111.0
+  AND CAST(longitude AS DOUBLE) BETWEEN 10.0 - 2000.0 / (111.0 * abs(45.0) / 90.0)
+                                    AND 10.0 + 2000.0 / (111.0 * abs(45.0) / 90.0)"""
+
+ORACLE.update({
+    "s08_attach_station": q(S08_BODY),
+    "s13_stations_in_bbox": q(S13_BODY),
+})

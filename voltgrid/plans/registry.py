@@ -170,4 +170,8 @@ QUERIES: dict[str, Query] = {
     "s09_parse_traffic_flow_documents": _q(lambda t: ingest.parse_traffic_flow(
         docs.parse_documents(docs.traffic_flow_documents(t.traffic), ingest.TRAFFIC_FLOW_DOC))
         .drop("latitude", "longitude")),
+    "s08_attach_station": _q(lambda t: ingest.attach_station(
+        t.weather.select("id", "station_id", "timestamp", "temperature_celsius"), t.stations)),
+    "s13_stations_in_bbox": _q(lambda t: derived.points_in_bbox(t.stations, 45.0, 10.0, 2000.0).select(
+        "id", "name", "latitude", "longitude")),
 }
