@@ -33,7 +33,8 @@ def D(c: str) -> str:
 def CORR(x: str, y: str) -> str:
     """pandas ``Series.corr`` with NaN → 0 (constant or empty input)."""
     c = f"corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE))"
-    return f"round(coalesce(CASE WHEN isnan({c}) THEN 0 ELSE {c} END, 0), 6)"
+    # "+ 0.0" turns a rounded negative zero into +0.0 (Spark's round never yields -0.0)
+    return f"(round(coalesce(CASE WHEN isnan({c}) THEN 0 ELSE {c} END, 0), 6) + 0.0)"
 
 
 def q(body: str, *ctes: tuple[str, str]) -> str:
@@ -679,7 +680,7 @@ ENERGY = ("energy", f"""
 SELECT c.station_id, c.date, COALESCE(SUM(c.e), 0) AS total_energy_kwh,
        COALESCE(SUM(CASE WHEN pk.hour IS NOT NULL THEN c.e END), 0) AS peak_hour_energy,
        COALESCE(SUM(c.e), 0) - COALESCE(SUM(CASE WHEN pk.hour IS NOT NULL THEN c.e END), 0) AS off_peak_energy,
-       SUM(c.n) AS session_count,
+       CAST(SUM(c.n) AS BIGINT) AS session_count,
        CAST(round(CAST(SUM(c.d) AS DOUBLE) / SUM(c.dn)) AS BIGINT) AS avg_session_duration
 FROM (SELECT station_id, CAST(session_start AS DATE) AS date, EXTRACT(HOUR FROM session_start) AS hour,
              SUM(energy_consumed_kwh) AS e, COUNT(*) AS n, SUM(duration_minutes) AS d,
@@ -713,7 +714,7 @@ FROM data_collection_log WHERE data_source IS NOT NULL AND started_at IS NOT NUL
 D04_BODY = """
 SELECT data_source, COUNT(*) AS runs, COUNT(*) FILTER (WHERE status = 'success') AS successful_runs,
        round(COUNT(*) FILTER (WHERE status = 'success') / COUNT(*), 6) AS success_rate,
-       COALESCE(SUM(records_collected), 0) AS records_collected, MAX(started_at) AS last_run
+       CAST(COALESCE(SUM(records_collected), 0) AS BIGINT) AS records_collected, MAX(started_at) AS last_run
 FROM data_collection_log GROUP BY data_source"""
 
 _HAV = ("2 * 6371.0 * asin(least(sqrt(pow(sin((radians(CAST(latitude AS DOUBLE)) - radians(0.0)) / 2), 2) + "
