@@ -15,14 +15,18 @@ def test_collection_cycle(spark, scratch):
     documents.station_documents(t.stations).write.text(land + "/stations")
     documents.weather_documents(t.weather).write.text(land + "/weather")
     documents.traffic_flow_documents(t.traffic).write.text(land + "/traffic")
-    log = {r.data_source: r for r in run_collection_cycle(spark, land, store, AS_OF).collect()}
+    log = {r.collection_type: r for r in run_collection_cycle(spark, land, store, AS_OF).collect()}
+    assert set(log) == {"charging_stations", "weather_data", "traffic_data"}
     assert all(r.status == "success" for r in log.values()), {k: r.error_message for k, r in log.items()}
-    assert log["stations"].records_collected == min(100, t.stations.count())
+    assert log["charging_stations"].data_source == "OpenChargeMap"
+    assert log["charging_stations"].records_collected == min(100, t.stations.count())
     kept = read_versioned(spark, store, "charging_stations")
-    assert kept.count() == log["stations"].records_collected
-    assert spark.read.parquet(store + "/weather_data").count() == log["weather"].records_collected > 0
+    assert kept.count() == log["charging_stations"].records_collected
+    assert spark.read.parquet(store + "/weather_data").count() == log["weather_data"].records_collected > 0
     assert spark.read.parquet(store + "/data_collection_log").count() == len(log)
-    assert log["anomalies"].records_collected >= 0
+    feats = spark.read.parquet(store + "/engineered_features")
+    assert feats.count() == kept.count() and "cycle" in feats.columns
+    assert spark.read.parquet(store + "/anomaly_detection").count() >= 1
 
 
 def test_bundles_are_lazy_frames(spark, tables001):

@@ -152,3 +152,11 @@ def test_bbox_and_radius(spark):
     assert sorted(r.id for r in derived.stations_within(st, 45.0, 10.0, 100.0).collect()) == ["a"]
     # equator: the service's longitude delta is undefined → no box
     assert derived.points_in_bbox(st, 0.0, 0.0, 10.0).count() == 0
+
+
+def test_utilization_needs_usage(spark):
+    t = _tables(spark, stations=[("1", "a", "S", "C")], points=[("p1", "1", 7.2)])
+    assert insights.station_utilization(t.points, t.usage).count() == 0
+    t2 = _tables(spark, stations=[("1", "a", "S", "C")], points=[("p1", "1", 7.2)],
+                 usage=[(1, "2", T0, 1.0, 1, 1.0)])
+    assert [(r.station_id, r.sessions) for r in insights.station_utilization(t2.points, t2.usage).collect()] == [("1", 0)]

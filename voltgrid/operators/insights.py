@@ -241,9 +241,11 @@ def capacity_summary(points: DataFrame) -> DataFrame:
 
 
 def station_utilization(points: DataFrame, usage: DataFrame) -> DataFrame:
-    """Per station with points — sessions (0 if none), points, ratio."""
+    """Per station with points — sessions (0 if none), points, ratio;
+    nothing at all when there is no usage."""
     j = _points_by_station(points).join(_sessions_by_station(usage).select("station_id", "sessions"),
                                         "station_id", "left")
+    j = attach_one_row(j, _nonempty(usage)).drop("_rows")
     return j.select("station_id", F.coalesce("sessions", F.lit(0)).alias("sessions"), "points",
                     F.round(F.coalesce("sessions", F.lit(0)) / F.col("points"), 6).alias("utilization_ratio"))
 

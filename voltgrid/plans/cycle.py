@@ -25,8 +25,11 @@ from voltgrid.schemas import conform, schema
 from voltgrid.sinks import tables as sinks
 from voltgrid.sources import ingest
 
-# Fixed values of the cycle (collector defaults).
+# Fixed values of the cycle: collector limits and the audit labels of each load.
 MAX_STATIONS, MAX_WEATHER_STATIONS, MAX_TRAFFIC_STATIONS = 100, 50, 5
+STATIONS_SOURCE = ("OpenChargeMap", "charging_stations")
+WEATHER_SOURCE = ("OpenWeatherMap", "weather_data")
+TRAFFIC_SOURCE = ("HERE_Maps", "traffic_data")
 
 
 def _now() -> _dt.datetime:
@@ -38,16 +41,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _load(spark: SparkSession, store: str, df: DataFrame, source: str, kind: str, write) -> DataFrame:
-    """Run one load (``write(observed_df)``) and return its audit row."""
-    obs = Observation(f"{source}_{kind}")
+def _load(spark: SparkSession, df: DataFrame, source: tuple[str, str], write) -> DataFrame:
+    """Run one load (``write(observed_df)``) and return its audit row
+    (status ``success`` or ``failed`` with the error text)."""
+    obs = Observation(f"{source[0]}_{source[1]}")
     started = _now()
     try:
         write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
         n, status, err = int(obs.get.get("rows", 0)), "success", None
     except Exception as e:  # noqa: BLE001 — the audit row records the failure
-        n, status, err = 0, "error", str(e)[:1000]
-    return sinks.collection_log_row(spark, source, kind, n, status, started, _now(), err)
+        n, status, err = 0, "failed", str(e)[:1000]
+    return sinks.collection_log_row(spark, source[0], source[1], n, status, started, _now(), err)
 
 
 def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _dt.datetime,
@@ -58,28 +62,27 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
 
     # stations and their charging points
     docs = ingest.read_json(spark, os.path.join(landing, "stations"), ingest.STATION_DOC)
-    stations = cleaning.clean_stations(ingest.parse_stations(docs), as_of)
-    stations = cleaning.limit_stations(stations, MAX_STATIONS)
-    audit.append(_load(spark, store, stations, "stations", "batch", lambda d: sinks.upsert(
+    stations = cleaning.limit_stations(cleaning.clean_stations(ingest.parse_stations(docs), as_of), MAX_STATIONS)
+    audit.append(_load(spark, stations, STATIONS_SOURCE, lambda d: sinks.upsert(
         spark, store, "charging_stations", d, ["id"], ["updated_at"], version=stamp)))
     kept = sinks.read_versioned(spark, store, "charging_stations")
-    points = ingest.explode_charging_points(docs, as_of).join(
-        kept.select(F.col("id").alias("station_id")), "station_id", "left_semi")
-    audit.append(_load(spark, store, conform(points, "charging_points"), "charging_points", "batch",
-                       lambda d: sinks.upsert(spark, store, "charging_points", d, ["id"], ["last_updated"],
-                                              version=stamp)))
-
-    # weather for the first 50 stations with coordinates
-    weather_stations = cleaning.limit_stations(kept, MAX_WEATHER_STATIONS)
+    cycle_ids = stations.select(F.col("id").alias("station_id"))
+    points = ingest.explode_charging_points(docs, as_of).join(cycle_ids, "station_id", "left_semi")
+    sinks.upsert(spark, store, "charging_points", conform(points, "charging_points"), ["id"], ["last_updated"],
+                 version=stamp)
+
+    # weather for the first 50 of this cycle's stations
+    weather = spark.createDataFrame([], schema("weather_data"))
     wpath = os.path.join(landing, "weather")
     if _exists(spark, wpath):
-        w = ingest.attach_station(ingest.read_weather_json(spark, wpath), weather_stations)
-        w = sinks.prepare_weather_rows(cleaning.clean_weather(w, as_of))
-        audit.append(_load(spark, store, w, "weather", "batch",
+        ws = cleaning.limit_stations(stations, MAX_WEATHER_STATIONS)
+        w = ingest.attach_station(ingest.read_weather_json(spark, wpath), ws)
+        weather = sinks.prepare_weather_rows(cleaning.clean_weather(w, as_of))
+        audit.append(_load(spark, weather, WEATHER_SOURCE,
                            lambda d: sinks.append(d, store, "weather_data", "date")))
 
-    # traffic flow and incidents for the first 5 stations
-    traffic_stations = cleaning.limit_stations(kept, MAX_TRAFFIC_STATIONS)
+    # traffic flow and incidents for the first 5 of this cycle's stations
+    traffic = spark.createDataFrame([], schema("traffic_data"))
     tpath, ipath = os.path.join(landing, "traffic"), os.path.join(landing, "incidents")
     parts = []
     if _exists(spark, tpath):
@@ -87,25 +90,20 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
     if _exists(spark, ipath):
         parts.append(ingest.read_incidents_json(spark, ipath, as_of))
     if parts:
+        ts = cleaning.limit_stations(stations, MAX_TRAFFIC_STATIONS)
         tr = parts[0] if len(parts) == 1 else ingest.union_flow_incidents(*parts)
-        tr = cleaning.clean_traffic(ingest.attach_station(tr, traffic_stations), as_of)
-        audit.append(_load(spark, store, tr, "traffic", "batch",
+        traffic = cleaning.clean_traffic(ingest.attach_station(tr, ts), as_of)
+        audit.append(_load(spark, traffic, TRAFFIC_SOURCE,
                            lambda d: sinks.append(d, store, "traffic_data", "date")))
 
-    # features and anomalies over what is stored
-    def stored(name):
-        p = os.path.join(store, name)
-        return conform(spark.read.parquet(p), name) if _exists(spark, p) else \
-            spark.createDataFrame([], schema(name))
-    feats = features.engineer_features(kept, stored("weather_data"), stored("traffic_data"), as_of)
-    # materialised (the forest reads it twice): also cuts the lineage
-    feats_path = os.path.join(store, "engineered_features", f"_cycle={stamp}")
-    audit.append(_load(spark, store, feats, "features", "derived",
-                       lambda d: d.write.mode("overwrite").parquet(feats_path)))
+    # features of this cycle's data, then anomalies; the feature table is
+    # written first (the forest reads it twice, and the write cuts the lineage)
+    feats = features.engineer_features(stations, weather, traffic, as_of)
+    feats_path = os.path.join(store, "engineered_features", f"cycle={stamp}")
+    feats.write.mode("overwrite").parquet(feats_path)
     feats = spark.read.parquet(feats_path)
     anomalies = isolation_forest.detect_anomalies(feats, as_of)
-    audit.append(_load(spark, store, sinks.prepare_anomaly_rows(anomalies), "anomalies", "derived",
-                       lambda d: sinks.append(d, store, "anomaly_detection", "date")))
+    sinks.append(sinks.prepare_anomaly_rows(anomalies), store, "anomaly_detection", "date")
 
     log = audit[0]
     for row in audit[1:]:
