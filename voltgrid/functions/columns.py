@@ -15,8 +15,29 @@ from pyspark.sql import functions as F
 
 
 def hour_floor(ts) -> Column:
-    """``DATE_TRUNC('hour', ts)`` keeping the zone-less type of the input."""
-    return F.date_trunc("hour", F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+    """``DATE_TRUNC('hour', ts)`` for a zone-less timestamp, built from its
+    fields so the result does not depend on the session time zone
+    (``date_trunc`` goes through session-local time)."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
+
+
+def day_floor(ts) -> Column:
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.lit(0), F.lit(0), F.lit(0))
+
+
+def month_floor(ts) -> Column:
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+
+
+def ntz_literal(value) -> Column:
+    """A zone-less timestamp literal. ``F.lit(naive datetime)`` would go
+    through the Python process's local zone; text → TIMESTAMP_NTZ does not."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def dow_sunday0(ts) -> Column:

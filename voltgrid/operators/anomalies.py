@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions.groupstats import attach_one_row
 from voltgrid.schemas import conform
+from voltgrid.functions.columns import ntz_literal
 
 # The five model features (nulls count as 0) and the z rule.
 MODEL_FEATURES = ["avg_downtime_minutes", "energy_consumption_per_traffic", "avg_wait_time_minutes",
@@ -36,7 +37,7 @@ def feature_matrix(features: DataFrame) -> DataFrame:
 def anomaly_rows(flagged: DataFrame, score_col: str, as_of: _dt.datetime) -> DataFrame:
     """Rows of the anomaly table for flagged stations: type usage_pattern,
     severity |score|, description with the score, unresolved."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ntz_literal(as_of)
     s = F.col(score_col)
     out = flagged.select(
         "station_id", F.lit(ANOMALY_TYPE).alias("anomaly_type"), F.abs(s).alias("severity_score"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from voltgrid.functions.columns import clean_numeric, clean_text
+from voltgrid.functions.columns import clean_numeric, clean_text, ntz_literal
 from voltgrid.schemas import conform
 from voltgrid.functions.groupstats import attach_one_row
 
@@ -53,7 +53,7 @@ def clean_stations(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
     lon = F.col("longitude").try_cast("double").try_cast("decimal(11,8)")
     keep = (_truthy(df, "id") & lat.isNotNull() & (lat != 0) & lon.isNotNull() & (lon != 0)
             & lat.between(-90, 90) & lon.between(-180, 180))
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ntz_literal(as_of)
     out = df.where(keep).select(
         F.trim(F.col("id").cast("string")).alias("id"),
         lat.alias("latitude"), lon.alias("longitude"),
@@ -72,7 +72,7 @@ def clean_weather(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
         F.trim(F.col("station_id").cast("string")).alias("station_id"), "timestamp",
         *[clean_numeric(_col_or_null(df, c, "double"), lo, hi).alias(c) for c, (lo, hi) in WEATHER_RANGES.items()],
         clean_text(_col_or_null(df, "weather_condition"), WEATHER_CONDITION_LEN).alias("weather_condition"),
-        F.lit(as_of).cast("timestamp_ntz").alias("created_at"))
+        ntz_literal(as_of).alias("created_at"))
     return conform(out, "weather_data")
 
 
@@ -86,7 +86,7 @@ def clean_traffic(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
         *[clean_numeric(_col_or_null(df, c, "double"), lo, hi).alias(c) for c, (lo, hi) in TRAFFIC_RANGES.items()],
         clean_text(_col_or_null(df, "congestion_level"), CONGESTION_LEN, CONGESTION_DEFAULT).alias("congestion_level"),
         clean_text(_col_or_null(df, "road_type"), ROAD_LEN, ROAD_DEFAULT).alias("road_type"),
-        F.lit(as_of).cast("timestamp_ntz").alias("created_at"))
+        ntz_literal(as_of).alias("created_at"))
     return conform(out, "traffic_data")
 
 

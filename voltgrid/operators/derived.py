@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import bbox, haversine_km
+from voltgrid.functions.columns import bbox, day_floor, haversine_km, month_floor, ntz_literal
 from voltgrid.operators.patterns import peak_hours
 from voltgrid.schemas import conform
 
@@ -55,9 +55,9 @@ def quota_usage(log: DataFrame, quotas: dict | None = None, default=("day", QUOT
         period = F.when(svc == name, F.lit(p)).otherwise(period)
         limit = F.when(svc == name, F.lit(lim)).otherwise(limit)
     ts = F.col("started_at")
-    start = F.when(period == "month", F.date_trunc("month", ts)).otherwise(F.date_trunc("day", ts))
+    start = F.when(period == "month", month_floor(ts)).otherwise(day_floor(ts))
     g = log.where(svc.isNotNull() & ts.isNotNull()).groupBy(
-        svc.alias("service"), period.alias("period"), start.cast("timestamp_ntz").alias("period_start"),
+        svc.alias("service"), period.alias("period"), start.alias("period_start"),
         limit.cast("bigint").alias("quota_limit")).agg(F.count(F.lit(1)).alias("calls"))
     return g.select("service", "period", "period_start", "calls", "quota_limit",
                     (F.col("quota_limit") - F.col("calls")).alias("remaining"),
@@ -103,4 +103,4 @@ def lookup(df: DataFrame, key: str, value) -> DataFrame:
 
 
 def as_of_literal(as_of: _dt.datetime):
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz_literal(as_of)

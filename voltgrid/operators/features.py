@@ -16,7 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import hour_floor
+from voltgrid.functions.columns import hour_floor, ntz_literal
 from voltgrid.schemas import conform
 
 # Fixed values of the feature rules.
@@ -84,7 +84,7 @@ def engineer_features(stations: DataFrame, weather: DataFrame, traffic: DataFram
         F.coalesce(F.col("w_rows"), F.lit(0)).alias("total_sessions"),
         F.coalesce(F.col("w_temp_sum_exact") * F.lit(ENERGY_PER_DEGREE).cast("decimal(2,1)"),
                    F.lit(0).cast("decimal(2,1)")).alias("total_energy_kwh"),
-        F.lit(as_of).cast("timestamp_ntz").alias("created_at"))
+        ntz_literal(as_of).alias("created_at"))
     return conform(out, "engineered_features")
 
 
@@ -128,5 +128,5 @@ def usage_features(stations: DataFrame, usage: DataFrame, weather: DataFrame, tr
         _wait_time().alias("avg_wait_time_minutes"),
         F.coalesce(F.col("u_sessions"), F.lit(0)).alias("total_sessions"),
         F.coalesce(F.col("u_energy"), F.lit(0).cast("decimal(10,3)")).alias("total_energy_kwh"),
-        F.lit(as_of).cast("timestamp_ntz").alias("created_at"))
+        ntz_literal(as_of).alias("created_at"))
     return conform(out, "engineered_features")

@@ -20,7 +20,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import (dow_sunday0, dsum, hour_floor, is_weekend_monday0,
+from voltgrid.functions.columns import (dow_sunday0, dsum, hour_floor, is_weekend_monday0, ntz_literal,
                                         mean, weekday_monday0)
 from voltgrid.functions.output import finish
 from voltgrid.sources.tables import Tables
@@ -248,7 +248,7 @@ def anomaly_summary(t: Tables, as_of: _dt.datetime) -> DataFrame:
     """Anomalies with station attributes and ``days_open`` measured to
     ``resolved_at`` or, when open, to the explicit ``as_of`` instant."""
     s = _stations(t, "id", "name", "city", "state")
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ntz_literal(as_of)
     end = F.coalesce(F.col("resolved_at"), now)
     return finish(t.anomalies.join(s, "station_id").select(
         "station_id", "station_name", "city", "state", "anomaly_type", "severity_score",

@@ -18,7 +18,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import congestion_of_speed, first_nonzero, haversine_km  # noqa: F401
+from voltgrid.functions.columns import congestion_of_speed, first_nonzero, haversine_km, ntz_literal  # noqa: F401
 
 CORRUPT = "_corrupt_record"
 
@@ -149,7 +149,7 @@ def explode_charging_points(docs: DataFrame, as_of: _dt.datetime | None = None)
         F.coalesce(c.getField("Voltage"), F.lit(0.0)).alias("voltage"),
         F.coalesce(c.getField("Amperage"), F.lit(0.0)).alias("amperage"),
         station_status(c.getField("StatusType")).alias("status"),
-        F.lit(as_of).cast("timestamp_ntz").alias("last_updated"))
+        ntz_literal(as_of).alias("last_updated"))
 
 
 # ---------------------------------------------------------------- S05–S08 weather
@@ -231,7 +231,7 @@ def parse_traffic_flow(docs: DataFrame, as_of: _dt.datetime | None = None) -> Da
     severe = F.size(F.filter("_ok", lambda x: x.getField("SP") < 20))
     moderate = F.size(F.filter("_ok", lambda x: (x.getField("SP") >= 20) & (x.getField("SP") < 40)))
     obs = _opt(d, "observed_at", "timestamp_ntz")
-    ts = obs if as_of is None else F.coalesce(obs, F.lit(as_of).cast("timestamp_ntz"))
+    ts = obs if as_of is None else F.coalesce(obs, ntz_literal(as_of))
     return d.where((n > 0) & ~F.col("_broken")).select(
         _opt(d, "station_id", "string").alias("station_id"), ts.alias("timestamp"),
         _opt(d, "latitude", "double").alias("latitude"), _opt(d, "longitude", "double").alias("longitude"),
@@ -251,7 +251,7 @@ def parse_incidents(docs: DataFrame, as_of: _dt.datetime | None = None) -> DataF
     criticality, origin (JSON text)."""
     v = valid(docs)
     obs = _opt(v, "observed_at", "timestamp_ntz")
-    ts = obs if as_of is None else F.coalesce(obs, F.lit(as_of).cast("timestamp_ntz"))
+    ts = obs if as_of is None else F.coalesce(obs, ntz_literal(as_of))
     d = v.select(_opt(v, "station_id", "string").alias("station_id"), ts.alias("timestamp"),
                  _opt(v, "latitude", "double").alias("latitude"), _opt(v, "longitude", "double").alias("longitude"),
                  F.explode(F.coalesce(F.col("TRAFFIC_ITEMS.TRAFFIC_ITEM"), F.array())).alias("i"))
