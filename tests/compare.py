@@ -16,6 +16,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb  # noqa: E402
 import pandas as pd  # noqa: E402
 
+# Floats must agree to 1e-12 relative (the driver hashes values, so the
+# contract is "same number", not "close").
+REL_TOL = float(os.environ.get("COMPARE_REL_TOL", "1e-12"))
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -37,7 +41,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return v
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
@@ -65,7 +69,7 @@ def compare(spark_df, sql: str, con) -> tuple[bool, str]:
     for a, b in zip(rs, rd):
         for x, y, c in zip(a, b, sorted(s.columns)):
             if isinstance(x, float) and isinstance(y, float):
-                if not math.isclose(x, y, rel_tol=1e-6, abs_tol=1e-6):
+                if not math.isclose(x, y, rel_tol=REL_TOL, abs_tol=0.0):
                     return False, f"value differs in {c}: {x} vs {y}\n spark {a}\n sql   {b}"
             elif x != y:
                 return False, f"value differs in {c}: {x!r} vs {y!r}\n spark {a}\n sql   {b}"

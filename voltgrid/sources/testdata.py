@@ -115,7 +115,8 @@ def _build_tables(spark: SparkSession, root: str) -> Tables:
         .select(
             F.col("event_id").alias("id"), sid.alias("station_id"),
             F.lit("usage_pattern").alias("anomaly_type"),
-            (F.col("value") / 100).cast("decimal(5,3)").alias("severity_score"),
+            # integer part / 100: exact at decimal(5,3), so no engine-specific rounding tie
+            (F.floor("value") / 100).cast("decimal(5,3)").alias("severity_score"),
             F.col("ts").alias("detected_at"),
             resolved.alias("is_resolved"),
             F.when(resolved, F.timestamp_add("HOUR", k, F.col("ts"))).alias("resolved_at"),
@@ -190,7 +191,7 @@ ADAPTER_SQL = {
         FROM events WHERE event_type = 'error'""",
     "anomaly_detection": f"""
         SELECT event_id AS id, {_SID} AS station_id, 'usage_pattern' AS anomaly_type,
-               CAST(value / 100 AS DECIMAL(5,3)) AS severity_score, ts AS detected_at,
+               CAST(floor(value) / 100 AS DECIMAL(5,3)) AS severity_score, ts AS detected_at,
                ({_K} % 2 = 1) AS is_resolved,
                CASE WHEN {_K} % 2 = 1 THEN ts + {_K} * INTERVAL 1 HOUR END AS resolved_at,
                CAST(NULL AS VARCHAR) AS description
