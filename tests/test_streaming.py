@@ -98,3 +98,16 @@ def test_t07_scores_a_stream_like_batch(spark, scratch):
     got = sorted((r.station_id, round(r.score, 12)) for r in spark.table("t07_scores").collect())
     want = sorted((r.station_id, round(r.score, 12)) for r in IF.score(model, spark.read.parquet(src)).collect())
     assert got == want
+
+
+def test_weather_landing_stream_appends_with_audit(spark, scratch):
+    t = adapter_tables(spark, SF001)
+    land = _land(documents.weather_documents(t.weather), scratch + "/land/weather")
+    cleaned = jobs.cleaned_stream(jobs.landing_stream(spark, land, "weather"), "weather", AS_OF)
+    sink = jobs.append_sink(scratch + "/store", "weather_data", "date", audit=("OpenWeatherMap", "weather_data"))
+    jobs.run_available_now(cleaned, "t01_weather", sink, checkpoint=scratch + "/ckw")
+    stored = spark.read.parquet(scratch + "/store/weather_data")
+    assert stored.count() == t.weather.count() and "date" in stored.columns
+    log = spark.read.parquet(scratch + "/store/data_collection_log").collect()
+    assert sum(r.records_collected for r in log) == t.weather.count()
+    assert all(r.status == "success" and r.data_source == "OpenWeatherMap" for r in log)

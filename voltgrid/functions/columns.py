@@ -40,6 +40,24 @@ def ntz_literal(value) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_to_instant(ts) -> Column:
+    """Zone-less wall time → the TIMESTAMP instant with that wall time in UTC
+    (epoch microseconds, no session-zone conversion). Watermarks and
+    ``window`` need TIMESTAMP; this keeps hour/day windows on the data's own
+    clock whatever the session time zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), ts))
+
+
+def instant_to_ntz(ts) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def dow_sunday0(ts) -> Column:
     """Postgres ``EXTRACT(DOW)``: 0 = Sunday … 6 = Saturday (views)."""
     return (F.dayofweek(ts) - 1).cast("bigint")

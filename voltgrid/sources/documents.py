@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltgrid.functions.columns import ntz_to_instant
+
 # keep microseconds (the default text form stops at milliseconds)
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -49,7 +51,7 @@ def weather_documents(weather: DataFrame) -> DataFrame:
     nested = F.col("id") % 2 == 0
     t = F.col("temperature_celsius").cast("double")
     doc = F.struct(
-        F.col("station_id"), F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("dt"),
+        F.col("station_id"), F.unix_seconds(ntz_to_instant("timestamp")).alias("dt"),
         F.when(nested, F.struct(t.alias("temp"))).alias("main"),
         F.when(~nested, t).alias("temp"),
         F.array(F.struct(F.col("weather_condition").alias("main"))).alias("weather"),

@@ -18,7 +18,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import congestion_of_speed, first_nonzero, haversine_km, ntz_literal  # noqa: F401
+from voltgrid.functions.columns import (congestion_of_speed, first_nonzero, haversine_km,  # noqa: F401
+                                        instant_to_ntz, ntz_literal)
 
 CORRUPT = "_corrupt_record"
 
@@ -162,7 +163,7 @@ def _weather_fields(doc: Column | None = None) -> list[Column]:
     first = F.get(g("weather"), 0)
     vis = g("visibility")
     return [
-        F.timestamp_seconds(F.coalesce(g("dt"), F.lit(0))).cast("timestamp_ntz").alias("timestamp"),
+        instant_to_ntz(F.timestamp_seconds(F.coalesce(g("dt"), F.lit(0)))).alias("timestamp"),
         F.coalesce(pick("temp"), F.lit(0.0)).alias("temperature_celsius"),
         F.coalesce(pick("humidity"), F.lit(0.0)).alias("humidity_percent"),
         F.coalesce(pick("pressure"), F.lit(0.0)).alias("pressure_hpa"),

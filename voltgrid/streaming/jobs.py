@@ -8,19 +8,22 @@ must be on shared storage (the session's ``spark.checkpoint.dir`` or a path
 given by the caller), so a restarted or retried query resumes exactly.
 
 Event-time columns are zone-less in the tables; watermarks need TIMESTAMP, so
-streaming jobs cast the event column first (SURVEY §7.4).
+streaming jobs map the event column to the UTC instant with the same wall time
+(``ntz_to_instant``) — windows then follow the data's own clock in any session
+time zone (SURVEY §7.4).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from voltgrid.functions.columns import instant_to_ntz, ntz_to_instant
 from voltgrid.operators import cleaning
 from voltgrid.session import checkpoint_dir
-from voltgrid.sinks.tables import append, current_version_path, upsert
+from voltgrid.sinks.tables import append, collection_log_row, current_version_path, upsert
 from voltgrid.sources import ingest
 
 
@@ -68,10 +71,23 @@ def upsert_sink(root: str, name: str, key: list[str], order_by: list[str]):
     return write
 
 
-def append_sink(root: str, name: str, partition_by: str | None = "date"):
-    """foreachBatch appending to a time-series table."""
+def append_sink(root: str, name: str, partition_by: str | None = "date",
+                audit: tuple[str, str] | None = None):
+    """foreachBatch appending to a time-series table (K03/K04/K08). With
+    ``audit=(data_source, collection_type)`` every micro-batch also appends
+    its K07 audit row; the record count is observed during the write itself
+    (no second pass over the batch)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        append(batch, root, name, partition_by)
+        if audit is None:
+            append(batch, root, name, partition_by)
+            return
+        obs = Observation(f"{name}_{batch_id}")
+        started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        append(batch.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, partition_by)
+        done = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        row = collection_log_row(batch.sparkSession, audit[0], audit[1], int(obs.get.get("rows", 0)),
+                                 "success", started, done)
+        append(row, root, "data_collection_log")
     return write
 
 
@@ -80,7 +96,7 @@ def append_sink(root: str, name: str, partition_by: str | None = "date"):
 def dedupe_stream(stream: DataFrame, event_col: str, key: list[str], delay: str = "2 hours") -> DataFrame:
     """Suppress re-delivered records by key within the watermark
     (state is bounded by the watermark delay)."""
-    s = stream.withColumn("_event_ts", F.col(event_col).cast("timestamp"))
+    s = stream.withColumn("_event_ts", ntz_to_instant(event_col))
     return s.withWatermark("_event_ts", delay).dropDuplicatesWithinWatermark(key).drop("_event_ts")
 
 
@@ -91,19 +107,18 @@ def hourly_usage_stream(usage: DataFrame, delay: str = "2 hours") -> DataFrame:
     an hour is emitted once the watermark passes its end (late rows beyond
     the watermark are dropped by Spark and reported in the query progress as
     ``numRowsDroppedByWatermark``)."""
-    u = usage.withColumn("_ts", F.col("session_start").cast("timestamp")).withWatermark("_ts", delay)
+    u = usage.withColumn("_ts", ntz_to_instant("session_start")).withWatermark("_ts", delay)
     g = u.groupBy(F.window("_ts", "1 hour").alias("w"), "station_id").agg(
         F.count("id").alias("session_count"), F.sum("energy_consumed_kwh").alias("total_energy"))
-    return g.select("station_id", F.col("w.start").cast("timestamp_ntz").alias("hour"), "session_count",
-                    "total_energy")
+    return g.select("station_id", instant_to_ntz("w.start").alias("hour"), "session_count", "total_energy")
 
 
 def quota_counter_stream(log: DataFrame, delay: str = "1 day") -> DataFrame:
     """Calls per data source per calendar day (tumbling 1-day window),
     for update-mode output."""
-    s = log.withColumn("_ts", F.col("started_at").cast("timestamp")).withWatermark("_ts", delay)
+    s = log.withColumn("_ts", ntz_to_instant("started_at")).withWatermark("_ts", delay)
     g = s.groupBy(F.window("_ts", "1 day").alias("w"), "data_source").agg(F.count(F.lit(1)).alias("calls"))
-    return g.select(F.col("data_source").alias("service"), F.col("w.start").cast("timestamp_ntz").alias("day"),
+    return g.select(F.col("data_source").alias("service"), instant_to_ntz("w.start").alias("day"),
                     "calls", (F.col("calls") < 1000).alias("can_use"))
 
 
