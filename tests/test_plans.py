@@ -47,3 +47,23 @@ def test_fanout_free_sums(spark, tables001):
     for op in (views.station_overview, views.station_performance, views.geographic_distribution):
         s = op(tables001).agg(F.sum("total_energy_kwh")).collect()[0][0]
         assert abs(s - float(total)) < 1e-6
+
+
+def _op(line: str) -> str:
+    return line.lstrip(" :+-").strip()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_window_pulls_everything_into_one_task(spark, name):
+    """A window either has a partition key (hash exchange below it) or runs
+    on a bounded top-k (TakeOrderedAndProject); an ``Exchange SinglePartition``
+    directly below a window would gather a whole table into one task."""
+    if name == "a01_isolation_forest_anomalies":
+        pytest.skip("fits a model (action) — covered in test_isolation_forest")
+    df = QUERIES[name](spark, SF001)
+    df.write.format("noop").mode("overwrite").save()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    for i, line in enumerate(lines):
+        if _op(line).startswith("Window ["):
+            below = [_op(x) for x in lines[i + 1:] if not _op(x).startswith("Sort [")]
+            assert below and not below[0].startswith("Exchange SinglePartition"), (name, line)
