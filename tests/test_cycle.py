@@ -25,8 +25,14 @@ def test_collection_cycle(spark, scratch):
     assert spark.read.parquet(store + "/weather_data").count() == log["weather_data"].records_collected > 0
     assert spark.read.parquet(store + "/data_collection_log").count() == len(log)
     feats = spark.read.parquet(store + "/engineered_features")
-    assert feats.count() == kept.count() and "cycle" in feats.columns
-    assert spark.read.parquet(store + "/anomaly_detection").count() >= 1
+    assert feats.count() == kept.count() and "load" in feats.columns
+    n_anom = spark.read.parquet(store + "/anomaly_detection").count()
+    assert n_anom >= 1
+    # re-running the same cycle (same stamp) replaces its own output: no duplicates
+    run_collection_cycle(spark, land, store, AS_OF)
+    assert spark.read.parquet(store + "/weather_data").count() == log["weather_data"].records_collected
+    assert spark.read.parquet(store + "/anomaly_detection").count() == n_anom
+    assert spark.read.parquet(store + "/data_collection_log").count() == len(log)
 
 
 def test_bundles_are_lazy_frames(spark, tables001):

@@ -111,3 +111,8 @@ def test_weather_landing_stream_appends_with_audit(spark, scratch):
     log = spark.read.parquet(scratch + "/store/data_collection_log").collect()
     assert sum(r.records_collected for r in log) == t.weather.count()
     assert all(r.status == "success" and r.data_source == "OpenWeatherMap" for r in log)
+    # a re-delivered micro-batch replaces its own load directory
+    from voltgrid.operators import cleaning
+    replay = cleaning.clean_weather(ingest.read_weather_json(spark, land), AS_OF)   # batch 0 again, from the source
+    sink(replay, 0)
+    assert spark.read.parquet(scratch + "/store/weather_data").count() == t.weather.count()

@@ -8,8 +8,11 @@ batch Spark job over a landing zone:
     every load               → K07 audit row (real start and end, counts
                                 observed during the write — no second pass)
 
-Each load is one distributed write; the driver only sequences them. Incremental
-(streaming) variants of the same steps are in ``voltgrid.streaming.jobs``.
+Each load is one distributed write; the driver only sequences them. Every
+write is keyed by the cycle stamp (upsert versions, ``load=<stamp>``
+directories), so re-running a failed cycle with the same stamp replaces its
+own output — no duplicates. Incremental (streaming) variants of the same steps
+are in ``voltgrid.streaming.jobs``.
 """
 
 from __future__ import annotations
@@ -79,7 +82,7 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
         w = ingest.attach_station(ingest.read_weather_json(spark, wpath), ws)
         weather = sinks.prepare_weather_rows(cleaning.clean_weather(w, as_of))
         audit.append(_load(spark, weather, WEATHER_SOURCE,
-                           lambda d: sinks.append(d, store, "weather_data", "date")))
+                           lambda d: sinks.append(d, store, "weather_data", "date", load_id=stamp)))
 
     # traffic flow and incidents for the first 5 of this cycle's stations
     traffic = spark.createDataFrame([], schema("traffic_data"))
@@ -94,19 +97,19 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
         tr = parts[0] if len(parts) == 1 else ingest.union_flow_incidents(*parts)
         traffic = cleaning.clean_traffic(ingest.attach_station(tr, ts), as_of)
         audit.append(_load(spark, traffic, TRAFFIC_SOURCE,
-                           lambda d: sinks.append(d, store, "traffic_data", "date")))
+                           lambda d: sinks.append(d, store, "traffic_data", "date", load_id=stamp)))
 
     # features of this cycle's data, then anomalies; the feature table is
     # written first (the forest reads it twice, and the write cuts the lineage)
     feats = features.engineer_features(stations, weather, traffic, as_of)
-    feats_path = os.path.join(store, "engineered_features", f"cycle={stamp}")
+    feats_path = os.path.join(store, "engineered_features", f"load={stamp}")
     feats.write.mode("overwrite").parquet(feats_path)
     feats = spark.read.parquet(feats_path)
     anomalies = isolation_forest.detect_anomalies(feats, as_of)
-    sinks.append(sinks.prepare_anomaly_rows(anomalies), store, "anomaly_detection", "date")
+    sinks.append(sinks.prepare_anomaly_rows(anomalies), store, "anomaly_detection", "date", load_id=stamp)
 
     log = audit[0]
     for row in audit[1:]:
         log = log.unionByName(row)
-    sinks.append(log, store, "data_collection_log")
+    sinks.append(log, store, "data_collection_log", load_id=stamp)
     return log

@@ -107,19 +107,25 @@ def upsert(spark: SparkSession, root: str, name: str, batch: DataFrame, key: lis
 # ------------------------------------------------------------------ K03–K10
 
 
-def append(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> None:
+def append(df: DataFrame, root: str, name: str, partition_by: str | None = None,
+           load_id: str | None = None) -> None:
     """K10 (and K04, K05, K08, K09): conform to the table schema and append.
-    Time series pass ``partition_by='date'``."""
+    Time series pass ``partition_by='date'``.
+
+    With ``load_id`` (a cycle stamp or a streaming batch id) the rows go to
+    their own ``load=<id>`` directory, written with overwrite: re-running the
+    same load after a failure replaces its earlier output instead of
+    duplicating it (exactly-once per load). Readers see ``load`` as a
+    partition column; ``conform`` drops it."""
     out = conform(df, name)
-    w = out.write.mode("append")
+    ts_col = {"weather_data": "timestamp", "traffic_data": "timestamp", "usage_data": "session_start",
+              "anomaly_detection": "detected_at"}.get(name)
+    if partition_by == "date" and "date" not in out.columns and ts_col:
+        out = out.withColumn("date", F.to_date(ts_col))
+    w = out.write.mode("overwrite" if load_id is not None else "append")
     if partition_by:
-        ts_col = {"weather_data": "timestamp", "traffic_data": "timestamp", "usage_data": "session_start",
-                  "anomaly_detection": "detected_at"}.get(name)
-        if partition_by == "date" and "date" not in out.columns and ts_col:
-            out = out.withColumn("date", F.to_date(ts_col))
-            w = out.write.mode("append")
         w = w.partitionBy(partition_by)
-    w.parquet(f"{root}/{name}")
+    w.parquet(f"{root}/{name}" if load_id is None else f"{root}/{name}/load={load_id}")
 
 
 def prepare_weather_rows(df: DataFrame) -> DataFrame:

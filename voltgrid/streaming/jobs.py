@@ -72,22 +72,28 @@ def upsert_sink(root: str, name: str, key: list[str], order_by: list[str]):
 
 
 def append_sink(root: str, name: str, partition_by: str | None = "date",
-                audit: tuple[str, str] | None = None):
-    """foreachBatch appending to a time-series table (K03/K04/K08). With
-    ``audit=(data_source, collection_type)`` every micro-batch also appends
-    its K07 audit row; the record count is observed during the write itself
-    (no second pass over the batch)."""
+                audit: tuple[str, str] | None = None, load_prefix: str | None = None):
+    """foreachBatch appending to a time-series table.
+
+    Each micro-batch writes its own ``load=<prefix><batch id>`` directory with
+    overwrite, so a batch re-delivered after a failure replaces its earlier
+    output (exactly-once). With ``audit=(data_source, collection_type)`` the
+    batch also writes its K07 audit row; the record count is observed during
+    the write itself (no second pass over the batch)."""
+    prefix = load_prefix if load_prefix is not None else f"{name}-"
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        load = f"{prefix}{batch_id}"
         if audit is None:
-            append(batch, root, name, partition_by)
+            append(batch, root, name, partition_by, load_id=load)
             return
         obs = Observation(f"{name}_{batch_id}")
         started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        append(batch.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, partition_by)
+        append(batch.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, partition_by, load_id=load)
         done = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         row = collection_log_row(batch.sparkSession, audit[0], audit[1], int(obs.get.get("rows", 0)),
                                  "success", started, done)
-        append(row, root, "data_collection_log")
+        append(row, root, "data_collection_log", load_id=load)
     return write
 
 
