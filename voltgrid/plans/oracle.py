@@ -892,3 +892,35 @@ ORACLE.update({
     "s08_attach_station": q(S08_BODY),
     "s13_stations_in_bbox": q(S13_BODY),
 })
+
+# network-wide forms (by = []) of the pattern operators
+P02N_BODY = f"""
+SELECT COUNT(*) FILTER (WHERE NOT {_WK}) AS weekday_sessions,
+       COUNT(*) FILTER (WHERE {_WK}) AS weekend_sessions,
+       COALESCE(CAST(SUM(CASE WHEN NOT {_WK} THEN energy_consumed_kwh END) AS DOUBLE), 0) AS weekday_energy_kwh,
+       COALESCE(CAST(SUM(CASE WHEN {_WK} THEN energy_consumed_kwh END) AS DOUBLE), 0) AS weekend_energy_kwh,
+       CASE WHEN COUNT(*) FILTER (WHERE {_WK}) > COUNT(*) FILTER (WHERE NOT {_WK})
+            THEN 'weekend_heavy' ELSE 'weekday_heavy' END AS pattern
+FROM usage_data"""
+
+_DAILY_ZN = """
+  SELECT date, session_count, CASE WHEN sd > 0 THEN (session_count - mu) / sd END AS z
+  FROM (SELECT date, session_count, AVG(session_count) OVER () AS mu, STDDEV_SAMP(session_count) OVER () AS sd
+        FROM (SELECT CAST(session_start AS DATE) AS date, COUNT(*) AS session_count
+              FROM usage_data WHERE session_start IS NOT NULL GROUP BY 1))"""
+
+P04N_BODY = f"""SELECT CAST(date AS TIMESTAMP) AS date, session_count, round(z, 6) AS z_score
+FROM ({_DAILY_ZN}) WHERE z < -1.5"""
+
+P06N_BODY = f"""
+SELECT CASE WHEN month(session_start) IN (12, 1, 2) THEN 'Winter'
+            WHEN month(session_start) IN (3, 4, 5) THEN 'Spring'
+            WHEN month(session_start) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season,
+       COUNT(id) AS session_count, COALESCE({D('energy_consumed_kwh')}, 0) AS total_energy_kwh
+FROM usage_data WHERE session_start IS NOT NULL GROUP BY 1"""
+
+ORACLE.update({
+    "p02_weekday_weekend_network": q(P02N_BODY),
+    "p04_low_usage_periods_network": q(P04N_BODY),
+    "p06_seasonal_trends_network": q(P06N_BODY),
+})

@@ -174,4 +174,7 @@ QUERIES: dict[str, Query] = {
         t.weather.select("id", "station_id", "timestamp", "temperature_celsius"), t.stations)),
     "s13_stations_in_bbox": _q(lambda t: derived.points_in_bbox(t.stations, 45.0, 10.0, 2000.0).select(
         "id", "name", "latitude", "longitude")),
+    "p02_weekday_weekend_network": _u(patterns.weekday_weekend, by=[]),
+    "p04_low_usage_periods_network": _u(patterns.low_usage_periods, by=[]),
+    "p06_seasonal_trends_network": _u(patterns.seasonal_trends, by=[]),
 }
