@@ -24,6 +24,14 @@ def test_collection_cycle(spark, scratch):
     assert kept.count() == log["charging_stations"].records_collected
     assert spark.read.parquet(store + "/weather_data").count() == log["weather_data"].records_collected > 0
     assert spark.read.parquet(store + "/data_collection_log").count() == len(log)
+    # the stored tables feed the analytics directly
+    from voltgrid.operators import views
+    from voltgrid.sources.tables import load_tables
+    stored = load_tables(spark, store)
+    assert stored.stations.count() == kept.count()
+    assert stored.weather.count() == log["weather_data"].records_collected
+    assert views.station_statistics(stored).agg({"weather_records": "sum"}).collect()[0][0] == \
+        log["weather_data"].records_collected
     feats = spark.read.parquet(store + "/engineered_features")
     assert feats.count() == kept.count() and "load" in feats.columns
     n_anom = spark.read.parquet(store + "/anomaly_detection").count()

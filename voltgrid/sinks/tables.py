@@ -107,6 +107,17 @@ def upsert(spark: SparkSession, root: str, name: str, batch: DataFrame, key: lis
 # ------------------------------------------------------------------ K03–K10
 
 
+def with_serial_id(df: DataFrame) -> DataFrame:
+    """Fill a missing surrogate ``id`` (the database's SERIAL) with a stable
+    content hash of the row's other columns: the same row gets the same id
+    on every run and every executor (``monotonically_increasing_id`` would
+    not), so retried loads stay idempotent."""
+    if "id" not in df.columns or dict(df.dtypes)["id"] != "bigint":
+        return df
+    others = [F.col(c) for c in df.columns if c != "id"]
+    return df.withColumn("id", F.coalesce(F.col("id"), F.xxhash64(*others)))
+
+
 def append(df: DataFrame, root: str, name: str, partition_by: str | None = None,
            load_id: str | None = None) -> None:
     """K10 (and K04, K05, K08, K09): conform to the table schema and append.
@@ -117,7 +128,7 @@ def append(df: DataFrame, root: str, name: str, partition_by: str | None = None,
     same load after a failure replaces its earlier output instead of
     duplicating it (exactly-once per load). Readers see ``load`` as a
     partition column; ``conform`` drops it."""
-    out = conform(df, name)
+    out = with_serial_id(conform(df, name))
     ts_col = {"weather_data": "timestamp", "traffic_data": "timestamp", "usage_data": "session_start",
               "anomaly_detection": "detected_at"}.get(name)
     if partition_by == "date" and "date" not in out.columns and ts_col:

@@ -64,9 +64,23 @@ class Tables:
                       energy=None if self.energy is None else f(self.energy, "station_id"))
 
 
+UPSERTED = ("charging_stations", "charging_points")
+
+
 def load_tables(spark: SparkSession, root: str) -> Tables:
-    """Canonical tables stored under ``root`` (as written by the sinks)."""
-    r = lambda n: conform(spark.read.schema(schema(n)).parquet(f"{root}/{n}"), n)
+    """Canonical tables stored under ``root`` as the sinks write them: the
+    current version of the upserted tables (stations, points), and the
+    appended time series (all ``load=`` / ``date=`` directories; date
+    filters prune partitions). A table that does not exist yet is empty."""
+    from voltgrid.sinks.tables import _fs, read_versioned
+
+    def r(n):
+        if n in UPSERTED:
+            return conform(read_versioned(spark, root, n), n)
+        fs, p = _fs(spark, f"{root}/{n}")
+        if not fs.exists(p):
+            return spark.createDataFrame([], schema(n))
+        return conform(spark.read.option("basePath", f"{root}/{n}").parquet(f"{root}/{n}"), n)
     return Tables(stations=r("charging_stations"), points=r("charging_points"),
                   usage=r("usage_data"), weather=r("weather_data"), traffic=r("traffic_data"),
                   anomalies=r("anomaly_detection"), log=r("data_collection_log"))
