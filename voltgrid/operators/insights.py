@@ -3,9 +3,9 @@
 Each section of the reference's nested result document is its own lazy
 DataFrame; ``voltgrid.plans.bundles`` assembles them. Thresholds against an
 aggregate (quartiles of per-station counts) are one-row aggregates broadcast
-back (J09) — ``percentile`` keeps a value→count map in its buffer and merges
-partial maps, so its state is bounded by the number of distinct per-station
-values, not by rows. "First ten ids" lists are taken with a top-k
+back (J09); the quartiles are exact but computed with bounded state
+(``functions.quantiles.exact_quantile``: sketch bracket + histogram of the
+bracket), never by gathering every per-station value into one task. "First ten ids" lists are taken with a top-k
 (``orderBy(...).limit(k)``) before anything is collected, so a list never
 holds more than k entries.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import dsum, mean
 from voltgrid.functions.groupstats import attach_one_row
+from voltgrid.functions.quantiles import exact_quantile
 
 # Fixed values of the recommendation rules.
 LOW_QUANTILE = 0.25
@@ -105,7 +106,7 @@ def performance_metrics(stations: DataFrame, usage: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- B04–B08
 
 def _below_quantile(per_station: DataFrame, value: str, q: float) -> DataFrame:
-    thr = per_station.agg(F.percentile(F.col(value).cast("double"), q).alias("threshold"))
+    thr = exact_quantile(per_station, value, q)
     return attach_one_row(per_station, thr).where(F.col(value).cast("double") < F.col("threshold"))
 
 
@@ -131,7 +132,7 @@ def capacity_expansion(usage: DataFrame, points: DataFrame) -> DataFrame:
     sessions, those with fewer than four points. Skipped when no point is
     known at all."""
     st = _sessions_by_station(usage)
-    thr = st.agg(F.percentile(F.col("sessions").cast("double"), HIGH_QUANTILE).alias("threshold"))
+    thr = exact_quantile(st, "sessions", HIGH_QUANTILE)
     high = attach_one_row(st, thr).where(F.col("sessions") > F.col("threshold"))
     first = high.select("station_id").orderBy("station_id").limit(FIRST_HIGH)
     j = first.join(_points_by_station(points), "station_id", "left") \
@@ -156,7 +157,7 @@ def geographic_gaps(stations: DataFrame) -> DataFrame:
     """States whose station count is below the 25th percentile."""
     per_state = stations.where(F.col("state").isNotNull()).groupBy("state").agg(
         F.count(F.lit(1)).alias("station_count"))
-    thr = per_state.agg(F.percentile(F.col("station_count").cast("double"), LOW_QUANTILE).alias("threshold"))
+    thr = exact_quantile(per_state, "station_count", LOW_QUANTILE)
     return attach_one_row(per_state, thr).where(F.col("station_count") < F.col("threshold")) \
         .select("state", "station_count")
 

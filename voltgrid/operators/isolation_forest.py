@@ -18,7 +18,8 @@ score
   the model is broadcast and every row is scored by a vectorised
   ``mapInPandas`` (Arrow batches): ``s = 2^(−E[h(x)]/c(ψ))``;
   ``decision = −s − percentile(−s, contamination)`` — the exact percentile of
-  the training scores, a one-row aggregate — and ``decision < 0`` flags.
+  the training scores with bounded state (``functions.quantiles``) — and
+  ``decision < 0`` flags.
 
 Scores follow the published algorithm but not a particular library's random
 stream, so they are checked by invariants (tests), not values.
@@ -41,6 +42,7 @@ from pyspark import cloudpickle
 
 from voltgrid.operators.anomalies import MODEL_FEATURES, anomaly_rows, feature_matrix
 from voltgrid.functions.groupstats import attach_one_row
+from voltgrid.functions.quantiles import exact_quantile
 
 # Functions of this module run inside Python workers (applyInPandas /
 # mapInPandas); ship them by value so executors need no installed package.
@@ -230,7 +232,7 @@ def detect_anomalies(features: DataFrame, as_of: _dt.datetime, contamination: fl
     anomaly rows (severity = |decision|)."""
     model = model or fit(features, n_trees, max_samples, seed)
     s = score(model, features).withColumn("neg", -F.col("score"))
-    offset = s.agg(F.percentile("neg", contamination).alias("offset"))
+    offset = exact_quantile(s, "neg", contamination, name="offset")
     d = attach_one_row(s, offset).withColumn("decision", F.col("neg") - F.col("offset"))
     return anomaly_rows(d.where(F.col("decision") < 0), "decision", as_of)
 
@@ -239,6 +241,6 @@ def decision_values(features: DataFrame, model: IsolationForestModel,
                     contamination: float = CONTAMINATION) -> DataFrame:
     """station_id, score, decision for every row (for inspection/tests)."""
     s = score(model, features).withColumn("neg", -F.col("score"))
-    offset = s.agg(F.percentile("neg", contamination).alias("offset"))
+    offset = exact_quantile(s, "neg", contamination, name="offset")
     return attach_one_row(s, offset).select(
         "station_id", "score", (F.col("neg") - F.col("offset")).alias("decision"))
