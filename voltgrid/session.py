@@ -54,6 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is invisible to other executors: refuse
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
+                           "for checkpoints and streaming state")
     path = tempfile.mkdtemp(prefix="voltgrid-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return path
