@@ -924,3 +924,23 @@ ORACLE.update({
     "p04_low_usage_periods_network": q(P04N_BODY),
     "p06_seasonal_trends_network": q(P06N_BODY),
 })
+
+
+def _long_by(src: str, section: str, metrics: list[str], summary: str) -> str:
+    parts = [f"SELECT station_id, '{section}' AS section, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {src}"
+             for m in metrics]
+    parts.append(f"SELECT station_id, 'summary', '{summary}', CAST(data_points AS DOUBLE) FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+R08S_BODY = "\nUNION ALL\n".join([
+    _long_by("wrs", "weather_correlation", ["temperature_vs_sessions", "precipitation_vs_sessions", "data_points"],
+             "weather_data_points"),
+    _long_by("trs", "traffic_correlation", ["traffic_density_vs_sessions", "average_speed_vs_sessions",
+                                            "data_points"], "traffic_data_points"),
+    _long_by("crs", "combined_correlation", ["temperature", "precipitation", "traffic_density", "average_speed",
+                                             "data_points"], "combined_data_points"),
+])
+
+ORACLE["r08_correlation_report_by_station"] = q(
+    R08S_BODY, ("hu", HU), ("wrs", _r02("h.station_id")), ("trs", _r04("h.station_id")), ("crs", _r06("h.station_id")))

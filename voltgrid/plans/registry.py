@@ -177,4 +177,6 @@ QUERIES: dict[str, Query] = {
     "p02_weekday_weekend_network": _u(patterns.weekday_weekend, by=[]),
     "p04_low_usage_periods_network": _u(patterns.low_usage_periods, by=[]),
     "p06_seasonal_trends_network": _u(patterns.seasonal_trends, by=[]),
+    "r08_correlation_report_by_station": _wtu(corr.correlation_report, "weather", "traffic", "usage",
+                                              by=["station_id"]),
 }
