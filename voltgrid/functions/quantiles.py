@@ -9,9 +9,9 @@ more than a narrow bracket of values:
    bounded by the accuracy) returns values at ranks q ± 3/accuracy; its rank
    error is at most n/accuracy, so the two exact order statistics needed for
    the interpolation lie between them;
-2. one pass counts the rows below the bracket and histograms the distinct
-   values inside it (value, count) — at most ~8·n/accuracy distinct values,
-   however many duplicates;
+2. one pass histograms the distinct values inside the bracket (value,
+   count) — at most ~8·n/accuracy of them, however many duplicates — and
+   counts the rows below it in the same aggregation;
 3. the order statistics k and k+1 are read from the sorted histogram with a
    running count (``aggregate`` over the array) and interpolated.
 
@@ -39,12 +39,14 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold",
                    F.percentile_approx("_x", [max(0.0, q - eps), min(1.0, q + eps)], accuracy).alias("_b")) \
         .select("_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"),
                 F.floor(pos).alias("_k"), (pos - F.floor(pos)).alias("_f"))
-    j = attach_one_row(x, sketch)
-    below = j.agg(F.count_if(F.col("_x") < F.col("_lo")).alias("_below"))
-    hist = (j.where(F.col("_x").between(F.col("_lo"), F.col("_hi"))).groupBy("_x")
-            .agg(F.count(F.lit(1)).alias("_c"))
-            .agg(F.sort_array(F.collect_list(F.struct("_x", "_c"))).alias("_h")))
-    one = attach_one_row(attach_one_row(sketch, below), hist)
+    # one pass: rows below the bracket collapse into a single NULL key, rows
+    # inside keep their value; one histogram row per distinct bracket value
+    j = attach_one_row(x, sketch).where(F.col("_x") <= F.col("_hi"))
+    key = F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_x")
+    hist = (j.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
+            .agg(F.coalesce(F.sum(F.when(F.col("_x").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
+                 F.sort_array(F.collect_list(F.when(F.col("_x").isNotNull(), F.struct("_x", "_c")))).alias("_h")))
+    one = attach_one_row(sketch, hist)
     idx = F.col("_k") - F.col("_below")                     # 0-based index inside the bracket
     init = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("vk"),
                     F.lit(None).cast("double").alias("vk1"))
