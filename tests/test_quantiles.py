@@ -5,6 +5,8 @@ import pytest
 
 from voltgrid.functions.quantiles import exact_quantile
 
+SMALL_FOR_TEST = 5     # forces the bracket path for n > 5
+
 
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0])
 def test_matches_numpy_with_duplicates_and_nulls(spark, q):
@@ -12,8 +14,24 @@ def test_matches_numpy_with_duplicates_and_nulls(spark, q):
     vals = np.concatenate([rng.normal(0, 1, 3000), np.full(2000, 0.5), rng.integers(0, 5, 1000)])
     rows = [(float(v),) for v in vals] + [(None,)] * 17
     df = spark.createDataFrame(rows, "v double").repartition(7)
-    got = exact_quantile(df, "v", q, accuracy=500).collect()[0].threshold   # small accuracy: tight bracket
-    assert got == pytest.approx(float(np.quantile(vals, q)), rel=1e-12, abs=1e-12)
+    want = float(np.quantile(vals, q))
+    # bracket path (n > small) with a coarse sketch, and the all-values path
+    got = exact_quantile(df, "v", q, accuracy=500, small=100).collect()[0].threshold
+    assert got == pytest.approx(want, rel=1e-12, abs=1e-12)
+    assert exact_quantile(df, "v", q).collect()[0].threshold == pytest.approx(want, rel=1e-12, abs=1e-12)
+    tight = exact_quantile(df, "v", q, accuracy=10_000, small=3000).collect()[0].threshold   # ±~8 ranks
+    assert tight == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 10, 20, 101, 250])
+@pytest.mark.parametrize("q", [0.25, 0.75])
+def test_small_and_boundary_sizes(spark, n, q):
+    vals = np.random.default_rng(n).integers(0, 50, n).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    want = float(np.quantile(vals, q))
+    for small in (SMALL_FOR_TEST, 100_000):
+        got = exact_quantile(df, "v", q, accuracy=1000, small=small).collect()[0].threshold
+        assert got == pytest.approx(want, rel=1e-12, abs=1e-12), (n, q, small)
 
 
 def test_empty_and_single(spark):

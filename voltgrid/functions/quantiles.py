@@ -6,9 +6,10 @@ result (numpy/pandas ``linear``, DuckDB ``quantile_cont``) while no task holds
 more than a narrow bracket of values:
 
 1. a ``percentile_approx`` sketch (mergeable, partial aggregation, memory
-   bounded by the accuracy) returns values at ranks q ± 3/accuracy; its rank
-   error is at most n/accuracy, so the two exact order statistics needed for
-   the interpolation lie between them;
+   bounded by the accuracy) returns values at ranks q ± δ; with its rank
+   error ≤ n/accuracy and δ sized for it, the two exact order statistics
+   needed for the interpolation lie between them (small inputs skip the
+   bracket and histogram every value);
 2. one pass histograms the distinct values inside the bracket (value,
    count) — at most ~8·n/accuracy of them, however many duplicates — and
    counts the rows below it in the same aggregation;
@@ -26,18 +27,26 @@ from pyspark.sql import functions as F
 from voltgrid.functions.groupstats import attach_one_row
 
 ACCURACY = 100_000
+SMALL = 100_000          # up to this many values, histogram them all (bounded)
 
 
 def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold",
-                   accuracy: int = ACCURACY) -> DataFrame:
+                   accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
     """One row, one column ``name``: the exact ``q`` quantile of ``col``
-    (NULLs ignored; NULL when there is no value)."""
+    (NULLs ignored; NULL when there is no value).
+
+    Bracket width: the sketch's rank error is ≤ n/accuracy, and the
+    interpolation ranks ⌊q(n−1)⌋+1, +2 differ from q·n by at most 2, so
+    percentages q ± (3/accuracy + 3/small) enclose both order statistics
+    whenever n > small; for n ≤ small every value is histogrammed."""
     x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    eps = 3.0 / accuracy
+    delta = 3.0 / accuracy + 3.0 / small
     pos = F.lit(float(q)) * (F.col("_n") - 1)
+    big = F.col("_n") > small
     sketch = x.agg(F.count("_x").alias("_n"),
-                   F.percentile_approx("_x", [max(0.0, q - eps), min(1.0, q + eps)], accuracy).alias("_b")) \
-        .select("_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"),
+                   F.percentile_approx("_x", [max(0.0, q - delta), min(1.0, q + delta)], accuracy).alias("_b")) \
+        .select("_n", F.when(big, F.col("_b")[0]).otherwise(F.lit(float("-inf"))).alias("_lo"),
+                F.when(big, F.col("_b")[1]).otherwise(F.lit(float("inf"))).alias("_hi"),
                 F.floor(pos).alias("_k"), (pos - F.floor(pos)).alias("_f"))
     # one pass: rows below the bracket collapse into a single NULL key, rows
     # inside keep their value; one histogram row per distinct bracket value
