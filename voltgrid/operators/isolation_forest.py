@@ -41,6 +41,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark import cloudpickle
 
 from voltgrid.operators.anomalies import MODEL_FEATURES, anomaly_rows, feature_matrix
+from voltgrid.session import checkpoint_dir
 from voltgrid.functions.groupstats import attach_one_row
 from voltgrid.functions.quantiles import exact_quantile
 
@@ -224,14 +225,25 @@ def score(model: IsolationForestModel, features: DataFrame) -> DataFrame:
     return X.mapInPandas(run, schema="station_id string, score double")
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the session's shared ``spark.checkpoint.dir``:
+    cuts the lineage so later passes (and recovery after a lost executor)
+    read the written result instead of recomputing the feature pipeline."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def detect_anomalies(features: DataFrame, as_of: _dt.datetime, contamination: float = CONTAMINATION,
                      n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, seed: int = SEED,
                      model: IsolationForestModel | None = None) -> DataFrame:
     """Fit (unless a model is given), score every station, flag the
     ``contamination`` share with the lowest decision values, and emit
-    anomaly rows (severity = |decision|)."""
-    model = model or fit(features, n_trees, max_samples, seed)
-    s = score(model, features).withColumn("neg", -F.col("score"))
+    anomaly rows (severity = |decision|). Fitting is an action; the feature
+    matrix and the scores are checkpointed once, so neither the feature
+    pipeline nor the Python scoring runs more than once."""
+    X = _materialize(feature_matrix(features))
+    model = model or fit(X, n_trees, max_samples, seed)
+    s = _materialize(score(model, X).withColumn("neg", -F.col("score")))
     offset = exact_quantile(s, "neg", contamination, name="offset")
     d = attach_one_row(s, offset).withColumn("decision", F.col("neg") - F.col("offset"))
     return anomaly_rows(d.where(F.col("decision") < 0), "decision", as_of)
