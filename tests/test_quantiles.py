@@ -38,3 +38,19 @@ def test_empty_and_single(spark):
     assert exact_quantile(spark.createDataFrame([], "v double"), "v", 0.25).collect()[0].threshold is None
     one = spark.createDataFrame([(4.0,)], "v double")
     assert exact_quantile(one, "v", 0.25).collect()[0].threshold == 4.0
+
+
+def test_several_specs_in_one_pass(spark):
+    from voltgrid.functions.quantiles import exact_quantiles
+    rng = np.random.default_rng(11)
+    a = rng.integers(0, 40, 3000).astype(float)
+    b = rng.normal(5, 2, 3000)
+    df = spark.createDataFrame([(float(x), float(y) if i % 9 else None) for i, (x, y) in enumerate(zip(a, b))],
+                               "a double, b double")
+    bb = np.array([float(y) for i, y in enumerate(b) if i % 9])
+    specs = [("a", 0.25, "a25"), ("a", 0.75, "a75"), ("b", 0.1, "b10")]
+    for small in (100, 100_000):
+        r = exact_quantiles(df, specs, accuracy=2000, small=small).collect()[0]
+        assert r.a25 == pytest.approx(float(np.quantile(a, 0.25)), rel=1e-12)
+        assert r.a75 == pytest.approx(float(np.quantile(a, 0.75)), rel=1e-12)
+        assert r.b10 == pytest.approx(float(np.quantile(bb, 0.1)), rel=1e-12)

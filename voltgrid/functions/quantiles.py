@@ -30,45 +30,84 @@ ACCURACY = 100_000
 SMALL = 100_000          # up to this many values, histogram them all (bounded)
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold",
-                   accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
-    """One row, one column ``name``: the exact ``q`` quantile of ``col``
-    (NULLs ignored; NULL when there is no value).
+def _running_pick(idx):
+    """Fold step over the sorted (value, count) histogram: remember the
+    values at bracket positions idx and idx + 1 (running count)."""
+    def step(acc, e):
+        cum = acc["cum"] + e["_c"]
+        return F.struct(cum.alias("cum"),
+                        F.when(acc["vk"].isNull() & (cum > idx), e["_x"]).otherwise(acc["vk"]).alias("vk"),
+                        F.when(acc["vk1"].isNull() & (cum > idx + 1), e["_x"]).otherwise(acc["vk1"]).alias("vk1"))
+    return step
+
+
+def exact_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], accuracy: int = ACCURACY,
+                    small: int = SMALL) -> DataFrame:
+    """One row with one column per spec ``(column, q, name)``: the exact
+    ``q`` quantile of ``column`` (NULLs ignored; NULL when there is no
+    value). All specs share one sketch aggregation and one histogram pass.
 
     Bracket width: the sketch's rank error is ≤ n/accuracy, and the
     interpolation ranks ⌊q(n−1)⌋+1, +2 differ from q·n by at most 2, so
     percentages q ± (3/accuracy + 3/small) enclose both order statistics
     whenever n > small; for n ≤ small every value is histogrammed."""
-    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     delta = 3.0 / accuracy + 3.0 / small
-    pos = F.lit(float(q)) * (F.col("_n") - 1)
-    big = F.col("_n") > small
-    sketch = x.agg(F.count("_x").alias("_n"),
-                   F.percentile_approx("_x", [max(0.0, q - delta), min(1.0, q + delta)], accuracy).alias("_b")) \
-        .select("_n", F.when(big, F.col("_b")[0]).otherwise(F.lit(float("-inf"))).alias("_lo"),
-                F.when(big, F.col("_b")[1]).otherwise(F.lit(float("inf"))).alias("_hi"),
-                F.floor(pos).alias("_k"), (pos - F.floor(pos)).alias("_f"))
-    # one pass: rows below the bracket collapse into a single NULL key, rows
-    # inside keep their value; one histogram row per distinct bracket value
-    j = attach_one_row(x, sketch).where(F.col("_x") <= F.col("_hi"))
-    key = F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_x")
-    hist = (j.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-            .agg(F.coalesce(F.sum(F.when(F.col("_x").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
-                 F.sort_array(F.collect_list(F.when(F.col("_x").isNotNull(), F.struct("_x", "_c")))).alias("_h")))
-    one = attach_one_row(sketch, hist)
-    idx = F.col("_k") - F.col("_below")                     # 0-based index inside the bracket
-    init = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("vk"),
-                    F.lit(None).cast("double").alias("vk1"))
+    aggs = []
+    for i, (c, q, _) in enumerate(specs):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"_n{i}"),
+                 F.percentile_approx(x, [max(0.0, q - delta), min(1.0, q + delta)], accuracy).alias(f"_b{i}")]
+    raw = df.agg(*aggs)
+    cols = []
+    for i, (_, q, _) in enumerate(specs):
+        n = F.col(f"_n{i}")
+        pos = F.lit(float(q)) * (n - 1)
+        cols += [n, F.when(n > small, F.col(f"_b{i}")[0]).otherwise(F.lit(float("-inf"))).alias(f"_lo{i}"),
+                 F.when(n > small, F.col(f"_b{i}")[1]).otherwise(F.lit(float("inf"))).alias(f"_hi{i}"),
+                 F.floor(pos).alias(f"_k{i}"), (pos - F.floor(pos)).alias(f"_f{i}")]
+    sketch = raw.select(*cols)
 
-    def step(acc, e):
-        cum = acc["cum"] + e["_c"]
-        return F.struct(cum.alias("cum"),
-                        F.when(acc["vk"].isNull() & (cum > idx), e["_x"]).otherwise(acc["vk"]).alias("vk"),
-                        F.when(acc["vk1"].isNull() & (cum > idx + 1), e["_x"]).otherwise(acc["vk1"]).alias("vk1"))
-    picked = F.aggregate("_h", init, step)
-    vk, vk1 = picked["vk"], F.coalesce(picked["vk1"], picked["vk"])
-    value = F.when(F.col("_f") == 0, vk).otherwise(vk + (vk1 - vk) * F.col("_f"))
-    # the sketch guarantee makes a miss impossible; fail loudly rather than return a wrong value
-    checked = F.when((F.col("_n") > 0) & ((idx < 0) | vk.isNull()),
-                     F.raise_error(F.lit("exact_quantile: bracket missed the target rank"))).otherwise(value)
-    return one.select(F.when(F.col("_n") > 0, checked).alias(name))
+    # one pass over (spec, value) pairs: rows below a spec's bracket collapse
+    # into one NULL key, rows inside keep their value
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_x"))
+                                         for i, (c, _, _) in enumerate(specs)])).alias("_e")) \
+        .select("_e._i", "_e._x").where(F.col("_x").isNotNull())
+
+    def pick(prefix):
+        expr = None
+        for i in range(len(specs)):
+            expr = (F.when(F.col("_i") == i, F.col(f"{prefix}{i}")) if expr is None
+                    else expr.when(F.col("_i") == i, F.col(f"{prefix}{i}")))
+        return expr
+    j = attach_one_row(long, sketch).where(F.col("_x") <= pick("_hi"))
+    key = F.when(F.col("_x") >= pick("_lo"), F.col("_x")).alias("_v")
+    per_spec = (j.groupBy("_i", key).agg(F.count(F.lit(1)).alias("_c"))
+                .groupBy("_i").agg(
+                    F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
+                    F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(),
+                                                       F.struct(F.col("_v").alias("_x"), "_c")))).alias("_h")))
+    packed = per_spec.agg(*[F.first(F.when(F.col("_i") == i, F.struct("_below", "_h")), ignorenulls=True)
+                          .alias(f"_r{i}") for i in range(len(specs))])
+    one = attach_one_row(sketch, packed)
+    out = []
+    for i, (_, _, name) in enumerate(specs):
+        r = F.col(f"_r{i}")
+        idx = F.col(f"_k{i}") - r["_below"]                 # 0-based index inside the bracket
+        init = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("vk"),
+                        F.lit(None).cast("double").alias("vk1"))
+
+        picked = F.aggregate(r["_h"], init, _running_pick(idx))
+        vk, vk1 = picked["vk"], F.coalesce(picked["vk1"], picked["vk"])
+        f = F.col(f"_f{i}")
+        value = F.when(f == 0, vk).otherwise(vk + (vk1 - vk) * f)
+        # the bracket provably covers the target ranks; fail loudly rather than return a wrong value
+        checked = F.when((idx < 0) | vk.isNull(),
+                         F.raise_error(F.lit("exact_quantiles: bracket missed the target rank"))).otherwise(value)
+        out.append(F.when(F.col(f"_n{i}") > 0, checked).alias(name))
+    return one.select(*out)
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold",
+                   accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
+    """One row, one column ``name``: the exact ``q`` quantile of ``col``."""
+    return exact_quantiles(df, [(col, q, name)], accuracy, small)

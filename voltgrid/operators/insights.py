@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import dsum, mean
 from voltgrid.functions.groupstats import attach_one_row
-from voltgrid.functions.quantiles import exact_quantile
+from voltgrid.functions.quantiles import exact_quantile, exact_quantiles
 
 # Fixed values of the recommendation rules.
 LOW_QUANTILE = 0.25
@@ -105,11 +105,19 @@ def performance_metrics(stations: DataFrame, usage: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- B04–B08
 
-def _below_quantile(per_station: DataFrame, value: str, q: float) -> DataFrame:
-    thr = exact_quantile(per_station, value, q)
+def _below(per_station: DataFrame, value: str, thr: DataFrame) -> DataFrame:
+    """Rows whose ``value`` is below the one-row ``threshold``."""
     return attach_one_row(per_station, thr).where(F.col(value).cast("double") < F.col("threshold"))
 
 
+def _thresholds(st: DataFrame) -> DataFrame:
+    """The three per-station quartile thresholds of B04–B06 in one shared
+    sketch + histogram pass."""
+    return exact_quantiles(st, [("sessions", LOW_QUANTILE, "low_sessions"),
+                                ("sessions", HIGH_QUANTILE, "high_sessions"),
+                                ("revenue", LOW_QUANTILE, "low_revenue")])
+
+
 def _first_ids(df: DataFrame, n: int) -> DataFrame:
     """count of rows and the first ``n`` station ids (string order)."""
     cnt = df.agg(F.count(F.lit(1)).alias("n_stations"))
@@ -118,21 +126,27 @@ def _first_ids(df: DataFrame, n: int) -> DataFrame:
     return attach_one_row(cnt.where(F.col("n_stations") > 0), first)
 
 
-def underutilized_stations(usage: DataFrame) -> DataFrame:
+def underutilized_stations(usage: DataFrame, _st: DataFrame | None = None,
+                           _thr: DataFrame | None = None) -> DataFrame:
     """Stations with fewer sessions than the 25th percentile."""
-    low = _below_quantile(_sessions_by_station(usage), "sessions", LOW_QUANTILE)
+    st = _sessions_by_station(usage) if _st is None else _st
+    thr = exact_quantile(st, "sessions", LOW_QUANTILE) if _thr is None else \
+        _thr.select(F.col("low_sessions").alias("threshold"))
+    low = _below(st, "sessions", thr)
     return _first_ids(low, FIRST_IDS).select(
         F.lit("underutilized_stations").alias("type"), F.lit("medium").alias("priority"),
         F.format_string("%d stations have low usage. Consider marketing or relocation.", "n_stations")
         .alias("recommendation"), "n_stations", "affected_stations")
 
 
-def capacity_expansion(usage: DataFrame, points: DataFrame) -> DataFrame:
+def capacity_expansion(usage: DataFrame, points: DataFrame, _st: DataFrame | None = None,
+                       _thr: DataFrame | None = None) -> DataFrame:
     """Among the first five stations above the 75th percentile of
     sessions, those with fewer than four points. Skipped when no point is
     known at all."""
-    st = _sessions_by_station(usage)
-    thr = exact_quantile(st, "sessions", HIGH_QUANTILE)
+    st = _sessions_by_station(usage) if _st is None else _st
+    thr = exact_quantile(st, "sessions", HIGH_QUANTILE) if _thr is None else \
+        _thr.select(F.col("high_sessions").alias("threshold"))
     high = attach_one_row(st, thr).where(F.col("sessions") > F.col("threshold"))
     first = high.select("station_id").orderBy("station_id").limit(FIRST_HIGH)
     j = first.join(_points_by_station(points), "station_id", "left") \
@@ -144,9 +158,13 @@ def capacity_expansion(usage: DataFrame, points: DataFrame) -> DataFrame:
         "station_id", "points")
 
 
-def pricing_optimization(usage: DataFrame) -> DataFrame:
+def pricing_optimization(usage: DataFrame, _st: DataFrame | None = None,
+                         _thr: DataFrame | None = None) -> DataFrame:
     """Stations whose revenue is below the 25th percentile."""
-    low = _below_quantile(_sessions_by_station(usage), "revenue", LOW_QUANTILE)
+    st = _sessions_by_station(usage) if _st is None else _st
+    thr = exact_quantile(st, "revenue", LOW_QUANTILE) if _thr is None else \
+        _thr.select(F.col("low_revenue").alias("threshold"))
+    low = _below(st, "revenue", thr)
     return _first_ids(low, FIRST_IDS).select(
         F.lit("pricing_optimization").alias("type"), F.lit("medium").alias("priority"),
         F.format_string("%d stations have low revenue. Review pricing strategy.", "n_stations")
@@ -166,12 +184,14 @@ def network_recommendations(stations: DataFrame, usage: DataFrame, points: DataF
     """B04–B07 as one table (type, priority, recommendation, station_id,
     affected JSON list); without any usage, the single data-collection row."""
     cols = ["type", "priority", "recommendation", "station_id", "affected"]
-    u = underutilized_stations(usage).select(
+    st = _sessions_by_station(usage)
+    thr = _thresholds(st)
+    u = underutilized_stations(usage, st, thr).select(
         "type", "priority", "recommendation", F.lit(None).cast("string").alias("station_id"),
         F.to_json("affected_stations").alias("affected"))
-    c = capacity_expansion(usage, points).select(
+    c = capacity_expansion(usage, points, st, thr).select(
         "type", "priority", "recommendation", "station_id", F.lit(None).cast("string").alias("affected"))
-    p = pricing_optimization(usage).select(
+    p = pricing_optimization(usage, st, thr).select(
         "type", "priority", "recommendation", F.lit(None).cast("string").alias("station_id"),
         F.to_json("affected_stations").alias("affected"))
     # the low-coverage states of a geography (bounded by its number of states)
