@@ -944,3 +944,5 @@ R08S_BODY = "\nUNION ALL\n".join([
 
 ORACLE["r08_correlation_report_by_station"] = q(
     R08S_BODY, ("hu", HU), ("wrs", _r02("h.station_id")), ("trs", _r04("h.station_id")), ("crs", _r06("h.station_id")))
+
+ORACLE["r05_congestion_impact_by_station"] = q(_impact_sql(_TJ, "congestion_level", "station_id"), ("hu", HU))

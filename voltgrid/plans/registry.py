@@ -179,4 +179,5 @@ QUERIES: dict[str, Query] = {
     "p06_seasonal_trends_network": _u(patterns.seasonal_trends, by=[]),
     "r08_correlation_report_by_station": _wtu(corr.correlation_report, "weather", "traffic", "usage",
                                               by=["station_id"]),
+    "r05_congestion_impact_by_station": _wtu(corr.congestion_impact, "traffic", "usage", by=["station_id"]),
 }
