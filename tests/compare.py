@@ -20,7 +20,8 @@ import pandas as pd  # noqa: E402
 # contract is "same number", not "close").
 REL_TOL = float(os.environ.get("COMPARE_REL_TOL", "1e-12"))
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
