@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltgrid.llm import chat, mixing, pii, quality, sharding, tokens
+from voltgrid.llm import chat, minhash, mixing, pii, quality, sharding, suffixes, tokens
 from voltgrid.llm.common import documents
 
 
@@ -16,6 +16,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "copies")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document."""
     return sharding.assign(documents(spark, sf_dir).select("doc_id"))
@@ -48,6 +54,15 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without their repeated byte strings."""
+    out = suffixes.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     found = pii.detect(documents(spark, sf_dir).select("doc_id", "text"))
@@ -64,5 +79,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("broken_rules", ",").alias("broken_rules"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_sharding, op4_token_files, op5_chat_formatting, op9_pii,
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_minhash, op3_sharding, op4_token_files, op5_chat_formatting, op8_suffix_dedup, op9_pii,
                                    op10_quality)}
