@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltgrid.llm import chat, minhash, mixing, pii, quality, sharding, suffixes, tokens
+from voltgrid.llm import chat, decontam, langid, minhash, mixing, pii, quality, sharding, suffixes, tokens
 from voltgrid.llm.common import documents
 
 
@@ -54,6 +54,21 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those not held out."""
+    third = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", third.alias("held_out"))
+    model = langid.fit(docs.where(~F.col("held_out")).select("text", "lang"))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold items of the benchmark, with the items."""
+    return decontam.find_leaks(documents(spark, sf_dir).select("doc_id", "text"),
+                               spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of all documents without their repeated byte strings."""
     out = suffixes.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
@@ -79,5 +94,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("broken_rules", ",").alias("broken_rules"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_minhash, op3_sharding, op4_token_files, op5_chat_formatting, op8_suffix_dedup, op9_pii,
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_minhash, op3_sharding, op4_token_files, op5_chat_formatting, op6_language_id,
+                                   op7_decontamination, op8_suffix_dedup, op9_pii,
                                    op10_quality)}

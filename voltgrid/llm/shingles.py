@@ -15,13 +15,13 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
-def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], separates: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, in order, and for each text
     the bounds of its words (len(texts) + 1 numbers). ``lower``: A-Z only."""
     data, starts, _ = byte_view(texts)
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    space = _SPACE[data]
+    space = separates[data]
     first = ~space
     first[1:] &= space[:-1]
     at = np.flatnonzero(first)
@@ -34,7 +34,7 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
     longest = int(seg.max())
     power = np.ones(longest, np.uint64)
     power[1:] = np.cumprod(np.full(longest - 1, _BASE, np.uint64))
-    value = (_LOWER[data] if lower else data)[at[0]:].astype(np.uint64) + np.uint64(1)
+    value = _LOWER[data[at[0]:]].astype(np.uint64) + np.uint64(1)
     value[space[at[0]:]] = 0
     return mix64(np.add.reduceat(value * power[place], at - at[0])), bounds
 
