@@ -198,12 +198,14 @@ def _open_regions(members: DataFrame, found: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (which has doc_id and ``text``): doc_id,
-    digest (of the set, 16 bytes), text_key, n_shingles, component_id, kept."""
+    digest (of the set, 16 bytes), text_key, n_shingles, component_id, kept,
+    stays (kept, and the first by text where several rows share the doc_id)."""
     rows = materialize(_sketches(docs, text), "sketches")
     full = rows.where("n_shingles > 0")
+    # the first row of a set: by doc_id, NULL last, then by text
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     nodes = materialize(
-        full.groupBy("digest").agg(F.min("doc_id").alias("least_id"),
-                                   F.min(F.struct("doc_id", "text_key")).alias("from"),
+        full.groupBy("digest").agg(F.min(row).alias("from"),
                                    F.first("keys").alias("keys"), F.first("sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     places = nodes.select("node", F.explode("keys").alias("key"))
@@ -234,10 +236,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         links = links.unionByName(materialize(_confirm(candidates(left), nodes, sets, percent), "links"))
         found = materialize(components(links), "components")
 
-    named = nodes.select("node", "digest", "least_id").join(found, "node", "left").withColumn(
+    named = nodes.select("node", "digest", "from").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_set = named.join(least, "component").select("digest", "component_id")
+    least = named.groupBy("component").agg(F.min("from").alias("first"))
+    by_set = named.join(least, "component").select("digest", "first")
+    linked = F.col("n_shingles") > 0
     return (rows.select("doc_id", "digest", "text_key", "n_shingles").join(by_set, "digest", "left")
-            .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+            .withColumn("component_id", F.when(linked, F.col("first.doc_id")).otherwise(F.col("doc_id")))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .withColumn("stays", F.col("kept") & (~linked | (F.col("text_key") == F.col("first.text_key"))))
+            .drop("first"))
+
+
+def keep_one(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay, with the input's columns: one for each
+    component, and each row without words."""
+    cols = docs.columns
+    key = lambda doc_id, text_key: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), text_key)
+    judged = near_duplicates(docs, text, percent).where("stays")
+    stays = judged.select(key(F.col("doc_id"), F.col("text_key")).alias("__llm_key")).distinct()
+    rows = docs.withColumn("__llm_key", key(F.col("doc_id"), F.md5(F.coalesce(F.col(text), F.lit("")))))
+    return rows.join(stays, "__llm_key", "left_semi").dropDuplicates(["__llm_key"]).select(
+        *[F.col(f"`{c}`") for c in cols])
