@@ -66,6 +66,8 @@ def ngram_counts(texts: list[str | None]) -> np.ndarray:
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]          # one edge after each word
     at = np.flatnonzero(keep)
+    if not len(at):
+        return np.zeros((n, DIM), np.int64)
     doc = np.repeat(np.arange(n), sizes)[at]
     c = letter[at].astype(np.uint64)
     c1 = np.concatenate([[np.uint64(0)], c[:-1]])

@@ -101,7 +101,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        whole = [k for k, t in enumerate(texts) if UNSAFE.search(t) or not t]
+        whole = [k for k, t in enumerate(texts) if not t or t[0] == " " or UNSAFE.search(t)]
         for k, ids in zip(whole, self._plain([texts[k] for k in whole]), strict=True):
             out[k] = ids
         rest = [k for k in range(len(texts)) if out[k] is None]
