@@ -16,10 +16,11 @@ def test_collection_cycle(spark, scratch):
     documents.weather_documents(t.weather).write.text(land + "/weather")
     documents.traffic_flow_documents(t.traffic).write.text(land + "/traffic")
     log = {r.collection_type: r for r in run_collection_cycle(spark, land, store, AS_OF).collect()}
-    assert set(log) == {"charging_stations", "weather_data", "traffic_data"}
+    assert set(log) == {"charging_stations", "charging_points", "weather_data", "traffic_data",
+                        "engineered_features", "anomaly_detection"}
     assert all(r.status == "success" for r in log.values()), {k: r.error_message for k, r in log.items()}
     assert log["charging_stations"].data_source == "OpenChargeMap"
-    assert log["charging_stations"].records_collected == min(100, t.stations.count())
+    assert log["charging_stations"].records_collected == t.stations.count()
     kept = read_versioned(spark, store, "charging_stations")
     assert kept.count() == log["charging_stations"].records_collected
     assert spark.read.parquet(store + "/weather_data").count() == log["weather_data"].records_collected > 0
@@ -43,6 +44,19 @@ def test_collection_cycle(spark, scratch):
     assert spark.read.parquet(store + "/data_collection_log").count() == len(log)
 
 
+def test_cycle_stores_every_station(spark, scratch):
+    """1,000 landed stations: all are stored, and a limit is the caller's."""
+    docs = spark.range(1000).selectExpr(
+        "to_json(named_struct('ID', id, 'AddressInfo', named_struct('Title', concat('s', id), "
+        "'Latitude', 1.0 + id / 50, 'Longitude', 2.0 + id / 50))) AS value")
+    docs.write.text(scratch + "/landing/stations")
+    run_collection_cycle(spark, scratch + "/landing", scratch + "/store", AS_OF)
+    assert read_versioned(spark, scratch + "/store", "charging_stations").count() == 1000
+    assert spark.read.parquet(scratch + "/store/engineered_features").count() == 1000
+    run_collection_cycle(spark, scratch + "/landing", scratch + "/few", AS_OF, max_stations=10)
+    assert read_versioned(spark, scratch + "/few", "charging_stations").count() == 10
+
+
 def test_bundles_are_lazy_frames(spark, tables001):
     b = bundles.network_insights(tables001)
     assert b["network_overview"].count() == 1

@@ -58,7 +58,9 @@ def test_text_cut_and_defaults(spark):
     df = spark.createDataFrame([("7", 1.0, 1.0, "  " + "x" * 600 + " ", None)],
                                "id string, latitude double, longitude double, name string, status string")
     r = cleaning.clean_stations(df, AS_OF).collect()[0]
-    assert len(r.name) == 500 and r.status == "Unknown" and r.city == ""
+    assert len(r.name) == 600 and r.status == "Unknown" and r.city == ""
+    r = cleaning.clean_stations(df, AS_OF, cleaning.WIDTHS).collect()[0]
+    assert len(r.name) == 500
 
 
 def test_weekend_conventions(spark):
@@ -150,8 +152,8 @@ def test_bbox_and_radius(spark):
     assert sorted(r.id for r in derived.points_in_bbox(st, 45.0, 10.0, 150.0).collect()) == ["a", "b"]
     assert sorted(r.id for r in derived.stations_within(st, 45.0, 10.0, 150.0).collect()) == ["a", "b"]
     assert sorted(r.id for r in derived.stations_within(st, 45.0, 10.0, 100.0).collect()) == ["a"]
-    # equator: the service's longitude delta is undefined → no box
-    assert derived.points_in_bbox(st, 0.0, 0.0, 10.0).count() == 0
+    # equator: the service's longitude delta grows without bound → all longitudes
+    assert [r.id for r in derived.points_in_bbox(st, 0.0, 0.0, 10.0).collect()] == ["d"]
 
 
 def test_utilization_needs_usage(spark):

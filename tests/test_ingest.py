@@ -79,6 +79,7 @@ def test_weather_shapes_and_series(spark, scratch):
     forecast = {"station_id": "9", "list": [dict(nested, dt=1704067200 + 10800 * i) for i in range(50)]}
     fpath = _write(scratch + "/forecast", "f.json", [json.dumps(forecast)])
     docs = ingest.read_json(spark, fpath, ingest.WEATHER_DOC)
+    assert ingest.explode_weather_series(docs, "list").count() == 50
     assert ingest.explode_weather_series(docs, "list", days=5).count() == 40
     assert ingest.explode_weather_series(docs, "list", days=2).count() == 16
 

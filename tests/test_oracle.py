@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle (value check), and the
 rows-only queries for non-emptiness of the contract."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -17,7 +19,8 @@ def con001():
 
 
 def test_every_query_has_an_oracle_or_is_documented():
-    rows_only = set(QUERIES) - set(ORACLE)
+    # the training-data queries that SQL can't express are tested in tests/llm
+    rows_only = {q for q in set(QUERIES) - set(ORACLE) if q != "pipeline" and not re.match(r"op\d+_", q)}
     assert rows_only == {"a01_isolation_forest_anomalies"}
     assert set(ORACLE) <= set(QUERIES)
 

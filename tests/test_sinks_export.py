@@ -94,3 +94,81 @@ def test_cascade_delete(spark, tables001):
     assert t.usage.where(F.col("station_id").isin("1", "2")).count() == 0
     assert t.stations.where(F.col("id").isin("1", "2")).count() == 0
     assert t.usage.count() == tables001.usage.where(~F.col("station_id").isin("1", "2")).count()
+
+
+def test_ties_have_one_winner(spark, scratch):
+    """Two rows with one id and one time: the same one wins in either order."""
+    one = [("1", "x", dt.datetime(2024, 1, 1)), ("1", "y", dt.datetime(2024, 1, 1))]
+    got = set()
+    for k, rows in enumerate((one, one[::-1])):
+        df = conform(spark.createDataFrame(rows, "id string, name string, updated_at timestamp_ntz"), "charging_stations")
+        sinks.upsert(spark, f"{scratch}/{k}", "charging_stations", df.coalesce(1), ["id"], ["updated_at"], version="0")
+        got |= {r.name for r in sinks.read_versioned(spark, f"{scratch}/{k}", "charging_stations").collect()}
+    assert len(got) == 1
+
+
+def test_failure_between_write_and_publish(spark, scratch, monkeypatch):
+    """A crash before the commit leaves the published version; the retry
+    publishes, and a second writer with the same number fails loudly."""
+    import pytest
+    df = lambda i: conform(spark.createDataFrame([(i,)], "id string"), "charging_stations")
+    put = lambda i, v: sinks.upsert(spark, scratch, "charging_stations", df(i), ["id"], ["updated_at"], version=v)
+    ids = lambda: {r.id for r in sinks.read_versioned(spark, scratch, "charging_stations").collect()}
+    put("1", "a")
+    publish = sinks._publish
+
+    def crash(*a):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(sinks, "_publish", crash)
+    with pytest.raises(RuntimeError):
+        put("2", "b")
+    assert ids() == {"1"}
+    monkeypatch.setattr(sinks, "_publish", publish)
+    put("2", "b")
+    assert ids() == {"1", "2"}
+    monkeypatch.setattr(sinks, "_last_commit", lambda *a: (0, "old", "old"))
+    with pytest.raises(RuntimeError):
+        sinks._publish(spark, scratch, "charging_stations", "d", "c")
+
+
+def test_sums_keep_their_digits(spark):
+    """A station-day of 20,000,000 kWh and 40,000 rain rows come out whole."""
+    from voltgrid.operators import anomalies, derived, features
+    usage = spark.range(20_000).selectExpr("id", "'1' AS station_id", "CAST('2024-01-01 10:00:00' AS timestamp_ntz) AS session_start",
+                                           "CAST(1000 AS decimal(10,3)) AS energy_consumed_kwh", "60 AS duration_minutes")
+    day = derived.energy_consumption_daily(conform(usage, "usage_data")).collect()
+    assert [float(r.total_energy_kwh) for r in day] == [20_000_000.0] and day[0].session_count == 20_000
+    weather = conform(spark.range(40_000).selectExpr("id", "'1' AS station_id", "'Rain' AS weather_condition",
+                                                     "CAST('2024-01-01 10:00:00' AS timestamp_ntz) AS timestamp"), "weather_data")
+    stations = conform(spark.createDataFrame([("1",), ("2",)], "id string"), "charging_stations")
+    traffic = conform(spark.createDataFrame([("1", 5.0)], "station_id string, traffic_density double"), "traffic_data")
+    feats = features.engineer_features(stations, weather, traffic, AS_OF)
+    rows = {r.station_id: r for r in anomalies.feature_matrix(feats).collect()}
+    assert rows["1"].avg_downtime_minutes == 1_200_000.0 and rows["2"].avg_downtime_minutes == 0.0
+
+
+def test_range_reaches_the_scan(spark, scratch):
+    """Latitude and longitude ranges are pushed; the equator, the poles
+    and the antimeridian are complete."""
+    from voltgrid.operators import derived
+    rows = [(str(i), lat, lon) for i, (lat, lon) in enumerate(
+        [(0.0001, 10.0), (0.5, 10.2), (0.0001, 12.0), (89.9, 50.0), (89.9, -130.0), (10.0, 179.9), (10.0, -179.9)])]
+    conform(spark.createDataFrame(rows, "id string, latitude double, longitude double"),
+            "charging_stations").write.parquet(scratch + "/s")
+    s = spark.read.parquet(scratch + "/s")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    near = derived.stations_within(s, 0.0, 10.0, 100.0)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert all(f"{op}({c}" in pushed for c in ("latitude", "longitude")
+               for op in ("GreaterThanOrEqual", "LessThanOrEqual")), pushed
+    ids = lambda df: {r.id for r in df.collect()}
+    assert ids(near) == {"0", "1"}
+    assert ids(derived.stations_within(s, 89.95, 50.0, 50.0)) == {"3", "4"}
+    assert ids(derived.stations_within(s, 10.0, 179.95, 50.0)) == {"5", "6"}
+    assert ids(derived.points_in_bbox(s, 0.0, 10.0, 100.0)) == {"0", "1", "2"}
+
+
+def test_default_export_lists_every_table(spark, scratch):
+    t = adapter_tables(spark, SF001)
+    assert "engineered_features" in export.export_all(t, scratch, AS_OF)

@@ -1,6 +1,7 @@
 """T01–T08 on landing data derived from the test tables (availableNow
 triggers, memory / foreachBatch sinks, checkpoints in the scratch folder)."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -42,11 +43,65 @@ def test_t01_t06_t02_landing_to_upserted_table(spark, scratch):
     jobs.run_available_now(cleaned, "t02_stations", sink, checkpoint=scratch + "/ck2")
     stored = read_versioned(spark, scratch + "/store", "charging_stations")
     assert stored.count() == t.stations.count()
-    # re-delivering the same batch id is a no-op
+    # an empty batch changes nothing
     sink(cleaned.sparkSession.createDataFrame([], stored.schema), 0)
     assert read_versioned(spark, scratch + "/store", "charging_stations").count() == t.stations.count()
 
 
+def test_t02_batches_of_two_queries_and_redelivery(spark, scratch):
+    """Two queries on one table, as after a lost checkpoint: both start at
+    batch 0, and neither's is dropped; a delivered batch is skipped."""
+    from voltgrid.schemas import schema
+    row = lambda i, name, day: (i, name, *[None] * 13, dt.datetime(2024, 1, day))
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema("charging_stations"))
+    make = lambda q: jobs.upsert_sink(scratch, "charging_stations", ["id"], ["updated_at"], query=q)
+    one, two = make("q1"), make("q2")
+    one(frame(row("1", "a", 1)), 0)
+    two(frame(row("9", "b", 1)), 0)
+    one(frame(row("2", "c", 2)), 1)
+    one(frame(row("1", "late", 3)), 0)          # batch 0 of q1 again: committed before
+    got = {r.id: r.name for r in read_versioned(spark, scratch, "charging_stations").collect()}
+    assert got == {"1": "a", "9": "b", "2": "c"}
+
+
+def test_t05_stream_stream_join(spark, scratch):
+    t = adapter_tables(spark, SF001)
+    for n, df in (("w", t.weather), ("u", t.usage)):
+        df.repartition(2).write.parquet(f"{scratch}/{n}")
+    read = lambda n, df: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/{n}")
+    # a long delay: nothing of these files is late
+    joined = jobs.weather_usage_stream(read("w", t.weather), read("u", t.usage), delay="400 days")
+    assert {"hour", "session_count", "total_energy", "station_id"} <= set(joined.columns)
+    jobs.run_available_now(joined, "t05_streams", "memory", checkpoint=scratch + "/ck5")
+    # hours are emitted once the watermark has passed them: none with this delay
+    assert spark.table("t05_streams").count() == 0
+    late = spark.createDataFrame([(10 ** 9, "none", dt.datetime(2100, 1, 1))], "id long, station_id string, at timestamp_ntz")
+    from voltgrid.schemas import conform
+    conform(late.withColumnRenamed("at", "timestamp"), "weather_data").write.mode("append").parquet(f"{scratch}/w")
+    conform(late.withColumnRenamed("at", "session_start"), "usage_data").write.mode("append").parquet(f"{scratch}/u")
+    jobs.run_available_now(joined, "t05_streams2", _collected(scratch), checkpoint=scratch + "/ck5")
+    from voltgrid.functions.columns import hour_floor
+    hourly = t.usage.groupBy("station_id", hour_floor("session_start").alias("hour")).count()
+    want = t.weather.withColumn("hour", hour_floor("timestamp")).join(hourly, ["station_id", "hour"]).count()
+    assert spark.read.parquet(f"{scratch}/t05").count() == want > 0
+
+
+def _collected(scratch):
+    return lambda batch, batch_id: batch.write.mode("append").parquet(f"{scratch}/t05")
+
+
+def test_t08_monthly_quota(spark, scratch):
+    t = adapter_tables(spark, SF001)
+    from voltgrid.operators import derived
+    quotas = {"1-URGENT": ("month", 3), "2-HIGH": ("day", 1)}
+    t.log.write.parquet(scratch + "/log")
+    stream = spark.readStream.schema(t.log.schema).parquet(scratch + "/log")
+    jobs.run_available_now(jobs.quota_usage_stream(stream, quotas), "t08_quota", "memory",
+                           checkpoint=scratch + "/ck8m", output_mode="complete")
+    assert sorted(map(tuple, spark.table("t08_quota").collect())) == sorted(
+        map(tuple, derived.quota_usage(t.log, quotas).collect()))
+
+
 def test_t03_dedupe_within_watermark(spark, scratch):
     t = adapter_tables(spark, SF001)
     src = scratch + "/dup"

@@ -123,10 +123,11 @@ def clean_numeric(c, lo: float, hi: float) -> Column:
     return F.when(v.between(F.lit(float(lo)), F.lit(float(hi))), v)
 
 
-def clean_text(c, max_len: int, default: str | None = "") -> Column:
-    """Trim and cut to ``max_len``; NULL text becomes ``default``."""
+def clean_text(c, max_len: int | None = None, default: str | None = "") -> Column:
+    """Trim (and cut to ``max_len`` if given); NULL text becomes ``default``."""
     c = F.col(c) if isinstance(c, str) else c
-    t = F.substring(F.trim(c.cast("string")), 1, max_len)
+    t = F.trim(c.cast("string"))
+    t = t if max_len is None else F.substring(t, 1, max_len)
     return t if default is None else F.coalesce(t, F.lit(default))
 
 
@@ -152,9 +153,11 @@ def first_nonzero(*cols) -> Column:
 
 def bbox(lat, lon, radius_km) -> dict[str, Column]:
     """The traffic service's own bounding-box approximation.
-    ``lon_delta`` divides by |lat| and is undefined (NULL) at the equator."""
+    ``lon_delta`` divides by |lat|; it grows without bound towards the equator,
+    where the box takes all longitudes (360 degrees to either side)."""
     lat_delta = radius_km / 111.0
-    lon_delta = F.try_divide(F.lit(radius_km), 111.0 * F.abs(lat) / 90.0)
+    lon_delta = F.least(F.coalesce(F.try_divide(F.lit(radius_km), 111.0 * F.abs(lat) / 90.0), F.lit(360.0)),
+                        F.lit(360.0))
     return {"south": lat - lat_delta, "west": lon - lon_delta,
             "north": lat + lat_delta, "east": lon + lon_delta}
 

@@ -10,35 +10,25 @@ more than a narrow bracket of values:
    error ≤ n/accuracy and δ sized for it, the two exact order statistics
    needed for the interpolation lie between them (small inputs skip the
    bracket and histogram every value);
-2. one pass histograms the distinct values inside the bracket (value,
-   count) — at most ~8·n/accuracy of them, however many duplicates — and
-   counts the rows below it in the same aggregation;
-3. the order statistics k and k+1 are read from the sorted histogram with a
-   running count (``aggregate`` over the array) and interpolated.
-
-Everything is one lazy one-row DataFrame; nothing goes through the driver.
+2. one pass counts the distinct values inside the bracket, however many
+   duplicates, and the rows below it in the same aggregation;
+3. a running count over the bracket's values in order (a sort that spills, not
+   a collected list) gives the order statistics k and k+1, which are
+   interpolated.
+
+Everything is one lazy one-row DataFrame; nothing goes through the driver and
+no task's memory grows with the number of values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltgrid.functions.groupstats import attach_one_row
 
-ACCURACY = 100_000
-SMALL = 100_000          # up to this many values, histogram them all (bounded)
-
-
-def _running_pick(idx):
-    """Fold step over the sorted (value, count) histogram: remember the
-    values at bracket positions idx and idx + 1 (running count)."""
-    def step(acc, e):
-        cum = acc["cum"] + e["_c"]
-        return F.struct(cum.alias("cum"),
-                        F.when(acc["vk"].isNull() & (cum > idx), e["_x"]).otherwise(acc["vk"]).alias("vk"),
-                        F.when(acc["vk1"].isNull() & (cum > idx + 1), e["_x"]).otherwise(acc["vk1"]).alias("vk1"))
-    return step
+ACCURACY = 10_000
+SMALL = 10_000           # with fewer values a bracket of this precision is the whole range
 
 
 def exact_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], accuracy: int = ACCURACY,
@@ -81,28 +71,28 @@ def exact_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], accuracy
         return expr
     j = attach_one_row(long, sketch).where(F.col("_x") <= pick("_hi"))
     key = F.when(F.col("_x") >= pick("_lo"), F.col("_x")).alias("_v")
-    per_spec = (j.groupBy("_i", key).agg(F.count(F.lit(1)).alias("_c"))
-                .groupBy("_i").agg(
-                    F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
-                    F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(),
-                                                       F.struct(F.col("_v").alias("_x"), "_c")))).alias("_h")))
-    packed = per_spec.agg(*[F.first(F.when(F.col("_i") == i, F.struct("_below", "_h")), ignorenulls=True)
-                          .alias(f"_r{i}") for i in range(len(specs))])
-    one = attach_one_row(sketch, packed)
+    counts = j.groupBy("_i", key).agg(F.count(F.lit(1)).alias("_c"))
+    # the values of a bracket in order; rows below it (NULL) come first
+    order = Window.partitionBy("_i").orderBy(F.col("_v").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = attach_one_row(counts.select("_i", "_v", F.sum("_c").over(order).alias("_cum")), sketch)
+    aggs = []
+    for i in range(len(specs)):
+        mine = F.col("_i") == i
+        aggs += [F.max(F.when(mine & F.col("_v").isNull(), F.col("_cum"))).alias(f"_below{i}"),
+                 *[F.min(F.when(mine & (F.col("_cum") > F.col(f"_k{i}") + d), F.col("_v"))).alias(f"_v{i}_{d}")
+                   for d in (0, 1)]]
+    one = attach_one_row(sketch, running.agg(*aggs))
     out = []
     for i, (_, _, name) in enumerate(specs):
-        r = F.col(f"_r{i}")
-        idx = F.col(f"_k{i}") - r["_below"]                 # 0-based index inside the bracket
-        init = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("vk"),
-                        F.lit(None).cast("double").alias("vk1"))
-
-        picked = F.aggregate(r["_h"], init, _running_pick(idx))
-        vk, vk1 = picked["vk"], F.coalesce(picked["vk1"], picked["vk"])
+        vk = F.col(f"_v{i}_0")
+        vk1 = F.coalesce(F.col(f"_v{i}_1"), vk)
         f = F.col(f"_f{i}")
         value = F.when(f == 0, vk).otherwise(vk + (vk1 - vk) * f)
         # the bracket provably covers the target ranks; fail loudly rather than return a wrong value
-        checked = F.when((idx < 0) | vk.isNull(),
-                         F.raise_error(F.lit("exact_quantiles: bracket missed the target rank"))).otherwise(value)
+        missed = (F.col(f"_k{i}") < F.coalesce(F.col(f"_below{i}"), F.lit(0))) | vk.isNull()
+        checked = F.when(missed, F.raise_error(F.lit("exact_quantiles: bracket missed the target rank"))) \
+            .otherwise(value)
         out.append(F.when(F.col(f"_n{i}") > 0, checked).alias(name))
     return one.select(*out)
 

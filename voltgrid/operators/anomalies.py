@@ -43,7 +43,7 @@ def anomaly_rows(flagged: DataFrame, score_col: str, as_of: _dt.datetime) -> Dat
         "station_id", F.lit(ANOMALY_TYPE).alias("anomaly_type"), F.abs(s).alias("severity_score"),
         now.alias("detected_at"), F.format_string(DESCRIPTION, s).alias("description"),
         F.lit(False).alias("is_resolved"), now.alias("created_at"))
-    return conform(out, "anomaly_detection")
+    return conform(out, "anomaly_detection", computed=True)
 
 
 def zscore_anomalies(features: DataFrame, as_of: _dt.datetime, k: float = Z_LIMIT) -> DataFrame:

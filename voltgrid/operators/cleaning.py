@@ -17,17 +17,21 @@ from voltgrid.functions.columns import clean_numeric, clean_text, ntz_literal
 from voltgrid.schemas import conform
 from voltgrid.functions.groupstats import attach_one_row
 
-# Fixed values of the cleaning rules: text lengths and numeric ranges.
-STATION_TEXT = {"name": 500, "address": 1000, "city": 255, "state": 255, "country": 255, "operator": 255,
-                "network": 255, "access_type": 100, "pricing_info": 1000, "amenities": 1000}
-STATUS_LEN, STATUS_DEFAULT = 50, "Unknown"
+# Fixed values of the cleaning rules: text widths of the reporting database
+# (``WIDTHS``, for callers that load into such columns; texts are kept whole by
+# default), defaults and numeric ranges.
+WIDTHS = {"name": 500, "address": 1000, "city": 255, "state": 255, "country": 255, "operator": 255,
+          "network": 255, "access_type": 100, "pricing_info": 1000, "amenities": 1000, "status": 50,
+          "weather_condition": 100, "congestion_level": 50, "road_type": 100}
+STATION_TEXT = ["name", "address", "city", "state", "country", "operator", "network", "access_type",
+                "pricing_info", "amenities"]
+STATUS_DEFAULT = "Unknown"
 WEATHER_RANGES = {"temperature_celsius": (-50, 60), "humidity_percent": (0, 100), "pressure_hpa": (800, 1100),
                   "wind_speed_ms": (0, 100), "wind_direction_degrees": (0, 360), "precipitation_mm": (0, 1000),
                   "visibility_km": (0, 50), "uv_index": (0, 15)}
-WEATHER_CONDITION_LEN = 100
 TRAFFIC_RANGES = {"traffic_density": (0, 1000), "average_speed_kmh": (0, 200), "distance_to_station_km": (0, 100)}
-CONGESTION_LEN, CONGESTION_DEFAULT = 50, "unknown"
-ROAD_LEN, ROAD_DEFAULT = 100, "highway"
+CONGESTION_DEFAULT = "unknown"
+ROAD_DEFAULT = "highway"
 
 
 def _truthy(df: DataFrame, c: str):
@@ -43,57 +47,64 @@ def _col_or_null(df: DataFrame, c: str, typ: str = "string"):
     return F.col(c) if c in df.columns else F.lit(None).cast(typ)
 
 
-def clean_stations(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
+def clean_stations(df: DataFrame, as_of: _dt.datetime, widths: dict | None = None) -> DataFrame:
     """Keep stations with a truthy id, latitude and longitude inside
-    [-90, 90] × [-180, 180]; trim and cut the text fields; stamp ``as_of``.
+    [-90, 90] × [-180, 180]; trim the text fields (and cut them to ``widths``); stamp
+    ``as_of``.
     Coordinates are judged at their stored precision (decimal(10,8) /
     decimal(11,8)), so a value that would be stored as 0 counts as missing
     and cleaning stays idempotent."""
     lat = F.col("latitude").try_cast("double").try_cast("decimal(10,8)")
     lon = F.col("longitude").try_cast("double").try_cast("decimal(11,8)")
+    widths = widths or {}
     keep = (_truthy(df, "id") & lat.isNotNull() & (lat != 0) & lon.isNotNull() & (lon != 0)
             & lat.between(-90, 90) & lon.between(-180, 180))
     now = ntz_literal(as_of)
     out = df.where(keep).select(
         F.trim(F.col("id").cast("string")).alias("id"),
         lat.alias("latitude"), lon.alias("longitude"),
-        *[clean_text(_col_or_null(df, c), n).alias(c) for c, n in STATION_TEXT.items()],
-        clean_text(_col_or_null(df, "status"), STATUS_LEN, STATUS_DEFAULT).alias("status"),
+        *[clean_text(_col_or_null(df, c), widths.get(c)).alias(c) for c in STATION_TEXT],
+        clean_text(_col_or_null(df, "status"), widths.get("status"), STATUS_DEFAULT).alias("status"),
         now.alias("created_at"), now.alias("updated_at"))
     return conform(out, "charging_stations")
 
 
-def clean_weather(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
+def clean_weather(df: DataFrame, as_of: _dt.datetime, widths: dict | None = None) -> DataFrame:
     """Require timestamp and station; NULL every measure outside its
-    physical range; cut the condition text."""
+    physical range; trim the condition text."""
+    widths = widths or {}
     keep = F.col("timestamp").isNotNull() & _truthy(df, "station_id")
     out = df.where(keep).select(
         _col_or_null(df, "id", "bigint").alias("id"),
         F.trim(F.col("station_id").cast("string")).alias("station_id"), "timestamp",
         *[clean_numeric(_col_or_null(df, c, "double"), lo, hi).alias(c) for c, (lo, hi) in WEATHER_RANGES.items()],
-        clean_text(_col_or_null(df, "weather_condition"), WEATHER_CONDITION_LEN).alias("weather_condition"),
+        clean_text(_col_or_null(df, "weather_condition"), widths.get("weather_condition")).alias("weather_condition"),
         ntz_literal(as_of).alias("created_at"))
     return conform(out, "weather_data")
 
 
-def clean_traffic(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
+def clean_traffic(df: DataFrame, as_of: _dt.datetime, widths: dict | None = None) -> DataFrame:
     """Require timestamp and station; range rules; congestion and road
     defaults. Incident rows pass with NULL measures."""
+    widths = widths or {}
     keep = F.col("timestamp").isNotNull() & _truthy(df, "station_id")
     out = df.where(keep).select(
         _col_or_null(df, "id", "bigint").alias("id"),
         F.trim(F.col("station_id").cast("string")).alias("station_id"), "timestamp",
         *[clean_numeric(_col_or_null(df, c, "double"), lo, hi).alias(c) for c, (lo, hi) in TRAFFIC_RANGES.items()],
-        clean_text(_col_or_null(df, "congestion_level"), CONGESTION_LEN, CONGESTION_DEFAULT).alias("congestion_level"),
-        clean_text(_col_or_null(df, "road_type"), ROAD_LEN, ROAD_DEFAULT).alias("road_type"),
+        clean_text(_col_or_null(df, "congestion_level"), widths.get("congestion_level"), CONGESTION_DEFAULT)
+        .alias("congestion_level"),
+        clean_text(_col_or_null(df, "road_type"), widths.get("road_type"), ROAD_DEFAULT).alias("road_type"),
         ntz_literal(as_of).alias("created_at"))
     return conform(out, "traffic_data")
 
 
-def limit_stations(df: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` stations of a collection cycle (100 stations, 50
-    for weather, 5 for traffic). Input order is not a Spark notion, so the
-    first n by id — a top-k, not a sort of the whole table."""
+def limit_stations(df: DataFrame, n: int | None = None) -> DataFrame:
+    """The first ``n`` stations of a collection cycle, all of them
+    without ``n``. Input order is not a Spark notion, so the first n by id — a
+    top-k, not a sort of the whole table."""
+    if n is None:
+        return df
     return df.orderBy("id").limit(n)
 
 

@@ -3,12 +3,13 @@ numbers or leaves out (re-aimed as real Spark jobs)."""
 
 from __future__ import annotations
 
-import datetime as _dt
+import math
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import bbox, day_floor, haversine_km, month_floor, ntz_literal
+from voltgrid.functions.columns import EARTH_RADIUS_KM, bbox, day_floor, haversine_km, month_floor
 from voltgrid.operators.patterns import peak_hours
 from voltgrid.schemas import conform
 
@@ -34,14 +35,14 @@ def energy_consumption_daily(usage: DataFrame, peak: DataFrame | None = None) ->
         peak = peak_hours(usage, by=["station_id"])
     flags = peak.select("station_id", "hour", F.lit(True).alias("is_peak"))
     j = cells.join(flags, ["station_id", "hour"], "left")
-    zero = F.lit(0).cast("decimal(10,3)")
+    zero = F.lit(0).cast("decimal(38,3)")
     daily = j.groupBy("station_id", "date").agg(
         F.coalesce(F.sum("e"), zero).alias("total_energy_kwh"),
         F.coalesce(F.sum(F.when(F.col("is_peak"), F.col("e"))), zero).alias("peak_hour_energy"),
         F.sum("n").alias("session_count"),
         F.round(F.try_divide(F.sum("d").cast("double"), F.sum("dn").cast("double")), 0).alias("avg_session_duration"))
     out = daily.withColumn("off_peak_energy", F.col("total_energy_kwh") - F.col("peak_hour_energy"))
-    return conform(out, "energy_consumption")
+    return conform(out, "energy_consumption", computed=True)
 
 
 def quota_usage(log: DataFrame, quotas: dict | None = None, default=("day", QUOTA_LIMIT)) -> DataFrame:
@@ -76,13 +77,40 @@ def collection_success_rate(log: DataFrame) -> DataFrame:
         F.max("started_at").alias("last_run"))
 
 
+def _degrees(value: float, up: bool) -> Decimal:
+    """A bound at the stored precision, rounded outwards: a decimal literal of
+    the column's own type, so that the range reaches the parquet scan."""
+    return Decimal(value).quantize(Decimal("1e-8"), rounding=ROUND_CEILING if up else ROUND_FLOOR)
+
+
+def _range(c: str, lo: float, hi: float):
+    return F.col(c).between(F.lit(_degrees(lo, False)), F.lit(_degrees(hi, True)))
+
+
+def _longitudes(west: float, east: float):
+    """Between two longitudes, across the antimeridian if they pass it; all
+    if the range is a whole circle."""
+    if east - west >= 360:
+        return F.lit(True)
+    if west < -180:
+        return _range("longitude", west + 360, 180) | _range("longitude", -180, east)
+    if east > 180:
+        return _range("longitude", west, 180) | _range("longitude", -180, east - 360)
+    return _range("longitude", west, east)
+
+
 def stations_within(stations: DataFrame, lat: float, lon: float, radius_km: float) -> DataFrame:
-    """Stations within ``radius_km`` of a point — a bounding-box range
-    predicate first (pushed to the parquet scan / row-group statistics), the
-    exact haversine distance second."""
+    """Stations within ``radius_km`` of a point — latitude and longitude
+    ranges first (decimal comparisons that are pushed to the parquet scan and
+    its row-group statistics), the exact haversine distance second. A circle
+    that holds a pole takes all longitudes."""
+    angle = radius_km / EARTH_RADIUS_KM
+    dlat = math.degrees(angle) + 1e-6
+    box = _range("latitude", max(-90.0, lat - dlat), min(90.0, lat + dlat))
+    if angle < math.pi / 2 and abs(lat) + dlat < 90:
+        dlon = math.degrees(math.asin(min(1.0, math.sin(angle) / math.cos(math.radians(lat))))) + 1e-6
+        box = box & _longitudes(lon - dlon, lon + dlon)
     la, lo = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    dlat = radius_km / 111.0
-    box = la.between(lat - dlat, lat + dlat)
     dist = haversine_km(F.lit(lat), F.lit(lon), la, lo)
     return stations.where(box).withColumn("distance_km", F.round(dist, 6)) \
         .where(F.col("distance_km") <= radius_km)
@@ -90,10 +118,15 @@ def stations_within(stations: DataFrame, lat: float, lon: float, radius_km: floa
 
 def points_in_bbox(df: DataFrame, lat: float, lon: float, radius_km: float) -> DataFrame:
     """Rows whose coordinates fall inside the traffic service's bounding
-    box around a point (S13 approximation)."""
+    box around a point (S13 approximation; at latitude 0 it takes all
+    longitudes). The ranges reach the scan; the box itself decides."""
     b = bbox(F.lit(lat), F.lit(lon), radius_km)
+    dlat = radius_km / 111.0
+    dlon = min(360.0, radius_km / (111.0 * abs(lat) / 90.0)) if lat else 360.0
     la, lo = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    return df.where(la.between(b["south"], b["north"]) & lo.between(b["west"], b["east"]))
+    pushed = _range("latitude", max(-90.0, lat - dlat), min(90.0, lat + dlat)) \
+        & _range("longitude", max(-180.0, lon - dlon), min(180.0, lon + dlon))
+    return df.where(pushed).where(la.between(b["south"], b["north"]) & lo.between(b["west"], b["east"]))
 
 
 def lookup(df: DataFrame, key: str, value) -> DataFrame:
@@ -101,6 +134,3 @@ def lookup(df: DataFrame, key: str, value) -> DataFrame:
     anomalies) as scans with a pushed equality filter."""
     return df.where(F.col(key) == F.lit(value))
 
-
-def as_of_literal(as_of: _dt.datetime):
-    return ntz_literal(as_of)

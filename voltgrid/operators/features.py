@@ -85,7 +85,7 @@ def engineer_features(stations: DataFrame, weather: DataFrame, traffic: DataFram
         F.coalesce(F.col("w_temp_sum_exact") * F.lit(ENERGY_PER_DEGREE).cast("decimal(2,1)"),
                    F.lit(0).cast("decimal(2,1)")).alias("total_energy_kwh"),
         ntz_literal(as_of).alias("created_at"))
-    return conform(out, "engineered_features")
+    return conform(out, "engineered_features", computed=True)
 
 
 def usage_features(stations: DataFrame, usage: DataFrame, weather: DataFrame, traffic: DataFrame,
@@ -127,6 +127,6 @@ def usage_features(stations: DataFrame, usage: DataFrame, weather: DataFrame, tr
         F.coalesce(F.col("busiest_hour"), F.lit(0)).alias("peak_usage_hours"),
         _wait_time().alias("avg_wait_time_minutes"),
         F.coalesce(F.col("u_sessions"), F.lit(0)).alias("total_sessions"),
-        F.coalesce(F.col("u_energy"), F.lit(0).cast("decimal(10,3)")).alias("total_energy_kwh"),
+        F.coalesce(F.col("u_energy"), F.lit(0).cast("decimal(38,3)")).alias("total_energy_kwh"),
         ntz_literal(as_of).alias("created_at"))
-    return conform(out, "engineered_features")
+    return conform(out, "engineered_features", computed=True)

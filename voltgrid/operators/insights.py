@@ -4,10 +4,8 @@ Each section of the reference's nested result document is its own lazy
 DataFrame; ``voltgrid.plans.bundles`` assembles them. Thresholds against an
 aggregate (quartiles of per-station counts) are one-row aggregates broadcast
 back (J09); the quartiles are exact but computed with bounded state
-(``functions.quantiles.exact_quantile``: sketch bracket + histogram of the
-bracket), never by gathering every per-station value into one task. "First ten ids" lists are taken with a top-k
-(``orderBy(...).limit(k)``) before anything is collected, so a list never
-holds more than k entries.
+(``functions.quantiles``). Lists are rows, one for each station or state
+concerned; limits are optional and default to none.
 """
 
 from __future__ import annotations
@@ -24,12 +22,15 @@ from voltgrid.functions.quantiles import exact_quantile, exact_quantiles
 # Fixed values of the recommendation rules.
 LOW_QUANTILE = 0.25
 HIGH_QUANTILE = 0.75
-FIRST_IDS = 10             # ids listed for under-used / low-revenue stations
-FIRST_HIGH = 5             # high-demand stations checked for capacity
 MIN_POINTS = 4             # fewer points than this on a high-demand station → expansion
 HIGH_UTILIZATION = 50      # sessions per point above this → capacity
 LOW_AVG_REVENUE = 10       # mean cost per session below this → pricing
+# The sentences.
 NO_DATA_TEXT = "Collect more usage data to generate insights"
+LOW_USAGE_TEXT = "%d stations have low usage. Consider marketing or relocation."
+EXPANSION_TEXT = "Station %s has high demand but only %d charging points. Consider expansion."
+LOW_REVENUE_TEXT = "%d stations have low revenue. Review pricing strategy."
+GAP_TEXT = "Consider expanding to states with low coverage: "
 
 
 def half_up_text(num: Column, den: Column, places: int) -> Column:
@@ -105,70 +106,55 @@ def performance_metrics(stations: DataFrame, usage: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- B04–B08
 
-def _below(per_station: DataFrame, value: str, thr: DataFrame) -> DataFrame:
-    """Rows whose ``value`` is below the one-row ``threshold``."""
-    return attach_one_row(per_station, thr).where(F.col(value).cast("double") < F.col("threshold"))
-
-
-def _thresholds(st: DataFrame) -> DataFrame:
-    """The three per-station quartile thresholds of B04–B06 in one shared
-    sketch + histogram pass."""
-    return exact_quantiles(st, [("sessions", LOW_QUANTILE, "low_sessions"),
-                                ("sessions", HIGH_QUANTILE, "high_sessions"),
-                                ("revenue", LOW_QUANTILE, "low_revenue")])
-
-
-def _first_ids(df: DataFrame, n: int) -> DataFrame:
-    """count of rows and the first ``n`` station ids (string order)."""
-    cnt = df.agg(F.count(F.lit(1)).alias("n_stations"))
-    first = df.select("station_id").orderBy("station_id").limit(n) \
-        .agg(F.array_sort(F.collect_list("station_id")).alias("affected_stations"))
-    return attach_one_row(cnt.where(F.col("n_stations") > 0), first)
+def _flagged(usage: DataFrame) -> DataFrame:
+    """One row per station with its sessions and revenue and the three flags
+    of B04–B06. The per-station table is asked for with the same columns each
+    time, so its exchange is computed once and read again."""
+    st = _sessions_by_station(usage)
+    thr = exact_quantiles(st, [("sessions", LOW_QUANTILE, "low_sessions"),
+                               ("sessions", HIGH_QUANTILE, "high_sessions"),
+                               ("revenue", LOW_QUANTILE, "low_revenue")])
+    return attach_one_row(st, thr).select(
+        "station_id", "sessions", "revenue", (F.col("sessions") < F.col("low_sessions")).alias("low"),
+        (F.col("sessions") > F.col("high_sessions")).alias("high"),
+        (F.col("revenue").cast("double") < F.col("low_revenue")).alias("poor"))
+
+
+def _listed(flagged: DataFrame, flag: str, type_: str, text: str, limit: int | None) -> DataFrame:
+    """One row for each flagged station (the first ``limit`` by id, if
+    given) with the number of all of them in the sentence."""
+    rows = flagged.where(flag)
+    some = rows if limit is None else rows.orderBy("station_id").limit(limit)
+    return attach_one_row(some, rows.agg(F.count(F.lit(1)).alias("n_stations"))).select(
+        F.lit(type_).alias("type"), F.lit("medium").alias("priority"),
+        F.format_string(text, "n_stations").alias("recommendation"), "n_stations", "station_id")
+
+
+def underutilized_stations(usage: DataFrame, limit: int | None = None,
+                           _flags: DataFrame | None = None) -> DataFrame:
+    """Stations with fewer sessions than the 25th percentile."""
+    return _listed(_flagged(usage) if _flags is None else _flags, "low", "underutilized_stations", LOW_USAGE_TEXT, limit)
 
 
-def underutilized_stations(usage: DataFrame, _st: DataFrame | None = None,
-                           _thr: DataFrame | None = None) -> DataFrame:
-    """Stations with fewer sessions than the 25th percentile."""
-    st = _sessions_by_station(usage) if _st is None else _st
-    thr = exact_quantile(st, "sessions", LOW_QUANTILE) if _thr is None else \
-        _thr.select(F.col("low_sessions").alias("threshold"))
-    low = _below(st, "sessions", thr)
-    return _first_ids(low, FIRST_IDS).select(
-        F.lit("underutilized_stations").alias("type"), F.lit("medium").alias("priority"),
-        F.format_string("%d stations have low usage. Consider marketing or relocation.", "n_stations")
-        .alias("recommendation"), "n_stations", "affected_stations")
-
-
-def capacity_expansion(usage: DataFrame, points: DataFrame, _st: DataFrame | None = None,
-                       _thr: DataFrame | None = None) -> DataFrame:
-    """Among the first five stations above the 75th percentile of
-    sessions, those with fewer than four points. Skipped when no point is
-    known at all."""
-    st = _sessions_by_station(usage) if _st is None else _st
-    thr = exact_quantile(st, "sessions", HIGH_QUANTILE) if _thr is None else \
-        _thr.select(F.col("high_sessions").alias("threshold"))
-    high = attach_one_row(st, thr).where(F.col("sessions") > F.col("threshold"))
-    first = high.select("station_id").orderBy("station_id").limit(FIRST_HIGH)
-    j = first.join(_points_by_station(points), "station_id", "left") \
+def capacity_expansion(usage: DataFrame, points: DataFrame, limit: int | None = None,
+                       _flags: DataFrame | None = None) -> DataFrame:
+    """The stations above the 75th percentile of sessions (the first
+    ``limit`` by id, if given) with fewer than four points. Skipped when no
+    point is known at all."""
+    high = (_flagged(usage) if _flags is None else _flags).where("high").select("station_id")
+    some = high if limit is None else high.orderBy("station_id").limit(limit)
+    j = some.join(_points_by_station(points), "station_id", "left") \
         .withColumn("points", F.coalesce("points", F.lit(0)))
     return attach_one_row(j.where(F.col("points") < MIN_POINTS), _nonempty(points)).select(
         F.lit("capacity_expansion").alias("type"), F.lit("high").alias("priority"),
-        F.format_string("Station %s has high demand but only %d charging points. Consider expansion.",
-                        "station_id", "points").alias("recommendation"),
+        F.format_string(EXPANSION_TEXT, "station_id", "points").alias("recommendation"),
         "station_id", "points")
 
 
-def pricing_optimization(usage: DataFrame, _st: DataFrame | None = None,
-                         _thr: DataFrame | None = None) -> DataFrame:
+def pricing_optimization(usage: DataFrame, limit: int | None = None,
+                         _flags: DataFrame | None = None) -> DataFrame:
     """Stations whose revenue is below the 25th percentile."""
-    st = _sessions_by_station(usage) if _st is None else _st
-    thr = exact_quantile(st, "revenue", LOW_QUANTILE) if _thr is None else \
-        _thr.select(F.col("low_revenue").alias("threshold"))
-    low = _below(st, "revenue", thr)
-    return _first_ids(low, FIRST_IDS).select(
-        F.lit("pricing_optimization").alias("type"), F.lit("medium").alias("priority"),
-        F.format_string("%d stations have low revenue. Review pricing strategy.", "n_stations")
-        .alias("recommendation"), "n_stations", "affected_stations")
+    return _listed(_flagged(usage) if _flags is None else _flags, "poor", "pricing_optimization", LOW_REVENUE_TEXT, limit)
 
 
 def geographic_gaps(stations: DataFrame) -> DataFrame:
@@ -182,33 +168,24 @@ def geographic_gaps(stations: DataFrame) -> DataFrame:
 
 def network_recommendations(stations: DataFrame, usage: DataFrame, points: DataFrame) -> DataFrame:
     """B04–B07 as one table (type, priority, recommendation, station_id,
-    affected JSON list); without any usage, the single data-collection row."""
-    cols = ["type", "priority", "recommendation", "station_id", "affected"]
-    st = _sessions_by_station(usage)
-    thr = _thresholds(st)
-    u = underutilized_stations(usage, st, thr).select(
-        "type", "priority", "recommendation", F.lit(None).cast("string").alias("station_id"),
-        F.to_json("affected_stations").alias("affected"))
-    c = capacity_expansion(usage, points, st, thr).select(
-        "type", "priority", "recommendation", "station_id", F.lit(None).cast("string").alias("affected"))
-    p = pricing_optimization(usage, st, thr).select(
-        "type", "priority", "recommendation", F.lit(None).cast("string").alias("station_id"),
-        F.to_json("affected_stations").alias("affected"))
-    # the low-coverage states of a geography (bounded by its number of states)
-    states = geographic_gaps(stations).agg(F.array_sort(F.collect_list("state")).alias("states")) \
-        .where(F.size("states") > 0)
-    pylist = F.concat(F.lit("['"), F.array_join("states", "', '"), F.lit("']"))
-    g = states.select(F.lit("geographic_expansion").alias("type"), F.lit("low").alias("priority"),
-                      F.concat(F.lit("Consider expanding to states with low coverage: "), pylist)
-                      .alias("recommendation"), F.lit(None).cast("string").alias("station_id"),
-                      F.to_json("states").alias("affected"))
-    recs = reduce(lambda a, b: a.unionByName(b), [u, c, p, g])
+    state), one row for each station or state concerned; without any usage,
+    the single data-collection row. All sections read one flagged per-station
+    table."""
+    none = F.lit(None).cast("string")
+    flags = _flagged(usage)
+    cols = ["type", "priority", "recommendation", "station_id"]
+    parts = [underutilized_stations(usage, _flags=flags), capacity_expansion(usage, points, _flags=flags),
+             pricing_optimization(usage, _flags=flags)]
+    recs = reduce(lambda a, b: a.unionByName(b), [p.select(*cols, none.alias("state")) for p in parts])
+    gaps = geographic_gaps(stations).select(
+        F.lit("geographic_expansion").alias("type"), F.lit("low").alias("priority"),
+        F.concat(F.lit(GAP_TEXT), F.lit("['"), "state", F.lit("']")).alias("recommendation"),
+        none.alias("station_id"), "state")
     no_usage = usage.agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") == 0)
     empty_row = no_usage.select(F.lit("data_collection").alias("type"), F.lit("high").alias("priority"),
                                 F.lit(NO_DATA_TEXT).alias("recommendation"),
-                                F.lit(None).cast("string").alias("station_id"),
-                                F.lit(None).cast("string").alias("affected"))
-    return recs.select(*cols).unionByName(empty_row)
+                                none.alias("station_id"), none.alias("state"))
+    return recs.unionByName(gaps).unionByName(empty_row)
 
 
 # ---------------------------------------------------------------- B09–B13

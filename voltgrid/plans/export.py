@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from voltgrid.operators import views
+from voltgrid.operators.features import engineer_features
 from voltgrid.schemas import schema
 from voltgrid.sinks.tables import export_csv
 from voltgrid.sources.tables import Tables
@@ -68,7 +69,8 @@ def export_table(df: DataFrame, name: str, directory: str) -> bool:
 def export_all(t: Tables, out_root: str, as_of: _dt.datetime, raw: dict[str, DataFrame] | None = None,
                stamp: str | None = None) -> dict[str, bool]:
     """``out_root/<yyyymmdd_HHMMSS>/`` with every non-empty view, then the
-    raw tables (``raw`` maps table name → frame; defaults to the bundle's)."""
+    raw tables (``raw`` maps table name → frame; defaults to the bundle's and
+    the features computed from it)."""
     stamp = stamp or as_of.strftime("%Y%m%d_%H%M%S")
     directory = f"{out_root}/{stamp}"
     t = t.with_energy()
@@ -76,7 +78,8 @@ def export_all(t: Tables, out_root: str, as_of: _dt.datetime, raw: dict[str, Dat
     raw = raw if raw is not None else {
         "charging_stations": t.stations, "charging_points": t.points, "usage_data": t.usage,
         "weather_data": t.weather, "traffic_data": t.traffic, "energy_consumption": t.energy,
-        "anomaly_detection": t.anomalies, "data_collection_log": t.log}
+        "anomaly_detection": t.anomalies, "data_collection_log": t.log,
+        "engineered_features": engineer_features(t.stations, t.weather, t.traffic, as_of)}
     for name in RAW_TABLES:
         if name in raw:
             written[name] = export_table(raw[name], name, directory)

@@ -480,11 +480,9 @@ FROM usage_data HAVING COUNT(*) > 0"""
 
 def _low_list(value: str, type_: str, text: str) -> str:
     return f"""
-SELECT '{type_}' AS type, 'medium' AS priority, printf('{text}', COUNT(*)) AS recommendation,
-       COUNT(*) AS n_stations,
-       CAST(to_json(list_slice(list(station_id ORDER BY station_id), 1, 10)) AS VARCHAR) AS affected_stations
-FROM st WHERE CAST({value} AS DOUBLE) < (SELECT quantile_cont(CAST({value} AS DOUBLE), 0.25) FROM st)
-HAVING COUNT(*) > 0"""
+SELECT '{type_}' AS type, 'medium' AS priority, printf('{text}', COUNT(*) OVER ()) AS recommendation,
+       COUNT(*) OVER () AS n_stations, station_id
+FROM st WHERE CAST({value} AS DOUBLE) < (SELECT quantile_cont(CAST({value} AS DOUBLE), 0.25) FROM st)"""
 
 
 B04_BODY = _low_list("sessions", "underutilized_stations", "%d stations have low usage. Consider marketing or relocation.")
@@ -495,8 +493,7 @@ SELECT 'capacity_expansion' AS type, 'high' AS priority,
        printf('Station %s has high demand but only %d charging points. Consider expansion.',
               hi.station_id, COALESCE(pp.points, 0)) AS recommendation,
        hi.station_id, COALESCE(pp.points, 0) AS points
-FROM (SELECT station_id FROM st WHERE sessions > (SELECT quantile_cont(sessions, 0.75) FROM st)
-      ORDER BY station_id LIMIT 5) hi
+FROM (SELECT station_id FROM st WHERE sessions > (SELECT quantile_cont(sessions, 0.75) FROM st)) hi
 LEFT JOIN pp ON hi.station_id = pp.station_id
 WHERE COALESCE(pp.points, 0) < 4 AND (SELECT COUNT(*) FROM charging_points) > 0"""
 
@@ -507,17 +504,14 @@ WHERE station_count < (SELECT quantile_cont(station_count, 0.25) FROM (
         SELECT COUNT(*) AS station_count FROM charging_stations WHERE state IS NOT NULL GROUP BY state))"""
 
 B08_BODY = f"""
-SELECT type, priority, recommendation, CAST(NULL AS VARCHAR) AS station_id, affected_stations AS affected
-FROM ({B04_BODY})
+SELECT type, priority, recommendation, station_id, CAST(NULL AS VARCHAR) AS state FROM ({B04_BODY})
 UNION ALL
-SELECT type, priority, recommendation, station_id, CAST(NULL AS VARCHAR) FROM ({B05_BODY})
+SELECT type, priority, recommendation, station_id, NULL FROM ({B05_BODY})
 UNION ALL
-SELECT type, priority, recommendation, NULL, affected_stations FROM ({B06_BODY})
+SELECT type, priority, recommendation, station_id, NULL FROM ({B06_BODY})
 UNION ALL
 SELECT 'geographic_expansion', 'low',
-       'Consider expanding to states with low coverage: [' || string_agg('''' || state || '''', ', ' ORDER BY state) || ']',
-       NULL, CAST(to_json(list(state ORDER BY state)) AS VARCHAR)
-FROM ({B07_BODY}) HAVING COUNT(*) > 0
+       'Consider expanding to states with low coverage: ['''|| state || ''']', NULL, state FROM ({B07_BODY})
 UNION ALL
 SELECT 'data_collection', 'high', 'Collect more usage data to generate insights', NULL, NULL
 WHERE (SELECT COUNT(*) FROM usage_data) = 0"""
@@ -620,8 +614,8 @@ def _truthy(c: str, text: bool = True) -> str:
     return f"({c} IS NOT NULL AND {c} <> '')" if text else f"({c} IS NOT NULL AND CAST({c} AS DOUBLE) <> 0)"
 
 
-def _txt(c: str, n: int, default: str = "") -> str:
-    return f"COALESCE(substring(trim({c}), 1, {n}), '{default}')"
+def _txt(c: str, default: str = "") -> str:
+    return f"COALESCE(trim({c}), '{default}')"
 
 
 def _rng(c: str, lo, hi) -> str:
@@ -629,12 +623,12 @@ def _rng(c: str, lo, hi) -> str:
 
 
 C01_BODY = f"""
-SELECT trim(CAST(id AS VARCHAR)) AS id, {_txt('name', 500)} AS name,
+SELECT trim(CAST(id AS VARCHAR)) AS id, {_txt('name')} AS name,
        CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
-       {_txt('address', 1000)} AS address, {_txt('city', 255)} AS city, {_txt('state', 255)} AS state,
-       {_txt('country', 255)} AS country, {_txt('operator', 255)} AS operator, {_txt('network', 255)} AS network,
-       {_txt('status', 50, 'Unknown')} AS status, {_txt('access_type', 100)} AS access_type,
-       {_txt('pricing_info', 1000)} AS pricing_info, {_txt('amenities', 1000)} AS amenities,
+       {_txt('address')} AS address, {_txt('city')} AS city, {_txt('state')} AS state,
+       {_txt('country')} AS country, {_txt('operator')} AS operator, {_txt('network')} AS network,
+       {_txt('status', 'Unknown')} AS status, {_txt('access_type')} AS access_type,
+       {_txt('pricing_info')} AS pricing_info, {_txt('amenities')} AS amenities,
        {AS_OF} AS created_at, {AS_OF} AS updated_at
 FROM charging_stations
 WHERE {_truthy('id')} AND {_truthy('latitude', False)} AND {_truthy('longitude', False)}
@@ -644,15 +638,15 @@ C02_BODY = f"""
 SELECT id, trim(station_id) AS station_id, "timestamp",
        {_rng('temperature_celsius', -50, 60)} AS temperature_celsius,
        {_rng('precipitation_mm', 0, 1000)} AS precipitation_mm,
-       {_txt('weather_condition', 100)} AS weather_condition, {AS_OF} AS created_at
+       {_txt('weather_condition')} AS weather_condition, {AS_OF} AS created_at
 FROM weather_data WHERE "timestamp" IS NOT NULL AND {_truthy('station_id')}"""
 
 C03_BODY = f"""
 SELECT id, trim(station_id) AS station_id, "timestamp",
        {_rng('traffic_density', 0, 1000)} AS traffic_density,
        {_rng('average_speed_kmh', 0, 200)} AS average_speed_kmh,
-       {_txt('congestion_level', 50, 'unknown')} AS congestion_level,
-       {_txt('road_type', 100, 'highway')} AS road_type, {AS_OF} AS created_at
+       {_txt('congestion_level', 'unknown')} AS congestion_level,
+       {_txt('road_type', 'highway')} AS road_type, {AS_OF} AS created_at
 FROM traffic_data WHERE "timestamp" IS NOT NULL AND {_truthy('station_id')}"""
 
 C05_BODY = "SELECT id, name FROM charging_stations ORDER BY id LIMIT 50"

@@ -40,27 +40,29 @@ DDL = {
         "id bigint, station_id string, timestamp timestamp_ntz, status string, available_points int, "
         "total_points int, average_wait_time_minutes int, created_at timestamp_ntz"),
     "anomaly_detection": (
-        "id bigint, station_id string, anomaly_type string, severity_score decimal(5,3), "
+        "id bigint, station_id string, anomaly_type string, severity_score decimal(38,3), "
         "detected_at timestamp_ntz, description string, is_resolved boolean, "
         "resolved_at timestamp_ntz, created_at timestamp_ntz"),
     "engineered_features": (
         "id bigint, station_id string, date date, hour_of_day int, day_of_week int, is_weekend boolean, "
-        "is_holiday boolean, avg_downtime_minutes decimal(8,2), "
-        "energy_consumption_per_traffic decimal(10,3), usage_spike_during_storm boolean, "
-        "peak_usage_hours int, avg_wait_time_minutes decimal(8,2), total_sessions int, "
-        "total_energy_kwh decimal(10,3), created_at timestamp_ntz"),
+        "is_holiday boolean, avg_downtime_minutes decimal(38,2), "
+        "energy_consumption_per_traffic decimal(38,3), usage_spike_during_storm boolean, "
+        "peak_usage_hours bigint, avg_wait_time_minutes decimal(38,2), total_sessions bigint, "
+        "total_energy_kwh decimal(38,3), created_at timestamp_ntz"),
     "energy_consumption": (
-        "id bigint, station_id string, date date, total_energy_kwh decimal(10,3), "
-        "peak_hour_energy decimal(10,3), off_peak_energy decimal(10,3), session_count int, "
-        "avg_session_duration int, created_at timestamp_ntz"),
+        "id bigint, station_id string, date date, total_energy_kwh decimal(38,3), "
+        "peak_hour_energy decimal(38,3), off_peak_energy decimal(38,3), session_count bigint, "
+        "avg_session_duration bigint, created_at timestamp_ntz"),
     "data_collection_log": (
-        "id bigint, data_source string, collection_type string, records_collected int, status string, "
+        "id bigint, data_source string, collection_type string, records_collected bigint, status string, "
         "error_message string, started_at timestamp_ntz, completed_at timestamp_ntz, "
         "created_at timestamp_ntz"),
 }
 # The adapter data (FIXTURES §4) carries temperatures and densities up to
 # ~500, so those two columns are declared decimal(10,2) rather than the
 # DDL's (5,2)/(5,2); cleaning (C02/C03) still applies the physical ranges.
+# Columns that are sums or counts (features, daily energy, severity, records
+# collected) are declared as wide as the types go: they grow with the data.
 
 TABLES = tuple(DDL)
 
@@ -75,10 +77,11 @@ def schema(name: str) -> StructType:
     return StructType.fromJson(json.loads(_schema_json(name)))
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
+def conform(df: DataFrame, name: str, computed: bool = False) -> DataFrame:
     """Project ``df`` onto the canonical schema of ``name``: existing columns
-    are cast (``try_cast``: unparsable → NULL), missing optional columns become
-    typed NULLs, extra columns are dropped. Pure projection, no shuffle."""
+    are cast (input: ``try_cast``, unparsable → NULL; ``computed`` figures:
+    ``cast``, which raises on overflow), missing optional columns become typed
+    NULLs, extra columns are dropped. Pure projection, no shuffle."""
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in schema(name).fields:
@@ -87,5 +90,6 @@ def conform(df: DataFrame, name: str) -> DataFrame:
         elif have[f.name] == f.dataType:
             out.append(F.col(f.name))
         else:
-            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            c = F.col(f.name)
+            out.append((c.cast(f.dataType) if computed else c.try_cast(f.dataType)).alias(f.name))
     return df.select(*out)

@@ -5,10 +5,10 @@ Storage is plain parquet (no table format with MERGE is installed):
 - append-only tables (usage, weather, traffic, anomalies, features, energy,
   audit) are written with ``mode('append')``, time series partitioned by
   ``date`` so date filters prune directories;
-- upserted tables (stations, points) are rewritten as a new version directory
-  ``<root>/<name>/_v=<version>`` and a small pointer file ``_CURRENT`` is
-  replaced last, so readers never see a half-written version and a retried
-  job (same version id) rewrites the same directory idempotently.
+- upserted tables (stations, points) are written as a new directory per
+  attempt and published by a numbered commit file that is renamed into place,
+  so readers never see a half-written version and nothing published is ever
+  overwritten.
 
 All filesystem access goes through Hadoop's FileSystem API of the session, so
 the same code works on HDFS/object stores.
@@ -17,6 +17,7 @@ the same code works on HDFS/object stores.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +32,12 @@ def latest_by_key(df: DataFrame, key: list[str], order_by: list[str]) -> DataFra
     wins). Implemented as a ``max_by`` aggregate rather than a
     ``row_number`` window: the aggregate combines map-side, so a key holding
     a third of all rows costs one partial row per task instead of sorting
-    that third in a single window partition."""
+    that third in a single window partition. Rows that tie are ordered by a
+    hash of the whole row and then by the row, so the winner doesn't depend on
+    the order of arrival."""
     cols = [c for c in df.columns]
-    order = F.struct(*[F.col(c) for c in order_by])
+    order = F.struct(*[F.col(c) for c in order_by], F.xxhash64(*cols).alias("_hash"),
+                     *[F.col(c).alias(f"_tie_{c}") for c in cols])
     agg = df.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row"))
     return agg.select("_row.*")
 
@@ -53,55 +57,88 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
+def _publish(spark: SparkSession, root: str, name: str, directory: str, version: str) -> None:
+    """Name ``directory`` as the table's content. A commit is one new file
+    ``_commits/<number>``, written whole under another name and renamed; no
+    file is ever replaced or deleted, so a reader sees the old version or the
+    new one. Two writers can't both take a number: the second rename fails."""
+    fs, folder = _fs(spark, f"{root}/{name}/_commits")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    last = _last_commit(spark, root, name)
+    number = 0 if last is None else last[0] + 1
+    tmp = path(folder, f".{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
+        out.write(bytearray(f"{directory}\n{version}\n".encode()))
     finally:
-        stream.close()
+        out.close()
+    target = path(folder, f"{number:012d}")
+    if fs.exists(target) or not fs.rename(tmp, target):
+        raise RuntimeError(f"{name}: version {number} was published by another writer")
+
 
+def _commit_files(spark: SparkSession, root: str, name: str) -> list[str]:
+    fs, folder = _fs(spark, f"{root}/{name}/_commits")
+    if not fs.exists(folder):
+        return []
+    return sorted(n for n in (f.getPath().getName() for f in fs.listStatus(folder)) if n.isdigit())
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write ``text`` to ``path`` via a temporary file and a rename."""
-    fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+
+def _read_commit(spark: SparkSession, root: str, name: str, number: str) -> tuple[str, str]:
+    fs, p = _fs(spark, f"{root}/{name}/_commits/{number}")
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine(), reader.readLine()
     finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+        stream.close()
+
+
+def _last_commit(spark: SparkSession, root: str, name: str) -> tuple[int, str, str] | None:
+    """Number, directory and version of the newest commit."""
+    files = _commit_files(spark, root, name)
+    return (int(files[-1]), *_read_commit(spark, root, name, files[-1])) if files else None
+
+
+def published(spark: SparkSession, root: str, name: str, version: str) -> bool:
+    """Whether a batch with this version id has been committed, now or
+    earlier."""
+    return any(_read_commit(spark, root, name, f)[1] == version for f in _commit_files(spark, root, name))
 
 
 def current_version_path(spark: SparkSession, root: str, name: str) -> str | None:
-    v = _read_text(spark, f"{root}/{name}/_CURRENT")
-    return None if v is None else f"{root}/{name}/_v={v}"
+    last = _last_commit(spark, root, name)
+    return None if last is None else f"{root}/{name}/{last[1]}"
 
 
 def read_versioned(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The published content; empty before the first upsert. A table whose
+    folder holds versions but no commit is an error, not an empty table."""
     path = current_version_path(spark, root, name)
-    if path is None:
-        return spark.createDataFrame([], schema(name))
-    return spark.read.schema(schema(name)).parquet(path)
+    if path is not None:
+        return spark.read.schema(schema(name)).parquet(path)
+    fs, folder = _fs(spark, f"{root}/{name}")
+    if fs.exists(folder) and any(f.isDirectory() and f.getPath().getName() == "_commits"
+                                 for f in fs.listStatus(folder)):
+        raise RuntimeError(f"{root}/{name} has a commit folder without a commit")
+    return spark.createDataFrame([], schema(name))
 
 
 def upsert(spark: SparkSession, root: str, name: str, batch: DataFrame, key: list[str],
            order_by: list[str], version: str) -> str:
-    """Merge ``batch`` into table ``name`` and publish it as version
-    ``version`` (e.g. the micro-batch id). Returns the version path."""
+    """Merge ``batch`` into table ``name`` and publish the result.
+    Each attempt writes a directory of its own, so a failure at any point
+    leaves the published version as it was. ``version`` (a cycle's stamp, a
+    query's id and batch id) names the batch in the commit record; running it
+    again merges the same rows again, which changes nothing. Returns the
+    path."""
     target = read_versioned(spark, root, name)
     merged = conform(upsert_frame(target, conform(batch, name), key, order_by), name)
-    path = f"{root}/{name}/_v={version}"
-    merged.write.mode("overwrite").parquet(path)
-    _write_text(spark, f"{root}/{name}/_CURRENT", str(version))
-    return path
+    directory = f"v-{uuid.uuid4().hex}"
+    merged.write.parquet(f"{root}/{name}/{directory}")
+    _publish(spark, root, name, directory, version)
+    return f"{root}/{name}/{directory}"
 
 
 # ------------------------------------------------------------------ K03–K10

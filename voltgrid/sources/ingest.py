@@ -189,15 +189,15 @@ def read_weather_json(spark: SparkSession, path: str, multi_line: bool = False)
     return parse_weather(read_json(spark, path, WEATHER_DOC, multi_line))
 
 
-FORECAST_PER_DAY, FORECAST_MAX = 8, 40
+FORECAST_PER_DAY = 8
 
 
-def explode_weather_series(docs: DataFrame, field: str = "list", days: int | None = 5) -> DataFrame:
+def explode_weather_series(docs: DataFrame, field: str = "list", days: int | None = None) -> DataFrame:
     """Forecast (``list``) or history (``data``) documents → one row per
-    point; forecasts keep the first ``min(days × 8, 40)`` points."""
+    point; forecasts keep the first ``days × 8`` points if ``days`` is given."""
     d = valid(docs).select("station_id", F.posexplode(F.coalesce(F.col(field), F.array())).alias("pos", "item"))
     if field == "list" and days is not None:
-        d = d.where(F.col("pos") < min(days * FORECAST_PER_DAY, FORECAST_MAX))
+        d = d.where(F.col("pos") < days * FORECAST_PER_DAY)
     return d.select("station_id", *_weather_fields(F.col("item")))
 
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltgrid.schemas import conform, schema
+from voltgrid.schemas import DDL, conform, schema
 
 
 def read_table(spark: SparkSession, root: str, name: str, filters: dict | None = None,
@@ -80,7 +80,8 @@ def load_tables(spark: SparkSession, root: str) -> Tables:
         fs, p = _fs(spark, f"{root}/{n}")
         if not fs.exists(p):
             return spark.createDataFrame([], schema(n))
-        return conform(spark.read.option("basePath", f"{root}/{n}").parquet(f"{root}/{n}"), n)
+        parts = ", load string" + ("" if "date" in schema(n).names else ", date date")
+        return conform(spark.read.schema(DDL[n] + parts).option("basePath", f"{root}/{n}").parquet(f"{root}/{n}"), n)
     return Tables(stations=r("charging_stations"), points=r("charging_points"),
                   usage=r("usage_data"), weather=r("weather_data"), traffic=r("traffic_data"),
                   anomalies=r("anomaly_detection"), log=r("data_collection_log"))

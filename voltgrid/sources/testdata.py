@@ -19,8 +19,8 @@ from voltgrid.sources.tables import Tables
 # Fixed values of the adapter mapping (FIXTURES.md §4).
 WEATHER_CONDITIONS = ["Clear", "Clouds", "Rain", "Thunderstorm", "Snow"]  # by k % 5
 CONGESTION_LEVELS = ["severe", "moderate", "light"]                        # by k % 3
-STATION_MODULUS = 20      # station id of an event = user_id % 20
-POINT_STATION_MODULUS = 25  # station id of a part = p_partkey % 25
+STATION_MODULUS = 103     # station id of an event = user_id % 103; the last ids have no station at sf0.01
+POINT_STATION_MODULUS = 103  # station id of a part = p_partkey % (1 + p_partkey % 103): few points on high ids
 
 
 def _k(col: str = "props"):
@@ -72,10 +72,10 @@ def _build_tables(spark: SparkSession, root: str) -> Tables:
         ))
 
     points = (
-        _read(spark, root, "part").where(F.col("p_size") <= 2)
+        _read(spark, root, "part")
         .select(
             F.col("p_partkey").cast("string").alias("id"),
-            (F.col("p_partkey") % POINT_STATION_MODULUS).cast("string").alias("station_id"),
+            (F.col("p_partkey") % (1 + F.col("p_partkey") % POINT_STATION_MODULUS)).cast("string").alias("station_id"),
             F.col("p_type").alias("connector_type"),
             (F.col("p_size") * 3.6).cast("decimal(8,2)").alias("power_kw"),
         ))
@@ -111,12 +111,12 @@ def _build_tables(spark: SparkSession, root: str) -> Tables:
 
     resolved = (k % 2) == 1
     anomalies = (
-        events.where((F.col("event_type") == "signup") & (F.col("value") > 100))
+        events.where(F.col("event_type") == "signup")
         .select(
             F.col("event_id").alias("id"), sid.alias("station_id"),
             F.lit("usage_pattern").alias("anomaly_type"),
-            # integer part / 100: exact at decimal(5,3), so no engine-specific rounding tie
-            (F.floor("value") / 100).cast("decimal(5,3)").alias("severity_score"),
+            # integer part / 100: exact at three places, so no engine-specific rounding tie
+            (F.floor("value") / 100).cast("decimal(38,3)").alias("severity_score"),
             F.col("ts").alias("detected_at"),
             resolved.alias("is_resolved"),
             F.when(resolved, F.timestamp_add("HOUR", k, F.col("ts"))).alias("resolved_at"),
@@ -128,7 +128,7 @@ def _build_tables(spark: SparkSession, root: str) -> Tables:
             F.col("o_orderkey").alias("id"),
             F.col("o_orderpriority").alias("data_source"),
             F.col("o_orderstatus").alias("collection_type"),
-            F.col("o_custkey").cast("int").alias("records_collected"),
+            F.col("o_custkey").cast("bigint").alias("records_collected"),
             F.when(F.col("o_orderkey") % 10 == 0, F.lit("error")).otherwise(F.lit("success")).alias("status"),
             F.col("o_orderdate").alias("started_at"),
             F.timestamp_add("SECOND", F.col("o_orderkey") % 600, F.col("o_orderdate")).alias("completed_at"),
@@ -148,7 +148,7 @@ def _build_tables(spark: SparkSession, root: str) -> Tables:
 # The same adapters in DuckDB SQL, one CTE body per canonical table. Oracle
 # queries prepend the ones they use via ``with_adapters``.
 _K = "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)"
-_SID = "CAST(user_id % 20 AS VARCHAR)"
+_SID = "CAST(user_id % 103 AS VARCHAR)"
 
 ADAPTER_SQL = {
     "charging_stations": f"""
@@ -162,9 +162,9 @@ ADAPTER_SQL = {
                CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "charging_points": """
-        SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(p_partkey % 25 AS VARCHAR) AS station_id,
+        SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(p_partkey % (1 + p_partkey % 103) AS VARCHAR) AS station_id,
                p_type AS connector_type, CAST(p_size * 3.6 AS DECIMAL(8,2)) AS power_kw
-        FROM part WHERE p_size <= 2""",
+        FROM part""",
     "usage_data": f"""
         SELECT event_id AS id, {_SID} AS station_id, ts AS session_start,
                CAST(value AS DECIMAL(10,3)) AS energy_consumed_kwh,
@@ -191,14 +191,14 @@ ADAPTER_SQL = {
         FROM events WHERE event_type = 'error'""",
     "anomaly_detection": f"""
         SELECT event_id AS id, {_SID} AS station_id, 'usage_pattern' AS anomaly_type,
-               CAST(floor(value) / 100 AS DECIMAL(5,3)) AS severity_score, ts AS detected_at,
+               CAST(floor(value) / 100 AS DECIMAL(18,3)) AS severity_score, ts AS detected_at,
                ({_K} % 2 = 1) AS is_resolved,
                CASE WHEN {_K} % 2 = 1 THEN ts + {_K} * INTERVAL 1 HOUR END AS resolved_at,
                CAST(NULL AS VARCHAR) AS description
-        FROM events WHERE event_type = 'signup' AND value > 100""",
+        FROM events WHERE event_type = 'signup'""",
     "data_collection_log": """
         SELECT o_orderkey AS id, o_orderpriority AS data_source, o_orderstatus AS collection_type,
-               CAST(o_custkey AS INTEGER) AS records_collected,
+               CAST(o_custkey AS BIGINT) AS records_collected,
                CASE WHEN o_orderkey % 10 = 0 THEN 'error' ELSE 'success' END AS status,
                CAST(NULL AS VARCHAR) AS error_message,
                o_orderdate AS started_at, o_orderdate + (o_orderkey % 600) * INTERVAL 1 SECOND AS completed_at

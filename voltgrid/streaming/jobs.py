@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import instant_to_ntz, ntz_to_instant
 from voltgrid.operators import cleaning
+from voltgrid.operators.derived import quota_usage
 from voltgrid.session import checkpoint_dir
-from voltgrid.sinks.tables import append, collection_log_row, current_version_path, upsert
+from voltgrid.sinks.tables import append, collection_log_row, published, upsert
 from voltgrid.sources import ingest
 
 
@@ -57,17 +58,20 @@ def cleaned_stream(stream: DataFrame, kind: str, as_of: _dt.datetime) -> DataFra
 
 # ---------------------------------------------------------------- T02
 
-def upsert_sink(root: str, name: str, key: list[str], order_by: list[str]):
+def upsert_sink(root: str, name: str, key: list[str], order_by: list[str], query: str | None = None):
     """``foreachBatch`` function merging each micro-batch into an
-    upserted table (K01). The batch id is the published version, so a
-    re-delivered batch is skipped once its version is current and rewritten
-    (same directory) if it failed before publishing."""
+    upserted table (K01). A batch is known by the query and its batch id:
+    ``query`` or, without it, the id that Spark keeps in the query's own
+    checkpoint, so the batches of another query, or of a new checkpoint, are
+    never taken for this one's. A re-delivered batch whose commit exists is
+    skipped; one that failed before its commit is merged again."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cur = current_version_path(spark, root, name)
-        if cur is not None and cur.endswith(f"_v={batch_id}"):
+        own = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        version = f"{own or 'batch'}-{batch_id}"
+        if own is not None and published(spark, root, name, version):
             return
-        upsert(spark, root, name, batch, key, order_by, version=str(batch_id))
+        upsert(spark, root, name, batch, key, order_by, version=version)
     return write
 
 
@@ -128,8 +132,28 @@ def quota_counter_stream(log: DataFrame, delay: str = "1 day") -> DataFrame:
                     "calls", (F.col("calls") < 1000).alias("can_use"))
 
 
+def quota_usage_stream(log: DataFrame, quotas: dict | None = None) -> DataFrame:
+    """T08 with each service's own period (day or month) and limit, as D02
+    has them; for update mode. The state is one row per service and period."""
+    return quota_usage(log, quotas)
+
+
 # ---------------------------------------------------------------- T05
 
+def weather_usage_stream(weather: DataFrame, usage: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """T05 as a stream–stream join: each weather observation with the usage of
+    its station in the same hour, whichever arrives first. Usage is one row
+    per station and hour (emitted when the watermark passes the hour), so no
+    observation × session pairs are formed; both sides' state is dropped once
+    the watermark has passed the hour."""
+    hour = F.window("_ts", "1 hour").alias("_w")
+    u = usage.withColumn("_ts", ntz_to_instant("session_start")).withWatermark("_ts", delay) \
+        .groupBy("station_id", hour).agg(F.count("id").alias("session_count"),
+                                         F.sum("energy_consumed_kwh").alias("total_energy"))
+    w = weather.withColumn("_ts", ntz_to_instant("timestamp")).withWatermark("_ts", delay).withColumn("_w", hour)
+    return w.join(u, ["station_id", "_w"]).withColumn("hour", instant_to_ntz("_w.start")).drop("_w", "_ts")
+
+
 def weather_with_hourly_usage(weather: DataFrame, hourly_usage: DataFrame) -> DataFrame:
     """Each streamed weather observation joined to the same-hour usage
     of its station from the hourly table maintained by T04 (stream–static
