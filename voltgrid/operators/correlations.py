@@ -2,32 +2,29 @@
 
 All correlations are Pearson over the rows of a same-hour match, with the
 pandas rules: pairs with a NULL are dropped, an undefined r (constant side,
-< 2 points) is 0 (``voltgrid.functions.columns.pearson``).
+< 2 points) is 0 (as ``voltgrid.functions.columns.pearson`` has it).
 
 ``by=[]`` gives the network-wide figure, ``by=["station_id"]`` one figure per
 station in the same job.
 
 Scale notes
-- Usage is first reduced to (station, hour) cells (R01) by a partial hash
-  aggregate; observations then join those cells on (station_id, hour), an
-  equi-join whose key spreads a hot station over its hours.
+- Usage and observations are both reduced to (station, hour) cells by partial
+  hash aggregates before they meet, so the join sees one row per side and cell
+  however many rows a station or an hour holds. R02–R08 are derived from one
+  table of matched cells, with one scan of each source.
 - The combined analysis (R06) correlates over every weather × traffic pair of
   a station-hour. Materialising those pairs grows quadratically with a hot
-  cell, so R06 never does: each side is reduced to per-cell moments (count,
-  mean, within-cell sum of squared deviations) and the pair-level Pearson is
-  assembled exactly from them (pooled-variance decomposition), two small
-  aggregations over cells.
+  cell, so R06 never does: each side is reduced to per-cell sums (count, sum,
+  sum of squares), which add up to the pair-level Pearson in one aggregate.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import hour_floor, pearson
-from voltgrid.functions.groupstats import group_stats, with_group_stats
+from voltgrid.functions.columns import hour_floor
+from voltgrid.functions.groupstats import group_stats
 
 # Fixed values of the insight rules.
 INSIGHT_R = 0.3     # |r| above this → a sentence
@@ -43,36 +40,102 @@ def hourly_usage(usage: DataFrame) -> DataFrame:
         F.sum("energy_consumed_kwh").alias("total_energy"))
 
 
-def _matched(obs: DataFrame, usage: DataFrame) -> DataFrame:
-    """Observations inner-joined to the hourly usage of their station."""
-    o = obs.withColumn("hour", hour_floor("timestamp"))
-    return o.join(hourly_usage(usage), ["station_id", "hour"])
+WEATHER_FEATURES = {"temperature": "temperature_celsius", "precipitation": "precipitation_mm"}
+TRAFFIC_FEATURES = {"traffic_density": "traffic_density", "average_speed": "average_speed_kmh"}
+CELL = ["station_id", "hour"]
+
+
+def _cells(obs: DataFrame, side: str, features: dict[str, str], category: str) -> DataFrame:
+    """J05's left side, merged before any join: per station and hour the
+    number of observations, the sums of each feature (non-null count, sum,
+    sum of squares, least and greatest) and the count of each category. Equal
+    observations combine map-side, so a cell that holds a third of all rows
+    costs a partial row per task and category."""
+    parts = [F.count(F.lit(1)).alias(f"n_{side}")]
+    merge = [F.sum(f"n_{side}").alias(f"n_{side}")]
+    for name, c in features.items():
+        x = F.col(c).cast("double")
+        for k, agg, add in (("n", F.count(x), F.sum), ("x", F.sum(x), F.sum), ("xx", F.sum(x * x), F.sum),
+                            ("lo", F.min(x), F.min), ("hi", F.max(x), F.max)):
+            parts.append(agg.alias(f"{name}_{k}"))
+            merge.append(add(f"{name}_{k}").alias(f"{name}_{k}"))
+    # as many entries as the hour has categories
+    merge.append(F.collect_list(F.when(F.col(category).isNotNull(), F.struct(
+        F.col(category).alias("name"), F.col(f"n_{side}").alias("n")))).alias(f"kinds_{side}"))
+    return (obs.where(F.col("station_id").isNotNull() & F.col("timestamp").isNotNull())
+            .groupBy("station_id", hour_floor("timestamp").alias("hour"), category).agg(*parts)
+            .groupBy(*CELL).agg(*merge))
+
+
+def weather_cells(weather: DataFrame) -> DataFrame:
+    return _cells(weather, "w", WEATHER_FEATURES, "weather_condition")
+
+
+def traffic_cells(traffic: DataFrame) -> DataFrame:
+    return _cells(traffic, "t", TRAFFIC_FEATURES, "congestion_level")
+
+
+def matched_cells(usage: DataFrame, weather: DataFrame | None = None, traffic: DataFrame | None = None) -> DataFrame:
+    """Hourly usage with the observations of the same station and hour (NULL
+    where there are none): one scan of each table, one row per cell."""
+    out = hourly_usage(usage)
+    if weather is not None:
+        out = out.join(weather_cells(weather), CELL, "left")
+    if traffic is not None:
+        out = out.join(traffic_cells(traffic), CELL, "left")
+    return out
+
+
+def _sums(name: str, pairs: Column) -> dict[str, Column]:
+    """The sums that the correlation of a feature with the session count needs,
+    over the cells of a match; each value of a cell counts ``pairs`` times."""
+    s = F.col("session_count").cast("double")
+    n, has = F.col(f"{name}_n") * pairs, (F.col(f"{name}_n") > 0) & (pairs > 0)
+    return {f"{name}__n": F.sum(n), f"{name}__s": F.sum(n * s), f"{name}__ss": F.sum(n * s * s),
+            f"{name}__x": F.sum(pairs * F.col(f"{name}_x")), f"{name}__xx": F.sum(pairs * F.col(f"{name}_xx")),
+            f"{name}__xs": F.sum(pairs * s * F.col(f"{name}_x")),
+            f"{name}__flat": (F.min(F.when(has, F.col(f"{name}_lo"))) == F.max(F.when(has, F.col(f"{name}_hi"))))
+            | (F.min(F.when(has, s)) == F.max(F.when(has, s)))}
+
+
+def _pearson(name: str) -> Column:
+    """Pearson's r from the sums; a constant side, or nothing at all, gives 0."""
+    c = lambda k: F.col(f"{name}__{k}")
+    n = c("n").cast("double")
+    r = F.try_divide(c("xs") - F.try_divide(c("x") * c("s"), n),
+                     F.sqrt(F.greatest(F.lit(0.0), c("xx") - F.try_divide(c("x") * c("x"), n))
+                            * F.greatest(F.lit(0.0), c("ss") - F.try_divide(c("s") * c("s"), n))))
+    return F.round(F.when(F.coalesce(c("flat"), F.lit(True)), F.lit(0.0)).otherwise(F.coalesce(r, F.lit(0.0))), 6)
+
+
+def _side(cells: DataFrame, by: list[str], features: dict[str, str], side: str, named: dict[str, str]) -> DataFrame:
+    sums = {}
+    for name in features:
+        sums.update(_sums(name, F.lit(1)))
+    g = group_stats(cells.where(F.col(f"n_{side}").isNotNull()), by, **sums,
+                    data_points=F.coalesce(F.sum(f"n_{side}"), F.lit(0)))
+    return g.select(*by, *[_pearson(f).alias(out) for f, out in named.items()], "data_points")
 
 
 def weather_usage_correlation(weather: DataFrame, usage: DataFrame, by=()) -> DataFrame:
     """Temperature and precipitation against the same-hour session count."""
-    by = list(by)
-    m = _matched(weather, usage)
-    return group_stats(m, by,
-                       temperature_vs_sessions=pearson("temperature_celsius", "session_count"),
-                       precipitation_vs_sessions=pearson("precipitation_mm", "session_count"),
-                       data_points=F.count(F.lit(1)))
+    return _side(matched_cells(usage, weather), list(by), WEATHER_FEATURES, "w", WEATHER_NAMES)
 
 
 def traffic_usage_correlation(traffic: DataFrame, usage: DataFrame, by=()) -> DataFrame:
     """Traffic density and average speed against the session count."""
-    by = list(by)
-    m = _matched(traffic, usage)
-    return group_stats(m, by,
-                       traffic_density_vs_sessions=pearson("traffic_density", "session_count"),
-                       average_speed_vs_sessions=pearson("average_speed_kmh", "session_count"),
-                       data_points=F.count(F.lit(1)))
+    return _side(matched_cells(usage, traffic=traffic), list(by), TRAFFIC_FEATURES, "t", TRAFFIC_NAMES)
+
+
+WEATHER_NAMES = {"temperature": "temperature_vs_sessions", "precipitation": "precipitation_vs_sessions"}
+TRAFFIC_NAMES = {"traffic_density": "traffic_density_vs_sessions", "average_speed": "average_speed_vs_sessions"}
 
 
-def _impact(obs: DataFrame, usage: DataFrame, col: str, by, n: int) -> DataFrame:
+def _impact(cells: DataFrame, side: str, col: str, by, n: int) -> DataFrame:
     by = list(by)
-    m = _matched(obs, usage).where(F.col(col).isNotNull())
-    g = m.groupBy(*by, col).agg(F.round(F.avg("session_count"), 6).alias("mean_sessions"))
+    kinds = cells.select(*by, "session_count", F.explode(f"kinds_{side}").alias("k"))
+    mean = F.try_divide(F.sum(F.col("k.n") * F.col("session_count")).cast("double"), F.sum("k.n").cast("double"))
+    g = kinds.groupBy(*by, F.col("k.name").alias(col)).agg(F.round(mean, 6).alias("mean_sessions"))
     order = [F.col("mean_sessions").desc(), F.col(col).asc()]
     if by:
         w = Window.partitionBy(*by).orderBy(*order)
@@ -84,144 +147,129 @@ def _impact(obs: DataFrame, usage: DataFrame, col: str, by, n: int) -> DataFrame
 
 def condition_impact(weather: DataFrame, usage: DataFrame, by=(), n: int = TOP_N) -> DataFrame:
     """Mean session count per weather condition, top ``n``."""
-    return _impact(weather, usage, "weather_condition", by, n)
+    return _impact(matched_cells(usage, weather), "w", "weather_condition", by, n)
 
 
 def congestion_impact(traffic: DataFrame, usage: DataFrame, by=(), n: int = TOP_N) -> DataFrame:
     """Mean session count per congestion level, top ``n``."""
-    return _impact(traffic, usage, "congestion_level", by, n)
+    return _impact(matched_cells(usage, traffic=traffic), "t", "congestion_level", by, n)
 
 
 # ------------------------------------------------------------------ R06
 
-def _cell_moments(obs: DataFrame, side: str, features: dict[str, str]) -> DataFrame:
-    """Per (station, hour): row count and, per feature, the non-null count,
-    mean and within-cell sum of squared deviations."""
-    aggs = [F.count(F.lit(1)).alias(f"n_{side}")]
-    for name, c in features.items():
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{name}_n"), F.avg(x).alias(f"{name}_mean"),
-                 (F.var_pop(x) * F.count(x)).alias(f"{name}_m2")]
-    return obs.groupBy("station_id", hour_floor("timestamp").alias("hour")).agg(*aggs)
-
-
-def _pooled_means(name: str, other_n: str) -> dict[str, Column]:
-    """Pair-weighted means of the feature and of the session count. Each of
-    a cell's ``{name}_n`` values pairs with ``other_n`` rows of the other side."""
-    w = F.col(other_n) * F.col(f"{name}_n")
-    s = F.col("session_count").cast("double")
-    return {f"{name}__w": F.sum(w), f"{name}__wx": F.sum(w * F.col(f"{name}_mean")),
-            f"{name}__ws": F.sum(w * s)}
-
-
-def _pooled_pearson(name: str, other_n: str) -> Column:
-    """Exact pair-level Pearson from per-cell moments: the between-cell part
-    uses the pooled means, the within-cell part the cell's sum of squares
-    (the session count is constant inside a cell)."""
-    w = F.col(other_n) * F.col(f"{name}_n")
-    mx, s = F.col(f"{name}_mean"), F.col("session_count").cast("double")
-    X = F.try_divide(F.col(f"{name}__wx"), F.col(f"{name}__w"))
-    S = F.try_divide(F.col(f"{name}__ws"), F.col(f"{name}__w"))
-    sxx = F.sum(F.col(other_n) * (F.coalesce(F.col(f"{name}_m2"), F.lit(0.0))
-                                  + F.col(f"{name}_n") * (mx - X) * (mx - X)))
-    sss = F.sum(w * (s - S) * (s - S))
-    sxs = F.sum(w * (mx - X) * (s - S))
-    return F.round(F.coalesce(F.try_divide(sxs, F.sqrt(sxx * sss)), F.lit(0.0)), 6)
+def _all_sums() -> dict[str, Column]:
+    """The sums of R02, R04 and R06 in one aggregate: w_ and t_ for the
+    two-way matches, c_ for the three-way match, which keeps the weather ×
+    traffic multiplicity of the merge without making its pairs."""
+    out = {"w__points": F.sum("n_w"), "t__points": F.sum("n_t"), "c__points": F.sum(F.col("n_w") * F.col("n_t"))}
+    for prefix, features, pairs in (("w_", WEATHER_FEATURES, F.lit(1)), ("t_", TRAFFIC_FEATURES, F.lit(1)),
+                                    ("c_", WEATHER_FEATURES, F.coalesce("n_t", F.lit(0))),
+                                    ("c_", TRAFFIC_FEATURES, F.coalesce("n_w", F.lit(0)))):
+        for name in features:
+            out.update({f"{prefix}{k}": v for k, v in _sums(name, pairs).items()})
+    return out
 
 
-WEATHER_FEATURES = {"temperature": "temperature_celsius", "precipitation": "precipitation_mm"}
-TRAFFIC_FEATURES = {"traffic_density": "traffic_density", "average_speed": "average_speed_kmh"}
+COMBINED = [*WEATHER_FEATURES, *TRAFFIC_FEATURES]
 
 
 def combined_correlation(weather: DataFrame, traffic: DataFrame, usage: DataFrame, by=()) -> DataFrame:
     """Temperature, precipitation, density and speed against sessions
-    over the three-way same-hour match, keeping the weather × traffic
-    multiplicity of the merge without materialising it."""
+    over the three-way same-hour match."""
     by = list(by)
-    w = _cell_moments(weather.where(F.col("station_id").isNotNull()), "w", WEATHER_FEATURES)
-    t = _cell_moments(traffic.where(F.col("station_id").isNotNull()), "t", TRAFFIC_FEATURES)
-    cells = w.join(t, ["station_id", "hour"]).join(hourly_usage(usage), ["station_id", "hour"])
-    feats = [(n, "n_t") for n in WEATHER_FEATURES] + [(n, "n_w") for n in TRAFFIC_FEATURES]
-    means = {}
-    for name, other in feats:
-        means.update(_pooled_means(name, other))
-    cells = with_group_stats(cells, by, **means)
-    rs = {name: _pooled_pearson(name, other) for name, other in feats}
-    return group_stats(cells, by, **rs,
-                       data_points=F.coalesce(F.sum(F.col("n_w") * F.col("n_t")), F.lit(0)))
+    cells = matched_cells(usage, weather, traffic).where(F.col("n_w").isNotNull() & F.col("n_t").isNotNull())
+    sums = {}
+    for features, pairs in ((WEATHER_FEATURES, F.col("n_t")), (TRAFFIC_FEATURES, F.col("n_w"))):
+        for name in features:
+            sums.update(_sums(name, pairs))
+    g = group_stats(cells, by, **sums, data_points=F.coalesce(F.sum(F.col("n_w") * F.col("n_t")), F.lit(0)))
+    return g.select(*by, *[_pearson(f).alias(f) for f in COMBINED], "data_points")
 
 
 # ------------------------------------------------------------------ R07 / R08
 
-def _sentence(label: str, col: str) -> Column:
-    r = F.col(col)
+# The sentences.
+SENTENCE = "%s shows %s correlation (%.2f) with session count"
+CONDITION_TEXT = "Weather conditions with highest usage: "
+CONGESTION_TEXT = "Congestion levels with highest usage: "
+STRONG_TEXT = "Strong correlations found: "
+
+
+def _sentence(label: str, r: Column) -> Column:
     return F.when(F.abs(r) > INSIGHT_R, F.format_string(
-        f"{label} shows %s correlation (%.2f) with session count",
-        F.when(r > 0, F.lit("positive")).otherwise(F.lit("negative")), r))
+        SENTENCE, F.lit(label), F.when(r > 0, F.lit("positive")).otherwise(F.lit("negative")), r))
 
 
 def correlation_insights(weather: DataFrame, traffic: DataFrame, usage: DataFrame, by=()) -> DataFrame:
     """The insight sentences — temperature, precipitation and density
     with |r| > 0.3 (speed has none), the top conditions / congestion levels,
-    and the combined analysis' strong (|r| > 0.5) correlations."""
+    and the combined analysis' strong (|r| > 0.5) correlations.
+
+    One pass over the cells: each gives a row with its sums and a row for each
+    of its categories; these are added up per group and category, then per
+    group, where a list has as many entries as there are categories."""
     by = list(by)
-    wr = weather_usage_correlation(weather, usage, by)
-    tr = traffic_usage_correlation(traffic, usage, by)
-    cr = combined_correlation(weather, traffic, usage, by)
-
-    def top_text(df, col, section, prefix):
-        # at most TOP_N entries per group: the collected list is bounded
-        entry = F.format_string("'%s': %s", F.col(col), F.col("mean_sessions").cast("string"))
-        g = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("rank", entry.alias("e")))).alias("l"))
-        return g.select(*by, F.lit(section).alias("section"),
-                        F.concat(F.lit(prefix + "{"), F.array_join(F.transform("l", lambda x: x["e"]), ", "),
-                                 F.lit("}")).alias("insight"))
-
-    rows = [
-        wr.select(*by, F.lit("weather_correlation").alias("section"),
-                  F.explode(F.array_compact(F.array(_sentence("Temperature", "temperature_vs_sessions"),
-                                                    _sentence("Precipitation", "precipitation_vs_sessions"))))
-                  .alias("insight")),
-        top_text(condition_impact(weather, usage, by), "weather_condition", "weather_correlation",
-                 "Weather conditions with highest usage: "),
-        tr.select(*by, F.lit("traffic_correlation").alias("section"),
-                  F.explode(F.array_compact(F.array(_sentence("Traffic density", "traffic_density_vs_sessions"))))
-                  .alias("insight")),
-        top_text(congestion_impact(traffic, usage, by), "congestion_level", "traffic_correlation",
-                 "Congestion levels with highest usage: "),
-    ]
-    strong = F.array_compact(F.array(*[
-        F.when(F.abs(F.col(k)) > STRONG_R, F.format_string(f"'{k}': %s", F.col(k).cast("string")))
-        for k in ("temperature", "precipitation", "traffic_density", "average_speed")]))
-    rows.append(cr.where(F.size(strong) > 0).select(
-        *by, F.lit("combined_correlation").alias("section"),
-        F.concat(F.lit("Strong correlations found: {"), F.array_join(strong, ", "), F.lit("}")).alias("insight")))
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    cells = matched_cells(usage, weather, traffic)
+    kind = lambda k, name, n: F.struct(F.lit(k).alias("kind"), name.alias("name"), n.alias("n"))
+    long_none = F.lit(None).cast("bigint")
+    rows = cells.withColumn("e", F.explode(F.concat(
+        F.array(kind("cell", F.lit(None).cast("string"), long_none)),
+        F.transform(F.coalesce("kinds_w", F.array()), lambda x: kind("w", x["name"], x["n"])),
+        F.transform(F.coalesce("kinds_t", F.array()), lambda x: kind("t", x["name"], x["n"])))))
+    cell = F.col("e.kind") == "cell"
+    only = rows.select(*by, F.col("e.kind").alias("kind"), F.col("e.name").alias("name"), F.col("e.n").alias("n"),
+                       "session_count", *[F.when(cell, F.col(c)).alias(c) for c in cells.columns
+                                          if c not in (*CELL, "session_count", "total_energy", "kinds_w", "kinds_t")])
+    per_kind = only.groupBy(*by, "kind", "name").agg(
+        *[v.alias(k) for k, v in _all_sums().items()],
+        F.round(F.try_divide(F.sum(F.col("n") * F.col("session_count")).cast("double"),
+                             F.sum("n").cast("double")), 6).alias("mean_sessions"))
+
+    def top(k):
+        entry = F.struct((-F.col("mean_sessions")).alias("o"), F.col("name"), F.col("mean_sessions").alias("m"))
+        return F.slice(F.sort_array(F.collect_list(F.when(F.col("kind") == k, entry))), 1, TOP_N)
+
+    one = group_stats(per_kind, by, top_w=top("w"), top_t=top("t"),
+                      **{k: F.max(F.when(F.col("kind") == "cell", F.col(k))) for k in _all_sums()})
+
+    def listed(col, section, text):
+        items = F.array_join(F.transform(col, lambda x: F.format_string(
+            "'%s': %s", x["name"], x["m"].cast("string"))), ", ")
+        line = F.concat(F.lit(text + "{"), items, F.lit("}"))
+        return item(section, F.when(F.size(col) > 0, line))
+
+    def item(section, text):
+        return F.struct(F.lit(section).alias("section"), text.alias("insight"))
+
+    strong = F.array_compact(F.array(*[F.when(F.abs(_pearson(f"c_{k}")) > STRONG_R, F.format_string(
+        f"'{k}': %s", _pearson(f"c_{k}").cast("string"))) for k in COMBINED]))
+    items = F.array(
+        item("weather_correlation", _sentence("Temperature", _pearson("w_temperature"))),
+        item("weather_correlation", _sentence("Precipitation", _pearson("w_precipitation"))),
+        listed(F.col("top_w"), "weather_correlation", CONDITION_TEXT),
+        item("traffic_correlation", _sentence("Traffic density", _pearson("t_traffic_density"))),
+        listed(F.col("top_t"), "traffic_correlation", CONGESTION_TEXT),
+        item("combined_correlation", F.when(F.size(strong) > 0, F.concat(
+            F.lit(STRONG_TEXT + "{"), F.array_join(strong, ", "), F.lit("}")))))
+    return (one.select(*by, F.explode(items).alias("i")).select(*by, "i.section", "i.insight")
+            .where(F.col("insight").isNotNull()))
 
 
 def correlation_report(weather: DataFrame, traffic: DataFrame, usage: DataFrame, by=()) -> DataFrame:
     """R02 + R04 + R06 and the three point counts in long form
-    (section, metric, value). Each section is aggregated once; its summary
-    row comes out of the same aggregate (one ``explode`` per section), and
-    Spark reuses the hourly-usage exchange across the three sections."""
+    (section, metric, value), from one aggregate over the cells; a group has
+    the sections it has data points for."""
     by = list(by)
-
-    def longform(df, section, metrics, summary):
-        items = [F.struct(F.lit(section).alias("section"), F.lit(m).alias("metric"),
-                          F.col(m).cast("double").alias("value")) for m in metrics]
-        items.append(F.struct(F.lit("summary").alias("section"), F.lit(summary).alias("metric"),
-                              F.col("data_points").cast("double").alias("value")))
-        return df.select(*by, F.explode(F.array(*items)).alias("kv")).select(*by, "kv.section", "kv.metric",
-                                                                             "kv.value")
-    wr = weather_usage_correlation(weather, usage, by)
-    tr = traffic_usage_correlation(traffic, usage, by)
-    cr = combined_correlation(weather, traffic, usage, by)
-    parts = [
-        longform(wr, "weather_correlation", ["temperature_vs_sessions", "precipitation_vs_sessions", "data_points"],
-                 "weather_data_points"),
-        longform(tr, "traffic_correlation", ["traffic_density_vs_sessions", "average_speed_vs_sessions",
-                                             "data_points"], "traffic_data_points"),
-        longform(cr, "combined_correlation", ["temperature", "precipitation", "traffic_density", "average_speed",
-                                              "data_points"], "combined_data_points"),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    one = group_stats(matched_cells(usage, weather, traffic), by, **_all_sums())
+
+    def section(name, prefix, metrics, summary):
+        points = F.coalesce(f"{prefix}__points", F.lit(0)).cast("double")
+        entry = lambda s, m, v: F.struct(F.lit(s).alias("section"), F.lit(m).alias("metric"), v.alias("value"))
+        items = F.array(*[entry(name, out, _pearson(f"{prefix}_{f}")) for f, out in metrics.items()],
+                        entry(name, "data_points", points), entry("summary", summary, points))
+        return items if not by else F.when(points > 0, items).otherwise(F.slice(items, 1, 0))
+
+    items = F.concat(section("weather_correlation", "w", WEATHER_NAMES, "weather_data_points"),
+                     section("traffic_correlation", "t", TRAFFIC_NAMES, "traffic_data_points"),
+                     section("combined_correlation", "c", {f: f for f in COMBINED}, "combined_data_points"))
+    return one.select(*by, F.explode(items).alias("kv")).select(*by, "kv.section", "kv.metric", "kv.value")

@@ -378,33 +378,34 @@ def _impact_sql(j: str, col: str, by: str) -> str:
 WHERE rank <= 3"""
 
 
-def _sent(label: str, c: str, src: str, section: str) -> str:
-    return (f"SELECT '{section}' AS section, printf('{label} shows %s correlation (%.2f) with session count', "
+def _sent(label: str, c: str, src: str, section: str, by: str = "") -> str:
+    return (f"SELECT {by}'{section}' AS section, printf('{label} shows %s correlation (%.2f) with session count', "
             f"CASE WHEN {c} > 0 THEN 'positive' ELSE 'negative' END, {c}) AS insight FROM {src} "
             f"WHERE abs({c}) > 0.3")
 
 
-def _top(src: str, col: str, section: str, prefix: str) -> str:
-    return (f"SELECT '{section}', '{prefix}{{' || string_agg(printf('''%s'': %s', {col}, "
-            f"CAST(mean_sessions AS VARCHAR)), ', ' ORDER BY rank) || '}}' FROM {src} HAVING COUNT(*) > 0")
-
-
-_STRONG = " || ', ' || ".join([])
-R07_BODY = "\nUNION ALL\n".join([
-    _sent("Temperature", "temperature_vs_sessions", "wr", "weather_correlation"),
-    _sent("Precipitation", "precipitation_vs_sessions", "wr", "weather_correlation"),
-    _top("ci", "weather_condition", "weather_correlation", "Weather conditions with highest usage: "),
-    _sent("Traffic density", "traffic_density_vs_sessions", "tr", "traffic_correlation"),
-    _top("gi", "congestion_level", "traffic_correlation", "Congestion levels with highest usage: "),
-    """SELECT 'combined_correlation', 'Strong correlations found: {' || concat_ws(', ',
-         CASE WHEN abs(temperature) > 0.5 THEN '''temperature'': ' || CAST(temperature AS VARCHAR) END,
-         CASE WHEN abs(precipitation) > 0.5 THEN '''precipitation'': ' || CAST(precipitation AS VARCHAR) END,
-         CASE WHEN abs(traffic_density) > 0.5 THEN '''traffic_density'': ' || CAST(traffic_density AS VARCHAR) END,
-         CASE WHEN abs(average_speed) > 0.5 THEN '''average_speed'': ' || CAST(average_speed AS VARCHAR) END)
-       || '}' FROM cr
+def _top(src: str, col: str, section: str, prefix: str, by: str = "") -> str:
+    group = "GROUP BY station_id " if by else ""
+    return (f"SELECT {by}'{section}', '{prefix}{{' || string_agg(printf('''%s'': %s', {col}, "
+            f"CAST(mean_sessions AS VARCHAR)), ', ' ORDER BY rank) || '}}' FROM {src} {group}HAVING COUNT(*) > 0")
+
+
+def _r07(by: str = "") -> str:
+    """``by``: empty, or the selected key and a comma."""
+    strong = ", ".join(f"CASE WHEN abs({c}) > 0.5 THEN '''{c}'': ' || CAST({c} AS VARCHAR) END"
+                       for c in ("temperature", "precipitation", "traffic_density", "average_speed"))
+    return "\nUNION ALL\n".join([
+        _sent("Temperature", "temperature_vs_sessions", "wr", "weather_correlation", by),
+        _sent("Precipitation", "precipitation_vs_sessions", "wr", "weather_correlation", by),
+        _top("ci", "weather_condition", "weather_correlation", "Weather conditions with highest usage: ", by),
+        _sent("Traffic density", "traffic_density_vs_sessions", "tr", "traffic_correlation", by),
+        _top("gi", "congestion_level", "traffic_correlation", "Congestion levels with highest usage: ", by),
+        f"""SELECT {by}'combined_correlation', 'Strong correlations found: {{' || concat_ws(', ', {strong}) || '}}' FROM cr
        WHERE abs(temperature) > 0.5 OR abs(precipitation) > 0.5 OR abs(traffic_density) > 0.5
-          OR abs(average_speed) > 0.5""",
-])
+          OR abs(average_speed) > 0.5"""])
+
+
+R07_BODY = _r07()
 
 
 def _long(src: str, section: str, metrics: list[str]) -> str:
@@ -425,6 +426,9 @@ R08_BODY = "\nUNION ALL\n".join([
 _CORR_CTES = (("hu", HU), ("wr", _r02("")), ("tr", _r04("")), ("cr", _r06("")),
               ("ci", _impact_sql(_WJ, "weather_condition", "")),
               ("gi", _impact_sql(_TJ, "congestion_level", "")))
+_CORR_CTES_BY = (("hu", HU), ("wr", _r02("h.station_id")), ("tr", _r04("h.station_id")), ("cr", _r06("h.station_id")),
+                 ("ci", _impact_sql(_WJ, "weather_condition", "station_id")),
+                 ("gi", _impact_sql(_TJ, "congestion_level", "station_id")))
 
 ORACLE.update({
     "r01_hourly_usage": q("SELECT * FROM hu", ("hu", HU)),
@@ -438,6 +442,7 @@ ORACLE.update({
     "r06_combined_correlation": q(_r06(""), ("hu", HU)),
     "r06_combined_correlation_by_station": q(_r06("h.station_id"), ("hu", HU)),
     "r07_correlation_insights": q(R07_BODY, *_CORR_CTES),
+    "r07_correlation_insights_by_station": q(_r07("station_id, "), *_CORR_CTES_BY),
     "r08_correlation_report": q(R08_BODY, *_CORR_CTES),
 })
 

@@ -108,6 +108,8 @@ QUERIES: dict[str, Query] = {
     "r06_combined_correlation_by_station": _wtu(corr.combined_correlation, "weather", "traffic", "usage",
                                                 by=["station_id"]),
     "r07_correlation_insights": _wtu(corr.correlation_insights, "weather", "traffic", "usage"),
+    "r07_correlation_insights_by_station": _wtu(corr.correlation_insights, "weather", "traffic", "usage",
+                                                by=["station_id"]),
     "r08_correlation_report": _wtu(corr.correlation_report, "weather", "traffic", "usage"),
     "b01_network_overview": _wtu(bi.network_overview, "stations", "usage", "points"),
     "b02_stations_by_state": _wtu(bi.stations_by, "stations", dim="state"),
