@@ -188,7 +188,8 @@ def usage_pattern_summary(usage: DataFrame, by=("station_id",), with_details: bo
         days = F.struct(F.col("date").cast("string").alias("date"), "session_count",
                         F.round("z_score", 6).alias("z_score"))
         g = z.where(cond).groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
-                                           F.sort_array(F.collect_list(days)).alias("days"))
+                                           F.sort_array(F.collect_list(days)).alias("days")) \
+            .where(F.col("n") > 0)          # without groups an aggregate always has a row
         frames.append(g.select(sid, F.lit(name).alias("pattern_type"),
                                F.format_string(text, "n").alias("description"),
                                F.to_json(F.struct(F.col("days").alias(key))).alias("details")))

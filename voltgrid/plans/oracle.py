@@ -945,3 +945,42 @@ ORACLE["r08_correlation_report_by_station"] = q(
     R08S_BODY, ("hu", HU), ("wrs", _r02("h.station_id")), ("trs", _r04("h.station_id")), ("crs", _r06("h.station_id")))
 
 ORACLE["r05_congestion_impact_by_station"] = q(_impact_sql(_TJ, "congestion_level", "station_id"), ("hu", HU))
+
+
+# ============================================== row rules of the sinks, forms for one station
+
+P07N_BODY = f"""
+SELECT CAST(NULL AS VARCHAR) AS station_id, 'peak_hours' AS pattern_type, 'Peak usage occurs during hours: [' ||
+       COALESCE((SELECT string_agg(CAST(hour AS VARCHAR), ', ' ORDER BY hour) FROM ({P01N_BODY})), '') || ']' AS description,
+       0.85 AS confidence
+UNION ALL
+SELECT NULL, 'day_of_week', 'Weekday vs Weekend pattern: ' ||
+       printf('{{''weekday_sessions'': %d, ''weekend_sessions'': %d, ''weekday_energy_kwh'': %s, ''weekend_energy_kwh'': %s, ''pattern'': ''%s''}}',
+              weekday_sessions, weekend_sessions, CAST(weekday_energy_kwh AS VARCHAR),
+              CAST(weekend_energy_kwh AS VARCHAR), pattern), 0.80
+FROM ({P02N_BODY})
+UNION ALL
+SELECT NULL, 'usage_spikes', printf('Detected %d usage spikes', COUNT(*)), 0.75 FROM ({_DAILY_ZN}) WHERE z > 2 HAVING COUNT(*) > 0
+UNION ALL
+SELECT NULL, 'low_usage_periods', printf('Identified %d low usage periods', COUNT(*)), 0.70 FROM ({_DAILY_ZN}) WHERE z < -1.5
+HAVING COUNT(*) > 0
+UNION ALL
+SELECT NULL, 'session_duration', description, 0.75 FROM ({P05N_BODY})"""
+
+ORACLE.update({
+    "k01_upsert_stations": q("""SELECT id, CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN name || '*' ELSE name END AS name, city
+FROM charging_stations"""),
+    "k03_weather_row_rules": q("SELECT id, CAST(trunc(precipitation_mm) AS DOUBLE) AS humidity_percent FROM weather_data"),
+    "k06_anomaly_row_rules": q("SELECT id, COALESCE(is_resolved, FALSE) AS is_resolved FROM anomaly_detection"),
+    "k12_cascade_sessions": q("""SELECT id, station_id FROM usage_data
+WHERE station_id NOT IN (SELECT id FROM charging_stations WHERE CAST(id AS BIGINT) % 7 = 0) OR station_id IS NULL"""),
+    "p03_usage_spikes_network": q(f"""SELECT CAST(date AS TIMESTAMP) AS date, session_count, round(z, 6) AS z_score
+FROM ({_DAILY_ZN}) WHERE z > 2"""),
+    "p07_usage_pattern_summary_network": q(P07N_BODY, ("h", P01N_H)),
+    "p08_sessions_by_day_name": q("SELECT dayname(session_start) AS day, COUNT(*) AS session_count FROM usage_data GROUP BY 1"),
+    "v11_station_statistics_one": q(f"SELECT * FROM ({V11_BODY}) WHERE station_id = '3'"),
+    "s12_union_flow_incidents": q("""SELECT station_id, "timestamp", congestion_level,
+  CASE WHEN congestion_level <> 'severe' THEN CAST(average_speed_kmh AS DOUBLE) END AS average_speed_kmh,
+  CASE WHEN congestion_level = 'severe' THEN 'incident' ELSE 'flow' END AS record_kind
+FROM traffic_data WHERE congestion_level IS NOT NULL"""),
+})

@@ -7,14 +7,17 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltgrid.operators import correlations as corr
 from voltgrid.operators import anomalies, cleaning, derived, features
 from voltgrid.operators import isolation_forest
 from voltgrid.operators import insights as bi
 from voltgrid.operators import patterns, views
+from voltgrid.functions.columns import day_name
 from voltgrid.functions.output import finish
-from voltgrid.sinks.tables import latest_by_key, orphans
+from voltgrid.sinks.tables import (cascade_delete, latest_by_key, orphans, prepare_anomaly_rows,
+                                   prepare_weather_rows, upsert_frame)
 from voltgrid.sources import documents as docs
 from voltgrid.sources import ingest
 from voltgrid.sources.testdata import adapter_tables
@@ -182,4 +185,24 @@ QUERIES: dict[str, Query] = {
     "r08_correlation_report_by_station": _wtu(corr.correlation_report, "weather", "traffic", "usage",
                                               by=["station_id"]),
     "r05_congestion_impact_by_station": _wtu(corr.congestion_impact, "traffic", "usage", by=["station_id"]),
+    # row rules of the sinks and the forms for one station
+    "k01_upsert_stations": _q(lambda t: upsert_frame(t.stations, t.stations.where(F.col("id").cast("bigint") % 3 == 0)
+                                                     .withColumns({"name": F.concat("name", F.lit("*")),
+                                                                   "updated_at": F.lit("2024-01-01").cast("timestamp_ntz")}),
+                                                     ["id"], ["updated_at"]).select("id", "name", "city")),
+    "k03_weather_row_rules": _q(lambda t: prepare_weather_rows(t.weather.withColumn(
+        "humidity_percent", F.col("precipitation_mm").cast("decimal(5,2)"))).select("id", "humidity_percent")),
+    "k06_anomaly_row_rules": _q(lambda t: prepare_anomaly_rows(t.anomalies.withColumn(
+        "is_resolved", F.when(F.col("is_resolved"), True))).select("id", "is_resolved")),
+    "k12_cascade_sessions": _q(lambda t: cascade_delete(t, t.stations.where(F.col("id").cast("bigint") % 7 == 0))
+                               .usage.select("id", "station_id")),
+    "p03_usage_spikes_network": _u(patterns.usage_spikes, by=[]),
+    "p07_usage_pattern_summary_network": _u(patterns.usage_pattern_summary, by=[], with_details=False),
+    "p08_sessions_by_day_name": _q(lambda t: t.usage.groupBy(day_name("session_start").alias("day")).agg(
+        F.count(F.lit(1)).alias("session_count"))),
+    "v11_station_statistics_one": _t(views.station_statistics, station_id="3"),
+    "s12_union_flow_incidents": _q(lambda t: ingest.union_flow_incidents(
+        t.traffic.where("congestion_level <> 'severe'"),
+        t.traffic.where("congestion_level = 'severe'").drop("average_speed_kmh")).select(
+        "station_id", "timestamp", "average_speed_kmh", "congestion_level", "record_kind")),
 }
