@@ -152,24 +152,9 @@ def forest_scores(m: dict, X: np.ndarray) -> np.ndarray:
     return np.power(2.0, -path_lengths(m, X) / float(c_factor([m["psi"]])[0] or 1.0))
 
 
-def _unit_hash(*cols) -> F.Column:
-    """xxhash64 mapped to [0, 1)."""
-    return (F.xxhash64(*cols).cast("double") + 9.223372036854775808e18) / 1.8446744073709551616e19
-
-
 def presample(X: DataFrame, k: int, seed: int = SEED) -> DataFrame:
-    """The k rows with the smallest ``xxhash64(station_id, seed)``, exactly.
-    A threshold on the (uniform) hash keeps ≈ k + 10·√k rows first, so the
-    final top-k merges a small set instead of k rows from every input
-    partition; if the threshold kept fewer than k rows (vanishingly rare) the
-    unfiltered top-k is used."""
-    n = X.count()
-    h = _unit_hash("station_id", F.lit(seed))
-    if n > 2 * k:
-        p = min(1.0, (k + 10 * math.sqrt(k) + 100) / n)
-        cand = X.where(h < p)
-        if cand.count() >= k:
-            X = cand
+    """The k rows with the smallest ``xxhash64(station_id, seed)``: a top-k,
+    so each task sends its k smallest at most and they are merged once."""
     return X.orderBy(F.xxhash64("station_id", F.lit(seed)), "station_id").limit(k)
 
 
@@ -249,6 +234,16 @@ def detect_anomalies(features: DataFrame, as_of: _dt.datetime, contamination: fl
     return anomaly_rows(d.where(F.col("decision") < 0), "decision", as_of)
 
 
+def forest_summary(features: DataFrame, contamination: float = CONTAMINATION,
+                   model: IsolationForestModel | None = None) -> DataFrame:
+    """Stations, stations with a score, and stations flagged, as one row."""
+    model = model or fit(features)
+    d = decision_values(features, model, contamination)
+    n = features.agg(F.count(F.lit(1)).alias("stations"))
+    return attach_one_row(n, d.agg(F.count("score").alias("scored"),
+                                   F.count_if(F.col("decision") < 0).alias("flagged")))
+
+
 def decision_values(features: DataFrame, model: IsolationForestModel,
                     contamination: float = CONTAMINATION) -> DataFrame:
     """station_id, score, decision for every row (for inspection/tests)."""

@@ -984,3 +984,7 @@ FROM ({_DAILY_ZN}) WHERE z > 2"""),
   CASE WHEN congestion_level = 'severe' THEN 'incident' ELSE 'flow' END AS record_kind
 FROM traffic_data WHERE congestion_level IS NOT NULL"""),
 })
+
+# a forest scores every station and flags those strictly below the interpolated quantile of the scores
+ORACLE["a01_forest_summary"] = q("""SELECT COUNT(*) AS stations, COUNT(*) AS scored,
+  CAST(ceil(0.1 * (COUNT(*) - 1)) AS BIGINT) AS flagged FROM charging_stations WHERE id IS NOT NULL""")

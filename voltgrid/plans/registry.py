@@ -166,6 +166,8 @@ QUERIES: dict[str, Query] = {
     # invariants in tests/test_isolation_forest.py
     "a01_isolation_forest_anomalies": _q(lambda t: isolation_forest.detect_anomalies(
         features.usage_features(t.stations, t.usage, t.weather, t.traffic, AS_OF), AS_OF).drop("id", "resolved_at")),
+    "a01_forest_summary": _q(lambda t: isolation_forest.forest_summary(
+        features.usage_features(t.stations, t.usage, t.weather, t.traffic, AS_OF))),
     "s01_parse_station_documents": _q(lambda t: ingest.parse_stations(
         docs.parse_documents(docs.station_documents(t.stations), ingest.STATION_DOC))),
     "s02_explode_point_documents": _q(lambda t: ingest.explode_charging_points(
