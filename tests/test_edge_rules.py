@@ -162,3 +162,40 @@ def test_utilization_needs_usage(spark):
     t2 = _tables(spark, stations=[("1", "a", "S", "C")], points=[("p1", "1", 7.2)],
                  usage=[(1, "2", T0, 1.0, 1, 1.0)])
     assert [(r.station_id, r.sessions) for r in insights.station_utilization(t2.points, t2.usage).collect()] == [("1", 0)]
+
+
+def test_hot_station_hour(spark):
+    """A third of all rows in one station-hour: the views and correlations
+    merge them before any join, and the figures are those of the pairs."""
+    from voltgrid.operators import correlations as corr
+    rng = __import__("random").Random(4)
+    usage, weather, traffic = [], [], []
+    for k in range(600):
+        hot = k % 3 == 0
+        at = T0 + dt.timedelta(hours=0 if hot else rng.randrange(40), minutes=rng.randrange(60))
+        sid = "1" if hot else str(rng.randrange(1, 6))
+        usage.append((k, sid, at, 1.5, 10, 1.0))
+        weather.append((k, sid, at, float(rng.randrange(30)), 0.0, "Rain" if k % 2 else "Clear"))
+        traffic.append((k, sid, at, float(rng.randrange(50)), float(rng.randrange(90)), "severe" if k % 5 else "light"))
+    w = spark.createDataFrame(weather, "id long, station_id string, timestamp timestamp_ntz, temperature_celsius double, "
+                                       "precipitation_mm double, weather_condition string")
+    t = spark.createDataFrame(traffic, "id long, station_id string, timestamp timestamp_ntz, traffic_density double, "
+                                       "average_speed_kmh double, congestion_level string")
+    u = spark.createDataFrame(usage, "id long, station_id string, session_start timestamp_ntz, "
+                                     "energy_consumed_kwh double, duration_minutes int, cost double")
+    hour = lambda x: x.replace(minute=0)
+    count = {}
+    for _, sid, at, *_ in usage:
+        count[sid, hour(at)] = count.get((sid, hour(at)), 0) + 1
+    pairs = [(a[3], b[3], count[a[1], hour(a[2])]) for a in weather for b in traffic
+             if a[1] == b[1] and hour(a[2]) == hour(b[2])]
+    r = corr.combined_correlation(w, t, u).collect()[0]
+    import numpy as np
+    x = np.array(pairs)
+    assert r.data_points == len(pairs) > 20_000
+    assert abs(r.temperature - np.corrcoef(x[:, 0], x[:, 2])[0, 1]) < 1e-5
+    assert abs(r.traffic_density - np.corrcoef(x[:, 1], x[:, 2])[0, 1]) < 1e-5
+    report = {(a.section, a.metric): a.value for a in corr.correlation_report(w, t, u).collect()}
+    assert report["combined_correlation", "temperature"] == r.temperature
+    plan = corr.correlation_report(w, t, u)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 3            # one scan of each table

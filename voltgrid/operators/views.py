@@ -188,27 +188,24 @@ def hourly_usage_sums(usage: DataFrame) -> DataFrame:
 
 def _observation_correlation(obs: DataFrame, t: Tables, measures: list[str], prefix: str,
                              date_name: str) -> DataFrame:
-    """Shared body of V03/V04: each observation row left-joined to the
-    same-hour usage of its station, then merged over *identical*
-    observations (the view groups by the observation's columns, not its id)."""
+    """Shared body of V03/V04: equal observations are merged into one row
+    with their number first (the view groups by the observation's columns, not
+    its id; the count combines map-side), then each is left-joined to the
+    same-hour usage of its station, whose sums count once per observation."""
     hourly = hourly_usage_sums(t.usage)
     s = _stations(t, "id", "name")
-    o = obs.select("station_id", "timestamp", *measures, hour_floor("timestamp").alias("hour"))
+    o = obs.groupBy("station_id", "timestamp", *measures).agg(F.count(F.lit(1)).alias("_times")) \
+        .withColumn("hour", hour_floor("timestamp"))
     j = o.join(s, "station_id").join(hourly, ["station_id", "hour"], "left")
-    # ``hour`` is a function of ``timestamp``, so adding it to the keys leaves
-    # the groups unchanged — but lets the aggregate reuse the join's
-    # (station_id, hour) hash partitioning instead of shuffling again
-    g = j.groupBy("station_id", "hour", "station_name", "timestamp", *measures).agg(
-        F.coalesce(F.sum("u_n"), F.lit(0)).alias(f"sessions_during_{prefix}"),
-        F.sum("u_energy").cast("double").alias(f"energy_during_{prefix}"),
-        F.round(F.try_divide(F.sum("u_minutes").cast("double"), F.sum("u_minutes_n").cast("double")), 6)
-        .alias(f"avg_duration_during_{prefix}"))
-    return finish(g.select(
+    return finish(j.select(
         "station_id", "station_name", "timestamp",
         F.to_date("timestamp").alias(date_name),
         F.hour("timestamp").cast("bigint").alias("hour_of_day"),
         *measures,
-        f"sessions_during_{prefix}", f"energy_during_{prefix}", f"avg_duration_during_{prefix}"))
+        F.coalesce(F.col("u_n") * F.col("_times"), F.lit(0)).alias(f"sessions_during_{prefix}"),
+        (F.col("u_energy") * F.col("_times")).cast("double").alias(f"energy_during_{prefix}"),
+        F.round(F.try_divide(F.col("u_minutes").cast("double"), F.col("u_minutes_n").cast("double")), 6)
+        .alias(f"avg_duration_during_{prefix}")))
 
 
 WEATHER_MEASURES = ["temperature_celsius", "humidity_percent", "pressure_hpa", "wind_speed_ms",
