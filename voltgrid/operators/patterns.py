@@ -18,8 +18,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltgrid.functions.columns import dsum, season_of_month
+from voltgrid.functions.columns import dsum, mean, season_of_month
 from voltgrid.functions.groupstats import attach_one_row, group_stats, with_group_stats
+from voltgrid.functions.quantiles import exact_quantile
 
 # Fixed values of the pattern rules.
 PEAK_FACTOR = 1.5          # hour is a peak when its count >= 1.5 x mean hourly count
@@ -95,27 +96,24 @@ def low_usage_periods(usage: DataFrame, by=()) -> DataFrame:
 def session_duration_stats(usage: DataFrame, by=()) -> DataFrame:
     """Mean, median, min, max and sample std of the non-null durations."""
     by = list(by)
-    # whole minutes: one row per group and value, counted map-side; the median
-    # is read from the running count, so no task gathers a group's values
-    v, n, group = F.col("duration_minutes").cast("double"), F.col("n"), Window.partitionBy(*by)
-    counts = _keys_present(usage, by).groupBy(*by, v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    upto = group.orderBy(F.col("v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = F.sum(F.when(F.col("v").isNotNull(), n))
-    ranked = counts.select(
-        "*", F.sum("n").over(upto).alias("upto"), known.over(group).alias("total"),
-        F.try_divide(F.sum(F.col("v") * n).over(group), known.over(group).cast("double")).alias("m"))
-    half = F.col("total") / F.lit(2.0)
-    lower = F.min(F.when(F.col("upto") >= half, F.col("v")))
-    upper = F.min(F.when(F.col("upto") > half, F.col("v")))
-    deviation = n * (F.col("v") - F.col("m")) * (F.col("v") - F.col("m"))
-    g = group_stats(ranked, by,
-                    n_durations=F.coalesce(known, F.lit(0)),
-                    avg_duration_minutes=F.round(F.try_divide(F.sum(F.col("v") * n), known.cast("double")), 6),
-                    median_duration_minutes=F.round((lower + upper) / 2, 6),
-                    min_duration_minutes=F.min("v"),
-                    max_duration_minutes=F.max("v"),
-                    std_duration_minutes=F.round(F.sqrt(F.try_divide(
-                        F.sum(deviation), F.nullif(known - 1, F.lit(0)).cast("double"))), 6))
+    u = _keys_present(usage, by)
+    d = F.col("duration_minutes").cast("double")
+    plain = dict(n_durations=F.count(d), avg_duration_minutes=mean(d), min_duration_minutes=F.min(d),
+                 max_duration_minutes=F.max(d), std_duration_minutes=F.round(F.stddev_samp(d), 6))
+    if by:
+        # whole minutes: a group's distinct values are counted map-side, and its
+        # median is read from their running count; no task gathers all values
+        counts = u.where(d.isNotNull()).groupBy(*by, d.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        group = Window.partitionBy(*by)
+        upto = group.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.select(*by, "v", F.sum("n").over(upto).alias("upto"), (F.sum("n").over(group) / 2).alias("half"))
+        median = ranked.groupBy(*by).agg(((F.min(F.when(F.col("upto") >= F.col("half"), F.col("v")))
+                                           + F.min(F.when(F.col("upto") > F.col("half"), F.col("v")))) / 2).alias("median"))
+        g = group_stats(u, by, **plain).join(median, by, "left")
+    else:
+        g = attach_one_row(group_stats(u, by, **plain), exact_quantile(u, "duration_minutes", 0.5, name="median"))
+    g = g.select(*by, "n_durations", "avg_duration_minutes", F.round("median", 6).alias("median_duration_minutes"),
+                 "min_duration_minutes", "max_duration_minutes", "std_duration_minutes")
     desc = F.when(F.col("n_durations") > 0,
                   F.format_string("Average session duration: %.1f minutes",
                                   F.round(F.col("avg_duration_minutes"), 1))
