@@ -296,9 +296,11 @@ def test_near_duplicates_match_brute_force(spark):
 
 
 def test_every_step_finds_links(spark, monkeypatch):
-    """Small blocks and one tree less deep: the complete step alone suffices."""
+    """Small blocks, crowded regions, no neighbours: the complete step
+    suffices."""
     rows = near_rows(5)
     monkeypatch.setattr(minhash, "BLOCK", 7)
+    monkeypatch.setattr(minhash, "CROWD", 6)
     monkeypatch.setattr(minhash, "_neighbours", lambda m: m.sparkSession.createDataFrame([], "a long, b long"))
     df = table(spark, [(d, t, "s") for d, t in rows])
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df).collect()}

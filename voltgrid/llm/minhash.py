@@ -3,23 +3,27 @@
 A document's set is its distinct five-word shingles (A-Z lower-cased). Equal
 sets are one node, so exact copies, however many, cost a grouped minimum. Each
 node has TREES signature orders; the first DEPTH values of an order are its
-region. Candidates are, in turn,
+region. The depth adapts: a region of more than CROWD nodes is given up, and
+its nodes get regions of twice the depth instead, from 3 * TREES orders that
+join two trees each. Candidates are, in turn,
 
 1. in every region, each node with the region's first node;
 2. in regions that still hold several components, the neighbours in the sorted
-   order of the tree: those with the longest common prefix, however deep it
-   is, so that crowded regions are compared at a greater depth;
-3. in regions that then still hold several components, every pair of nodes of
-   different components whose signatures agree as far as a true link's would.
+   order of the tree: those with the longest common prefix;
+3. the nodes of regions that then still hold several components, gathered by
+   the regions they share: every pair of different components whose signatures
+   agree as far as a true link's would.
 
 Candidates are confirmed on the full sets; links never come from signatures.
-Step 3 makes the search complete for its regions: what steps 1 and 2 leave out
-are pairs whose ends are connected already. A pair at the threshold of 0.85 is
-in no common region with a probability below 1e-7 (0.8: below 4e-6).
+Step 3 makes the search complete: what steps 1 and 2 leave out are pairs whose
+ends are connected already. A pair at the threshold of 0.85 is in no common
+region of the first depth with a probability below 1e-7 (0.8: below 4e-6), of
+the second depth below 1e-6 (0.8: below 1e-4).
 
-A region of step 3 is compared in blocks of BLOCK nodes, so no task holds more
-than two blocks; only plausible pairs leave a task. Links, components and sets
-stay distributed.
+Step 3 compares blocks of BLOCK nodes with each other. A task holds two blocks
+with their sets, confirms its pairs itself and gives out links that connect
+components, at most one for each of its nodes. Links, components and sets stay
+distributed.
 
 Defined cases: texts without words (or NULL) have no shingles and no links;
 component_id is the smallest non-NULL doc_id of the component, kept is true
@@ -46,7 +50,8 @@ from voltgrid.llm.shingles import distinct_by_text, shingle_hashes, word_hashes
 TREES, DEPTH = 24, 4
 HASHES = TREES * DEPTH
 PERCENT = 85
-BLOCK = 4096
+CROWD = 256
+BLOCK = 512
 TEXT_BATCH = 2 << 20
 
 _seed = mix64(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -158,35 +163,53 @@ def _neighbours(members: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Every pair of nodes of one region and different components whose
-    signatures agree far enough, compared block by block."""
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return int((y[at] == x).sum())
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among nodes that regions connect,
+    compared and confirmed block by block."""
     least = least_agreement(percent)
-    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    side = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+    shared = members.select(F.col("first").alias("a"), F.col("node").alias("b"))
+    gathered = materialize(components(shared.distinct()).withColumnRenamed("component", "cluster"), "clusters")
+    blocks = gathered.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
     own = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
-    dealt = (members.join(blocks, "key").select("key", "node", "component", "sig", own.alias("own"), side)
-             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     "own", "node", "component", "sig"))
+    dealt = (gathered.join(blocks, "cluster")
+             .join(members.select("node", "component", "sig").distinct(), "node").join(sets, "node")
+             .select("cluster", "node", "component", "sig", "items", own.alias("own"),
+                     F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+             .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     "own", "node", "component", "sig", "items"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, comp = pdf["node"].to_numpy(), pdf["component"].to_numpy()
-        own = pdf["own"].to_numpy()
+        node, own = pdf["node"].to_numpy(), pdf["own"].to_numpy()
+        names, comp = np.unique(pdf["component"].to_numpy(), return_inverse=True)
+        items = [np.frombuffer(x, np.uint64) for x in pdf["items"]]
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), HASHES)
-        names, counts = np.unique(comp, return_counts=True)
-        most = names[counts.argmax()]
+        within = pdf["i"].iat[0] == pdf["j"].iat[0]
+        group = np.arange(len(names))           # components that links of this task have joined
         out = []
-        for k in np.flatnonzero(comp != most):      # pairs within the largest component are connected
-            other = (comp != comp[k]) & ((comp == most) | (node > node[k]))
-            if pdf["i"].iat[0] != pdf["j"].iat[0]:
-                other &= own != own[k]
+        for k in range(1, len(node)):
+            other = group[comp[:k]] != group[comp[k]]
+            if not within:
+                other &= own[:k] != own[k]
             at = np.flatnonzero(other)
             at = at[(sig[at] == sig[k]).sum(axis=1) >= least]
-            out.append(np.stack([np.minimum(node[at], node[k]), np.maximum(node[at], node[k])], axis=1))
-        got = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": got[:, 0], "b": got[:, 1]})
+            for m in at.tolist():
+                if group[comp[m]] == group[comp[k]]:
+                    continue
+                both = _common(items[m], items[k])
+                if 100 * both >= percent * (len(items[m]) + len(items[k]) - both):
+                    out.append((min(node[m], node[k]), max(node[m], node[k])))
+                    group[group == group[comp[k]]] = group[comp[m]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return dealt.groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def _open_regions(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -208,9 +231,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         full.groupBy("digest").agg(F.min(row).alias("from"),
                                    F.first("keys").alias("keys"), F.first("sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    regions = lambda places: places.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
     places = nodes.select("node", F.explode("keys").alias("key"))
-    regions = places.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
-    members = materialize(places.join(regions, "key").select("key", "node", "first"), "members")
+    shared = materialize(places.join(regions(places), "key").select("key", "node", "first", "n"), "members")
+    crowded = shared.where(F.col("n") > CROWD).select("node").distinct()
+    deeper = nodes.join(crowded, "node", "left_semi").select("node", F.explode(F.array(*[
+        F.xxhash64(F.lit(t * TREES + d), F.col("keys")[t], F.col("keys")[(t + d) % TREES])
+        for d in (1, 2, 3) for t in range(TREES)])).alias("key"))
+    members = materialize(
+        shared.where(F.col("n") <= CROWD).unionByName(deeper.join(regions(deeper), "key"))
+        .select("key", "node", "first"), "members")
     wanted = (nodes.join(members.select("node").distinct(), "node", "left_semi")
               .select("node", F.col("from.doc_id").alias("from_id"), F.col("from.text_key").alias("text_key")))
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
@@ -229,11 +260,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     links = materialize(_confirm(pairs, nodes, sets, percent), "links")
     found = materialize(components(links), "components")
     sigs = nodes.select("node", "sig")
-    for candidates in (_neighbours, lambda m: _across(m, percent)):
+    for step in (lambda m: _confirm(_neighbours(m), nodes, sets, percent), lambda m: _across(m, sets, percent)):
         left = materialize(_open_regions(members, found).join(sigs, "node"), "open-regions")
         if left.isEmpty():
             break
-        links = links.unionByName(materialize(_confirm(candidates(left), nodes, sets, percent), "links"))
+        links = links.unionByName(materialize(step(left), "links"))
         found = materialize(components(links), "components")
 
     named = nodes.select("node", "digest", "from").join(found, "node", "left").withColumn(
