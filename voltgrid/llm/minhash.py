@@ -4,8 +4,8 @@ A document's set is its distinct five-word shingles (A-Z lower-cased). Equal
 sets are one node, so exact copies, however many, cost a grouped minimum. Each
 node has TREES signature orders; the first DEPTH values of an order are its
 region. The depth adapts: a region of more than CROWD nodes is given up, and
-its nodes get regions of twice the depth instead, from 3 * TREES orders that
-join two trees each. Candidates are, in turn,
+its nodes get regions of twice the depth instead, from the three orders that
+join its tree with another. Candidates are, in turn,
 
 1. in every region, each node with the region's first node;
 2. in regions that still hold several components, the neighbours in the sorted
@@ -233,14 +233,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     regions = lambda places: places.groupBy("key").agg(
         F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
-    places = nodes.select("node", F.explode("keys").alias("key"))
-    shared = materialize(places.join(regions(places), "key").select("key", "node", "first", "n"), "members")
-    crowded = shared.where(F.col("n") > CROWD).select("node").distinct()
-    deeper = nodes.join(crowded, "node", "left_semi").select("node", F.explode(F.array(*[
-        F.xxhash64(F.lit(t * TREES + d), F.col("keys")[t], F.col("keys")[(t + d) % TREES])
-        for d in (1, 2, 3) for t in range(TREES)])).alias("key"))
+    places = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
+    shared = materialize(places.join(regions(places), "key").select("key", "node", "tree", "first", "n"), "members")
+    # of a crowded region's tree, with each of the next three
+    deeper = (shared.where(F.col("n") > CROWD).select("node", "tree").join(nodes.select("node", "keys"), "node")
+              .select("node", F.explode(F.array(*[
+                  F.xxhash64("tree", F.lit(d), F.get("keys", F.col("tree")), F.get("keys", (F.col("tree") + d) % TREES))
+                  for d in (1, 2, 3)])).alias("key")))
     members = materialize(
-        shared.where(F.col("n") <= CROWD).unionByName(deeper.join(regions(deeper), "key"))
+        shared.where(F.col("n") <= CROWD).drop("tree").unionByName(deeper.join(regions(deeper), "key"))
         .select("key", "node", "first"), "members")
     wanted = (nodes.join(members.select("node").distinct(), "node", "left_semi")
               .select("node", F.col("from.doc_id").alias("from_id"), F.col("from.text_key").alias("text_key")))
