@@ -4,8 +4,8 @@ document with one shared zstandard dictionary.
 ``write_tokens`` range-partitions the documents by doc_id, encodes each whole
 text, appends the end id and writes Parquet rows that are blocks of compressed
 documents: payload (the documents' zstandard frames, one after the other), an
-offset index (doc_ids, offsets, lengths, counts), the shard and block numbers
-and the dictionary's hash. Any document is read by decompressing its frame
+offset index (doc_ids, offsets, lengths, counts), the shard and block numbers, the
+ids of the shard before the block and the dictionary's hash. Any document is read by decompressing its frame
 alone. Beside the blocks lies the dictionary, one row. Spark's writer commits
 the files, so a retried task leaves no half file.
 
@@ -28,7 +28,9 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,16 +40,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltgrid.llm.common import chunks_by_size, scratch_path
+from voltgrid.llm.common import chunks_by_size, materialize, scratch_path, unit_interval
 
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 SAMPLE_DOCS = 1000
 SAMPLE_IDS = 2048
+SEED = 7
 DICT_BYTES = 64 * 1024
 LEVEL = 3
 BLOCK_BYTES = 4 << 20
-TEXT_BATCH = 8 << 20        # characters encoded together
+TEXT_BATCH = 4 << 20        # characters encoded together
 CACHE_PIECES = 1_000_000    # pieces a worker remembers before it starts anew
 
 # White space next to a blank, or any that isn't a blank or a line feed: the
@@ -57,7 +60,7 @@ OTHER_SPACE = "".join(map(chr, (
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
 UNSAFE = re.compile(f"[{OTHER_SPACE}]|  | \n|\n | $")
 
-BLOCKS = ("shard int, block int, dict_hash string, doc_ids array<bigint>, offsets array<bigint>, "
+BLOCKS = ("shard int, block int, first long, dict_hash string, doc_ids array<bigint>, offsets array<bigint>, "
           "lengths array<bigint>, counts array<bigint>, payload binary")
 
 
@@ -72,9 +75,11 @@ class Encoder:
     _open: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
+        # a task has one core; threads of its own would only cost
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.seen: dict[str, np.ndarray] = {}
+        self.seen: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -82,12 +87,12 @@ class Encoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+    def _plain(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(e.ids, np.uint32) for e in got]
+        return [array("I", e.ids).tobytes() for e in got]
 
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of distinct pieces. A mark after a letter starts a pre-token,
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, four bytes each. A mark after a letter starts a pre-token,
         so it is split off before the lookup."""
         if len(self.seen) > CACHE_PIECES:
             self.seen.clear()
@@ -96,14 +101,13 @@ class Encoder:
         wanted = [p for p in dict.fromkeys([*heads, *{p[-1] for p in pieces}]) if p not in seen]
         for p, ids in zip(wanted, self._plain(wanted), strict=True):
             seen[p] = ids
-        return [seen[h] if len(h) == len(p) else np.concatenate([seen[h], seen[p[-1]]])
-                for h, p in zip(heads, pieces, strict=True)]
+        return [seen[h] if h is p else seen[h] + seen[p[-1]] for h, p in zip(heads, pieces, strict=True)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         whole = [k for k, t in enumerate(texts) if not t or t[0] == " " or UNSAFE.search(t)]
         for k, ids in zip(whole, self._plain([texts[k] for k in whole]), strict=True):
-            out[k] = ids
+            out[k] = np.frombuffer(ids, np.uint32)
         rest = [k for k in range(len(texts)) if out[k] is None]
         if not rest:
             return out
@@ -116,9 +120,9 @@ class Encoder:
         codes = pc.dictionary_encode(parts.flatten())
         ids_of = self._pieces(codes.dictionary.to_pylist())
         index = codes.indices.to_numpy()
-        size = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
+        size = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
         base = np.concatenate([[0], np.cumsum(size)])
-        flat = np.concatenate(ids_of)
+        flat = np.frombuffer(b"".join(ids_of), np.uint32)
         n = size[index]
         ends = np.cumsum(n)
         take = np.arange(ends[-1]) + np.repeat(base[index] - (ends - n), n)
@@ -139,8 +143,10 @@ def train_dictionary(docs: DataFrame, path: str, doc_id: str, text: str, sample_
     """Trained where the sample meets: one task with ``sample_docs`` pieces of
     ``sample_ids`` ids at most; a row of ``DICT_BYTES`` comes back."""
     key = F.md5(F.concat_ws(":", F.col(doc_id).cast("string"), F.length(text).cast("string")))
-    sample = (docs.where(F.length(text) > 0).select(key.alias("key"), F.col(text).alias("text"))
-              .orderBy("key", F.md5("text")).limit(sample_docs))
+    # a rate of four times the sample first, so that few texts meet for the last choice
+    rate = 4 * sample_docs / max(1, docs.count())
+    few = docs.where((F.length(text) > 0) & (unit_interval(key, SEED) < rate))
+    sample = few.select(key.alias("key"), F.col(text).alias("text")).orderBy("key", F.md5("text")).limit(sample_docs)
 
     def head(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = Encoder.at(path)
@@ -187,14 +193,14 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
         import zstandard
         zd = _dictionary(data)
         zc = zstandard.ZstdCompressor(level=level, dict_data=zd) if zd else zstandard.ZstdCompressor(level=level)
-        enc, end, block = Encoder.at(tokenizer), np.array([end_id], np.uint32), 0
+        enc, end = Encoder.at(tokenizer), np.array([end_id], np.uint32)
         held: list[tuple] = []
-        size = 0
+        size = block = first = 0
 
         def flush(shard):
             lengths = [len(f) for _, f, _ in held]
             return pd.DataFrame({
-                "shard": [shard], "block": [block], "dict_hash": [tag],
+                "shard": [shard], "block": [block], "first": [first], "dict_hash": [tag],
                 "doc_ids": [[None if pd.isna(d) else int(d) for d, _, _ in held]],
                 "offsets": [[0, *np.cumsum(lengths[:-1]).tolist()]], "lengths": [lengths],
                 "counts": [[n for _, _, n in held]], "payload": [b"".join(f for _, f, _ in held)]})
@@ -208,6 +214,7 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
                 size += len(held[-1][1])
                 if size >= BLOCK_BYTES:
                     yield flush(shard)
+                    first += sum(n for _, _, n in held)
                     held, size, block = [], 0, block + 1
         if held:
             yield flush(shard)
@@ -219,8 +226,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids binary (little-endian unsigned 32-bit),
     one row per stored document.
 
-    Where a block starts is a running sum over one small row per block and
-    shard, read from the index columns alone."""
+    Where a shard starts is a running sum over one small row per shard, read
+    from the index columns alone and written, so that its size is known."""
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     held = spark.read.parquet(f"{path}/dictionary").select("dictionary", "dict_hash").first()
     data, tag = bytes(held[0]), held[1]
@@ -229,12 +236,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
     per = blocks.groupBy("shard").agg(F.sum(total).alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    base = per.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    # blocks of one shard: at most a few thousand, index columns only
-    inner = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (blocks.select("shard", "block", total.alias("n"))
-              .select("shard", "block", F.coalesce(F.sum("n").over(inner), F.lit(0)).alias("within"))
-              .join(base, "shard").select("shard", "block", (F.col("base") + F.col("within")).alias("start")))
+    starts = materialize(per.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "starts")
 
     def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
@@ -247,10 +249,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 counts = np.asarray(b.counts, np.int64)
                 yield pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(d) else int(d) for d in b.doc_ids], "Int64"),
-                    "start": b.start + np.cumsum(counts) - counts, "n_tokens": counts,
+                    "start": b.base + b.first + np.cumsum(counts) - counts, "n_tokens": counts,
                     "ids": [zr.decompress(b.payload[o:o + n]) for o, n in zip(b.offsets, b.lengths, strict=True)]})
 
-    return blocks.join(starts, ["shard", "block"]).mapInPandas(
+    return blocks.join(starts, "shard").mapInPandas(
         decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
