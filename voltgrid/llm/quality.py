@@ -147,4 +147,7 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     cols = docs.columns
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__llm_row"),
                       F.col(text).alias("__llm_text"))
-    return judge(row, "__llm_text").where("kept").select(*[F.col("__llm_row").getField(c).alias(c) for c in cols])
+    # a filter would be pushed below the projection, with each measure spelled out again for every rule
+    # that reads it; a row repeated once or not at all is not
+    kept = F.explode(F.array_repeat("__llm_row", F.col("kept").cast("int"))).alias("row")
+    return judge(row, "__llm_text").select(kept).select(*[F.col("row").getField(c).alias(c) for c in cols])
