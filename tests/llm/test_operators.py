@@ -307,6 +307,45 @@ def test_every_step_finds_links(spark, monkeypatch):
     assert got == dict(zip((d for d, _ in rows), brute.near_duplicates(rows)[0], strict=True))
 
 
+@pytest.mark.parametrize("percent, inner, edge", [(80, 8, 3), (85, 6, 1)])
+def test_hub_of_crowded_regions(spark, percent, inner, edge):
+    """A base text with 1,500 variants at the threshold, which are linked by
+    the base only: each in regions of several hundred nodes."""
+    rng = random.Random(percent)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base, rows = [word() for _ in range(400)], []
+    for k in range(1500):
+        w = list(base)
+        for at in [edge, *(x + 2 for x in rng.sample(range(10, 390, 5), inner))]:
+            w[at] = word()
+        rows.append((k + 1, " ".join(w)))
+    rows.append((0, " ".join(base)))
+    hub = brute.shingles(rows[-1][1])
+    for _, t in rows:
+        s = brute.shingles(t)
+        assert percent <= 100 * len(hub & s) / len(hub | s) < percent + 0.1 or s == hub
+    got = minhash.near_duplicates(table(spark, [(d, t, "s") for d, t in rows]), percent=percent).collect()
+    assert [r["doc_id"] for r in got if r["component_id"] != 0] == []
+
+
+def test_pairs_of_crowded_regions_only(spark, monkeypatch):
+    """Pairs that agree in trees far apart, every region crowded."""
+    monkeypatch.setattr(minhash, "CROWD", 1)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    while len(rows) < 4:
+        a = [word() for _ in range(58)]
+        b = [*a[:25], word(), *a[26:55], word(), *a[56:]]
+        keys = minhash.region_keys(minhash.signatures(minhash.text_sets([" ".join(a), " ".join(b)])))
+        same = np.flatnonzero(keys[0] == keys[1])
+        if len(same) and (np.diff([*same, same[0] + minhash.TREES]) > 3).all():
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    got = {r["doc_id"]: r["component_id"] for r in
+           minhash.near_duplicates(table(spark, [(d, t, "s") for d, t in rows]), percent=70).collect()}
+    assert got == {d: d // 2 * 2 for d, _ in rows}
+
+
 def test_keep_one_awkward(spark, awkward, empty):
     assert minhash.near_duplicates(empty).collect() == []
     out = minhash.keep_one(awkward)

@@ -3,11 +3,11 @@
 A document's set is its distinct five-word shingles (A-Z lower-cased). Equal
 sets are one node, so exact copies, however many, cost a grouped minimum. Each
 node has TREES signature orders; the first DEPTH values of an order are its
-region. The depth adapts: a region of more than CROWD nodes is given up, and
-its nodes get regions of twice the depth instead, from the three orders that
-join its tree with another. Candidates are, in turn,
+region. Every region takes part in all steps, however many nodes it has.
+Candidates are, in turn,
 
-1. in every region, each node with the region's first node;
+1. in every region, each node with the region's first node; in a region of more
+   than CROWD nodes also with the first of those that agree in the next tree;
 2. in regions that still hold several components, the neighbours in the sorted
    order of the tree: those with the longest common prefix;
 3. the nodes of regions that then still hold several components, gathered by
@@ -17,13 +17,13 @@ join its tree with another. Candidates are, in turn,
 Candidates are confirmed on the full sets; links never come from signatures.
 Step 3 makes the search complete: what steps 1 and 2 leave out are pairs whose
 ends are connected already. A pair at the threshold of 0.85 is in no common
-region of the first depth with a probability below 1e-7 (0.8: below 4e-6), of
-the second depth below 1e-6 (0.8: below 1e-4).
+region with a probability below 1e-7 (0.8: below 4e-6), whatever the sizes of
+its regions.
 
-Step 3 compares blocks of BLOCK nodes with each other. A task holds two blocks
-with their sets, confirms its pairs itself and gives out links that connect
-components, at most one for each of its nodes. Links, components and sets stay
-distributed.
+Step 3 compares blocks of BLOCK nodes with each other, but for those of the
+largest component with themselves. A task holds two blocks with their sets,
+confirms its pairs itself and gives out links that connect components, at most
+one for each of its nodes. Links, components and sets stay distributed.
 
 Defined cases: texts without words (or NULL) have no shingles and no links;
 component_id is the smallest non-NULL doc_id of the component, kept is true
@@ -177,12 +177,20 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     least = least_agreement(percent)
     shared = members.select(F.col("first").alias("a"), F.col("node").alias("b"))
     gathered = materialize(components(shared.distinct()).withColumnRenamed("component", "cluster"), "clusters")
-    blocks = gathered.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    own = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
-    dealt = (gathered.join(blocks, "cluster")
-             .join(members.select("node", "component", "sig").distinct(), "node").join(sets, "node")
-             .select("cluster", "node", "component", "sig", "items", own.alias("own"),
-                     F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+    named = gathered.join(members.select("node", "component", "sig").distinct(), "node")
+    # blocks of a cluster: first those of its largest component, then the others
+    size = named.groupBy("cluster", "component").agg(F.count("*").alias("size"))
+    blocks = (size.groupBy("cluster").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"))
+              .where(F.col("all") > F.col("top.size"))
+              .select("cluster", F.col("top.component").alias("most"),
+                      F.ceil(F.col("top.size") / BLOCK).cast("int").alias("m"),
+                      F.ceil((F.col("all") - F.col("top.size")) / BLOCK).cast("int").alias("n")))
+    top = F.col("component") == F.col("most")
+    own = F.when(top, F.pmod(F.xxhash64("node"), "m")).otherwise(F.col("m") + F.pmod(F.xxhash64("node"), "n"))
+    dealt = (named.join(blocks, "cluster").join(sets, "node")
+             .select("cluster", "node", "component", "sig", "items", own.cast("int").alias("own"),
+                     F.explode(F.sequence(F.when(top, F.col("m")).otherwise(0), F.col("m") + F.col("n") - 1))
+                     .alias("other"))
              .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                      "own", "node", "component", "sig", "items"))
 
@@ -231,18 +239,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         full.groupBy("digest").agg(F.min(row).alias("from"),
                                    F.first("keys").alias("keys"), F.first("sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    regions = lambda places: places.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
     places = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
-    shared = materialize(places.join(regions(places), "key").select("key", "node", "tree", "first", "n"), "members")
-    # of a crowded region's tree, with each of the next three
-    deeper = (shared.where(F.col("n") > CROWD).select("node", "tree").join(nodes.select("node", "keys"), "node")
-              .select("node", F.explode(F.array(*[
-                  F.xxhash64("tree", F.lit(d), F.get("keys", F.col("tree")), F.get("keys", (F.col("tree") + d) % TREES))
-                  for d in (1, 2, 3)])).alias("key")))
-    members = materialize(
-        shared.where(F.col("n") <= CROWD).drop("tree").unionByName(deeper.join(regions(deeper), "key"))
-        .select("key", "node", "first"), "members")
+    regions = places.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
+    members = materialize(places.join(regions, "key").select("key", "node", "tree", "first", "n"), "members")
+    # the nodes of a crowded region that agree in the next tree, too
+    closer = (members.where(F.col("n") > CROWD).select("node", "tree").join(nodes.select("node", "keys"), "node")
+              .select("node", F.xxhash64("tree", F.get("keys", F.col("tree")),
+                                         F.get("keys", (F.col("tree") + 1) % TREES)).alias("key")))
+    closer = closer.join(closer.groupBy("key").agg(F.min("node").alias("first")), "key")
     wanted = (nodes.join(members.select("node").distinct(), "node", "left_semi")
               .select("node", F.col("from.doc_id").alias("from_id"), F.col("from.text_key").alias("text_key")))
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
@@ -257,7 +261,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     sets = materialize(texts.dropDuplicates(["node"]).select("node", "text")
                        .mapInPandas(items, "node long, items binary"), "sets")
 
-    pairs = members.where("first < node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = (members.select("first", "node").unionByName(closer.select("first", "node")).where("first < node")
+             .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
     links = materialize(_confirm(pairs, nodes, sets, percent), "links")
     found = materialize(components(links), "components")
     sigs = nodes.select("node", "sig")
