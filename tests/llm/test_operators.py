@@ -429,6 +429,37 @@ def test_leaks_recall_against_substrings(spark):
         assert row[-1] >= decontam.PART * len(words)
 
 
+@pytest.mark.parametrize("n", [16, 20, 27, 31, 33, 40, 59])
+def test_words_decide_at_any_cosine(n):
+    """A projection that knows no word: every document that confirm() calls a
+    leak over some window is found, verbatim and with 65 % of the words."""
+    rng = random.Random(n)
+    word = lambda: "".join(rng.choice("bcdfgaeiou") for _ in range(5))
+    words = [word() for _ in range(n)]
+    answer = max(decontam.ANSWER_WORDS, n // 4)
+    item, = decontam.read_items([{"item_id": 1, "text": " ".join(words[:-answer]) + ". " + " ".join(words[-answer:])}])
+    windows, own = decontam.query_windows([item])
+    index = decontam.Index([item], np.zeros((decontam.DIM, 2), np.float32), np.zeros((len(windows), 2), np.float32),
+                           own, np.array(list(map(len, windows))))
+    texts = []
+    for at in range(16):
+        gone = set(rng.sample(range(n - answer), int(0.35 * n)))
+        for held in (words, [word() if k in gone else w for k, w in enumerate(words)],
+                     [w for k, w in enumerate(words) if k not in gone]):
+            texts.append(" ".join([word() for _ in range(48 + at)] + held + [word() for _ in range(64)]))
+    texts.append(" ".join(word() for _ in range(200)))
+    every, bounds = decontam.terms(texts)
+    true = set()
+    for d in range(len(texts)):
+        for a in range(bounds[d], bounds[d + 1], decontam.STRIDE):
+            near = every[max(bounds[d], a - n):min(bounds[d + 1], a + decontam.WINDOW + n)].tolist()
+            if index.confirm(item, near)[2]:
+                true.add(d)
+    got = {d for d, *_ in index.search(texts)}
+    assert len(true) == len(texts) - 1
+    assert {d for d in true if d % 3 == 0} <= got and len(got & true) >= 0.9 * len(true) and got <= true
+
+
 def test_paraphrase_and_awkward(spark, awkward, empty):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("bcdfgaeiou") for _ in range(5))
