@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltgrid.llm import chat, decontam, langid, minhash, mixing, pii, quality, sharding, suffixes, tokens
+from voltgrid.llm import (chat, decontam, langid, minhash, mixing, pii, pivots, prefix_trie, quality, sharding, suffixes,
+                          token_counts, tokens)
 from voltgrid.llm.common import documents
 
 
@@ -94,6 +95,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("broken_rules", ",").alias("broken_rules"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token counts of all documents."""
+    import public_tokenizers
+
+    return token_counts.token_counts(documents(spark, sf_dir).select("doc_id", "text"),
+                                     public_tokenizers.path(token_counts.MODEL)).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clusters of all embeddings."""
+    return pivots.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_minhash, op3_sharding, op4_token_files, op5_chat_formatting, op6_language_id,
-                                   op7_decontamination, op8_suffix_dedup, op9_pii,
-                                   op10_quality)}
+                                   op7_decontamination, op8_suffix_dedup, op9_pii, op10_quality, op11_prefix_trie,
+                                   op12_token_counts, op13_centroid_clustering)}

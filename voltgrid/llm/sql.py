@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voltgrid.llm import mixing, quality, sharding
+from voltgrid.llm import mixing, pivots, prefix_trie, quality, sharding
 
 # RE2 and Java spell the five controls and the blank alike.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -105,5 +105,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   base || more = '' AS kept, substr(base || more, 2) AS broken_rules FROM judged"""
 
 
+def trie_sql() -> str:
+    # crc32 bit by bit: a byte is xored in, then eight shifts
+    crc = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+      string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+    return f"""
+WITH t AS MATERIALIZED (SELECT conv_id, coalesce(text, '') AS text, {crc} % {prefix_trie.HEADS} AS h,
+  conv_id - conv_id % {prefix_trie.GROUP} AS donor,
+  sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, donor, h FROM t),
+turns AS (SELECT c.conv_id, t.i, t.id, t.text FROM convs c JOIN t ON t.conv_id = c.donor AND t.i <= c.h
+  UNION ALL SELECT conv_id, i, id, text FROM t WHERE i > h),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS depth, len({WORDS}) AS words FROM turns),
+prefixes AS (SELECT conv_id, depth, words,
+  string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM numbered
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+deepest AS (SELECT conv_id, max(depth) AS d FROM prefixes GROUP BY conv_id),
+nodes AS MATERIALIZED (SELECT path, any_value(p.depth) AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs,
+  (count(*) - 1) * any_value(words) AS saved,
+  coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (p.depth = e.d), '') AS ends
+  FROM prefixes p JOIN deepest e ON p.conv_id = e.conv_id GROUP BY path),
+up AS (SELECT c.path AS top, count(*) FILTER (n.depth = c.depth + 1) AS children, sum(n.saved) AS saved,
+  count(*) FILTER (n.path NOT IN (SELECT path[:-65] FROM nodes WHERE depth > 0)) AS leaves
+  FROM nodes n, LATERAL (SELECT unnest(range(n.depth + 1)) AS k) x JOIN nodes c ON c.path = n.path[:64 * x.k]
+  GROUP BY c.path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, up.children AS n_children,
+  up.leaves AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN up ON up.top = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:-65]"""
+
+
+def clustering_sql() -> str:
+    square = "list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    n = pivots.DIMENSIONS
+    parts = [f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS rn, vec_id,
+  list_transform(embedding, lambda x: CAST(floor({pivots.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {n}
+  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {n}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{pivots.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1
+  AS k, v FROM kept ORDER BY k LIMIT {pivots.K})"""]
+    for r in range(pivots.ROUNDS + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT rn, min(struct_pack(d := d, k := k)) AS b FROM (
+  SELECT v.rn, c.k, CAST({square} AS BIGINT) AS d FROM kept v, c{r} c) GROUP BY rn)""")
+        if r < pivots.ROUNDS:
+            parts.append(f"""m{r} AS (SELECT k, list(m ORDER BY i) AS v FROM (
+  SELECT k, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM (
+    SELECT a.b.k AS k, unnest(v.v) AS x, unnest(range({n})) AS i FROM a{r} a JOIN kept v ON a.rn = v.rn)
+  GROUP BY k, i) GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m ON c.k = m.k)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT v.vec_id, CAST(a.b.k AS INTEGER) AS cluster, a.b.d AS distance,
+  CAST(sum(a.b.d) OVER (PARTITION BY a.b.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.b.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{pivots.ROUNDS} a JOIN kept v ON a.rn = v.rn JOIN c{pivots.ROUNDS} c ON c.k = a.b.k"""
+
+
 ORACLE = {"op1_mixing": mixing_sql(), "op3_sharding": sharding_sql(), "op5_chat_formatting": chat_sql(),
-          "op10_quality": quality_sql()}
+          "op10_quality": quality_sql(), "op11_prefix_trie": trie_sql(), "op13_centroid_clustering": clustering_sql()}
