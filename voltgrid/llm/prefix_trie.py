@@ -86,15 +86,15 @@ def rebuilt(turns: DataFrame) -> DataFrame:
         "conv_id", F.unhex(F.array_join(F.concat(F.slice(first, F.lit(1), F.col("h")), rest), "")).alias("key"))
 
 
-def ends(members: DataFrame) -> DataFrame:
+def ends(members: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """seq, ends_sha256 of ``members`` (seq, conv_id): the digest of the ids of
     each sequence, ascending, joined by commas."""
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(seq, ids[a], ",".join(map(str, ids[a:a + CHUNK])))
+            out = [(seq, ids[a], ",".join(map(str, ids[a:a + chunk])))
                    for seq, group in pdf.groupby("seq", sort=False)
-                   for ids in [group["conv_id"].tolist()] for a in range(0, len(ids), CHUNK)]
+                   for ids in [group["conv_id"].tolist()] for a in range(0, len(ids), chunk)]
             yield pd.DataFrame(out, columns=["seq", "first", "ids"])
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,12 +118,12 @@ def ends(members: DataFrame) -> DataFrame:
             .mapInPandas(digests, "seq string, ends_sha256 string"))
 
 
-def sequences(convs: DataFrame) -> DataFrame:
+def sequences(convs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """key, n, low, ends_sha256: the distinct sequences of ``convs`` (conv_id,
     key), which is read more than once."""
     seq = F.sha2("key", 256).alias("seq")
     count = convs.groupBy("key").agg(F.count("*").alias("n"), F.min("conv_id").alias("low")).select("*", seq)
-    return count.join(ends(convs.select(seq, "conv_id")), "seq").select("key", "n", "low", "ends_sha256")
+    return count.join(ends(convs.select(seq, "conv_id"), chunk), "seq").select("key", "n", "low", "ends_sha256")
 
 
 # ---------------------------------------------------------------- one block
@@ -264,11 +264,11 @@ def _level(items: DataFrame, paths: bool, whole: bool, most: int) -> DataFrame:
     return ordered.sortWithinPartitions("key").mapInPandas(work, LEVEL)
 
 
-def prefix_trie(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+def prefix_trie(turns: DataFrame, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
     saved_tokens, ends_sha256: one row for each distinct prefix of the rebuilt
     conversations of ``turns`` (conv_id, turn, role, text)."""
-    items = materialize(sequences(materialize(rebuilt(turns), "conversations")), "sequences")
+    items = materialize(sequences(materialize(rebuilt(turns), "conversations"), chunk), "sequences")
     levels, before, whole = [], None, False
     while not whole:
         left, size = items.agg(F.count("*"), F.coalesce(F.sum(F.length("key")), F.lit(0))).first()
