@@ -4,7 +4,7 @@ the sf0.001 tables."""
 from conftest import AS_OF, SF001
 from voltgrid.plans import bundles
 from voltgrid.plans.cycle import run_collection_cycle
-from voltgrid.sinks.tables import read_versioned
+from voltgrid.sinks.tables import read_upserted
 from voltgrid.sources import documents
 from voltgrid.sources.testdata import adapter_tables
 
@@ -21,7 +21,7 @@ def test_collection_cycle(spark, scratch):
     assert all(r.status == "success" for r in log.values()), {k: r.error_message for k, r in log.items()}
     assert log["charging_stations"].data_source == "OpenChargeMap"
     assert log["charging_stations"].records_collected == t.stations.count()
-    kept = read_versioned(spark, store, "charging_stations")
+    kept = read_upserted(spark, store, "charging_stations")
     assert kept.count() == log["charging_stations"].records_collected
     assert spark.read.parquet(store + "/weather_data").count() == log["weather_data"].records_collected > 0
     assert spark.read.parquet(store + "/data_collection_log").count() == len(log)
@@ -51,10 +51,10 @@ def test_cycle_stores_every_station(spark, scratch):
         "'Latitude', 1.0 + id / 50, 'Longitude', 2.0 + id / 50))) AS value")
     docs.write.text(scratch + "/landing/stations")
     run_collection_cycle(spark, scratch + "/landing", scratch + "/store", AS_OF)
-    assert read_versioned(spark, scratch + "/store", "charging_stations").count() == 1000
+    assert read_upserted(spark, scratch + "/store", "charging_stations").count() == 1000
     assert spark.read.parquet(scratch + "/store/engineered_features").count() == 1000
     run_collection_cycle(spark, scratch + "/landing", scratch + "/few", AS_OF, max_stations=10)
-    assert read_versioned(spark, scratch + "/few", "charging_stations").count() == 10
+    assert read_upserted(spark, scratch + "/few", "charging_stations").count() == 10
 
 
 def test_bundles_are_lazy_frames(spark, tables001):

@@ -21,11 +21,11 @@ def test_upsert_last_write_wins_and_idempotent(spark, scratch):
                                        "id string, name string, updated_at timestamp_ntz"), "charging_stations")
     sinks.upsert(spark, root, "charging_stations", b1, ["id"], ["updated_at"], version="0")
     sinks.upsert(spark, root, "charging_stations", b2, ["id"], ["updated_at"], version="1")
-    got = {r.id: r.name for r in sinks.read_versioned(spark, root, "charging_stations").collect()}
+    got = {r.id: r.name for r in sinks.read_upserted(spark, root, "charging_stations").collect()}
     assert got == {"1": "a", "2": "B", "3": "c"}
     # applying the same batch again (as a new version) changes nothing
     sinks.upsert(spark, root, "charging_stations", b2, ["id"], ["updated_at"], version="2")
-    again = {r.id: r.name for r in sinks.read_versioned(spark, root, "charging_stations").collect()}
+    again = {r.id: r.name for r in sinks.read_upserted(spark, root, "charging_stations").collect()}
     assert again == got
 
 
@@ -103,32 +103,62 @@ def test_ties_have_one_winner(spark, scratch):
     for k, rows in enumerate((one, one[::-1])):
         df = conform(spark.createDataFrame(rows, "id string, name string, updated_at timestamp_ntz"), "charging_stations")
         sinks.upsert(spark, f"{scratch}/{k}", "charging_stations", df.coalesce(1), ["id"], ["updated_at"], version="0")
-        got |= {r.name for r in sinks.read_versioned(spark, f"{scratch}/{k}", "charging_stations").collect()}
+        got |= {r.name for r in sinks.read_upserted(spark, f"{scratch}/{k}", "charging_stations").collect()}
     assert len(got) == 1
 
 
-def test_failure_between_write_and_publish(spark, scratch, monkeypatch):
-    """A crash before the commit leaves the published version; the retry
-    publishes, and a second writer with the same number fails loudly."""
+def _stations(spark, *rows):
+    return conform(spark.createDataFrame([(i, n, dt.datetime(2024, 1, d)) for i, n, d in rows],
+                                         "id string, name string, updated_at timestamp_ntz"), "charging_stations")
+
+
+def _files(root):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_upsert_rewrites_only_its_buckets(spark, scratch):
+    """The files of buckets without a key of the batch stay as they are."""
+    put = lambda df, v: sinks.upsert(spark, scratch, "charging_stations", df, ["id"], ["updated_at"], version=v)
+    put(_stations(spark, *[(str(i), "a", 1) for i in range(500)]), "0")
+    before = _files(scratch)
+    batch = _stations(spark, ("7", "b", 2), ("11", "b", 2))
+    touched = {f"/bucket={r[0]}/" for r in batch.select(sinks.bucket_of(["id"])).collect()}
+    put(batch, "1")
+    after = _files(scratch)
+    gone, new = before.keys() - after.keys(), after.keys() - before.keys()
+    assert gone and new and all(any(t in f for t in touched) for f in gone | new)
+    kept = {f for f in before if not any(t in f for t in touched)}
+    assert len({f.split("/bucket=")[1].split("/")[0] for f in kept}) == sinks.BUCKETS - len(touched)
+    assert all(after[f] == before[f] for f in kept)
+    names = {r.id: r.name for r in sinks.read_upserted(spark, scratch, "charging_stations").collect()}
+    assert len(names) == 500 and {i for i, n in names.items() if n == "b"} == {"7", "11"}
+
+
+def test_failed_upsert_leaves_the_table(spark, scratch):
+    """A batch whose rows raise changes nothing, and the next one is merged."""
     import pytest
-    df = lambda i: conform(spark.createDataFrame([(i,)], "id string"), "charging_stations")
-    put = lambda i, v: sinks.upsert(spark, scratch, "charging_stations", df(i), ["id"], ["updated_at"], version=v)
-    ids = lambda: {r.id for r in sinks.read_versioned(spark, scratch, "charging_stations").collect()}
-    put("1", "a")
-    publish = sinks._publish
-
-    def crash(*a):
-        raise RuntimeError("lost")
-    monkeypatch.setattr(sinks, "_publish", crash)
-    with pytest.raises(RuntimeError):
-        put("2", "b")
-    assert ids() == {"1"}
-    monkeypatch.setattr(sinks, "_publish", publish)
-    put("2", "b")
-    assert ids() == {"1", "2"}
-    monkeypatch.setattr(sinks, "_last_commit", lambda *a: (0, "old", "old"))
-    with pytest.raises(RuntimeError):
-        sinks._publish(spark, scratch, "charging_stations", "d", "c")
+    put = lambda df, v: sinks.upsert(spark, scratch, "charging_stations", df, ["id"], ["updated_at"], version=v)
+    put(_stations(spark, ("1", "a", 1)), "0")
+    before = _files(scratch)
+    bad = _stations(spark, ("1", "b", 2)).withColumn("name", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        put(bad, "1")
+    assert _files(scratch) == before
+    put(_stations(spark, ("2", "c", 2)), "1")
+    assert {r.id: r.name for r in sinks.read_upserted(spark, scratch, "charging_stations").collect()} == {"1": "a", "2": "c"}
+
+
+def test_merge_orders_by_query_and_batch(spark):
+    """The rows say which batch wrote them: older times, batches that come
+    again, NULL times and NULL keys."""
+    schema = "id string, name string, at int, _query string, _batch long"
+    stored = spark.createDataFrame([("1", "a", 5, "q", 3), ("2", "b", 5, "q", 3), ("3", "c", 5, "p", 9),
+                                    ("4", "d", None, "q", 0), (None, "e", 1, "q", 0)], schema)
+    incoming = spark.createDataFrame([("1", "late", 9, "q", 3), ("2", "old", 4, "q", 4), ("3", "same", 5, "q", 2),
+                                      ("4", "timed", 1, "q", 1), (None, "f", 2, "q", 1), ("5", "new", None, "q", 4)], schema)
+    got = {r.id: r.name for r in sinks.merge_batch(stored, incoming, ["id"], ["at"]).collect()}
+    assert got == {"1": "a", "2": "b", "3": "same", "4": "timed", None: "f", "5": "new"}
 
 
 def test_sums_keep_their_digits(spark):

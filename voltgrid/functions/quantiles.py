@@ -1,103 +1,107 @@
-"""Exact quantiles with bounded state.
+"""Exact quantiles by distributed selection.
 
 ``percentile`` (exact) merges a value→count map of *every* distinct value
-into the final task. ``exact_quantile`` gives the same linearly interpolated
-result (numpy/pandas ``linear``, DuckDB ``quantile_cont``) while no task holds
-more than a narrow bracket of values:
-
-1. a ``percentile_approx`` sketch (mergeable, partial aggregation, memory
-   bounded by the accuracy) returns values at ranks q ± δ; with its rank
-   error ≤ n/accuracy and δ sized for it, the two exact order statistics
-   needed for the interpolation lie between them (small inputs skip the
-   bracket and histogram every value);
-2. one pass counts the distinct values inside the bracket, however many
-   duplicates, and the rows below it in the same aggregation;
-3. a running count over the bracket's values in order (a sort that spills, not
-   a collected list) gives the order statistics k and k+1, which are
-   interpolated.
-
-Everything is one lazy one-row DataFrame; nothing goes through the driver and
-no task's memory grows with the number of values.
+into the final task, and an ordered window has one partition for each target.
+``exact_quantiles`` gives the same linearly interpolated result
+(numpy/pandas ``linear``, DuckDB ``quantile_cont``) by narrowing:
+
+1. equal values are counted (partial aggregation, then one shuffle on the
+   value), all columns asked for in the same table;
+2. each target rank starts with the range from the least to the greatest value.
+   A range is cut into ``CELLS`` equal ranges, the counts in each are added up
+   (with the least and greatest value that it holds), and a running sum over at
+   most ``CELLS`` rows says which of them holds the rank. That range, shrunk to
+   its values, is cut again. Cutting is monotone, so no rounding can lose a
+   rank;
+3. after ``LEVELS`` rounds the target's range is below a 10^-9 part of the
+   first for evenly spread values, and its few values are put in order.
+
+All targets go through the same rounds. The state between rounds is one row
+for each target (two targets, the ranks on either side, for each quantile), so
+its broadcast is bounded by the number of quantiles. Everything is one lazy
+one-row DataFrame; the counted values are the same subplan in every round, so
+their shuffle is written once and read again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltgrid.functions.groupstats import attach_one_row
-
-ACCURACY = 10_000
-SMALL = 10_000           # with fewer values a bracket of this precision is the whole range
-
-
-def exact_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], accuracy: int = ACCURACY,
-                    small: int = SMALL) -> DataFrame:
-    """One row with one column per spec ``(column, q, name)``: the exact
-    ``q`` quantile of ``column`` (NULLs ignored; NULL when there is no
-    value). All specs share one sketch aggregation and one histogram pass.
-
-    Bracket width: the sketch's rank error is ≤ n/accuracy, and the
-    interpolation ranks ⌊q(n−1)⌋+1, +2 differ from q·n by at most 2, so
-    percentages q ± (3/accuracy + 3/small) enclose both order statistics
-    whenever n > small; for n ≤ small every value is histogrammed."""
-    delta = 3.0 / accuracy + 3.0 / small
-    aggs = []
-    for i, (c, q, _) in enumerate(specs):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"_n{i}"),
-                 F.percentile_approx(x, [max(0.0, q - delta), min(1.0, q + delta)], accuracy).alias(f"_b{i}")]
-    raw = df.agg(*aggs)
-    cols = []
-    for i, (_, q, _) in enumerate(specs):
-        n = F.col(f"_n{i}")
-        pos = F.lit(float(q)) * (n - 1)
-        cols += [n, F.when(n > small, F.col(f"_b{i}")[0]).otherwise(F.lit(float("-inf"))).alias(f"_lo{i}"),
-                 F.when(n > small, F.col(f"_b{i}")[1]).otherwise(F.lit(float("inf"))).alias(f"_hi{i}"),
-                 F.floor(pos).alias(f"_k{i}"), (pos - F.floor(pos)).alias(f"_f{i}")]
-    sketch = raw.select(*cols)
-
-    # one pass over (spec, value) pairs: rows below a spec's bracket collapse
-    # into one NULL key, rows inside keep their value
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_x"))
-                                         for i, (c, _, _) in enumerate(specs)])).alias("_e")) \
-        .select("_e._i", "_e._x").where(F.col("_x").isNotNull())
-
-    def pick(prefix):
-        expr = None
-        for i in range(len(specs)):
-            expr = (F.when(F.col("_i") == i, F.col(f"{prefix}{i}")) if expr is None
-                    else expr.when(F.col("_i") == i, F.col(f"{prefix}{i}")))
-        return expr
-    j = attach_one_row(long, sketch).where(F.col("_x") <= pick("_hi"))
-    key = F.when(F.col("_x") >= pick("_lo"), F.col("_x")).alias("_v")
-    counts = j.groupBy("_i", key).agg(F.count(F.lit(1)).alias("_c"))
-    # the values of a bracket in order; rows below it (NULL) come first
-    order = Window.partitionBy("_i").orderBy(F.col("_v").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = attach_one_row(counts.select("_i", "_v", F.sum("_c").over(order).alias("_cum")), sketch)
-    aggs = []
-    for i in range(len(specs)):
-        mine = F.col("_i") == i
-        aggs += [F.max(F.when(mine & F.col("_v").isNull(), F.col("_cum"))).alias(f"_below{i}"),
-                 *[F.min(F.when(mine & (F.col("_cum") > F.col(f"_k{i}") + d), F.col("_v"))).alias(f"_v{i}_{d}")
-                   for d in (0, 1)]]
-    one = attach_one_row(sketch, running.agg(*aggs))
+CELLS = 65_536
+LEVELS = 2
+
+
+def _reached(per: DataFrame) -> DataFrame:
+    """Of each target (i, t) the row of ``per`` (…, cell, c) whose running
+    count passes the rank r; r is counted from that row's start on."""
+    order = Window.partitionBy("i", "t").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = per.withColumn("upto", F.sum("c").over(order))
+    return upto.where((F.col("upto") > F.col("r")) & (F.col("upto") - F.col("c") <= F.col("r"))) \
+        .withColumn("r", F.col("r") - F.col("upto") + F.col("c"))
+
+
+def counted_quantiles(counts: DataFrame, specs: list[tuple[float, str]], cells: int = CELLS,
+                      levels: int = LEVELS) -> DataFrame:
+    """One row with the columns ``name`` and ``name_below`` (how many values
+    are less) per spec ``(q, name)``; ``counts`` has the rows i int (number of
+    the spec), x double, c long: its values, not NULL, each once, and how often
+    it occurs."""
+    at = lambda vs, i: F.get(F.array(*[F.lit(float(v)) for v in vs]), i)
+    whole = counts.groupBy("i").agg(F.sum("c").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    position = at([q for q, _ in specs], F.col("i")) * (F.col("n") - 1)
+    state = whole.select(
+        "i", (position - F.floor(position)).alias("f"), "lo", "hi", F.posexplode(F.array(
+            F.floor(position), F.least(F.floor(position) + 1, F.col("n") - 1))).alias("t", "r")) \
+        .withColumn("rank", F.col("r"))
+    for _ in range(levels):
+        cell = F.floor((F.col("x") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * cells)
+        per = _within(counts, state).groupBy("i", "t", "r", "f", "rank", F.coalesce(
+            F.least(cell, F.lit(cells - 1)), F.lit(0)).alias("cell")).agg(
+            F.sum("c").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        state = _reached(per).select("i", "t", "r", "f", "rank", "lo", "hi")
+    found = _reached(_within(counts, state).withColumn("cell", F.col("x")))
+    # of a found value, r is the rank among its equals: rank - r values are less
+    of = lambda i, t, c: F.max(F.when((F.col("i") == i) & (F.col("t") == t), c))
+    less = F.col("rank") - F.col("r")
+    one = found.agg(*[of(i, t, c).alias(f"{k}{t}_{i}") for i in range(len(specs)) for t in (0, 1)
+                      for k, c in (("x", F.col("x")), ("less", less), ("f", F.col("f")))])
     out = []
-    for i, (_, _, name) in enumerate(specs):
-        vk = F.col(f"_v{i}_0")
-        vk1 = F.coalesce(F.col(f"_v{i}_1"), vk)
-        f = F.col(f"_f{i}")
-        value = F.when(f == 0, vk).otherwise(vk + (vk1 - vk) * f)
-        # the bracket provably covers the target ranks; fail loudly rather than return a wrong value
-        missed = (F.col(f"_k{i}") < F.coalesce(F.col(f"_below{i}"), F.lit(0))) | vk.isNull()
-        checked = F.when(missed, F.raise_error(F.lit("exact_quantiles: bracket missed the target rank"))) \
-            .otherwise(value)
-        out.append(F.when(F.col(f"_n{i}") > 0, checked).alias(name))
+    for i, (_, name) in enumerate(specs):
+        x0, x1, f = F.col(f"x0_{i}"), F.col(f"x1_{i}"), F.col(f"f0_{i}")
+        value = F.when(f == 0, x0).otherwise(x0 + (x1 - x0) * f)
+        out += [value.alias(name), F.when(value > x0, F.col(f"less1_{i}")).otherwise(F.col(f"less0_{i}")).alias(f"{name}_below")]
     return one.select(*out)
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold",
-                   accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
+def _within(counts: DataFrame, state: DataFrame) -> DataFrame:
+    """The counted values in each target's range; two rows of state a spec."""
+    return counts.join(F.broadcast(state), "i").where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
+
+
+def count_values(df: DataFrame, columns: list[str | Column]) -> DataFrame:
+    """i, x, c: the values of the columns (NULLs left out) and how often each
+    occurs."""
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    pairs = [F.struct(F.lit(i).alias("i"), col(c).cast("double").alias("x")) for i, c in enumerate(columns)]
+    return (df.select(F.inline(F.array(*pairs))).where(F.col("x").isNotNull())
+            .groupBy("i", "x").agg(F.count(F.lit(1)).alias("c")))
+
+
+def exact_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], cells: int = CELLS,
+                    levels: int = LEVELS) -> DataFrame:
+    """One row with the columns ``name`` and ``name_below`` per spec
+    ``(column, q, name)``: the exact ``q`` quantile of ``column`` (NULLs
+    ignored; NULL when there is no value) and the number of values below it."""
+    columns = list(dict.fromkeys(c for c, _, _ in specs))
+    counts = count_values(df, columns)
+    if len(columns) < len(specs):               # several quantiles of one column share its counts
+        which = F.array(*[F.array(*[F.lit(k) for k, s in enumerate(specs) if s[0] == c]) for c in columns])
+        counts = counts.select(F.explode(F.get(which, F.col("i"))).alias("i"), "x", "c")
+    return counted_quantiles(counts, [(q, name) for _, q, name in specs], cells, levels)
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, name: str = "threshold", cells: int = CELLS,
+                   levels: int = LEVELS) -> DataFrame:
     """One row, one column ``name``: the exact ``q`` quantile of ``col``."""
-    return exact_quantiles(df, [(col, q, name)], accuracy, small)
+    return exact_quantiles(df, [(col, q, name)], cells, levels).select(name)

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from voltgrid.functions.columns import clean_numeric, clean_text, ntz_literal
 from voltgrid.schemas import conform
-from voltgrid.functions.groupstats import attach_one_row
 
 # Fixed values of the cleaning rules: text widths of the reporting database
 # (``WIDTHS``, for callers that load into such columns; texts are kept whole by
@@ -47,6 +46,26 @@ def _col_or_null(df: DataFrame, c: str, typ: str = "string"):
     return F.col(c) if c in df.columns else F.lit(None).cast(typ)
 
 
+def _coordinates() -> tuple[Column, Column]:
+    return (F.col("latitude").try_cast("double").try_cast("decimal(10,8)"),
+            F.col("longitude").try_cast("double").try_cast("decimal(11,8)"))
+
+
+def _located(df: DataFrame) -> Column:
+    """The rows that C01 keeps."""
+    lat, lon = _coordinates()
+    return (_truthy(df, "id") & lat.isNotNull() & (lat != 0) & lon.isNotNull() & (lon != 0)
+            & lat.between(-90, 90) & lon.between(-180, 180))
+
+
+def _observed(df: DataFrame) -> Column:
+    """The rows that C02 and C03 keep."""
+    return F.col("timestamp").isNotNull() & _truthy(df, "station_id")
+
+
+KEPT = {"stations": _located, "weather": _observed, "traffic": _observed}
+
+
 def clean_stations(df: DataFrame, as_of: _dt.datetime, widths: dict | None = None) -> DataFrame:
     """Keep stations with a truthy id, latitude and longitude inside
     [-90, 90] × [-180, 180]; trim the text fields (and cut them to ``widths``); stamp
@@ -54,13 +73,10 @@ def clean_stations(df: DataFrame, as_of: _dt.datetime, widths: dict | None = Non
     Coordinates are judged at their stored precision (decimal(10,8) /
     decimal(11,8)), so a value that would be stored as 0 counts as missing
     and cleaning stays idempotent."""
-    lat = F.col("latitude").try_cast("double").try_cast("decimal(10,8)")
-    lon = F.col("longitude").try_cast("double").try_cast("decimal(11,8)")
+    lat, lon = _coordinates()
     widths = widths or {}
-    keep = (_truthy(df, "id") & lat.isNotNull() & (lat != 0) & lon.isNotNull() & (lon != 0)
-            & lat.between(-90, 90) & lon.between(-180, 180))
     now = ntz_literal(as_of)
-    out = df.where(keep).select(
+    out = df.where(_located(df)).select(
         F.trim(F.col("id").cast("string")).alias("id"),
         lat.alias("latitude"), lon.alias("longitude"),
         *[clean_text(_col_or_null(df, c), widths.get(c)).alias(c) for c in STATION_TEXT],
@@ -73,8 +89,7 @@ def clean_weather(df: DataFrame, as_of: _dt.datetime, widths: dict | None = None
     """Require timestamp and station; NULL every measure outside its
     physical range; trim the condition text."""
     widths = widths or {}
-    keep = F.col("timestamp").isNotNull() & _truthy(df, "station_id")
-    out = df.where(keep).select(
+    out = df.where(_observed(df)).select(
         _col_or_null(df, "id", "bigint").alias("id"),
         F.trim(F.col("station_id").cast("string")).alias("station_id"), "timestamp",
         *[clean_numeric(_col_or_null(df, c, "double"), lo, hi).alias(c) for c, (lo, hi) in WEATHER_RANGES.items()],
@@ -87,8 +102,7 @@ def clean_traffic(df: DataFrame, as_of: _dt.datetime, widths: dict | None = None
     """Require timestamp and station; range rules; congestion and road
     defaults. Incident rows pass with NULL measures."""
     widths = widths or {}
-    keep = F.col("timestamp").isNotNull() & _truthy(df, "station_id")
-    out = df.where(keep).select(
+    out = df.where(_observed(df)).select(
         _col_or_null(df, "id", "bigint").alias("id"),
         F.trim(F.col("station_id").cast("string")).alias("station_id"), "timestamp",
         *[clean_numeric(_col_or_null(df, c, "double"), lo, hi).alias(c) for c, (lo, hi) in TRAFFIC_RANGES.items()],
@@ -108,11 +122,12 @@ def limit_stations(df: DataFrame, n: int | None = None) -> DataFrame:
     return df.orderBy("id").limit(n)
 
 
-def reject_report(raw: DataFrame, clean: DataFrame, what: str) -> DataFrame:
-    """C06: "cleaned n out of m" as one row."""
-    r = raw.agg(F.count(F.lit(1)).alias("raw_records"))
-    c = clean.agg(F.count(F.lit(1)).alias("clean_records"))
-    return attach_one_row(r, c).select(
+def reject_report(raw: DataFrame, what: str) -> DataFrame:
+    """C06: "cleaned n out of m" as one row, from one scan: the rows that the
+    cleaning rule of ``what`` (stations, weather or traffic) keeps are counted
+    beside all rows."""
+    n = raw.agg(F.count(F.lit(1)).alias("raw_records"), F.count_if(KEPT[what](raw)).alias("clean_records"))
+    return n.select(
         F.lit(what).alias("dataset"), "raw_records", "clean_records",
         (F.col("raw_records") - F.col("clean_records")).alias("rejected_records"),
         F.format_string(f"Cleaned %d out of %d {what} records", "clean_records", "raw_records").alias("message"))

@@ -14,8 +14,13 @@ Scale notes
   table of matched cells, with one scan of each source.
 - The combined analysis (R06) correlates over every weather × traffic pair of
   a station-hour. Materialising those pairs grows quadratically with a hot
-  cell, so R06 never does: each side is reduced to per-cell sums (count, sum,
-  sum of squares), which add up to the pair-level Pearson in one aggregate.
+  cell, so R06 never does: a cell counts as often as it has pairs.
+- Moments are centred everywhere (count, means, sums of squared deviations,
+  co-moment) and merged pairwise, so a mean that is large against the spread
+  loses no digits. Cells of equal weight go through the built-in central
+  aggregates, which merge that way in partial aggregation; what is left, one
+  entry for each distinct weight of a group, is merged by ``merged``. The
+  distinct weights of a group are few: their sum is at most its rows.
 """
 
 from __future__ import annotations
@@ -45,26 +50,61 @@ TRAFFIC_FEATURES = {"traffic_density": "traffic_density", "average_speed": "aver
 CELL = ["station_id", "hour"]
 
 
+def merged(parts: Column, sides: str = "x") -> Column:
+    """One struct of moments from an array of them: ``n`` (the weight), the
+    mean of each side, and for each pair of sides the sum of products of
+    deviations (``xx``, ``xs``, ``ss``). Two sets of moments join by the
+    distance of their means (the parallel form of Welford's update). Entries
+    without weight are passed over."""
+    pairs = [a + b for i, a in enumerate(sides) for b in sides[i:]]
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("n", *sides, *pairs)])
+
+    def join(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        apart = {k: b[k] - a[k] for k in sides}
+        return F.struct(
+            n.alias("n"), *[(a[k] + apart[k] * b["n"] / n).alias(k) for k in sides],
+            *[(a[k] + b[k] + apart[k[0]] * apart[k[1]] * (a["n"] * b["n"] / n)).alias(k) for k in pairs])
+
+    some = F.filter(parts, lambda p: p["n"] > 0)
+    only = F.struct(*[F.get(some, F.lit(0))[k].alias(k) for k in ("n", *sides, *pairs)])
+    return F.when(F.size(some) == 1, only).otherwise(F.aggregate(F.sort_array(some), zero, join))
+
+
 def _cells(obs: DataFrame, side: str, features: dict[str, str], category: str) -> DataFrame:
     """J05's left side, merged before any join: per station and hour the
-    number of observations, the sums of each feature (non-null count, sum,
-    sum of squares, least and greatest) and the count of each category. Equal
-    observations combine map-side, so a cell that holds a third of all rows
-    costs a partial row per task and category."""
-    parts = [F.count(F.lit(1)).alias(f"n_{side}")]
-    merge = [F.sum(f"n_{side}").alias(f"n_{side}")]
+    number of observations, the moments of each feature with its least and
+    greatest value, and the count of each category. Equal observations combine
+    map-side, so a cell that holds a third of all rows costs a partial row per
+    task and category."""
+    parts, feature = [F.count(F.lit(1)).alias(f"n_{side}")], []
     for name, c in features.items():
         x = F.col(c).cast("double")
-        for k, agg, add in (("n", F.count(x), F.sum), ("x", F.sum(x), F.sum), ("xx", F.sum(x * x), F.sum),
-                            ("lo", F.min(x), F.min), ("hi", F.max(x), F.max)):
-            parts.append(agg.alias(f"{name}_{k}"))
-            merge.append(add(f"{name}_{k}").alias(f"{name}_{k}"))
+        parts += [F.count(x).cast("double").alias(f"{name}_n"), F.avg(x).alias(f"{name}_x"),
+                  (F.var_pop(x) * F.count(x)).alias(f"{name}_xx"), F.min(x).alias(f"{name}_lo"),
+                  F.max(x).alias(f"{name}_hi")]
+        feature.append(F.struct(*[F.col(f"{name}_{k}").alias(k) for k in ("n", "x", "xx", "lo", "hi")]))
     # as many entries as the hour has categories
-    merge.append(F.collect_list(F.when(F.col(category).isNotNull(), F.struct(
-        F.col(category).alias("name"), F.col(f"n_{side}").alias("n")))).alias(f"kinds_{side}"))
-    return (obs.where(F.col("station_id").isNotNull() & F.col("timestamp").isNotNull())
-            .groupBy("station_id", hour_floor("timestamp").alias("hour"), category).agg(*parts)
-            .groupBy(*CELL).agg(*merge))
+    per = (obs.where(F.col("station_id").isNotNull() & F.col("timestamp").isNotNull())
+           .groupBy("station_id", hour_floor("timestamp").alias("hour"), category).agg(*parts)
+           .groupBy(*CELL).agg(
+               F.sum(f"n_{side}").alias(f"n_{side}"),
+               F.collect_list(F.struct(F.col(category).alias("name"), F.col(f"n_{side}").alias("n"),
+                                       F.array(*feature).alias("f"))).alias("parts")))
+
+    def whole(i: Column) -> Column:
+        of_feature = F.transform("parts", lambda p: F.get(p["f"], i))
+        return F.struct(merged(of_feature).alias("m"), F.array_min(F.transform(of_feature, lambda f: f["lo"])).alias("lo"),
+                        F.array_max(F.transform(of_feature, lambda f: f["hi"])).alias("hi"))
+
+    per = per.withColumn("whole", F.transform(F.sequence(F.lit(0), F.lit(len(features) - 1)), whole))
+    of = lambda i, k: F.get(F.col("whole"), F.lit(i))[k]
+    return per.select(
+        *CELL, f"n_{side}",
+        F.transform(F.filter("parts", lambda p: p["name"].isNotNull()),
+                    lambda p: F.struct(p["name"].alias("name"), p["n"].alias("n"))).alias(f"kinds_{side}"),
+        *[of(i, "m").alias(k) for i, k in enumerate(features)],
+        *[of(i, b).alias(f"{k}_{b}") for i, k in enumerate(features) for b in ("lo", "hi")])
 
 
 def weather_cells(weather: DataFrame) -> DataFrame:
@@ -86,35 +126,78 @@ def matched_cells(usage: DataFrame, weather: DataFrame | None = None, traffic: D
     return out
 
 
-def _sums(name: str, pairs: Column) -> dict[str, Column]:
-    """The sums that the correlation of a feature with the session count needs,
-    over the cells of a match; each value of a cell counts ``pairs`` times."""
-    s = F.col("session_count").cast("double")
-    n, has = F.col(f"{name}_n") * pairs, (F.col(f"{name}_n") > 0) & (pairs > 0)
-    return {f"{name}__n": F.sum(n), f"{name}__s": F.sum(n * s), f"{name}__ss": F.sum(n * s * s),
-            f"{name}__x": F.sum(pairs * F.col(f"{name}_x")), f"{name}__xx": F.sum(pairs * F.col(f"{name}_xx")),
-            f"{name}__xs": F.sum(pairs * s * F.col(f"{name}_x")),
-            f"{name}__flat": (F.min(F.when(has, F.col(f"{name}_lo"))) == F.max(F.when(has, F.col(f"{name}_hi"))))
-            | (F.min(F.when(has, s)) == F.max(F.when(has, s)))}
-
-
-def _pearson(name: str) -> Column:
-    """Pearson's r from the sums; a constant side, or nothing at all, gives 0."""
-    c = lambda k: F.col(f"{name}__{k}")
-    n = c("n").cast("double")
-    r = F.try_divide(c("xs") - F.try_divide(c("x") * c("s"), n),
-                     F.sqrt(F.greatest(F.lit(0.0), c("xx") - F.try_divide(c("x") * c("x"), n))
-                            * F.greatest(F.lit(0.0), c("ss") - F.try_divide(c("s") * c("s"), n))))
-    return F.round(F.when(F.coalesce(c("flat"), F.lit(True)), F.lit(0.0)).otherwise(F.coalesce(r, F.lit(0.0))), 6)
+Metric = tuple[str, str, Column, Column]      # name, feature, times that a cell counts, its data points
+
+# entries of a cell: a feature with its weight, or a category
+ENTRY = "metric string, name string, w double, x double, m2 double, lo double, hi double, points bigint"
+
+
+def _entries(metrics: list[Metric], kinds: dict[str, str]) -> Column:
+    """What a cell gives to its group: an entry for each metric that it has
+    data points for, and one for each of its categories."""
+    kind = lambda **c: F.struct(*[c[f.split()[0]].cast(f.split()[1]).alias(f.split()[0]) for f in ENTRY.split(", ")])
+    none = F.lit(None)
+    category = lambda m: lambda k: kind(
+        metric=F.lit(m), name=k["name"], w=F.lit(0.0), x=none, m2=none, lo=none, hi=none, points=k["n"])
+    arrays = [F.when(points > 0, F.array(kind(
+        metric=F.lit(m), name=none, w=F.col(f)["n"] * times, x=F.col(f)["x"], m2=F.col(f)["xx"] * times,
+        lo=F.col(f"{f}_lo"), hi=F.col(f"{f}_hi"), points=points))).otherwise(F.array())
+        for m, f, times, points in metrics]
+    arrays += [F.transform(F.coalesce(c, F.array()), category(m)) for m, c in kinds.items()]
+    return F.concat(*arrays)
+
+
+def _grouped(cells: DataFrame, by: list[str], metrics: list[Metric], kinds: dict[str, str] | None = None) -> DataFrame:
+    """One row per group (or exactly one): r and data points (``…__points``)
+    of each metric; for each kind an array of its categories, the highest mean
+    of sessions first."""
+    kinds = kinds or {}
+    rows = cells.select(*by, F.col("session_count").cast("double").alias("s"), F.col("session_count").alias("k"),
+                        F.inline(_entries(metrics, kinds)))
+    n = F.count(F.lit(1)) * F.col("w")
+    # a weight of 0 has no value of the feature
+    per = rows.groupBy(*by, "metric", "name", "w").agg(
+        n.alias("n"), F.avg("x").alias("x"), F.avg("s").alias("s"),
+        (n * F.var_pop("x") + F.sum("m2")).alias("xx"), (n * F.covar_pop("x", "s")).alias("xs"),
+        (n * F.var_pop("s")).alias("ss"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min("s").alias("s_lo"), F.max("s").alias("s_hi"), F.sum("points").alias("points"),
+        F.round(F.try_divide(F.sum(F.col("points") * F.col("k")).cast("double"),
+                             F.sum("points").cast("double")), 6).alias("mean_sessions"))
+    part = F.struct("n", "x", "s", "xx", "xs", "ss", "lo", "hi", "s_lo", "s_hi", "points")
+    category = F.struct((-F.col("mean_sessions")).alias("o"), "name", F.col("mean_sessions").alias("m"))
+    mine = lambda m, entry: F.collect_list(F.when(F.col("metric") == m, entry))
+    g = group_stats(per, by, **{m: mine(m, part) for m, *_ in metrics},
+                    **{m: F.sort_array(mine(m, category)) for m in kinds})
+    # one expression over the array of metrics, not one for each
+    g = g.select(*by, *kinds, F.transform(F.array(*[F.col(m) for m, *_ in metrics]), _pearson).alias("r_and_points"))
+    at = lambda i, k: F.get(F.col("r_and_points"), F.lit(i))[k]
+    return g.select(*by, *kinds, *[at(i, "r").alias(m) for i, (m, *_) in enumerate(metrics)],
+                    *[at(i, "points").alias(f"{m}__points") for i, (m, *_) in enumerate(metrics)])
+
+
+def _pearson(all_parts: Column) -> Column:
+    """Pearson's r of a metric and its data points; a constant side, or
+    nothing at all, gives 0."""
+    some = F.filter(all_parts, lambda p: p["n"] > 0)
+
+    def r_of(parts: Column) -> Column:
+        each = lambda k: F.transform(parts, lambda p: p[k])
+        flat = lambda lo, hi: F.array_min(each(lo)) == F.array_max(each(hi))
+        # an array of one, so that the moments are an element and merged once
+        r = F.get(F.transform(F.array(merged(parts, "xs")),
+                              lambda m: F.try_divide(m["xs"], F.sqrt(m["xx"]) * F.sqrt(m["ss"]))), F.lit(0))
+        return F.round(F.when((F.size(parts) == 0) | flat("lo", "hi") | flat("s_lo", "s_hi"), F.lit(0.0))
+                       .otherwise(F.coalesce(r, F.lit(0.0))), 6)
+
+    return F.struct(F.get(F.transform(F.array(some), r_of), F.lit(0)).alias("r"),
+                    F.aggregate(all_parts, F.lit(0).cast("bigint"), lambda a, p: a + p["points"]).alias("points"))
 
 
 def _side(cells: DataFrame, by: list[str], features: dict[str, str], side: str, named: dict[str, str]) -> DataFrame:
-    sums = {}
-    for name in features:
-        sums.update(_sums(name, F.lit(1)))
-    g = group_stats(cells.where(F.col(f"n_{side}").isNotNull()), by, **sums,
-                    data_points=F.coalesce(F.sum(f"n_{side}"), F.lit(0)))
-    return g.select(*by, *[_pearson(f).alias(out) for f, out in named.items()], "data_points")
+    once, points = F.lit(1), F.coalesce(F.col(f"n_{side}"), F.lit(0))
+    g = _grouped(cells, by, [(f, f, once, points) for f in features])
+    return g.select(*by, *[F.col(f).alias(out) for f, out in named.items()],
+                    F.col(f"{next(iter(features))}__points").alias("data_points"))
 
 
 def weather_usage_correlation(weather: DataFrame, usage: DataFrame, by=()) -> DataFrame:
@@ -157,33 +240,31 @@ def congestion_impact(traffic: DataFrame, usage: DataFrame, by=(), n: int = TOP_
 
 # ------------------------------------------------------------------ R06
 
-def _all_sums() -> dict[str, Column]:
-    """The sums of R02, R04 and R06 in one aggregate: w_ and t_ for the
-    two-way matches, c_ for the three-way match, which keeps the weather ×
-    traffic multiplicity of the merge without making its pairs."""
-    out = {"w__points": F.sum("n_w"), "t__points": F.sum("n_t"), "c__points": F.sum(F.col("n_w") * F.col("n_t"))}
-    for prefix, features, pairs in (("w_", WEATHER_FEATURES, F.lit(1)), ("t_", TRAFFIC_FEATURES, F.lit(1)),
-                                    ("c_", WEATHER_FEATURES, F.coalesce("n_t", F.lit(0))),
-                                    ("c_", TRAFFIC_FEATURES, F.coalesce("n_w", F.lit(0)))):
-        for name in features:
-            out.update({f"{prefix}{k}": v for k, v in _sums(name, pairs).items()})
-    return out
+COMBINED = [*WEATHER_FEATURES, *TRAFFIC_FEATURES]
 
 
-COMBINED = [*WEATHER_FEATURES, *TRAFFIC_FEATURES]
+def _combined_metrics(prefix: str = "") -> list[Metric]:
+    """The three-way match keeps the weather × traffic multiplicity of the
+    merge without making its pairs."""
+    n_w, n_t = F.coalesce("n_w", F.lit(0)), F.coalesce("n_t", F.lit(0))
+    return [*[(prefix + f, f, n_t, n_w * n_t) for f in WEATHER_FEATURES],
+            *[(prefix + f, f, n_w, n_w * n_t) for f in TRAFFIC_FEATURES]]
+
+
+def _all_metrics() -> list[Metric]:
+    """R02, R04 and R06 in one aggregate: w_ and t_ for the two-way matches,
+    c_ for the three-way match."""
+    once = F.lit(1)
+    return [*[(f"w_{f}", f, once, F.coalesce("n_w", F.lit(0))) for f in WEATHER_FEATURES],
+            *[(f"t_{f}", f, once, F.coalesce("n_t", F.lit(0))) for f in TRAFFIC_FEATURES], *_combined_metrics("c_")]
 
 
 def combined_correlation(weather: DataFrame, traffic: DataFrame, usage: DataFrame, by=()) -> DataFrame:
     """Temperature, precipitation, density and speed against sessions
     over the three-way same-hour match."""
     by = list(by)
-    cells = matched_cells(usage, weather, traffic).where(F.col("n_w").isNotNull() & F.col("n_t").isNotNull())
-    sums = {}
-    for features, pairs in ((WEATHER_FEATURES, F.col("n_t")), (TRAFFIC_FEATURES, F.col("n_w"))):
-        for name in features:
-            sums.update(_sums(name, pairs))
-    g = group_stats(cells, by, **sums, data_points=F.coalesce(F.sum(F.col("n_w") * F.col("n_t")), F.lit(0)))
-    return g.select(*by, *[_pearson(f).alias(f) for f in COMBINED], "data_points")
+    g = _grouped(matched_cells(usage, weather, traffic), by, _combined_metrics())
+    return g.select(*by, *COMBINED, F.col(f"{COMBINED[0]}__points").alias("data_points"))
 
 
 # ------------------------------------------------------------------ R07 / R08
@@ -205,32 +286,13 @@ def correlation_insights(weather: DataFrame, traffic: DataFrame, usage: DataFram
     with |r| > 0.3 (speed has none), the top conditions / congestion levels,
     and the combined analysis' strong (|r| > 0.5) correlations.
 
-    One pass over the cells: each gives a row with its sums and a row for each
-    of its categories; these are added up per group and category, then per
-    group, where a list has as many entries as there are categories."""
+    One pass over the cells: each gives an entry for each metric and each of
+    its categories; these are added up per group and category, then per group,
+    where a list has as many entries as there are categories."""
     by = list(by)
     cells = matched_cells(usage, weather, traffic)
-    kind = lambda k, name, n: F.struct(F.lit(k).alias("kind"), name.alias("name"), n.alias("n"))
-    long_none = F.lit(None).cast("bigint")
-    rows = cells.withColumn("e", F.explode(F.concat(
-        F.array(kind("cell", F.lit(None).cast("string"), long_none)),
-        F.transform(F.coalesce("kinds_w", F.array()), lambda x: kind("w", x["name"], x["n"])),
-        F.transform(F.coalesce("kinds_t", F.array()), lambda x: kind("t", x["name"], x["n"])))))
-    cell = F.col("e.kind") == "cell"
-    only = rows.select(*by, F.col("e.kind").alias("kind"), F.col("e.name").alias("name"), F.col("e.n").alias("n"),
-                       "session_count", *[F.when(cell, F.col(c)).alias(c) for c in cells.columns
-                                          if c not in (*CELL, "session_count", "total_energy", "kinds_w", "kinds_t")])
-    per_kind = only.groupBy(*by, "kind", "name").agg(
-        *[v.alias(k) for k, v in _all_sums().items()],
-        F.round(F.try_divide(F.sum(F.col("n") * F.col("session_count")).cast("double"),
-                             F.sum("n").cast("double")), 6).alias("mean_sessions"))
-
-    def top(k):
-        entry = F.struct((-F.col("mean_sessions")).alias("o"), F.col("name"), F.col("mean_sessions").alias("m"))
-        return F.slice(F.sort_array(F.collect_list(F.when(F.col("kind") == k, entry))), 1, TOP_N)
-
-    one = group_stats(per_kind, by, top_w=top("w"), top_t=top("t"),
-                      **{k: F.max(F.when(F.col("kind") == "cell", F.col(k))) for k in _all_sums()})
+    one = _grouped(cells, by, _all_metrics(), {"kind_w": "kinds_w", "kind_t": "kinds_t"}).withColumns(
+        {"top_w": F.slice("kind_w", 1, TOP_N), "top_t": F.slice("kind_t", 1, TOP_N)})
 
     def listed(col, section, text):
         items = F.array_join(F.transform(col, lambda x: F.format_string(
@@ -241,13 +303,13 @@ def correlation_insights(weather: DataFrame, traffic: DataFrame, usage: DataFram
     def item(section, text):
         return F.struct(F.lit(section).alias("section"), text.alias("insight"))
 
-    strong = F.array_compact(F.array(*[F.when(F.abs(_pearson(f"c_{k}")) > STRONG_R, F.format_string(
-        f"'{k}': %s", _pearson(f"c_{k}").cast("string"))) for k in COMBINED]))
+    strong = F.array_compact(F.array(*[F.when(F.abs(F.col(f"c_{k}")) > STRONG_R, F.format_string(
+        f"'{k}': %s", F.col(f"c_{k}").cast("string"))) for k in COMBINED]))
     items = F.array(
-        item("weather_correlation", _sentence("Temperature", _pearson("w_temperature"))),
-        item("weather_correlation", _sentence("Precipitation", _pearson("w_precipitation"))),
+        item("weather_correlation", _sentence("Temperature", F.col("w_temperature"))),
+        item("weather_correlation", _sentence("Precipitation", F.col("w_precipitation"))),
         listed(F.col("top_w"), "weather_correlation", CONDITION_TEXT),
-        item("traffic_correlation", _sentence("Traffic density", _pearson("t_traffic_density"))),
+        item("traffic_correlation", _sentence("Traffic density", F.col("t_traffic_density"))),
         listed(F.col("top_t"), "traffic_correlation", CONGESTION_TEXT),
         item("combined_correlation", F.when(F.size(strong) > 0, F.concat(
             F.lit(STRONG_TEXT + "{"), F.array_join(strong, ", "), F.lit("}")))))
@@ -260,12 +322,12 @@ def correlation_report(weather: DataFrame, traffic: DataFrame, usage: DataFrame,
     (section, metric, value), from one aggregate over the cells; a group has
     the sections it has data points for."""
     by = list(by)
-    one = group_stats(matched_cells(usage, weather, traffic), by, **_all_sums())
+    one = _grouped(matched_cells(usage, weather, traffic), by, _all_metrics())
 
     def section(name, prefix, metrics, summary):
-        points = F.coalesce(f"{prefix}__points", F.lit(0)).cast("double")
+        points = F.col(f"{prefix}_{next(iter(metrics))}__points").cast("double")
         entry = lambda s, m, v: F.struct(F.lit(s).alias("section"), F.lit(m).alias("metric"), v.alias("value"))
-        items = F.array(*[entry(name, out, _pearson(f"{prefix}_{f}")) for f, out in metrics.items()],
+        items = F.array(*[entry(name, out, F.col(f"{prefix}_{f}")) for f, out in metrics.items()],
                         entry(name, "data_points", points), entry("summary", summary, points))
         return items if not by else F.when(points > 0, items).otherwise(F.slice(items, 1, 0))
 

@@ -6,11 +6,11 @@ from __future__ import annotations
 import math
 from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import EARTH_RADIUS_KM, bbox, day_floor, haversine_km, month_floor
-from voltgrid.operators.patterns import peak_hours
+from voltgrid.operators.patterns import PEAK_FACTOR
 from voltgrid.schemas import conform
 
 # Fixed values of the quota monitor: three services, 1000 calls per period.
@@ -23,18 +23,23 @@ def energy_consumption_daily(usage: DataFrame, peak: DataFrame | None = None) ->
     the station's peak hours (P01 unless ``peak`` (station_id, hour) is given),
     off-peak energy (total − peak), sessions and mean minutes (rounded).
 
-    Usage is reduced to (station, day, hour) cells before the peak-hour
-    lookup, which joins on (station_id, hour) against at most 24 rows per
-    station."""
+    Usage is reduced to (station, day, hour) cells in one scan; a station's
+    hours of day are added up from its cells (as many as it has hours with a
+    session), so its peak hours need no second look at the sessions."""
     u = usage.where(F.col("station_id").isNotNull() & F.col("session_start").isNotNull())
     cells = u.groupBy("station_id", F.to_date("session_start").alias("date"),
                       F.hour("session_start").cast("bigint").alias("hour")).agg(
         F.sum("energy_consumed_kwh").alias("e"), F.count(F.lit(1)).alias("n"),
         F.sum("duration_minutes").alias("d"), F.count("duration_minutes").alias("dn"))
     if peak is None:
-        peak = peak_hours(usage, by=["station_id"])
-    flags = peak.select("station_id", "hour", F.lit(True).alias("is_peak"))
-    j = cells.join(flags, ["station_id", "hour"], "left")
+        station = Window.partitionBy("station_id")
+        mean_hourly = F.sum("n").over(station).cast("double") / F.size(F.collect_set("hour").over(station))
+        j = cells.select("*", F.sum("n").over(Window.partitionBy("station_id", "hour")).alias("of_hour"),
+                         mean_hourly.alias("mean_hourly")) \
+            .withColumn("is_peak", F.col("of_hour") >= F.col("mean_hourly") * PEAK_FACTOR)
+    else:
+        flags = peak.select("station_id", "hour", F.lit(True).alias("is_peak"))
+        j = cells.join(flags, ["station_id", "hour"], "left")
     zero = F.lit(0).cast("decimal(38,3)")
     daily = j.groupBy("station_id", "date").agg(
         F.coalesce(F.sum("e"), zero).alias("total_energy_kwh"),
@@ -45,10 +50,9 @@ def energy_consumption_daily(usage: DataFrame, peak: DataFrame | None = None) ->
     return conform(out, "energy_consumption", computed=True)
 
 
-def quota_usage(log: DataFrame, quotas: dict | None = None, default=("day", QUOTA_LIMIT)) -> DataFrame:
-    """Calls per service per quota period (calendar day or month; the
-    counter restarts with each period), limit, remaining calls and
-    ``can_use = calls < limit``. One log row is one call of its data source."""
+def quota_periods(log: DataFrame, quotas: dict | None = None, default=("day", QUOTA_LIMIT)) -> DataFrame:
+    """Each call with its service's kind of period, the start of the period it
+    falls into, and the limit."""
     quotas = quotas or DEFAULT_QUOTAS
     svc = F.col("data_source")
     period, limit = F.lit(default[0]), F.lit(default[1])
@@ -57,12 +61,23 @@ def quota_usage(log: DataFrame, quotas: dict | None = None, default=("day", QUOT
         limit = F.when(svc == name, F.lit(lim)).otherwise(limit)
     ts = F.col("started_at")
     start = F.when(period == "month", month_floor(ts)).otherwise(day_floor(ts))
-    g = log.where(svc.isNotNull() & ts.isNotNull()).groupBy(
+    return log.where(svc.isNotNull() & ts.isNotNull()).select(
         svc.alias("service"), period.alias("period"), start.alias("period_start"),
-        limit.cast("bigint").alias("quota_limit")).agg(F.count(F.lit(1)).alias("calls"))
-    return g.select("service", "period", "period_start", "calls", "quota_limit",
-                    (F.col("quota_limit") - F.col("calls")).alias("remaining"),
-                    (F.col("calls") < F.col("quota_limit")).alias("can_use"))
+        limit.cast("bigint").alias("quota_limit"))
+
+
+def quota_columns(counted: DataFrame) -> DataFrame:
+    return counted.select("service", "period", "period_start", "calls", "quota_limit",
+                          (F.col("quota_limit") - F.col("calls")).alias("remaining"),
+                          (F.col("calls") < F.col("quota_limit")).alias("can_use"))
+
+
+def quota_usage(log: DataFrame, quotas: dict | None = None, default=("day", QUOTA_LIMIT)) -> DataFrame:
+    """Calls per service per quota period (calendar day or month; the
+    counter restarts with each period), limit, remaining calls and
+    ``can_use = calls < limit``. One log row is one call of its data source."""
+    g = quota_periods(log, quotas, default).groupBy("service", "period", "period_start", "quota_limit")
+    return quota_columns(g.agg(F.count(F.lit(1)).alias("calls")))
 
 
 def collection_success_rate(log: DataFrame) -> DataFrame:

@@ -88,6 +88,37 @@ def engineer_features(stations: DataFrame, weather: DataFrame, traffic: DataFram
     return conform(out, "engineered_features", computed=True)
 
 
+def _usage_and_weather(usage: DataFrame, weather: DataFrame) -> DataFrame:
+    """Per station the usage and weather figures of F02. Both tables become
+    (station, hour) cells, stacked and added up per cell, then per hour of day,
+    then per station: one scan of each, and only cells are shuffled."""
+    u = usage.where(F.col("station_id").isNotNull() & F.col("session_start").isNotNull()).select(
+        "station_id", hour_floor("session_start").alias("hour"), F.lit(1).alias("session"),
+        F.col("energy_consumed_kwh").alias("e"), F.lit(None).cast("string").alias("c"), F.lit(0).alias("observation"))
+    w = weather.where(F.col("station_id").isNotNull()).select(
+        "station_id", hour_floor("timestamp").alias("hour"), F.lit(0), F.lit(None).cast("decimal(10,3)"),
+        F.col("weather_condition"), F.lit(1))
+    match = lambda pattern: F.coalesce(F.col("c").rlike(pattern), F.lit(False))
+    cells = u.union(w).groupBy("station_id", "hour").agg(
+        F.sum("session").alias("n"), F.sum("e").alias("e"), F.count("e").alias("e_n"),
+        F.sum("observation").alias("w_rows"), F.count_if(match(STORM_RAIN_SNOW)).alias("w_storm_rain_snow"),
+        F.bool_or(match(STORM_THUNDER)).alias("storm"))
+    active, storm = F.col("n") > 0, (F.col("n") > 0) & F.col("storm") & F.col("hour").isNotNull()
+    of_day = cells.groupBy("station_id", F.hour("hour").alias("h")).agg(
+        F.sum("n").alias("n"), F.sum("e").alias("e"), F.sum("e_n").alias("e_n"), F.sum("w_rows").alias("w_rows"),
+        F.sum("w_storm_rain_snow").alias("w_storm_rain_snow"), F.count_if(active).alias("hours"),
+        F.sum(F.when(storm, F.col("n"))).alias("storm_n"), F.count_if(storm).alias("storm_hours"))
+    # busiest hour of day: max of (n, -h) picks the earliest hour among ties
+    busiest = F.max(F.when(F.col("n") > 0, F.struct("n", (-F.col("h")).alias("neg_h"))))
+    total = lambda c: F.sum(c).cast("double")
+    return of_day.groupBy("station_id").agg(
+        F.sum("n").alias("u_sessions"), F.sum("e").alias("u_energy"),
+        F.try_divide(total("e"), total("e_n")).alias("u_energy_avg"), (-busiest["neg_h"]).alias("busiest_hour"),
+        F.try_divide(total("n"), total("hours")).alias("mean_hour"),
+        F.try_divide(total("storm_n"), total("storm_hours")).alias("mean_storm_hour"),
+        F.sum("w_rows").alias("w_rows"), F.sum("w_storm_rain_snow").alias("w_storm_rain_snow"))
+
+
 def usage_features(stations: DataFrame, usage: DataFrame, weather: DataFrame, traffic: DataFrame,
                    as_of: _dt.datetime) -> DataFrame:
     """the feature schema computed from real sessions — sessions and
@@ -95,23 +126,7 @@ def usage_features(stations: DataFrame, usage: DataFrame, weather: DataFrame, tr
     density, whether storm hours see more sessions than the station's average
     active hour, plus F01's downtime and wait rules."""
     s = stations.where(F.col("id").isNotNull()).select(F.col("id").alias("station_id"))
-    u = usage.where(F.col("station_id").isNotNull() & F.col("session_start").isNotNull())
-    # busiest hour of day: max of (count, -hour) picks the earliest hour among ties
-    by_hour = u.groupBy("station_id", F.hour("session_start").alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    busiest = by_hour.groupBy("station_id").agg(F.max(F.struct("n", (-F.col("h")).alias("neg_h"))).alias("m")) \
-        .select("station_id", (-F.col("m.neg_h")).alias("busiest_hour"))
-    totals = u.groupBy("station_id").agg(
-        F.count(F.lit(1)).alias("u_sessions"), F.sum("energy_consumed_kwh").alias("u_energy"),
-        F.avg(F.col("energy_consumed_kwh").cast("double")).alias("u_energy_avg"))
-    # storm hours vs all active hours, on (station, hour) cells
-    cells = u.groupBy("station_id", hour_floor("session_start").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    storm_hours = weather.where(F.col("weather_condition").rlike(STORM_THUNDER)) \
-        .select("station_id", hour_floor("timestamp").alias("hour")).distinct() \
-        .withColumn("storm", F.lit(True))
-    storm = cells.join(storm_hours, ["station_id", "hour"], "left").groupBy("station_id").agg(
-        F.avg("n").alias("mean_hour"), F.avg(F.when(F.col("storm"), F.col("n"))).alias("mean_storm_hour"))
-    j = (s.join(totals, "station_id", "left").join(busiest, "station_id", "left")
-         .join(storm, "station_id", "left").join(_weather_side(weather), "station_id", "left")
+    j = (s.join(_usage_and_weather(usage, weather), "station_id", "left")
          .join(_traffic_side(traffic), "station_id", "left"))
     has_w = F.coalesce(F.col("w_rows"), F.lit(0)) > 0
     has_t = F.coalesce(F.col("t_rows"), F.lit(0)) > 0

@@ -3,21 +3,24 @@
 Each section of the reference's nested result document is its own lazy
 DataFrame; ``voltgrid.plans.bundles`` assembles them. Thresholds against an
 aggregate (quartiles of per-station counts) are one-row aggregates broadcast
-back (J09); the quartiles are exact but computed with bounded state
-(``functions.quantiles``). Lists are rows, one for each station or state
-concerned; limits are optional and default to none.
+back (J09); the quartiles are exact (``functions.quantiles``). Lists are rows,
+one for each station or state concerned; limits are optional and default to
+none.
+
+B04–B08 read one table of units: a row for each station, with its sessions,
+revenue and points from a single aggregate, and for B07 and B08 a row for each
+state. The thresholds of all rules are attached to it once, and each unit gives
+an array of the rules that it meets.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import dsum, mean
 from voltgrid.functions.groupstats import attach_one_row
-from voltgrid.functions.quantiles import exact_quantile, exact_quantiles
+from voltgrid.functions.quantiles import exact_quantiles
 
 # Fixed values of the recommendation rules.
 LOW_QUANTILE = 0.25
@@ -106,86 +109,130 @@ def performance_metrics(stations: DataFrame, usage: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- B04–B08
 
-def _flagged(usage: DataFrame) -> DataFrame:
-    """One row per station with its sessions and revenue and the three flags
-    of B04–B06. The per-station table is asked for with the same columns each
-    time, so its exchange is computed once and read again."""
-    st = _sessions_by_station(usage)
-    thr = exact_quantiles(st, [("sessions", LOW_QUANTILE, "low_sessions"),
-                               ("sessions", HIGH_QUANTILE, "high_sessions"),
-                               ("revenue", LOW_QUANTILE, "low_revenue")])
-    return attach_one_row(st, thr).select(
-        "station_id", "sessions", "revenue", (F.col("sessions") < F.col("low_sessions")).alias("low"),
-        (F.col("sessions") > F.col("high_sessions")).alias("high"),
-        (F.col("revenue").cast("double") < F.col("low_revenue")).alias("poor"))
-
-
-def _listed(flagged: DataFrame, flag: str, type_: str, text: str, limit: int | None) -> DataFrame:
-    """One row for each flagged station (the first ``limit`` by id, if
-    given) with the number of all of them in the sentence."""
-    rows = flagged.where(flag)
-    some = rows if limit is None else rows.orderBy("station_id").limit(limit)
-    return attach_one_row(some, rows.agg(F.count(F.lit(1)).alias("n_stations"))).select(
-        F.lit(type_).alias("type"), F.lit("medium").alias("priority"),
-        F.format_string(text, "n_stations").alias("recommendation"), "n_stations", "station_id")
-
-
-def underutilized_stations(usage: DataFrame, limit: int | None = None,
-                           _flags: DataFrame | None = None) -> DataFrame:
-    """Stations with fewer sessions than the 25th percentile."""
-    return _listed(_flagged(usage) if _flags is None else _flags, "low", "underutilized_stations", LOW_USAGE_TEXT, limit)
-
-
-def capacity_expansion(usage: DataFrame, points: DataFrame, limit: int | None = None,
-                       _flags: DataFrame | None = None) -> DataFrame:
+UNIT = "station_id string, state string, sessions bigint, revenue decimal(38,2), points bigint, station_count bigint"
+
+
+def _units(usage: DataFrame | None = None, points: DataFrame | None = None,
+           stations: DataFrame | None = None) -> DataFrame:
+    """The units that the rules speak of: stations that are known by a session
+    or a point (NULL, too, for the totals), and states. One aggregate over one
+    scan of each table given."""
+    none = lambda kind: F.lit(None).cast(kind)
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    row = lambda df, **c: df.select(*[c.get(f.split()[0], none(f.split()[1])).cast(f.split()[1]).alias(f.split()[0])
+                                      for f in UNIT.split(", ")])
+    sid = F.col("station_id")
+    parts = []
+    if usage is not None:
+        parts.append(row(usage, station_id=sid, sessions=one, revenue=F.col("cost"), points=zero))
+    if points is not None:
+        parts.append(row(points, station_id=sid, sessions=zero, points=one))
+    if stations is not None:
+        parts.append(row(stations.where(F.col("state").isNotNull()), state=F.col("state"), station_count=one))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy("station_id", "state").agg(
+        F.sum("sessions").alias("sessions"), F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
+        F.sum("points").alias("points"), F.sum("station_count").alias("station_count"))
+
+
+def _flagged(units: DataFrame) -> DataFrame:
+    """The units with the flags of B04–B07. A station without sessions has no
+    part in the thresholds and no flag. Every use of ``units`` reads all of its
+    columns, so its shuffle is the same subplan each time and written once."""
+    active = F.col("station_id").isNotNull() & (F.col("sessions") > 0)
+    thr = exact_quantiles(
+        units.where(active | F.col("state").isNotNull() | (F.col("points") < 0)).select(
+            F.when(active, F.col("sessions")).alias("sessions"), F.when(active, F.col("revenue")).alias("revenue"),
+            "station_count"),
+        [("sessions", LOW_QUANTILE, "low_sessions"), ("sessions", HIGH_QUANTILE, "high_sessions"),
+         ("revenue", LOW_QUANTILE, "low_revenue"), ("station_count", LOW_QUANTILE, "few_stations")])
+    return attach_one_row(units, thr).select(
+        *units.columns, "low_sessions_below", "low_revenue_below", (active & (F.col("sessions") < F.col("low_sessions"))).alias("low"),
+        (active & (F.col("sessions") > F.col("high_sessions"))).alias("high"),
+        (active & (F.col("revenue").cast("double") < F.col("low_revenue"))).alias("poor"),
+        (F.col("station_count") < F.col("few_stations")).alias("few"))
+
+
+REC = "type string, priority string, recommendation string, station_id string, state string, n_stations bigint, points bigint"
+
+
+def _recommendations(units: DataFrame, with_points: bool = False) -> DataFrame:
+    """One row (``REC``) for each rule that a unit meets; the sentences of B04
+    and B06 name the number of stations flagged, which is the number of values
+    below the threshold."""
+    any_point = units.where((F.col("sessions") >= 0) | (F.col("revenue") > 0) | (F.col("station_count") > 0)).agg(
+        F.sum("points").alias("all_points"))
+    one_each = attach_one_row(_flagged(units), any_point) if with_points else _flagged(units).withColumn(
+        "all_points", F.lit(0))
+    points, n_low, n_poor = F.coalesce("points", F.lit(0)), F.col("low_sessions_below"), F.col("low_revenue_below")
+
+    def rule(when: Column, **c) -> Column:
+        return F.when(when, F.struct(*[c.get(f.split()[0], F.lit(None)).cast(f.split()[1]).alias(f.split()[0])
+                                       for f in REC.split(", ")]))
+
+    sid, state = F.col("station_id"), F.col("state")
+    rules = F.array(
+        rule(F.col("low"), type=F.lit("underutilized_stations"), priority=F.lit("medium"), station_id=sid,
+             recommendation=F.format_string(LOW_USAGE_TEXT, n_low), n_stations=n_low),
+        rule(F.col("high") & (points < MIN_POINTS) & (F.col("all_points") > 0), type=F.lit("capacity_expansion"),
+             priority=F.lit("high"), station_id=sid, points=points,
+             recommendation=F.format_string(EXPANSION_TEXT, "station_id", points)),
+        rule(F.col("poor"), type=F.lit("pricing_optimization"), priority=F.lit("medium"), station_id=sid,
+             recommendation=F.format_string(LOW_REVENUE_TEXT, n_poor), n_stations=n_poor),
+        rule(F.col("few"), type=F.lit("geographic_expansion"), priority=F.lit("low"), state=state,
+             recommendation=F.concat(F.lit(GAP_TEXT), F.lit("['"), state, F.lit("']"))))
+    return one_each.select(F.inline(F.array_compact(rules)))
+
+
+def _first(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.orderBy("station_id").limit(limit)
+
+
+def underutilized_stations(usage: DataFrame, limit: int | None = None) -> DataFrame:
+    """Stations with fewer sessions than the 25th percentile (the first
+    ``limit`` by id, if given); the sentence names the number of all."""
+    recs = _recommendations(_units(usage)).where(F.col("type") == "underutilized_stations")
+    return _first(recs, limit).select("type", "priority", "recommendation", "n_stations", "station_id")
+
+
+def capacity_expansion(usage: DataFrame, points: DataFrame, limit: int | None = None) -> DataFrame:
     """The stations above the 75th percentile of sessions (the first
     ``limit`` by id, if given) with fewer than four points. Skipped when no
     point is known at all."""
-    high = (_flagged(usage) if _flags is None else _flags).where("high").select("station_id")
-    some = high if limit is None else high.orderBy("station_id").limit(limit)
-    j = some.join(_points_by_station(points), "station_id", "left") \
-        .withColumn("points", F.coalesce("points", F.lit(0)))
-    return attach_one_row(j.where(F.col("points") < MIN_POINTS), _nonempty(points)).select(
-        F.lit("capacity_expansion").alias("type"), F.lit("high").alias("priority"),
-        F.format_string(EXPANSION_TEXT, "station_id", "points").alias("recommendation"),
-        "station_id", "points")
+    units = _units(usage, points)
+    if limit is not None:
+        high = _flagged(units).where("high").orderBy("station_id").limit(limit).select("station_id")
+        return capacity_expansion(usage, points).join(F.broadcast(high), "station_id", "left_semi").select(
+            "type", "priority", "recommendation", "station_id", "points")
+    return _recommendations(units, True).where(F.col("type") == "capacity_expansion").select(
+        "type", "priority", "recommendation", "station_id", "points")
 
 
-def pricing_optimization(usage: DataFrame, limit: int | None = None,
-                         _flags: DataFrame | None = None) -> DataFrame:
-    """Stations whose revenue is below the 25th percentile."""
-    return _listed(_flagged(usage) if _flags is None else _flags, "poor", "pricing_optimization", LOW_REVENUE_TEXT, limit)
+def pricing_optimization(usage: DataFrame, limit: int | None = None) -> DataFrame:
+    """Stations whose revenue is below the 25th percentile (the first
+    ``limit`` by id, if given); the sentence names the number of all."""
+    recs = _recommendations(_units(usage)).where(F.col("type") == "pricing_optimization")
+    return _first(recs, limit).select("type", "priority", "recommendation", "n_stations", "station_id")
 
 
 def geographic_gaps(stations: DataFrame) -> DataFrame:
     """States whose station count is below the 25th percentile."""
-    per_state = stations.where(F.col("state").isNotNull()).groupBy("state").agg(
-        F.count(F.lit(1)).alias("station_count"))
-    thr = exact_quantile(per_state, "station_count", LOW_QUANTILE)
-    return attach_one_row(per_state, thr).where(F.col("station_count") < F.col("threshold")) \
-        .select("state", "station_count")
+    return _flagged(_units(stations=stations)).where("few").select("state", "station_count")
 
 
 def network_recommendations(stations: DataFrame, usage: DataFrame, points: DataFrame) -> DataFrame:
     """B04–B07 as one table (type, priority, recommendation, station_id,
     state), one row for each station or state concerned; without any usage,
-    the single data-collection row. All sections read one flagged per-station
-    table."""
+    the single data-collection row instead of the stations' rows."""
     none = F.lit(None).cast("string")
-    flags = _flagged(usage)
-    cols = ["type", "priority", "recommendation", "station_id"]
-    parts = [underutilized_stations(usage, _flags=flags), capacity_expansion(usage, points, _flags=flags),
-             pricing_optimization(usage, _flags=flags)]
-    recs = reduce(lambda a, b: a.unionByName(b), [p.select(*cols, none.alias("state")) for p in parts])
-    gaps = geographic_gaps(stations).select(
-        F.lit("geographic_expansion").alias("type"), F.lit("low").alias("priority"),
-        F.concat(F.lit(GAP_TEXT), F.lit("['"), "state", F.lit("']")).alias("recommendation"),
-        none.alias("station_id"), "state")
+    units = _units(usage, points, stations)
+    recs = _recommendations(units, True).select("type", "priority", "recommendation", "station_id", "state")
     no_usage = usage.agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") == 0)
-    empty_row = no_usage.select(F.lit("data_collection").alias("type"), F.lit("high").alias("priority"),
-                                F.lit(NO_DATA_TEXT).alias("recommendation"),
-                                none.alias("station_id"), none.alias("state"))
-    return recs.unionByName(gaps).unionByName(empty_row)
+    return recs.unionByName(no_usage.select(
+        F.lit("data_collection").alias("type"), F.lit("high").alias("priority"),
+        F.lit(NO_DATA_TEXT).alias("recommendation"), none.alias("station_id"), none.alias("state")))
 
 
 # ---------------------------------------------------------------- B09–B13

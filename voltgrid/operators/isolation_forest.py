@@ -18,8 +18,10 @@ score
   the model is broadcast and every row is scored by a vectorised
   ``mapInPandas`` (Arrow batches): ``s = 2^(−E[h(x)]/c(ψ))``;
   ``decision = −s − percentile(−s, contamination)`` — the exact percentile of
-  the training scores with bounded state (``functions.quantiles``) — and
-  ``decision < 0`` flags.
+  the training scores (``functions.quantiles``) — and ``decision < 0`` flags.
+  The scores are shuffled by station once; the threshold and the flags read
+  that shuffle, so every row is scored once and nothing runs before the result
+  is asked for.
 
 Scores follow the published algorithm but not a particular library's random
 stream, so they are checked by invariants (tests), not values.
@@ -223,21 +225,22 @@ def detect_anomalies(features: DataFrame, as_of: _dt.datetime, contamination: fl
                      model: IsolationForestModel | None = None) -> DataFrame:
     """Fit (unless a model is given), score every station, flag the
     ``contamination`` share with the lowest decision values, and emit
-    anomaly rows (severity = |decision|). Fitting is an action; the feature
-    matrix and the scores are checkpointed once, so neither the feature
-    pipeline nor the Python scoring runs more than once."""
-    X = _materialize(feature_matrix(features))
-    model = model or fit(X, n_trees, max_samples, seed)
-    s = _materialize(score(model, X).withColumn("neg", -F.col("score")))
-    offset = exact_quantile(s, "neg", contamination, name="offset")
-    d = attach_one_row(s, offset).withColumn("decision", F.col("neg") - F.col("offset"))
+    anomaly rows (severity = |decision|). Fitting is an action, and only then
+    the feature matrix is checkpointed, for the fit and the scores; with a
+    model the frame is lazy."""
+    if model is None:
+        features = _materialize(feature_matrix(features))
+        model = fit(features, n_trees, max_samples, seed)
+    d = decision_values(features, model, contamination)
     return anomaly_rows(d.where(F.col("decision") < 0), "decision", as_of)
 
 
 def forest_summary(features: DataFrame, contamination: float = CONTAMINATION,
                    model: IsolationForestModel | None = None) -> DataFrame:
     """Stations, stations with a score, and stations flagged, as one row."""
-    model = model or fit(features)
+    if model is None:
+        features = _materialize(feature_matrix(features))
+        model = fit(features)
     d = decision_values(features, model, contamination)
     n = features.agg(F.count(F.lit(1)).alias("stations"))
     return attach_one_row(n, d.agg(F.count("score").alias("scored"),
@@ -246,8 +249,9 @@ def forest_summary(features: DataFrame, contamination: float = CONTAMINATION,
 
 def decision_values(features: DataFrame, model: IsolationForestModel,
                     contamination: float = CONTAMINATION) -> DataFrame:
-    """station_id, score, decision for every row (for inspection/tests)."""
-    s = score(model, features).withColumn("neg", -F.col("score"))
+    """station_id, score, decision for every row."""
+    # one shuffle of station and negated score; both readers take both columns
+    s = score(model, features).select("station_id", (-F.col("score")).alias("neg")).repartition("station_id")
     offset = exact_quantile(s, "neg", contamination, name="offset")
     return attach_one_row(s, offset).select(
-        "station_id", "score", (F.col("neg") - F.col("offset")).alias("decision"))
+        "station_id", (-F.col("neg")).alias("score"), (F.col("neg") - F.col("offset")).alias("decision"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import (dow_sunday0, dsum, hour_floor, is_weekend_monday0, ntz_literal,
                                         mean, weekday_monday0)
+from voltgrid.functions.groupstats import attach_one_row
 from voltgrid.functions.output import finish
 from voltgrid.sources.tables import Tables
 
@@ -186,17 +187,39 @@ def hourly_usage_sums(usage: DataFrame) -> DataFrame:
         F.count("duration_minutes").alias("u_minutes_n"))
 
 
+HOT_SHARE = 0.001         # a station-hour with this share of all observations is hot: 1,000 at most
+SALTS = 32
+
+
+def _salted(o: DataFrame, hourly: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the lookup with a salt: the observations of a hot
+    station-hour are spread over ``SALTS`` keys, and its usage row is repeated
+    for each of them; all others have salt 0. Hot keys are counted in ``o``
+    itself (sums per key, combined before the shuffle); by their share there
+    are at most 1 / HOT_SHARE of them, which bounds the broadcast."""
+    cells = o.groupBy("station_id", "hour").agg(F.sum("_times").alias("n"))
+    hot = attach_one_row(cells, cells.agg(F.sum("n").alias("_all"))) \
+        .where(F.col("n") >= F.col("_all") * HOT_SHARE).select("station_id", "hour", F.lit(True).alias("_hot"))
+    mark = lambda df: df.join(F.broadcast(hot), ["station_id", "hour"], "left")
+    spread = F.pmod(F.xxhash64(*[c for c in o.columns if c not in ("station_id", "hour")]), F.lit(SALTS))
+    left = mark(o).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.when(F.col("_hot"), F.lit(SALTS - 1)).otherwise(F.lit(0)).cast("bigint"))
+    return left, mark(hourly).withColumn("_salt", F.explode(copies)).drop("_hot")
+
+
 def _observation_correlation(obs: DataFrame, t: Tables, measures: list[str], prefix: str,
                              date_name: str) -> DataFrame:
     """Shared body of V03/V04: equal observations are merged into one row
     with their number first (the view groups by the observation's columns, not
     its id; the count combines map-side), then each is left-joined to the
-    same-hour usage of its station, whose sums count once per observation."""
+    same-hour usage of its station, whose sums count once per observation.
+    Station-hours with very many different observations are salted."""
     hourly = hourly_usage_sums(t.usage)
     s = _stations(t, "id", "name")
     o = obs.groupBy("station_id", "timestamp", *measures).agg(F.count(F.lit(1)).alias("_times")) \
         .withColumn("hour", hour_floor("timestamp"))
-    j = o.join(s, "station_id").join(hourly, ["station_id", "hour"], "left")
+    o, hourly = _salted(o, hourly)
+    j = o.join(s, "station_id").join(hourly, ["station_id", "hour", "_salt"], "left")
     return finish(j.select(
         "station_id", "station_name", "timestamp",
         F.to_date("timestamp").alias(date_name),

@@ -9,7 +9,7 @@ batch Spark job over a landing zone:
                                 observed during the write — no second pass)
 
 Each load is one distributed write; the driver only sequences them. Every
-write is keyed by the cycle stamp (upsert versions, ``load=<stamp>``
+write is keyed by the cycle stamp (kept in upserted rows, ``load=<stamp>``
 directories), so re-running a failed cycle with the same stamp replaces its
 own output — no duplicates. Incremental (streaming) variants of the same steps
 are in ``voltgrid.streaming.jobs``.
@@ -27,6 +27,7 @@ from voltgrid.operators import cleaning, features, isolation_forest
 from voltgrid.schemas import conform, schema
 from voltgrid.sinks import tables as sinks
 from voltgrid.sources import ingest
+from voltgrid.sources.tables import exists
 
 # Fixed values of the cycle: the audit labels of each load.
 STATIONS_SOURCE = ("OpenChargeMap", "charging_stations")
@@ -41,11 +42,6 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = sinks._fs(spark, path)
-    return fs.exists(p)
-
-
 def _load(spark: SparkSession, df: DataFrame, source: tuple[str, str], write) -> DataFrame:
     """Run one load (``write(observed_df)``) and return its audit row
     (status ``success`` or ``failed`` with the error text)."""
@@ -74,7 +70,7 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
     stations = cleaning.limit_stations(cleaning.clean_stations(ingest.parse_stations(docs), as_of), max_stations)
     audit.append(_load(spark, stations, STATIONS_SOURCE, lambda d: sinks.upsert(
         spark, store, "charging_stations", d, ["id"], ["updated_at"], version=stamp)))
-    kept = sinks.read_versioned(spark, store, "charging_stations")
+    kept = sinks.read_upserted(spark, store, "charging_stations")
     cycle_ids = stations.select(F.col("id").alias("station_id"))
     points = ingest.explode_charging_points(docs, as_of).join(cycle_ids, "station_id", "left_semi")
     audit.append(_load(spark, conform(points, "charging_points"), POINTS_SOURCE, lambda d: sinks.upsert(
@@ -83,7 +79,7 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
     # weather of this cycle's stations
     weather = spark.createDataFrame([], schema("weather_data"))
     wpath = os.path.join(landing, "weather")
-    if _exists(spark, wpath):
+    if exists(spark, wpath):
         ws = cleaning.limit_stations(stations, max_weather_stations)
         w = ingest.attach_station(ingest.read_weather_json(spark, wpath), ws)
         weather = sinks.prepare_weather_rows(cleaning.clean_weather(w, as_of))
@@ -94,9 +90,9 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
     traffic = spark.createDataFrame([], schema("traffic_data"))
     tpath, ipath = os.path.join(landing, "traffic"), os.path.join(landing, "incidents")
     parts = []
-    if _exists(spark, tpath):
+    if exists(spark, tpath):
         parts.append(ingest.read_traffic_flow_json(spark, tpath, as_of))
-    if _exists(spark, ipath):
+    if exists(spark, ipath):
         parts.append(ingest.read_incidents_json(spark, ipath, as_of))
     if parts:
         ts = cleaning.limit_stations(stations, max_traffic_stations)
@@ -110,7 +106,7 @@ def run_collection_cycle(spark: SparkSession, landing: str, store: str, as_of: _
     feats = features.engineer_features(stations, weather, traffic, as_of)
     feats_path = os.path.join(store, "engineered_features", f"load={stamp}")
     audit.append(_load(spark, feats, FEATURES_SOURCE, lambda d: d.write.mode("overwrite").parquet(feats_path)))
-    if _exists(spark, feats_path):
+    if exists(spark, feats_path):
         feats = spark.read.schema(feats.schema).parquet(feats_path)
         anomalies = sinks.prepare_anomaly_rows(isolation_forest.detect_anomalies(feats, as_of))
         audit.append(_load(spark, anomalies, ANOMALY_SOURCE,

@@ -12,6 +12,7 @@ BIGINT, correlations/z-scores/percentiles are rounded to 6 places.
 from __future__ import annotations
 
 from voltgrid.sources.testdata import ADAPTER_SQL
+from voltgrid.sources.uneven import UNEVEN_SQL
 
 AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -37,10 +38,10 @@ def CORR(x: str, y: str) -> str:
     return f"(round(coalesce(CASE WHEN isnan({c}) THEN 0 ELSE {c} END, 0), 6) + 0.0)"
 
 
-def q(body: str, *ctes: tuple[str, str]) -> str:
+def q(body: str, *ctes: tuple[str, str], adapters: dict[str, str] = ADAPTER_SQL) -> str:
     """All adapters plus extra named CTEs ahead of ``body``. Unused CTEs cost
     nothing in DuckDB (they are inlined only where referenced)."""
-    parts = [f"{n} AS ({ADAPTER_SQL[n]})" for n in ALL]
+    parts = [f"{n} AS ({adapters[n]})" for n in ALL]
     parts += [f"{n} AS ({b})" for n, b in ctes]
     return "WITH " + ",\n".join(parts) + "\n" + body
 
@@ -988,3 +989,146 @@ FROM traffic_data WHERE congestion_level IS NOT NULL"""),
 # a forest scores every station and flags those strictly below the interpolated quantile of the scores
 ORACLE["a01_forest_summary"] = q("""SELECT COUNT(*) AS stations, COUNT(*) AS scored,
   CAST(ceil(0.1 * (COUNT(*) - 1)) AS BIGINT) AS flagged FROM charging_stations WHERE id IS NOT NULL""")
+
+
+# ============================================== rules that the plain tables never set off
+
+def u(body: str, *ctes: tuple[str, str]) -> str:
+    return q(body, *ctes, adapters=UNEVEN_SQL)
+
+
+def _json(*fields: tuple[str, str]) -> str:
+    """A JSON object from (name, SQL text of the value); NULL values are left out."""
+    return "'{' || concat_ws(',', " + ", ".join(f"""'"{n}":' || {v}""" for n, v in fields) + ") || '}'"
+
+
+def _quoted(c: str) -> str:
+    return f"""'"' || {c} || '"'"""
+
+
+def _text(c: str) -> str:
+    return f"CAST({c} AS VARCHAR)"
+
+
+_DAY = _json(("date", _quoted("CAST(CAST(date AS DATE) AS VARCHAR)")), ("session_count", _text("session_count")),
+             ("z_score", _text("z_score")))
+
+
+def _days(name: str, body: str) -> str:
+    return f"""SELECT station_id, '{{"{name}":[' || string_agg({_DAY}, ',' ORDER BY date) || ']}}' AS details
+FROM ({body}) GROUP BY station_id"""
+
+
+def _details(summary: str, peak: str, split: str, spikes: str, low: str, durations: str) -> str:
+    """The rows of a pattern summary with the details of each type."""
+    parts = (
+        ("peak_hours", f"""SELECT station_id, '{{"peak_hours":[' || coalesce(string_agg({_text('hour')}, ',' ORDER BY hour), '')
+           || ']}}' AS details FROM ({peak}) GROUP BY station_id"""),
+        ("day_of_week", "SELECT station_id, " + _json(
+            *[(c, _text(c)) for c in ("weekday_sessions", "weekend_sessions", "weekday_energy_kwh", "weekend_energy_kwh")],
+            ("pattern", _quoted("pattern"))) + f" AS details FROM ({split})"),
+        ("usage_spikes", _days("spikes", spikes)), ("low_usage_periods", _days("low_periods", low)),
+        ("session_duration", "SELECT station_id, " + _json(*[(c, _text(c)) for c in (
+            "avg_duration_minutes", "median_duration_minutes", "min_duration_minutes", "max_duration_minutes",
+            "std_duration_minutes")]) + f" AS details FROM ({durations})"))
+    all_ = "\nUNION ALL\n".join(f"SELECT station_id, '{t}' AS pattern_type, details FROM ({b})" for t, b in parts)
+    return f"""SELECT s.*, d.details FROM ({summary}) s JOIN ({all_}) d
+ON s.station_id IS NOT DISTINCT FROM d.station_id AND s.pattern_type = d.pattern_type"""
+
+
+_NONE = "CAST(NULL AS VARCHAR) AS station_id, "
+P07D_BODY = _details(
+    P07_BODY, f"""SELECT g.station_id, p.hour FROM (SELECT DISTINCT station_id FROM usage_data WHERE station_id IS NOT NULL) g
+  LEFT JOIN ({P01_BODY}) p ON g.station_id = p.station_id""", P02_BODY, P03_BODY, P04_BODY, P05_BODY)
+P03N_BODY = P04N_BODY.replace("z < -1.5", "z > 2")
+P07DN_BODY = _details(
+    P07N_BODY, f"SELECT {_NONE}p.hour FROM (SELECT 1) LEFT JOIN ({P01N_BODY}) p ON true",
+    *[f"SELECT {_NONE}* FROM ({b})" for b in (P02N_BODY, P03N_BODY, P04N_BODY, P05N_BODY)])
+
+S02C_BODY = """
+SELECT CAST(CAST(id AS BIGINT) * 10 + j AS VARCHAR) || '_' || CAST(length(connector_type) + j AS VARCHAR) AS id,
+       station_id, connector_type, COALESCE(CAST(power_kw AS DOUBLE) + j, 0) AS power_kw,
+       CASE WHEN j % 2 = 0 THEN 230.0 ELSE 0.0 END AS voltage, 0.0 AS amperage,
+       CASE WHEN j = 1 THEN 'Operational' ELSE 'Unknown' END AS status, TIMESTAMP '2024-02-01 00:00:00' AS last_updated
+FROM (SELECT *, unnest(range(1 + CAST(id AS BIGINT) % 4)) AS j FROM charging_points)"""
+
+
+def _weather_sql(source: str) -> str:
+    return f"""
+SELECT station_id, date_trunc('second', "timestamp") + j * INTERVAL 1 HOUR AS "timestamp",
+       COALESCE(CAST(temperature_celsius AS DOUBLE) + j, 0) AS temperature_celsius,
+       CAST(id % 100 AS DOUBLE) AS humidity_percent, CAST(1000 + id % 50 AS DOUBLE) AS pressure_hpa,
+       CAST(id % 30 AS DOUBLE) AS wind_speed_ms, CAST(id % 360 AS DOUBLE) AS wind_direction_degrees,
+       COALESCE(CAST(precipitation_mm AS DOUBLE), 0) AS precipitation_mm,
+       COALESCE(weather_condition, '') AS weather_condition,
+       COALESCE(lower(weather_condition), '') AS weather_description,
+       CASE WHEN id % 20 > 0 THEN CAST(id % 20 * 500 AS DOUBLE) / 1000 END AS visibility_km,
+       CAST(id % 12 AS DOUBLE) AS uv_index, CAST(id % 101 AS DOUBLE) AS cloudiness_percent
+FROM ({source})"""
+
+
+_ITEMS3 = ((_SP, _JF), (f"({_SP} / 2)", f"({_JF} / 2)"), (f"({_SP} + 25)", _JF))
+_VALID3 = [f"COALESCE({s} > 0 AND {j} > 0, FALSE)" for s, j in _ITEMS3]
+_ADDED = lambda terms: " + ".join(f"CASE WHEN {v} THEN {x} ELSE 0 END" for v, x in zip(_VALID3, terms))
+S09C_BODY = f"""
+SELECT station_id, "timestamp", jsum / n AS traffic_density, ssum / n AS average_speed_kmh,
+       CASE WHEN sev > n * 0.5 THEN 'severe' WHEN modr > n * 0.3 THEN 'moderate' ELSE 'light' END AS congestion_level,
+       'highway' AS road_type, 0.0 AS distance_to_station_km, CAST(0 AS BIGINT) AS incident_count
+FROM (SELECT station_id, "timestamp", {_ADDED(["1"] * 3)} AS n, {_ADDED([j for _, j in _ITEMS3])} AS jsum,
+             {_ADDED([s for s, _ in _ITEMS3])} AS ssum,
+             {_ADDED([f"CAST({s} < 20 AS INTEGER)" for s, _ in _ITEMS3])} AS sev,
+             {_ADDED([f"CAST({s} >= 20 AND {s} < 40 AS INTEGER)" for s, _ in _ITEMS3])} AS modr FROM traffic_data)
+WHERE n > 0"""
+
+S11_BODY = """
+SELECT station_id, "timestamp", COALESCE(congestion_level, '') AS incident_type,
+       CASE WHEN j <> 1 THEN 'incident ' || id || '-' || j ELSE '' END AS description,
+       CASE WHEN j <> 0 THEN CAST(j AS VARCHAR) ELSE '' END AS severity,
+       '{"LATITUDE":' || CAST(id % 90 + CAST(0.5 AS DOUBLE) AS VARCHAR) || ',"LONGITUDE":'
+         || CAST(j + CAST(0.25 AS DOUBLE) AS VARCHAR) || '}' AS location
+FROM (SELECT *, unnest(range(id % 3)) AS j FROM traffic_data)"""
+
+K02_BODY = """
+SELECT id, station_id, connector_type, CAST(power_kw + CASE WHEN k = 1 THEN 0 ELSE 1 END AS DOUBLE) AS power_kw,
+       CASE WHEN k = 0 THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS last_updated,
+       CASE WHEN k = 1 THEN 'first' ELSE 'second' END AS _query
+FROM (SELECT *, CAST(id AS BIGINT) % 3 AS k FROM charging_points)"""
+
+D02S_BODY = """
+SELECT service, period, period_start, calls, quota_limit, quota_limit - calls AS remaining, calls < quota_limit AS can_use
+FROM (SELECT service, period, date_trunc(period, started_at) AS period_start, COUNT(*) AS calls,
+             CAST(1000 AS BIGINT) AS quota_limit
+      FROM (SELECT started_at, CASE data_source WHEN '1-URGENT' THEN 'openchargemap' WHEN '2-HIGH' THEN 'openweather'
+                     WHEN '3-MEDIUM' THEN 'here_maps' ELSE data_source END AS service,
+                   CASE WHEN data_source = '3-MEDIUM' THEN 'month' ELSE 'day' END AS period
+            FROM data_collection_log WHERE data_source IS NOT NULL AND started_at IS NOT NULL) GROUP BY 1, 2, 3)"""
+
+ORACLE.update({
+    "b04_underutilized_stations_uneven": u(B04_BODY, ST),
+    "b05_capacity_expansion_uneven": u(B05_BODY, ST, PP),
+    "b08_network_recommendations_uneven": u(B08_BODY, ST, PP),
+    "b17_station_recommendations_uneven": u(B17_BODY, PP, B17_S),
+    "b18_station_insights_uneven": u(B18_BODY, PP, B17_S),
+    "p01_peak_hours_network_uneven": u(P01N_BODY, ("h", P01N_H)),
+    "p03_usage_spikes_network_uneven": u(P03N_BODY),
+    "p07_usage_pattern_details": q(P07D_BODY),
+    "p07_usage_pattern_details_uneven": u(P07D_BODY),
+    "p07_usage_pattern_details_network_uneven": u(P07DN_BODY, ("h", P01N_H)),
+    "d01_energy_consumption_uneven": u(D01_BODY, ENERGY),
+    "f02_usage_features_uneven": u(F02_BODY),
+    "s02_explode_connections": q(S02C_BODY),
+    "s05_parse_full_weather_documents": q(_weather_sql("SELECT *, 0 AS j FROM weather_data")),
+    "s07_explode_forecasts": q(_weather_sql("SELECT *, unnest(range(8)) AS j FROM weather_data")),
+    "s09_parse_congested_flow": q(S09C_BODY),
+    "s11_parse_incidents": q(S11_BODY),
+    "k02_upsert_points": q(K02_BODY),
+    "d02_quota_usage_services": q(D02S_BODY),
+    "d03_lookup_weather": q("""SELECT id, station_id, "timestamp", CAST(temperature_celsius AS DOUBLE) AS temperature_celsius,
+  CAST(precipitation_mm AS DOUBLE) AS precipitation_mm, weather_condition FROM weather_data WHERE station_id = '7'"""),
+    "d03_lookup_traffic": q("""SELECT id, station_id, "timestamp", CAST(traffic_density AS DOUBLE) AS traffic_density,
+  CAST(average_speed_kmh AS DOUBLE) AS average_speed_kmh, congestion_level FROM traffic_data WHERE station_id = '7'"""),
+    "d03_lookup_anomalies": q("""SELECT id, station_id, anomaly_type, CAST(severity_score AS DOUBLE) AS severity_score,
+  detected_at, is_resolved FROM anomaly_detection WHERE station_id = '7'"""),
+    "d03_lookup_station": q("""SELECT id, name, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+  city, state, country, operator FROM charging_stations WHERE id = '7'"""),
+})

@@ -16,11 +16,12 @@ from voltgrid.operators import insights as bi
 from voltgrid.operators import patterns, views
 from voltgrid.functions.columns import day_name
 from voltgrid.functions.output import finish
-from voltgrid.sinks.tables import (cascade_delete, latest_by_key, orphans, prepare_anomaly_rows,
+from voltgrid.sinks.tables import (cascade_delete, latest_by_key, merge_batch, orphans, prepare_anomaly_rows,
                                    prepare_weather_rows, upsert_frame)
 from voltgrid.sources import documents as docs
 from voltgrid.sources import ingest
 from voltgrid.sources.testdata import adapter_tables
+from voltgrid.sources.uneven import uneven_tables
 
 AS_OF = dt.datetime(2024, 2, 1)
 
@@ -142,8 +143,7 @@ QUERIES: dict[str, Query] = {
         "id", "station_id", "timestamp", "traffic_density", "average_speed_kmh", "congestion_level",
         "road_type", "created_at")),
     "c05_limit_stations": _q(lambda t: cleaning.limit_stations(t.stations, 50).select("id", "name")),
-    "c06_reject_report": _q(lambda t: cleaning.reject_report(
-        t.weather, cleaning.clean_weather(t.weather, AS_OF), "weather")),
+    "c06_reject_report": _q(lambda t: cleaning.reject_report(t.weather, "weather")),
     "k01_latest_session_per_station": _q(lambda t: latest_by_key(
         t.usage, ["station_id"], ["session_start", "id"]).select(
         "id", "station_id", "session_start", "energy_consumed_kwh", "duration_minutes", "cost", "user_type")),
@@ -208,3 +208,79 @@ QUERIES: dict[str, Query] = {
         t.traffic.where("congestion_level = 'severe'").drop("average_speed_kmh")).select(
         "station_id", "timestamp", "average_speed_kmh", "congestion_level", "record_kind")),
 }
+
+
+def _uneven(build) -> Query:
+    """Query from a function of the canonical tables, on the uneven mapping."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(build(uneven_tables(spark, sf_dir)))
+    run.__doc__ = build.__doc__
+    return run
+
+
+def _updated_points(t) -> DataFrame:
+    """Every point stored and sent once more with a kW added: newer, older or
+    of the same time, by id."""
+    third = F.col("id").cast("bigint") % 3
+    at = lambda c: c.cast("timestamp_ntz")
+    row = lambda df, q: df.withColumns({"_query": F.lit(q), "_batch": F.lit(0).cast("bigint")})
+    stored = row(t.points.withColumn("last_updated", at(F.lit("2024-01-01"))), "first")
+    sent = row(t.points.withColumns({
+        "power_kw": (F.col("power_kw") + 1).cast("decimal(8,2)"),
+        "last_updated": at(F.when(third == 0, "2024-01-02").when(third == 1, "2023-12-31").otherwise("2024-01-01"))}), "second")
+    return merge_batch(stored, sent, ["id"], ["last_updated"]).select(
+        "id", "station_id", "connector_type", "power_kw", "last_updated", "_query")
+
+
+# The services of the quota monitor, by the priorities of the test tables.
+SERVICES = {"1-URGENT": "openchargemap", "2-HIGH": "openweather", "3-MEDIUM": "here_maps"}
+
+
+def _service_log(t) -> DataFrame:
+    name = F.col("data_source")
+    for k, v in SERVICES.items():
+        name = F.when(F.col("data_source") == k, F.lit(v)).otherwise(name)
+    return t.log.withColumn("data_source", name)
+
+
+LOOKED_UP = "7"
+
+QUERIES.update({
+    # rules that the plain tables never set off
+    "b04_underutilized_stations_uneven": _uneven(lambda t: bi.underutilized_stations(t.usage)),
+    "b05_capacity_expansion_uneven": _uneven(lambda t: bi.capacity_expansion(t.usage, t.points)),
+    "b08_network_recommendations_uneven": _uneven(lambda t: bi.network_recommendations(t.stations, t.usage, t.points)),
+    "b17_station_recommendations_uneven": _uneven(lambda t: bi.station_recommendations(t.stations, t.usage, t.points)),
+    "b18_station_insights_uneven": _uneven(lambda t: bi.station_insights(t.stations, t.usage, t.points)),
+    "p01_peak_hours_network_uneven": _uneven(lambda t: patterns.peak_hours(t.usage)),
+    "p03_usage_spikes_network_uneven": _uneven(lambda t: patterns.usage_spikes(t.usage)),
+    "p07_usage_pattern_details": _q(lambda t: patterns.usage_pattern_summary(t.usage)),
+    "p07_usage_pattern_details_uneven": _uneven(lambda t: patterns.usage_pattern_summary(t.usage)),
+    "p07_usage_pattern_details_network_uneven": _uneven(lambda t: patterns.usage_pattern_summary(t.usage, by=[])),
+    "d01_energy_consumption_uneven": _uneven(lambda t: derived.energy_consumption_daily(t.usage).drop("id", "created_at")),
+    "f02_usage_features_uneven": _uneven(lambda t: features.usage_features(
+        t.stations, t.usage, t.weather, t.traffic, AS_OF).drop("id")),
+    # readers on documents with every field
+    "s02_explode_connections": _q(lambda t: ingest.explode_charging_points(
+        docs.parse_documents(docs.connection_documents(t.points), ingest.STATION_DOC), AS_OF)),
+    "s05_parse_full_weather_documents": _q(lambda t: ingest.parse_weather(
+        docs.parse_documents(docs.full_weather_documents(t.weather), ingest.WEATHER_DOC))),
+    "s07_explode_forecasts": _q(lambda t: ingest.explode_weather_series(
+        docs.parse_documents(docs.forecast_documents(t.weather), ingest.WEATHER_DOC), days=1)),
+    "s09_parse_congested_flow": _q(lambda t: ingest.parse_traffic_flow(
+        docs.parse_documents(docs.congested_flow_documents(t.traffic), ingest.TRAFFIC_FLOW_DOC))
+        .drop("latitude", "longitude")),
+    "s11_parse_incidents": _q(lambda t: ingest.parse_incidents(
+        docs.parse_documents(docs.incident_documents(t.traffic), ingest.INCIDENT_DOC)).drop("latitude", "longitude")),
+    "k02_upsert_points": _q(_updated_points),
+    "d02_quota_usage_services": _q(lambda t: derived.quota_usage(_service_log(t))),
+    # the promised lookups of one station
+    "d03_lookup_weather": _q(lambda t: derived.lookup(t.weather, "station_id", LOOKED_UP).select(
+        "id", "station_id", "timestamp", "temperature_celsius", "precipitation_mm", "weather_condition")),
+    "d03_lookup_traffic": _q(lambda t: derived.lookup(t.traffic, "station_id", LOOKED_UP).select(
+        "id", "station_id", "timestamp", "traffic_density", "average_speed_kmh", "congestion_level")),
+    "d03_lookup_anomalies": _q(lambda t: derived.lookup(t.anomalies, "station_id", LOOKED_UP).select(
+        "id", "station_id", "anomaly_type", "severity_score", "detected_at", "is_resolved")),
+    "d03_lookup_station": _q(lambda t: derived.lookup(t.stations, "id", LOOKED_UP).select(
+        "id", "name", "latitude", "longitude", "city", "state", "country", "operator")),
+})

@@ -5,24 +5,23 @@ Storage is plain parquet (no table format with MERGE is installed):
 - append-only tables (usage, weather, traffic, anomalies, features, energy,
   audit) are written with ``mode('append')``, time series partitioned by
   ``date`` so date filters prune directories;
-- upserted tables (stations, points) are written as a new directory per
-  attempt and published by a numbered commit file that is renamed into place,
-  so readers never see a half-written version and nothing published is ever
-  overwritten.
-
-All filesystem access goes through Hadoop's FileSystem API of the session, so
-the same code works on HDFS/object stores.
+- upserted tables (stations, points) are partitioned by a bucket, a hash of
+  the key. A batch reads and rewrites the buckets that hold its keys and no
+  other, by Spark's dynamic partition overwrite. Every stored row carries the
+  query and the batch that wrote it, so the data itself says whether a batch
+  has been merged; there is no history to read.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltgrid.schemas import conform, schema
+from voltgrid.schemas import DDL, conform, schema
+from voltgrid.session import checkpoint_dir
+from voltgrid.sources.tables import read_if_there
 
 # ------------------------------------------------------------------ K01/K02
 
@@ -51,94 +50,64 @@ def upsert_frame(target: DataFrame, batch: DataFrame, key: list[str], order_by:
     return latest_by_key(u, key, [*order_by, "_seq"]).drop("_seq")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _publish(spark: SparkSession, root: str, name: str, directory: str, version: str) -> None:
-    """Name ``directory`` as the table's content. A commit is one new file
-    ``_commits/<number>``, written whole under another name and renamed; no
-    file is ever replaced or deleted, so a reader sees the old version or the
-    new one. Two writers can't both take a number: the second rename fails."""
-    fs, folder = _fs(spark, f"{root}/{name}/_commits")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    last = _last_commit(spark, root, name)
-    number = 0 if last is None else last[0] + 1
-    tmp = path(folder, f".{uuid.uuid4().hex}")
-    out = fs.create(tmp, False)
-    try:
-        out.write(bytearray(f"{directory}\n{version}\n".encode()))
-    finally:
-        out.close()
-    target = path(folder, f"{number:012d}")
-    if fs.exists(target) or not fs.rename(tmp, target):
-        raise RuntimeError(f"{name}: version {number} was published by another writer")
-
-
-def _commit_files(spark: SparkSession, root: str, name: str) -> list[str]:
-    fs, folder = _fs(spark, f"{root}/{name}/_commits")
-    if not fs.exists(folder):
-        return []
-    return sorted(n for n in (f.getPath().getName() for f in fs.listStatus(folder)) if n.isdigit())
-
-
-def _read_commit(spark: SparkSession, root: str, name: str, number: str) -> tuple[str, str]:
-    fs, p = _fs(spark, f"{root}/{name}/_commits/{number}")
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine(), reader.readLine()
-    finally:
-        stream.close()
-
-
-def _last_commit(spark: SparkSession, root: str, name: str) -> tuple[int, str, str] | None:
-    """Number, directory and version of the newest commit."""
-    files = _commit_files(spark, root, name)
-    return (int(files[-1]), *_read_commit(spark, root, name, files[-1])) if files else None
-
-
-def published(spark: SparkSession, root: str, name: str, version: str) -> bool:
-    """Whether a batch with this version id has been committed, now or
-    earlier."""
-    return any(_read_commit(spark, root, name, f)[1] == version for f in _commit_files(spark, root, name))
-
-
-def current_version_path(spark: SparkSession, root: str, name: str) -> str | None:
-    last = _last_commit(spark, root, name)
-    return None if last is None else f"{root}/{name}/{last[1]}"
-
-
-def read_versioned(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The published content; empty before the first upsert. A table whose
-    folder holds versions but no commit is an error, not an empty table."""
-    path = current_version_path(spark, root, name)
-    if path is not None:
-        return spark.read.schema(schema(name)).parquet(path)
-    fs, folder = _fs(spark, f"{root}/{name}")
-    if fs.exists(folder) and any(f.isDirectory() and f.getPath().getName() == "_commits"
-                                 for f in fs.listStatus(folder)):
-        raise RuntimeError(f"{root}/{name} has a commit folder without a commit")
-    return spark.createDataFrame([], schema(name))
+BUCKETS = 64              # of an upserted table, fixed for its life; more for a larger one
+PROVENANCE = "_query string, _batch bigint"
+
+
+def bucket_of(key: list[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def merge_batch(stored: DataFrame, incoming: DataFrame, key: list[str], order_by: list[str]) -> DataFrame:
+    """K01/K02 with provenance (``_query``, ``_batch``): per key the stored
+    row, or the incoming one if there is none stored or it is not older. A
+    batch that is delivered again meets rows of its own query that are of the
+    same batch or a later one, and leaves them as they are. One aggregate: a
+    hot key costs a partial row per task."""
+    cols = stored.columns
+    union = stored.withColumn("_new", F.lit(False)).unionByName(incoming.select(*cols).withColumn("_new", F.lit(True)))
+    order = F.struct(*[F.col(c).alias(f"o_{c}") for c in order_by])
+    full = F.struct(order.alias("order"), F.xxhash64(*cols).alias("hash"), *[F.col(c).alias(f"t_{c}") for c in cols])
+    row = F.struct(order.alias("order"), F.struct(*cols).alias("row"))
+    agg = union.groupBy(*key).agg(F.max_by(row, F.when(~F.col("_new"), full)).alias("old"),
+                                  F.max_by(row, F.when(F.col("_new"), full)).alias("new"))
+    merged_before = F.col("old.row._query").eqNullSafe(F.col("new.row._query")) \
+        & (F.col("old.row._batch") >= F.col("new.row._batch"))
+    keep = F.col("new").isNull() | (F.col("old").isNotNull() & (
+        F.coalesce(merged_before, F.lit(False)) | (F.col("old.order") > F.col("new.order"))))
+    return agg.select(F.when(keep, F.col("old.row")).otherwise(F.col("new.row")).alias("r")).select("r.*")
+
+
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_if_there(spark, f"{DDL[name]}, {PROVENANCE}, bucket int", f"{root}/{name}")
+
+
+def read_upserted(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The content of an upserted table; empty before the first upsert."""
+    return conform(_stored(spark, root, name), name)
 
 
 def upsert(spark: SparkSession, root: str, name: str, batch: DataFrame, key: list[str],
-           order_by: list[str], version: str) -> str:
-    """Merge ``batch`` into table ``name`` and publish the result.
-    Each attempt writes a directory of its own, so a failure at any point
-    leaves the published version as it was. ``version`` (a cycle's stamp, a
-    query's id and batch id) names the batch in the commit record; running it
-    again merges the same rows again, which changes nothing. Returns the
-    path."""
-    target = read_versioned(spark, root, name)
-    merged = conform(upsert_frame(target, conform(batch, name), key, order_by), name)
-    directory = f"v-{uuid.uuid4().hex}"
-    merged.write.parquet(f"{root}/{name}/{directory}")
-    _publish(spark, root, name, directory, version)
-    return f"{root}/{name}/{directory}"
+           order_by: list[str], version: str, batch_id: int = 0, buckets: int = BUCKETS) -> None:
+    """Merge ``batch`` into table ``name``. ``version`` and
+    ``batch_id`` name the batch (a cycle's stamp; a query's id and its batch
+    number). The batch is reduced to one row per key and checkpointed, so its
+    source is read once; the buckets it touches (``buckets`` numbers at most)
+    prune the scan of the table and are all that is written. The new files are
+    complete before the old ones of any bucket go, so a job that fails, or loses
+    its executors, leaves the table as it was; running the batch again merges
+    what is missing and changes nothing else. Swapping the files in is Spark's
+    commit: a driver that dies within it may leave some buckets new, some old."""
+    checkpoint_dir(spark)
+    incoming = latest_by_key(conform(batch, name), key, order_by).withColumns({
+        "_query": F.lit(version), "_batch": F.lit(batch_id).cast("bigint"), "bucket": bucket_of(key, buckets)}).checkpoint()
+    touched = [r["bucket"] for r in incoming.select("bucket").distinct().collect()]
+    if not touched:
+        return
+    stored = _stored(spark, root, name).where(F.col("bucket").isin(touched))
+    merged = merge_batch(stored, incoming, ["bucket", *key], order_by)
+    (merged.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(f"{root}/{name}"))
 
 
 # ------------------------------------------------------------------ K03–K10

@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,21 +68,33 @@ class Tables:
 UPSERTED = ("charging_stations", "charging_points")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds files under ``path`` (any store it reads)."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def read_if_there(spark: SparkSession, ddl: str, path: str) -> DataFrame:
+    """The parquet table at ``path`` with its partition columns; empty if
+    there is none."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).option("basePath", path).parquet(path)
+
+
 def load_tables(spark: SparkSession, root: str) -> Tables:
     """Canonical tables stored under ``root`` as the sinks write them: the
-    current version of the upserted tables (stations, points), and the
+    upserted tables (stations, points; all ``bucket=`` directories), and the
     appended time series (all ``load=`` / ``date=`` directories; date
     filters prune partitions). A table that does not exist yet is empty."""
-    from voltgrid.sinks.tables import _fs, read_versioned
-
     def r(n):
-        if n in UPSERTED:
-            return conform(read_versioned(spark, root, n), n)
-        fs, p = _fs(spark, f"{root}/{n}")
-        if not fs.exists(p):
-            return spark.createDataFrame([], schema(n))
-        parts = ", load string" + ("" if "date" in schema(n).names else ", date date")
-        return conform(spark.read.schema(DDL[n] + parts).option("basePath", f"{root}/{n}").parquet(f"{root}/{n}"), n)
+        parts = "" if n in UPSERTED else ", load string" + ("" if "date" in schema(n).names else ", date date")
+        return conform(read_if_there(spark, DDL[n] + parts, f"{root}/{n}"), n)
     return Tables(stations=r("charging_stations"), points=r("charging_points"),
                   usage=r("usage_data"), weather=r("weather_data"), traffic=r("traffic_data"),
                   anomalies=r("anomaly_detection"), log=r("data_collection_log"))

@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import instant_to_ntz, ntz_to_instant
 from voltgrid.operators import cleaning
-from voltgrid.operators.derived import quota_usage
+from voltgrid.operators.derived import quota_columns, quota_periods
 from voltgrid.session import checkpoint_dir
-from voltgrid.sinks.tables import append, collection_log_row, published, upsert
+from voltgrid.sinks.tables import append, collection_log_row, upsert
 from voltgrid.sources import ingest
 
 
@@ -60,18 +60,16 @@ def cleaned_stream(stream: DataFrame, kind: str, as_of: _dt.datetime) -> DataFra
 
 def upsert_sink(root: str, name: str, key: list[str], order_by: list[str], query: str | None = None):
     """``foreachBatch`` function merging each micro-batch into an
-    upserted table (K01). A batch is known by the query and its batch id:
-    ``query`` or, without it, the id that Spark keeps in the query's own
-    checkpoint, so the batches of another query, or of a new checkpoint, are
-    never taken for this one's. A re-delivered batch whose commit exists is
-    skipped; one that failed before its commit is merged again."""
+    upserted table (K01). Rows carry the query and the number of the batch
+    that wrote them: ``query`` or, without it, the id that Spark keeps in the
+    query's own checkpoint, so the batches of another query, or of a new
+    checkpoint, are never taken for this one's. A batch delivered again finds
+    its own rows, or later ones, and changes nothing; one that failed half way
+    merges what it had not."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        version = f"{own or 'batch'}-{batch_id}"
-        if own is not None and published(spark, root, name, version):
-            return
-        upsert(spark, root, name, batch, key, order_by, version=version)
+        upsert(spark, root, name, batch, key, order_by, version=own or "batch", batch_id=batch_id)
     return write
 
 
@@ -132,10 +130,22 @@ def quota_counter_stream(log: DataFrame, delay: str = "1 day") -> DataFrame:
                     "calls", (F.col("calls") < 1000).alias("can_use"))
 
 
-def quota_usage_stream(log: DataFrame, quotas: dict | None = None) -> DataFrame:
+LONGEST_PERIOD = "31 days"
+
+
+def quota_usage_stream(log: DataFrame, quotas: dict | None = None, grace_days: int = 1) -> DataFrame:
     """T08 with each service's own period (day or month) and limit, as D02
-    has them; for update mode. The state is one row per service and period."""
-    return quota_usage(log, quotas)
+    has them; for update mode.
+
+    The start of a call's period is the event time, and its watermark trails by
+    the longest period and ``grace_days``: the period that is running is never
+    late, however many later days other services have had, and the state of a
+    period is dropped once it has been over for that long. The state is one row
+    for each service and period within the watermark."""
+    keyed = quota_periods(log, quotas).withColumn("_start", ntz_to_instant("period_start")) \
+        .withWatermark("_start", f"{int(LONGEST_PERIOD.split()[0]) + grace_days} days")
+    g = keyed.groupBy("service", "period", "_start", "quota_limit").agg(F.count(F.lit(1)).alias("calls"))
+    return quota_columns(g.withColumn("period_start", instant_to_ntz("_start")))
 
 
 # ---------------------------------------------------------------- T05
@@ -154,13 +164,11 @@ def weather_usage_stream(weather: DataFrame, usage: DataFrame, delay: str = "2 h
     return w.join(u, ["station_id", "_w"]).withColumn("hour", instant_to_ntz("_w.start")).drop("_w", "_ts")
 
 
-def weather_with_hourly_usage(weather: DataFrame, hourly_usage: DataFrame) -> DataFrame:
-    """Each streamed weather observation joined to the same-hour usage
-    of its station from the hourly table maintained by T04 (stream–static
-    equi-join on (station_id, hour); the static side is re-read every
-    micro-batch). No weather × session pairs are formed: usage is already
-    one row per station-hour. Observations whose hour has no usage yet are
-    not emitted (inner join, like the batch correlation R02)."""
+def weather_with_stored_usage(weather: DataFrame, hourly_usage: DataFrame) -> DataFrame:
+    """Each streamed weather observation joined to the same-hour usage of its
+    station as the stored hourly table (T04) has it when the micro-batch runs.
+    An observation whose hour has no usage yet is not emitted, then or later;
+    ``weather_usage_stream`` waits for late usage."""
     from voltgrid.functions.columns import hour_floor
     w = weather.withColumn("hour", hour_floor("timestamp"))
     return w.join(hourly_usage, ["station_id", "hour"])
