@@ -6,7 +6,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, SF001
+from conftest import AS_OF, SF01, SF001
 from voltgrid.operators import correlations, derived, features, insights, patterns, views
 from voltgrid.sources.testdata import adapter_tables
 from voltgrid.sources.uneven import uneven_tables
@@ -43,14 +43,14 @@ def test_roll_ups_read_usage_once(spark):
 
 
 def test_correlations_read_each_source_once(spark):
-    t = adapter_tables(spark, SF001)
+    t = adapter_tables(spark, SF01)
     for op in (correlations.combined_correlation, correlations.correlation_insights, correlations.correlation_report):
         assert scans(final_plan(op(t.weather, t.traffic, t.usage)), "events") == 3
     assert scans(final_plan(views.weather_correlation(t)), "events") <= 2
 
 
 def test_rules_fire_on_uneven_tables(spark):
-    t = uneven_tables(spark, SF001.replace("sf0.001", "sf0.01"))
+    t = uneven_tables(spark, SF01)
     kinds = {r.type for r in insights.network_recommendations(t.stations, t.usage, t.points).collect()}
     assert {"underutilized_stations", "capacity_expansion", "pricing_optimization"} <= kinds
     assert {r.type for r in insights.station_recommendations(t.stations, t.usage, t.points).collect()} == {

@@ -132,18 +132,21 @@ def _units(usage: DataFrame | None = None, points: DataFrame | None = None,
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return rows.groupBy("station_id", "state").agg(
+    units = rows.groupBy("station_id", "state").agg(
         F.sum("sessions").alias("sessions"), F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
         F.sum("points").alias("points"), F.sum("station_count").alias("station_count"))
+    # true of every unit; it reads all measures, so that every use of the units
+    # asks for the same columns and their shuffle is written once
+    return units.where((F.col("sessions") >= 0) | (F.col("points") >= 0) | (F.col("station_count") > 0)
+                       | (F.col("revenue") > 0))
 
 
 def _flagged(units: DataFrame) -> DataFrame:
     """The units with the flags of B04–B07. A station without sessions has no
-    part in the thresholds and no flag. Every use of ``units`` reads all of its
-    columns, so its shuffle is the same subplan each time and written once."""
+    part in the thresholds and no flag."""
     active = F.col("station_id").isNotNull() & (F.col("sessions") > 0)
     thr = exact_quantiles(
-        units.where(active | F.col("state").isNotNull() | (F.col("points") < 0)).select(
+        units.select(
             F.when(active, F.col("sessions")).alias("sessions"), F.when(active, F.col("revenue")).alias("revenue"),
             "station_count"),
         [("sessions", LOW_QUANTILE, "low_sessions"), ("sessions", HIGH_QUANTILE, "high_sessions"),
@@ -162,8 +165,7 @@ def _recommendations(units: DataFrame, with_points: bool = False) -> DataFrame:
     """One row (``REC``) for each rule that a unit meets; the sentences of B04
     and B06 name the number of stations flagged, which is the number of values
     below the threshold."""
-    any_point = units.where((F.col("sessions") >= 0) | (F.col("revenue") > 0) | (F.col("station_count") > 0)).agg(
-        F.sum("points").alias("all_points"))
+    any_point = units.agg(F.sum("points").alias("all_points"))
     one_each = attach_one_row(_flagged(units), any_point) if with_points else _flagged(units).withColumn(
         "all_points", F.lit(0))
     points, n_low, n_poor = F.coalesce("points", F.lit(0)), F.col("low_sessions_below"), F.col("low_revenue_below")

@@ -250,8 +250,9 @@ def forest_summary(features: DataFrame, contamination: float = CONTAMINATION,
 def decision_values(features: DataFrame, model: IsolationForestModel,
                     contamination: float = CONTAMINATION) -> DataFrame:
     """station_id, score, decision for every row."""
-    # one shuffle of station and negated score; both readers take both columns
-    s = score(model, features).select("station_id", (-F.col("score")).alias("neg")).repartition("station_id")
+    # one shuffle of station and negated score (never NULL); both readers ask for the same rows and columns
+    s = score(model, features).select("station_id", (-F.col("score")).alias("neg")) \
+        .where(F.col("neg").isNotNull()).repartition("station_id")
     offset = exact_quantile(s, "neg", contamination, name="offset")
     return attach_one_row(s, offset).select(
         "station_id", (-F.col("neg")).alias("score"), (F.col("neg") - F.col("offset")).alias("decision"))

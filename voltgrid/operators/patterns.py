@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions.columns import dsum, mean, season_of_month
 from voltgrid.functions.groupstats import attach_one_row, group_stats, with_group_stats
-from voltgrid.functions.quantiles import counted_quantiles
+from voltgrid.functions.quantiles import count_values, counted_quantiles
 
 # Fixed values of the pattern rules.
 PEAK_FACTOR = 1.5          # hour is a peak when its count >= 1.5 x mean hourly count
@@ -115,7 +115,7 @@ def session_duration_stats(usage: DataFrame, by=()) -> DataFrame:
     by = list(by)
     x, c, some = F.col("x"), F.col("c"), F.col("x").isNotNull()
     counts = _keys_present(usage, by).groupBy(*by, F.col("duration_minutes").cast("double").alias("x")).agg(
-        F.count(F.lit(1)).alias("c"))
+        F.count(F.lit(1)).alias("c")) if by else count_values(usage, ["duration_minutes"])
     d = with_group_stats(counts, by, n=F.sum(F.when(some, c)), total=F.sum(x * c))
     mean_ = F.col("total") / F.col("n")
     aggs = dict(n=F.max("n"), total=F.max("total"), lo=F.min("x"), hi=F.max("x"),
@@ -125,8 +125,7 @@ def session_duration_stats(usage: DataFrame, by=()) -> DataFrame:
         d = d.withColumn("upto", F.sum(F.when(some, c)).over(order))
         g = group_stats(d, by, **aggs, median=_half(x, F.col("upto"), F.col("n"), some))
     else:
-        values = counts.where(some).select(F.lit(0).alias("i"), "x", "c")
-        g = attach_one_row(group_stats(d, by, **aggs), counted_quantiles(values, [(0.5, "median")]).select("median"))
+        g = attach_one_row(group_stats(d, by, **aggs), counted_quantiles(counts, [(0.5, "median")]).select("median"))
     n = F.coalesce("n", F.lit(0))
     return g.select(
         *by, F.round(F.try_divide("total", n.cast("double")), 6).alias("avg_duration_minutes"),

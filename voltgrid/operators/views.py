@@ -199,8 +199,12 @@ def _salted(o: DataFrame, hourly: DataFrame) -> tuple[DataFrame, DataFrame]:
     are at most 1 / HOT_SHARE of them, which bounds the broadcast."""
     cells = o.groupBy("station_id", "hour").agg(F.sum("_times").alias("n"))
     hot = attach_one_row(cells, cells.agg(F.sum("n").alias("_all"))) \
-        .where(F.col("n") >= F.col("_all") * HOT_SHARE).select("station_id", "hour", F.lit(True).alias("_hot"))
-    mark = lambda df: df.join(F.broadcast(hot), ["station_id", "hour"], "left")
+        .where(F.col("n") >= F.col("_all") * HOT_SHARE) \
+        .select(F.col("station_id").alias("_s"), F.col("hour").alias("_h"), F.lit(True).alias("_hot"))
+    # null-safe, or Spark would filter NULL hours out of the observations that
+    # are counted, but not out of those that are kept, and compute them twice
+    mark = lambda df: df.join(F.broadcast(hot), df["station_id"].eqNullSafe(hot["_s"])
+                              & df["hour"].eqNullSafe(hot["_h"]), "left").drop("_s", "_h")
     spread = F.pmod(F.xxhash64(*[c for c in o.columns if c not in ("station_id", "hour")]), F.lit(SALTS))
     left = mark(o).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
     copies = F.sequence(F.lit(0).cast("bigint"), F.when(F.col("_hot"), F.lit(SALTS - 1)).otherwise(F.lit(0)).cast("bigint"))
@@ -216,8 +220,8 @@ def _observation_correlation(obs: DataFrame, t: Tables, measures: list[str], pre
     Station-hours with very many different observations are salted."""
     hourly = hourly_usage_sums(t.usage)
     s = _stations(t, "id", "name")
-    o = obs.groupBy("station_id", "timestamp", *measures).agg(F.count(F.lit(1)).alias("_times")) \
-        .withColumn("hour", hour_floor("timestamp"))
+    o = obs.where(F.col("station_id").isNotNull()).groupBy("station_id", "timestamp", *measures).agg(
+        F.count(F.lit(1)).alias("_times")).withColumn("hour", hour_floor("timestamp"))
     o, hourly = _salted(o, hourly)
     j = o.join(s, "station_id").join(hourly, ["station_id", "hour", "_salt"], "left")
     return finish(j.select(
