@@ -12,13 +12,19 @@ leading bytes, and only one suffix in some 75 is ever moved.
    once are dropped. Neighbours on both sides of a splitter share no leading
    bytes, as equal ones are dealt together.
 2. What is left gets its surroundings from its text: the ``width`` bytes of
-   the suffix and up to width - GRAM bytes before it.
-3. Those are dealt by range again. A bucket sorts the suffixes with equal
-   leading bytes by multikey quicksort, eight bytes a key, and the bytes before
-   them likewise, backwards; common prefixes of neighbours then tell, for each
-   of the windows around a sample, which are equal byte for byte. Groups that
-   cross a batch are carried over; a group of more than CROWD suffixes goes by
-   the windows' 128-bit digests, counted with partial sums, instead.
+   the suffix and up to width - GRAM bytes before it, and their digest. A task
+   gives out the bytes of equal surroundings once and the digest for the other
+   places. Places whose surroundings another place has are repeated as a whole;
+   they are found by counting digests (partial sums), so the inside of a
+   passage that very many texts share, or of a periodic text, costs a few
+   numbers a place.
+3. The different surroundings are dealt by range again. A bucket sorts the
+   suffixes with equal leading bytes by multikey quicksort, eight bytes a key,
+   and the bytes before them likewise, backwards; common prefixes of neighbours
+   then tell, for each of the windows around a sample, which are equal byte for
+   byte. Groups that cross a batch are carried over. A task's memory bounds what
+   it can sort: a group of more than CROWD different surroundings (35 MB) goes
+   by the windows' 128-bit digests, counted with partial sums, instead.
 4. The windows' bytes are merged per text.
 
 A text is known by its md5 (128 bits); copies of a text are one text, and a
@@ -48,7 +54,8 @@ from voltgrid.llm.common import chunks_by_size, materialize, mix64
 WIDTH = 200
 GRAM = 48
 SEGMENT = 1 << 20
-CROWD = 20_000
+CROWD = 100_000
+REMEMBERED = 1 << 20         # surroundings that a task knows to have given out
 BATCH = 30_000              # suffixes sorted together, about 11 MB of bytes
 
 _BASE = 0x9E3779B97F4A7C15
@@ -151,29 +158,55 @@ def _repeated(samples: DataFrame) -> DataFrame:
             .mapInPandas(pick, "h long, t1 long, t2 long, at long"))
 
 
+AROUND = ("h long, t1 long, t2 long, at long, s1 long, s2 long, n_left int, n_right int, before binary, after binary")
+
+
 def _surroundings(docs: DataFrame, text: str, places: DataFrame, width: int) -> DataFrame:
-    """h, t1, t2, at, before, after: bytes around each sample, read from one
-    row of each text."""
+    """Of each sample its place, the digest of the bytes around it (s1, s2) and
+    their numbers, read from one row of each text; the bytes themselves where
+    the task has not given out equal ones."""
     back = width - GRAM
     key = _text_key(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     one = rows.select(*key, "doc_id").groupBy("t1", "t2").agg(F.min("doc_id").alias("from_id"))
     # of one text: no more than its length
     by_text = (places.groupBy("t1", "t2").agg(F.collect_list(F.struct("at", "h")).alias("places"))
-               .join(one, ["t1", "t2"]))
-    held = (rows.select(*key, "doc_id", "text").join(by_text, ["t1", "t2"])
-            .where(F.col("doc_id").eqNullSafe(F.col("from_id"))).select("t1", "t2", "text", "places"))
+               .join(one, ["t1", "t2"]).withColumnsRenamed({"t1": "p1", "t2": "p2"}))
+    # doc_id is a key of the join: only one of a text's copies meets its places
+    held = (rows.select(*key, "doc_id", "text").join(by_text, (F.col("t1") == F.col("p1")) & (F.col("t2") == F.col("p2"))
+                                                     & F.col("doc_id").eqNullSafe(F.col("from_id")))
+            .select("t1", "t2", "text", "places"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        given: set[bytes] = set()
         for pdf in chunks_by_size(frames, "text", SEGMENT):
             out = []
             for t1, t2, t, places in pdf.itertuples(index=False):
                 data = t.encode()
-                out += [(p["h"], t1, t2, at, data[max(0, at - back):at], data[at:at + width])
-                        for p in places for at in (p["at"],)]
-            yield pd.DataFrame(out, columns=["h", "t1", "t2", "at", "before", "after"])
-
-    return held.mapInPandas(cut, "h long, t1 long, t2 long, at long, before binary, after binary")
+                for p in places:
+                    at = p["at"]
+                    before, after = data[max(0, at - back):at], data[at:at + width]
+                    digest = hashlib.md5(b"%d:" % len(before) + before + after).digest()
+                    new = digest not in given
+                    if new:
+                        if len(given) >= REMEMBERED:
+                            given.clear()
+                        given.add(digest)
+                    out.append((p["h"], t1, t2, at, *struct.unpack(">qq", digest), len(before), len(after),
+                                before if new else None, after if new else None))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in AROUND.split(", ")])
+
+    return held.mapInPandas(cut, AROUND)
+
+
+def _spans_of_equal(around: DataFrame, width: int) -> DataFrame:
+    """Places whose surroundings occur at another place, all bytes of them."""
+    place = F.xxhash64("t1", "t2", "at")
+    twice = materialize(around.groupBy("s1", "s2").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                        .where("lo < hi").select("s1", "s2"), "equal")
+    return (around.where(F.col("n_left") + F.col("n_right") >= width).drop("before", "after")
+            .join(twice, ["s1", "s2"], "left_semi")
+            .select("t1", "t2", (F.col("at") - F.col("n_left")).alias("start"), (F.col("at") + F.col("n_right")).alias("end")))
 
 
 def multikey_sort(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -248,7 +281,7 @@ def _spans_in_buckets(around: DataFrame, width: int) -> DataFrame:
         held, size = [], 0
 
         def work(pdf):
-            pdf = pdf.drop_duplicates(["h", "t1", "t2", "at"])
+            pdf = pdf.drop_duplicates(["s1", "s2"])
             row, first, last = equal_windows(pdf["h"].to_numpy(), pdf["before"].tolist(), pdf["after"].tolist(), width)
             at = pdf["at"].to_numpy()[row]
             return pd.DataFrame({"t1": pdf["t1"].to_numpy()[row], "t2": pdf["t2"].to_numpy()[row],
@@ -284,7 +317,8 @@ def _spans_by_digest(around: DataFrame, width: int) -> DataFrame:
                         out.append((w1, w2, r.t1, r.t2, r.at - back + i))
                 yield pd.DataFrame(out, columns=["w1", "w2", "t1", "t2", "start"])
 
-    every = around.mapInPandas(windows, "w1 long, w2 long, t1 long, t2 long, start long")
+    every = materialize(around.select("t1", "t2", "at", "before", "after").mapInPandas(
+        windows, "w1 long, w2 long, t1 long, t2 long, start long"), "windows")
     place = F.xxhash64("t1", "t2", "start")
     twice = every.groupBy("w1", "w2").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi")
     return (every.join(twice.select("w1", "w2"), ["w1", "w2"], "left_semi")
@@ -295,15 +329,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, crow
     """t1, t2 (the text's md5), spans array<struct<start, end>> of each text
     with a repeated window; overlapping spans are not merged yet."""
     places = materialize(_repeated(materialize(_samples(docs, text, width), "samples")), "places")
-    around = _surroundings(docs, text, places, width)
-    sizes = places.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("h")
-    crowded = materialize(sizes, "crowded")
+    around = materialize(_surroundings(docs, text, places, width), "surroundings")
+    with_bytes = around.where(F.col("after").isNotNull()).drop("n_left", "n_right")
+    crowded = materialize(with_bytes.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("h"),
+                          "crowded")
+    found = _spans_of_equal(around, width)
     if crowded.isEmpty():
-        found = _spans_in_buckets(around, width)
+        found = found.unionByName(_spans_in_buckets(with_bytes, width))
     else:
-        around = materialize(around, "surroundings")
-        found = (_spans_in_buckets(around.join(crowded, "h", "left_anti"), width)
-                 .unionByName(_spans_by_digest(around.join(crowded, "h", "left_semi"), width)))
+        found = (found.unionByName(_spans_in_buckets(with_bytes.join(crowded, "h", "left_anti"), width))
+                 .unionByName(_spans_by_digest(with_bytes.join(crowded, "h", "left_semi"), width)))
     return found.groupBy("t1", "t2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
