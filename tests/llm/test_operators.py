@@ -231,6 +231,13 @@ def test_pii_added_kinds():
     assert "iban" not in found("my IBAN is DE89 3704 0044 0532 0130 01 thanks")
     assert "ssn" in found("social security 123-45-6789.") and "ssn" not in found("number 123-45-6789.")
     assert "ssn" not in found("social security 666-45-6789.")
+    two = "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 iban"
+    assert [two[a:b] for k, a, b, _ in pii.find_spans(two) if k == "iban"] == [two[:27], two[28:55]]
+    after_none = "iban AB12 CD34 EF56 GH78 DE89 3704 0044 0532 0130 00"
+    assert [after_none[a:b] for k, a, b, _ in pii.find_spans(after_none) if k == "iban"] == [after_none[25:]]
+    for n in (20, 100, 300, 5000):
+        long_token = ("a1B2" * n)[:n]
+        assert [(a, b) for k, a, b, _ in pii.find_spans("token " + long_token) if k == "secret"] == [(6, 6 + n)], n
     assert "secret" in found('token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"')
     assert "secret" not in found("hash 04dbebab91ab85687d33eeaaf9ac699e1188f962")
     assert pii.redact("x a@b.co y", pii.find_spans("x a@b.co y")) == "x [EMAIL] y"
@@ -532,6 +539,18 @@ def test_repeats_of_passages(spark, monkeypatch, crowd):
     assert digest(suffixes.remove_repeats(df, crowd=crowd).collect()) == want(texts)
 
 
+def test_repeats_of_periodic_and_hot_texts(spark):
+    """200 KB of one letter and of a short period, and a passage that very many
+    texts hold between words of their own."""
+    rng = random.Random(3)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    hot = noise(500)
+    texts = ["a" * 200_000, "ab12 " * 40_000, noise(50) + "ab12 " * 60, "a" * 199 + "b"]
+    texts += [noise(90) + hot + noise(90) for _ in range(300)] + [hot[40:330], hot[40:330]]
+    df = table(spark, [(k, t, "s") for k, t in enumerate(texts)]).repartition(6)
+    assert digest(suffixes.remove_repeats(df).collect()) == want(texts)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.binary(min_size=16, max_size=16), min_size=1, max_size=30), st.integers(0, 3))
 def test_multikey_sort(rows, groups):
