@@ -9,15 +9,16 @@ ids of the shard before the block and the dictionary's hash. Any document is rea
 alone. Beside the blocks lies the dictionary, one row. Spark's writer commits
 the files, so a retried task leaves no half file.
 
-The dictionary is trained on a bounded sample: the first ``sample_ids`` ids of
-the ``sample_docs`` documents with the smallest hash (a compression aid only;
-every document is stored whole).
+The dictionary is trained on a bounded sample: ``sample_ids`` ids in a row, from
+a hashed place, of each of the ``sample_docs`` documents with the smallest hash
+(a compression aid only; every document is stored whole).
 
 Encoding: a text is cut before blanks that start a new pre-token whatever
 follows, equal pieces of a batch are encoded once, and a worker remembers
-pieces it has seen; the ids equal those of encoding the whole text (a property
-test checks it). A text with white space where such a cut could matter is
-encoded whole.
+pieces it has seen; new ones are encoded many at a time, with a line feed (a
+pre-token and a token of its own) between them. The ids equal those of encoding
+the whole text (a property test checks it). A text with white space where such
+a cut could matter is encoded whole.
 
 Defined cases: a NULL text is an empty one, so only the end id is stored; a
 NULL doc_id sorts first; of equal doc_ids the texts' hashes decide; equal rows
@@ -30,7 +31,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import zlib
 from array import array
+from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,14 +54,15 @@ DICT_BYTES = 64 * 1024
 LEVEL = 3
 BLOCK_BYTES = 4 << 20
 TEXT_BATCH = 4 << 20        # characters encoded together
-CACHE_PIECES = 1_000_000    # pieces a worker remembers before it starts anew
+CACHE_PIECES = 1_000_000    # pieces a worker remembers; later ones are encoded with each batch
+JOINED = 1 << 18            # pieces encoded as one text
 
 # White space next to a blank, or any that isn't a blank or a line feed: the
 # pre-token there may depend on more than the piece.
 OTHER_SPACE = "".join(map(chr, (
     0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C),
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
-UNSAFE = re.compile(f"[{OTHER_SPACE}]|  | \n|\n | $")
+UNSAFE = f"[{OTHER_SPACE}]|  | \n|\n | $|^ "
 
 BLOCKS = ("shard int, block int, first long, dict_hash string, doc_ids array<bigint>, offsets array<bigint>, "
           "lengths array<bigint>, counts array<bigint>, payload binary")
@@ -80,6 +84,8 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.seen: dict[str, bytes] = {}
+        line = self.tok.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -91,41 +97,74 @@ class Encoder:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [array("I", e.ids).tobytes() for e in got]
 
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without line feeds, encoded with line feeds between."""
+        out: list[bytes] = []
+        for a in range(0, len(pieces), JOINED):
+            part = pieces[a:a + JOINED]
+            ids = np.array(self.tok.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.line)
+            if self.line is None or len(cuts) != len(part) - 1:
+                out += self._plain(part)
+                continue
+            data = ids.tobytes()
+            ends = [*(4 * cuts).tolist(), len(data)]
+            starts = [0, *(4 * cuts + 4).tolist()]
+            out += [data[i:j] for i, j in zip(starts, ends, strict=True)]
+        return out
+
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces, four bytes each. A mark after a letter starts a pre-token,
         so it is split off before the lookup."""
-        if len(self.seen) > CACHE_PIECES:
-            self.seen.clear()
         seen = self.seen
-        heads = [p[:-1] if p[-1] in ".,!;:?" and p[-2:-1].isalpha() else p for p in pieces]
-        wanted = [p for p in dict.fromkeys([*heads, *{p[-1] for p in pieces}]) if p not in seen]
-        for p, ids in zip(wanted, self._plain(wanted), strict=True):
-            seen[p] = ids
-        return [seen[h] if h is p else seen[h] + seen[p[-1]] for h, p in zip(heads, pieces, strict=True)]
+        found = list(map(seen.get, pieces))
+        new = [(k, pieces[k]) for k, ids in enumerate(found) if ids is None]
+        if not new:
+            return found
+        split = [(k, p[:-1], p[-1]) if p[-1] in ".,!;:?" and p[-2:-1].isalpha() else (k, p, "") for k, p in new]
+        wanted = [p for p in dict.fromkeys([*(h for _, h, _ in split), *{m for _, _, m in split if m}]) if p not in seen]
+        lines = [p for p in wanted if "\n" in p]
+        rest = [p for p in wanted if "\n" not in p]
+        fresh = dict(zip([*lines, *rest], [*self._plain(lines), *self._joined(rest)], strict=True))
+        if len(seen) < CACHE_PIECES:
+            seen.update(fresh)
+            fresh = seen
+        else:
+            fresh = ChainMap(seen, fresh)
+        for k, head, mark in split:
+            found[k] = fresh[head] + fresh[mark] if mark else fresh[head]
+        if fresh is seen:
+            seen.update((p, found[k]) for k, p in new)
+        return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        whole = [k for k, t in enumerate(texts) if not t or t[0] == " " or UNSAFE.search(t)]
+        column = pa.array(texts, pa.large_string())
+        unsafe = pc.match_substring_regex(column, UNSAFE).to_numpy(zero_copy_only=False)
+        apart = [not t or bool(u) for t, u in zip(texts, unsafe, strict=True)]
+        whole = [k for k, a in enumerate(apart) if a]
         for k, ids in zip(whole, self._plain([texts[k] for k in whole]), strict=True):
             out[k] = np.frombuffer(ids, np.uint32)
-        rest = [k for k in range(len(texts)) if out[k] is None]
+        rest = [k for k, a in enumerate(apart) if not a]
         if not rest:
             return out
         # " word" pieces: the text cut before every blank
         parts = pc.split_pattern(pc.replace_substring(
-            pa.array([texts[k] for k in rest], pa.large_string()), " ", "\0 "), "\0") \
+            column.take(pa.array(rest)) if whole else column, " ", "\0 "), "\0") \
             if all("\0" not in texts[k] for k in rest) else \
             pa.array([re.split(r"(?= )", texts[k]) for k in rest], pa.large_list(pa.large_string()))
         offsets = parts.offsets.to_numpy()
         codes = pc.dictionary_encode(parts.flatten())
         ids_of = self._pieces(codes.dictionary.to_pylist())
         index = codes.indices.to_numpy()
-        size = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
-        base = np.concatenate([[0], np.cumsum(size)])
+        # 32-bit places: a batch has fewer than 2**31 ids
+        size = np.fromiter(map(len, ids_of), np.int32, len(ids_of)) // 4
+        base = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         flat = np.frombuffer(b"".join(ids_of), np.uint32)
         n = size[index]
-        ends = np.cumsum(n)
-        take = np.arange(ends[-1]) + np.repeat(base[index] - (ends - n), n)
+        ends = np.cumsum(n, dtype=np.int32)
+        take = np.repeat(base[index] - (ends - n), n)
+        take += np.arange(len(take), dtype=np.int32)
         ids = flat[take]
         bounds = np.concatenate([[0], ends])[offsets - offsets[0]]
         for j, k in enumerate(rest):
@@ -140,7 +179,7 @@ def serialize(ids: np.ndarray) -> bytes:
 
 def train_dictionary(docs: DataFrame, path: str, doc_id: str, text: str, sample_docs: int,
                      sample_ids: int) -> bytes:
-    """Trained where the sample meets: one task with ``sample_docs`` pieces of
+    """Trained where the sample meets: one task with ``sample_docs`` slices of
     ``sample_ids`` ids at most; a row of ``DICT_BYTES`` comes back."""
     key = F.md5(F.concat_ws(":", F.col(doc_id).cast("string"), F.length(text).cast("string")))
     # a rate of four times the sample first, so that few texts meet for the last choice
@@ -151,7 +190,11 @@ def train_dictionary(docs: DataFrame, path: str, doc_id: str, text: str, sample_
     def head(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = Encoder.at(path)
         for pdf in frames:
-            yield pd.DataFrame({"ids": [serialize(x[:sample_ids]) for x in enc.encode(pdf["text"].tolist())]})
+            out = []
+            for t, x in zip(pdf["text"], enc.encode(pdf["text"].tolist()), strict=True):
+                at = zlib.crc32(t.encode()) % max(1, len(x) - sample_ids + 1)
+                out.append(serialize(x[at:at + sample_ids]))
+            yield pd.DataFrame({"ids": out})
 
     def train(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
