@@ -436,35 +436,100 @@ def test_leaks_recall_against_substrings(spark):
         assert row[-1] >= decontam.PART * len(words)
 
 
-@pytest.mark.parametrize("n", [16, 20, 27, 31, 33, 40, 59])
-def test_words_decide_at_any_cosine(n):
-    """A projection that knows no word: every document that confirm() calls a
-    leak over some window is found, verbatim and with 65 % of the words."""
-    rng = random.Random(n)
-    word = lambda: "".join(rng.choice("bcdfgaeiou") for _ in range(5))
-    words = [word() for _ in range(n)]
-    answer = max(decontam.ANSWER_WORDS, n // 4)
-    item, = decontam.read_items([{"item_id": 1, "text": " ".join(words[:-answer]) + ". " + " ".join(words[-answer:])}])
-    windows, own = decontam.query_windows([item])
-    index = decontam.Index([item], np.zeros((decontam.DIM, 2), np.float32), np.zeros((len(windows), 2), np.float32),
-                           own, np.array(list(map(len, windows))))
-    texts = []
-    for at in range(16):
-        gone = set(rng.sample(range(n - answer), int(0.35 * n)))
-        for held in (words, [word() if k in gone else w for k, w in enumerate(words)],
-                     [w for k, w in enumerate(words) if k not in gone]):
-            texts.append(" ".join([word() for _ in range(48 + at)] + held + [word() for _ in range(64)]))
-    texts.append(" ".join(word() for _ in range(200)))
-    every, bounds = decontam.terms(texts)
-    true = set()
-    for d in range(len(texts)):
-        for a in range(bounds[d], bounds[d + 1], decontam.STRIDE):
-            near = every[max(bounds[d], a - n):min(bounds[d + 1], a + decontam.WINDOW + n)].tolist()
-            if index.confirm(item, near)[2]:
-                true.add(d)
-    got = {d for d, *_ in index.search(texts)}
-    assert len(true) == len(texts) - 1
-    assert {d for d in true if d % 3 == 0} <= got and len(got & true) >= 0.9 * len(true) and got <= true
+@pytest.fixture(scope="module")
+def benchmark_index(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    index, = decontam.build_indexes(docs, spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet"))
+    return index, decontam.terms([r["text"] for r in docs.orderBy("doc_id").limit(400).collect()])[0]
+
+
+def _other_space(index, project, queries=None):
+    if queries is None:
+        windows, _ = decontam.query_windows(index.items)
+        queries = np.stack([project[decontam.features(w)].sum(axis=0) for w in windows])
+    return decontam.Index(index.items, project, decontam._unit(queries), index.own, index.sizes, index.least)
+
+
+def _search_words(index, monkeypatch, texts):
+    """search() on texts that are given as word hashes."""
+    bounds = np.cumsum([0, *map(len, texts)])
+    with monkeypatch.context() as m:
+        m.setattr(decontam, "terms", lambda _: (np.concatenate(texts), bounds))
+        return index.search([""] * len(texts))
+
+
+def _planted(index, words, share, replace, rng):
+    """Items at every offset of a passage, ``share`` of the words kept, the
+    answer whole; only those that confirm() calls a leak."""
+    texts, own = [], []
+    for k, item in enumerate(index.items):
+        n = len(item.words)
+        at = rng.choice(max(1, n - len(item.answer)), min(int((1 - share) * n), max(0, n - len(item.answer))), replace=False)
+        held = item.words.copy()
+        if replace:
+            held[at] = rng.choice(words, len(at))
+        else:
+            held = np.delete(held, at)
+        start, off = int(rng.integers(0, len(words) - 400)), 64 + k % 16
+        text = np.concatenate([words[start:start + off], held, words[start + off:start + 200]])
+        if index.confirm(item, text[max(0, off - n):off + 2 * n + decontam.WINDOW].tolist())[2]:
+            texts.append(text)
+            own.append(k)
+    return texts, np.array(own)
+
+
+@pytest.mark.parametrize("share,replace", [(1.0, True), (0.82, True), (0.82, False), (0.65, True), (0.65, False)])
+def test_leaks_recall_by_length(benchmark_index, monkeypatch, share, replace):
+    """Candidates come from the cosine: in the fitted space nearly all planted
+    items are found, whatever their length and the share of words kept."""
+    index, words = benchmark_index
+    texts, own = _planted(index, words, share, replace, np.random.default_rng(5))
+    assert len(texts) > 150
+    got = {(d, k) for d, k, *_ in _search_words(index, monkeypatch, texts)}
+    found = np.array([(d, k) in got for d, k in enumerate(own.tolist())])
+    size = np.array([len(index.items[k].words) for k in own.tolist()])
+    for lo, hi in ((0, 20), (20, 32), (32, 48), (48, 99)):
+        held = found[(size >= lo) & (size < hi)]
+        assert held.mean() >= (0.99 if share == 1 else 0.9), (lo, held.mean(), len(held))
+
+
+def test_latent_space_decides(benchmark_index, monkeypatch):
+    """A random projection and random vectors lose candidates that the fitted
+    space has."""
+    index, words = benchmark_index
+    rng = np.random.default_rng(6)
+    texts, own = _planted(index, words, 0.65, True, rng)
+    true = set(enumerate(own.tolist()))
+    hits = lambda i: len(true & {(d, k) for d, k, *_ in _search_words(i, monkeypatch, texts)})
+    fitted = hits(index)
+    random_space = _other_space(index, rng.standard_normal(index.project.shape).astype(np.float32))
+    random_queries = _other_space(index, index.project, rng.standard_normal(index.queries.shape).astype(np.float32))
+    assert fitted >= 0.95 * len(true)
+    assert hits(random_space) < 0.6 * fitted
+    assert hits(random_queries) < 0.1 * fitted
+
+
+def test_search_against_plain_loops(benchmark_index, monkeypatch):
+    """Every passage against every benchmark passage, one by one."""
+    index, words = benchmark_index
+    rng = np.random.default_rng(7)
+    texts, _ = _planted(index, words, 0.82, True, rng)
+    texts = [*texts[::12], words[:0], words[:3], words[1000:1700], np.repeat(index.items[0].words, 5)]
+    width = decontam.width_of(index.sizes)
+    want = set()
+    for d, text in enumerate(texts):
+        f = decontam.features(text)
+        for a in range(0, len(text), decontam.STRIDE):
+            for w in sorted(set(width.tolist())):
+                v = index.project[f[a:a + w]].astype(float).sum(axis=0)
+                near = index.queries[width == w] @ (v / max(np.linalg.norm(v), 1e-12))
+                for k in set(index.own[width == w][near >= index.least[w]].tolist()):
+                    n = len(index.items[k].words)
+                    if index.confirm(index.items[k], text[max(0, a - n):a + decontam.WINDOW + n].tolist())[2]:
+                        want.add((d, k))
+    got = _search_words(index, monkeypatch, texts)
+    assert {(d, k) for d, k, *_ in got} == want and len(got) == len(want) > 10
 
 
 def test_paraphrase_and_awkward(spark, awkward, empty):
