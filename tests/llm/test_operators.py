@@ -381,6 +381,19 @@ def test_components(spark, edges):
     assert got == {k: root(k) for e in edges if e[0] != e[1] for k in e}
 
 
+def test_component_steps_are_small(spark):
+    """The driver keeps figures of every stage: two exchanges for a large-star
+    step, three for a small-star step."""
+    edges = spark.range(1, 50).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [step(edges)._jdf.queryExecution().executedPlan().toString()
+                 for step in (components._large_star, components._small_star)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [len(re.findall(r"Exchange \w+", p)) for p in plans] == [2, 3]
+
+
 # ----------------------------------------------------------------- language
 
 def test_languages_held_out(spark):

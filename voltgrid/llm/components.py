@@ -3,41 +3,47 @@
 Every step is a grouped minimum (combined before the shuffle) and a join; no
 neighbour list is gathered anywhere, so a node with very many neighbours is
 spread by the skew-join handling. Each round is written to the shared
-checkpoint folder."""
+checkpoint folder, and each of its two steps on its own: the driver keeps
+plans and task figures of every job, so plans are small and jobs few."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from voltgrid.llm.common import materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    """Edges lead from larger to smaller nodes (a > b), before and after a step."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
+    return edges.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    both = F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")),
+                   F.struct(F.col("b").alias("x"), F.col("m").alias("y")))
+    return (edges.join(least, "a").select(F.explode(both).alias("e")).where("e.x <> e.y")
+            .select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their count and a sum of their hashes."""
+    seen = Observation()
+    out = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"),
+                                    F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")), "edges")
+    return out, (seen.get["n"], seen.get["hashes"])
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node of ``edges`` (a, b;
     long, none NULL); nodes without an edge have no row."""
-    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                      .distinct(), "edges")
-    mark = _mark(now)
+    now, mark = _marked(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                        .distinct())
     while True:
-        now = materialize(_small_star(_large_star(now)), "edges")
-        before, mark = mark, _mark(now)
+        before = mark
+        now, mark = _marked(_small_star(materialize(_large_star(now), "edges")))
         if mark == before:
             break
     # all edges are (node, smallest of its component) now

@@ -176,7 +176,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     compared and confirmed block by block."""
     least = least_agreement(percent)
     shared = members.select(F.col("first").alias("a"), F.col("node").alias("b"))
-    gathered = materialize(components(shared.distinct()).withColumnRenamed("component", "cluster"), "clusters")
+    gathered = materialize(components(shared).withColumnRenamed("component", "cluster"), "clusters")
     named = gathered.join(members.select("node", "component", "sig").distinct(), "node")
     # blocks of a cluster: first those of its largest component, then the others
     size = named.groupBy("cluster", "component").agg(F.count("*").alias("size"))
@@ -263,15 +263,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
 
     pairs = (members.select("first", "node").unionByName(closer.select("first", "node")).where("first < node")
              .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
-    links = materialize(_confirm(pairs, nodes, sets, percent), "links")
-    found = materialize(components(links), "components")
+    found = materialize(components(_confirm(pairs, nodes, sets, percent)), "components")
     sigs = nodes.select("node", "sig")
     for step in (lambda m: _confirm(_neighbours(m), nodes, sets, percent), lambda m: _across(m, sets, percent)):
         left = materialize(_open_regions(members, found).join(sigs, "node"), "open-regions")
         if left.isEmpty():
             break
-        links = links.unionByName(materialize(step(left), "links"))
-        found = materialize(components(links), "components")
+        # stars of the components so far stand for their links
+        stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = materialize(components(stars.unionByName(step(left))), "components")
 
     named = nodes.select("node", "digest", "from").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
