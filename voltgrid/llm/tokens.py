@@ -58,8 +58,8 @@ CACHE_PIECES = 1_000_000    # pieces a worker remembers; later ones are encoded
 CACHE_LENGTH = 64           # bytes of the longest piece it remembers
 JOINED = 1 << 12            # pieces encoded as one text
 
-# White space next to a blank, or any that isn't a blank or a line feed: the
-# pre-token there may depend on more than the piece.
+# White space that isn't a blank or a line feed, with some characters that only
+# other Unicode versions count as such: no piece starts after it.
 OTHER_SPACE = "".join(map(chr, (
     0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C),
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
