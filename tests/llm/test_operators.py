@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 import brute
 from conftest import SF001
-from voltgrid.llm import (chat, components, decontam, langid, minhash, mixing, pii, quality, sharding, suffixes,
-                          tokens)
+from voltgrid.llm import (chat, common, components, decontam, langid, minhash, mixing, pii, quality, sharding,
+                          suffixes, tokens)
 from voltgrid.llm.queries import PLANTED, QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -470,6 +470,26 @@ def test_component_steps_are_small(spark):
     assert [len(re.findall(r"Exchange \w+", p)) for p in plans] == [2, 3]
 
 
+def test_tables_of_nodes_are_not_broadcast(spark, monkeypatch):
+    """The planner sizes tables after an explode and compressed tables of ids
+    far too low; the joins between them shuffle, whatever it says."""
+    plans = []
+
+    def seen(df, name, *rest):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return common.materialize(df, name, *rest)
+
+    for module in (minhash, components):
+        monkeypatch.setattr(module, "materialize", seen)
+    docs = [(k, " ".join(f"w{i * i % 97}" for i in range(60 + k % 3)), "s") for k in range(12)]
+    out = minhash.near_duplicates(table(spark, docs))
+    assert {r["component_id"] for r in out.collect()} == {0}
+    # without the plans that confirm pairs: signatures and sets are sized as they are
+    held = [p for name, p in plans if name in ("members", "edges") and "MapInPandas" not in p]
+    assert len(held) > 4 and any("Generate" in p for p in held)
+    assert not [p for p in held if "Broadcast" in p]
+
+
 # ----------------------------------------------------------------- language
 
 def test_languages_held_out(spark):

@@ -11,20 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from voltgrid.llm.common import materialize
+from voltgrid.llm.common import materialize, shuffled
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Edges lead from larger to smaller nodes (a > b), before and after a step."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
-    return edges.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b"))
+    return edges.join(shuffled(least), "b", "left").select("a", F.coalesce("m", "b").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     both = F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")),
                    F.struct(F.col("b").alias("x"), F.col("m").alias("y")))
-    return (edges.join(least, "a").select(F.explode(both).alias("e")).where("e.x <> e.y")
+    return (edges.join(shuffled(least), "a").select(F.explode(both).alias("e")).where("e.x <> e.y")
             .select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).distinct())
 
 

@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltgrid.llm.common import chunks_by_size, materialize, mix64
+from voltgrid.llm.common import chunks_by_size, materialize, mix64, shuffled
 from voltgrid.llm.components import components
 from voltgrid.llm.shingles import distinct_by_text, shingle_hashes, word_hashes
 
@@ -177,7 +177,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     least = least_agreement(percent)
     shared = members.select(F.col("first").alias("a"), F.col("node").alias("b"))
     gathered = materialize(components(shared).withColumnRenamed("component", "cluster"), "clusters")
-    named = gathered.join(members.select("node", "component", "sig").distinct(), "node")
+    named = shuffled(gathered).join(members.select("node", "component", "sig").distinct(), "node")
     # blocks of a cluster: first those of its largest component, then the others
     size = named.groupBy("cluster", "component").agg(F.count("*").alias("size"))
     blocks = (size.groupBy("cluster").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"))
@@ -222,7 +222,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _open_regions(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members, with components, of the regions that hold several."""
-    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = members.join(shuffled(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     return named.join(several.select("key"), "key", "left_semi")
 
@@ -241,13 +241,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     places = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
     regions = places.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
-    members = materialize(places.join(regions, "key").select("key", "node", "tree", "first", "n"), "members")
+    members = materialize(places.join(shuffled(regions), "key").select("key", "node", "tree", "first", "n"), "members")
     # the nodes of a crowded region that agree in the next tree, too
-    closer = (members.where(F.col("n") > CROWD).select("node", "tree").join(nodes.select("node", "keys"), "node")
+    closer = (members.where(F.col("n") > CROWD).select("node", "tree")
+              .join(shuffled(nodes.select("node", "keys")), "node")
               .select("node", F.xxhash64("tree", F.get("keys", F.col("tree")),
                                          F.get("keys", (F.col("tree") + 1) % TREES)).alias("key")))
     closer = closer.join(closer.groupBy("key").agg(F.min("node").alias("first")), "key")
-    wanted = (nodes.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = (nodes.join(shuffled(members.select("node").distinct()), "node", "left_semi")
               .select("node", F.col("from.doc_id").alias("from_id"), F.col("from.text_key").alias("text_key")))
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
                          F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_key"))
@@ -273,7 +274,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = materialize(components(stars.unionByName(step(left))), "components")
 
-    named = nodes.select("node", "digest", "from").join(found, "node", "left").withColumn(
+    named = nodes.select("node", "digest", "from").join(shuffled(found), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("from").alias("first"))
     by_set = named.join(least, "component").select("digest", "first")
