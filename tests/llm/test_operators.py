@@ -553,6 +553,45 @@ def benchmark_index(spark):
     return index, decontam.terms([r["text"] for r in docs.orderBy("doc_id").limit(400).collect()])[0]
 
 
+def test_index_is_fitted_on_all_passages(spark):
+    """More than 40,000 passages, with repeated, long and short texts: the
+    benchmark's vectors against a plain matrix of every passage."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"v{k}" for k in range(400)]
+    text = lambda n, top: " ".join(vocabulary[k] for k in np.minimum(rng.zipf(1.3, n), top) - 1)
+    texts = [text(800, 100 + k % 300) for k in range(560)] + [text(n, 400) for n in (1, 7, 8, 9, 31, 33, 70_007)]
+    items = [text(n, 400) for n in (9, 16, 30, 40, 55, 70, 90) * 3]
+    rows = [(k, t, "s") for k, t in enumerate([*texts, *texts[:40], texts[0], "", None, "..."])]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    index, = decontam.build_indexes(table(spark, rows), bench)
+
+    words = lambda t: decontam.features(decontam.terms([t])[0])
+    passages = lambda f, n: [f[a:a + n] for a in range(0, len(f), decontam.STRIDE)]
+    blocks = [b for _, t, _ in rows for b in passages(words(t), decontam.STRIDE)]
+    df = sum(np.bincount(np.unique(b), minlength=decontam.DIM) for b in blocks)
+    idf = np.log((1 + len(blocks)) / (1 + df)) + 0.1
+    corpus = [p for t in texts for p in passages(words(t), decontam.WINDOW)]
+    assert len(corpus) > 60_000
+    queries = [decontam.features(w) for w in decontam.query_windows(index.items)[0]]
+    used = np.unique(np.concatenate([words(t) for t in [*texts, *items]]))
+    matrix = np.zeros((len(corpus) + len(queries), len(used)), np.float32)
+    for k, p in enumerate([*corpus, *queries]):
+        np.add.at(matrix[k], np.searchsorted(used, p), idf[p])
+        matrix[k] /= np.linalg.norm(matrix[k]) * (1 if k < len(corpus) else (len(queries) / len(corpus)) ** 0.5)
+    gram = (matrix.T @ matrix).astype(float)
+    rank = min(decontam.RANK, max(8, len(queries) // 2))
+    q = np.random.default_rng(decontam.SEED).standard_normal((decontam.DIM, rank + decontam.EXTRA))
+    q = np.linalg.qr(q)[0][used]
+    for _ in range(decontam.ROUNDS - 1):
+        q = np.linalg.qr(gram @ q)[0]
+    value, vector = np.linalg.eigh(q.T @ gram @ q)
+    top = np.argsort(-value)[:rank]
+    project = np.zeros((decontam.DIM, rank))
+    project[used] = (q @ vector[:, top]) / np.sqrt(value[top]) * idf[used, None]
+    want = decontam._unit(np.stack([project[f].sum(axis=0) for f in queries]))
+    assert np.abs(index.queries @ index.queries.T - want @ want.T).max() < 1e-3
+
+
 def _other_space(index, project, queries=None):
     if queries is None:
         windows, _ = decontam.query_windows(index.items)
